@@ -1,0 +1,4 @@
+"""Every core query by name, and its SQL."""
+
+QUERIES: dict = {}
+SQL: dict = {}
