@@ -1,0 +1,23 @@
+"""Connected components of an edge table, by label propagation with pointer jumping; nothing goes to the driver."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """edges (a, b) -> (id, label): the smallest id that each end can reach. Repeated edges and loops do no harm."""
+    both = cut(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(edges.select("b", "a")).distinct())
+    labels = cut(both.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("low")).select("id", F.least("id", "low").alias("label")))
+    while True:
+        near = both.join(labels, F.col("dst") == F.col("id")).groupBy("src").agg(F.min("label").alias("near"))
+        lower = labels.join(near, F.col("id") == F.col("src")).select("id", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        # A label is an id of the same component: take that id's label, halving the way to the root.
+        up = lower.select(F.col("id").alias("at"), F.col("label").alias("up"))
+        after = cut(lower.join(up, F.col("label") == F.col("at")).select("id", "was", F.least("label", "up").alias("label")))
+        labels = after.select("id", "label")
+        if not after.where(F.col("was") != F.col("label")).limit(1).count():
+            return labels
