@@ -233,6 +233,17 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
     return _each(docs, key, text, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", data, pattern, _digests)
 
 
+def _tokens(encoder: Encoder, value: str) -> dict:
+    ids = encoder.encode(value)
+    return {"ids": ids, "n_tokens": len(ids), "ids_sha256": hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), "decoded_sha256": hashlib.sha256(encoder.decode(ids)).hexdigest()}
+
+
+def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+    """round_trip() with the ids themselves."""
+    data, pattern = vocabulary(path)
+    return _each(docs, key, text, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string", data, pattern, _tokens)
+
+
 def _each(docs: DataFrame, key: str, text: str, schema: str, data: bytes, pattern: str, work) -> DataFrame:
     from .common import map_rows, text_batches
 

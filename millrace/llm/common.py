@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows and bytes of an Arrow batch of whole texts; a text is never split or cut.
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
@@ -23,28 +25,43 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back: lost executors don't lose it.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where none is set (tests) a temporary one is made.
-    """
-    context = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder: the session's ``spark.checkpoint.dir``; only where none is set (tests) a temporary one is made."""
+    context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: what lost executors held is still there."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]]) -> DataFrame:
-    """Columns in, columns out, by Arrow batch. ``make()`` runs once in each task and returns the batch function."""
+def without(docs: DataFrame, gone: DataFrame, key: str, small: int = 200_000) -> DataFrame:
+    """``docs`` less the rows whose ``key`` is in ``gone``: up to ``small`` ids travel as a broadcast, more are joined by shuffle."""
+    ids = cut(gone.select(key).distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= small else ids, key, "left_anti")
+
+
+def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], carry: tuple[str, ...] = ()) -> DataFrame:
+    """Columns in, columns out, by Arrow batch. ``make()`` runs once in each task and returns the batch function.
+
+    Columns named in ``carry`` are passed on as they are, behind those of ``schema``.
+    """
+    kind = T.StructType(T._parse_datatype_string(schema).fields + [df.schema[c] for c in carry])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each, arrow = make(), None
+        each, arrow = make(), arrow_schema(schema)
         for batch in batches:
-            out = each({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
-            arrow = arrow or arrow_schema(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+            names = batch.schema.names
+            out = each({name: batch.column(i).to_pylist() for i, name in enumerate(names)})
+            more = [names.index(c) for c in carry]
+            columns = [pa.array(out[f.name], f.type) for f in arrow] + [batch.column(i) for i in more]
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([*arrow, *(batch.schema.field(i) for i in more)]))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, kind)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

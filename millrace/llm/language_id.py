@@ -156,10 +156,10 @@ class Scorer:
 
 
 
-def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred, score) for every row; the text alone decides."""
+def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, lang_pred, score) for every row, and the columns in ``carry``; the text alone decides."""
     text_batches(docs.sparkSession)
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *(c for c in carry if c != text))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -171,7 +171,7 @@ def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str
 
         return each
 
-    return map_rows(source, "doc_id long, lang_pred string, score double", make)
+    return map_rows(source, "doc_id long, lang_pred string, score double", make, carry)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, html_text, language_id, line_dedup, secret_scan, sharding, threshold_search
+import sys
+from pathlib import Path
+
+from . import byte_bpe, decontaminate, html_text, language_id, line_dedup, minhash, secret_scan, sharding, suffix_dedup, threshold_search
+
+
+
+def _pipeline(spark, sf_dir):
+    top = str(Path(__file__).resolve().parents[2])
+    if top not in sys.path:
+        sys.path.insert(0, top)
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {
@@ -10,10 +23,13 @@ QUERIES = {
     "op2_byte_bpe": byte_bpe.query,
     "op3_html_text": html_text.query,
     "op4_secret_scan": secret_scan.query,
+    "op5_suffix_dedup": suffix_dedup.query,
     "op6_decontaminate": decontaminate.query,
     "op7_language_id": language_id.query,
     "op8_threshold_search": threshold_search.query,
+    "op9_minhash": minhash.query,
     "op10_hilbert_shards": sharding.query,
+    "pipeline": _pipeline,
 }
 
 SQL = {"op1_line_dedup": line_dedup.SQL, "op8_threshold_search": threshold_search.SQL}
