@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -25,7 +25,8 @@ from .common import map_rows, text_batches
 
 SAMPLE_ROWS, LANGUAGES, WORDS, ROUNDS, SMOOTH = 400, 200, 4000, 2, 0.05
 UND = "und"
-MEMO = 150_000
+#: Words remembered; bytes of a word that are summed in one go; expected occurrences of a piece that the model keeps.
+MEMO, LONGEST, USED = 200_000, 48, 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -35,29 +36,67 @@ def pieces_of(word: bytes, pieces: dict[bytes, int], most: int) -> list[list[tup
     return [[(start, piece) for start in range(max(0, end - most), end) if (piece := pieces.get(word[start:end])) is not None] for end in range(1, n + 1)]
 
 
-def forward(lattice: list[list[tuple[int, int]]], weights: np.ndarray) -> np.ndarray:
-    """(ends + 1, languages): the summed probability of all segmentations of each prefix. weights: (pieces, languages)."""
-    sums = [np.ones(weights.shape[1])]
-    for arcs in lattice:
-        total = 0.0
-        for start, piece in arcs:
-            total = total + sums[start] * weights[piece]
-        sums.append(total)
-    return sums
-
-
 class Model:
-    """Piece probabilities of each language; at most LANGUAGES x vocabulary numbers."""
-
-    def __init__(self, languages: list[str], pieces: dict[bytes, int], weights: np.ndarray, most: int):
-        self.languages, self.pieces, self.weights, self.most = languages, pieces, weights, most
+    """Pieces as a trie over bytes, and their probabilities in each language; bounded by LANGUAGES and the vocabulary."""
+
+    def __init__(self, languages: list[str], pieces: list[bytes], weights: np.ndarray):
+        """weights: (pieces, languages)."""
+        self.languages = languages
+        steps: dict[tuple[int, int], int] = {}
+        ends = {}
+        for k, piece in enumerate(pieces):
+            node = 0
+            for byte in piece:
+                node = steps.setdefault((node, byte), len(steps) + 1)
+            ends[node] = k
+        # Node 0 is the root, and also where no path goes on: from it nothing starts in the middle of a walk.
+        self.next = np.zeros((len(steps) + 1, 256), np.int32)
+        for (node, byte), to in steps.items():
+            self.next[node, byte] = to
+        self.weights = np.zeros((len(steps) + 1, len(languages)))
+        for node, k in ends.items():
+            self.weights[node] = weights[k]
+        self.most = max(map(len, pieces))
+
+    def forward(self, words: list[bytes]) -> np.ndarray:
+        """(words, languages): log of the summed probability of all segmentations, the words of a length side by side."""
+        out = np.zeros((len(words), len(self.languages)))
+        by_length: dict[int, list[int]] = defaultdict(list)
+        for k, word in enumerate(words):
+            by_length[len(word)].append(k)
+        for n, places in by_length.items():
+            data = np.frombuffer(b"".join(words[k] for k in places), np.uint8).reshape(len(places), n)
+            sums = np.zeros((n + 1, len(places), len(self.languages)))
+            sums[0] = 1.0
+            for start in range(n):
+                node = self.next[0, data[:, start]]
+                rows = None
+                for end in range(start + 1, min(n, start + self.most) + 1):
+                    if rows is None:
+                        sums[end] += sums[start] * self.weights[node]
+                    else:
+                        sums[end, rows] += sums[start, rows] * self.weights[node]
+                    if end == n:
+                        break
+                    node = self.next[node, data[:, end] if rows is None else data[rows, end]]
+                    alive = np.nonzero(node)[0]
+                    if not len(alive):
+                        break
+                    if len(alive) < len(node):
+                        rows, node = alive if rows is None else rows[alive], node[alive]
+            out[places] = np.log(np.maximum(sums[n], 1e-300))
+        return out
 
-    def word(self, word: str) -> np.ndarray:
-        """Log probability in each language. Long runs of letters are cut, so that no sum runs out of range."""
-        data, out = b" " + word.encode("utf-8", "surrogatepass"), np.zeros(len(self.languages))
-        for at in range(0, len(data), 48):
-            part = data[at : at + 48]
-            out += np.log(np.maximum(forward(pieces_of(part, self.pieces, self.most), self.weights)[-1], 1e-300))
+    def words(self, words: list[str]) -> np.ndarray:
+        """Log probabilities of words. A very long run of letters is cut, so that no sum runs out of range."""
+        parts, owner = [], []
+        for k, word in enumerate(words):
+            data = b" " + word.encode("utf-8", "surrogatepass")
+            for at in range(0, len(data), LONGEST):
+                parts.append(data[at : at + LONGEST])
+                owner.append(k)
+        out = np.zeros((len(words), len(self.languages)))
+        np.add.at(out, owner, self.forward(parts))
         return out
 
 
@@ -66,11 +105,12 @@ def fit(counts: dict[str, dict[str, int]], data: bytes, rounds: int = ROUNDS) ->
     ranks = parse_ranks(data)
     pieces = {b: k for k, b in enumerate(b for b in ranks if len(b) <= 16)}
     most, languages = 16, sorted(counts)
-    weights = np.zeros((len(pieces), len(languages)))
+    weights, used = np.zeros((len(pieces), len(languages))), np.zeros(len(pieces), bool)
     for k, language in enumerate(languages):
         words = sorted(counts[language].items(), key=lambda x: (-x[1], x[0]))[:WORDS]
         lattices = [(n, pieces_of((b" " + w.encode("utf-8", "surrogatepass"))[:48], pieces, most)) for w, n in words]
         p = np.full(len(pieces), 1.0 / len(pieces))
+        expected = p
         for _ in range(rounds):
             expected = np.full(len(pieces), SMOOTH)
             q = p.tolist()
@@ -90,7 +130,10 @@ def fit(counts: dict[str, dict[str, int]], data: bytes, rounds: int = ROUNDS) ->
                             expected[i] += alpha[s] * q[i] * share
             p = expected / expected.sum()
         weights[:, k] = p
-    return Model(languages, pieces, weights, most)
+        used |= expected > USED
+    names = list(pieces)
+    kept = [k for k, name in enumerate(names) if used[k] or len(name) == 1]
+    return Model(languages, [names[k] for k in kept], weights[kept])
 
 
 def training_rows(key: Column) -> Column:
@@ -116,44 +159,31 @@ def learn(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 
 class Scorer:
-    def __init__(self, model: Model):
-        self.model, self.memo, self.rows, self.table = model, {}, 0, np.zeros((MEMO, len(model.languages)))
-
-    def score(self, text: str | None) -> tuple[str, float]:
-        words = _WORD.findall((text or "").lower())
-        if not words:
-            return UND, 0.0
-        total, at = np.zeros(len(self.model.languages)), []
-        get = self.memo.get
-        places = list(map(get, words))
-        if None in places:
-            for k, place in enumerate(places):
-                if place is None:
-                    place = get(words[k])
-                    if place is None:
-                        value = self.model.word(words[k])
-                        if self.rows >= MEMO or len(words[k]) > 40:
-                            total += value
-                            places[k] = -1
-                            continue
-                        place, self.memo[words[k]] = self.rows, self.rows
-                        self.table[place] = value
-                        self.rows += 1
-                    places[k] = place
-            at = np.array(places)
-            at = at[at >= 0]
-        else:
-            at = np.array(places)
-        total += self.table[at].sum(axis=0)
-        if self.rows >= MEMO:
-            self.memo.clear()
-            self.rows = 0
-        best = int(np.argmax(total))
-        # Tempered: a long text's words are not independent, so evidence counts as the square root of their number.
-        tempered = (total - total[best]) / math.sqrt(len(words))
-        return self.model.languages[best], float(1.0 / np.exp(np.maximum(tempered, -700)).sum())
+    """Texts of a batch at a time. Words' probabilities are remembered until there are more than MEMO."""
 
+    def __init__(self, model: Model):
+        self.model, self.memo, self.table = model, {}, np.zeros((0, len(model.languages)))
 
+    def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        split = [_WORD.findall((t or "").lower()) for t in texts]
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+            self.table = self.table[:0]
+        new = list(set(chain.from_iterable(split)).difference(self.memo))
+        if new:
+            self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new)), strict=True))
+            self.table = np.concatenate([self.table, self.model.words(new)])
+        get, out = self.memo.__getitem__, []
+        for words in split:
+            if not words:
+                out.append((UND, 0.0))
+                continue
+            total = self.table[np.fromiter(map(get, words), np.int64, len(words))].sum(axis=0)
+            best = int(np.argmax(total))
+            # Tempered: a long text's words are not independent, so evidence counts as the square root of their number.
+            tempered = (total - total[best]) / math.sqrt(len(words))
+            out.append((self.model.languages[best], float(1.0 / np.exp(np.maximum(tempered, -700)).sum())))
+        return out
 
 
 def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -166,7 +196,7 @@ def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str
         scorer = Scorer(shared.value) if shared.value else None
 
         def each(x: dict[str, list]) -> dict[str, list]:
-            found = [scorer.score(t) if scorer else (UND, 0.0) for t in x["text"]]
+            found = scorer.score(x["text"]) if scorer else [(UND, 0.0)] * len(x["text"])
             return {"doc_id": x["doc_id"], "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
 
         return each
