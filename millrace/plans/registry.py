@@ -1,4 +1,593 @@
-"""Every core query by name, and its SQL."""
+"""Every core query by name, each beside SQL that states the same for DuckDB where SQL can."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import Config
+from ..functions import geo, money, signals
+from ..functions import text as T
+from ..operators import aggregates, dedupe, enrich, qa, ranking, scoring
+from ..operators.components import components
+from ..operators.normalize import district
+from ..schema import conform
+from ..sources import files, records
+from .surrogate import LISTINGS, PLACES
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+CFG = Config()
+AS_OF = "2024-06-01"
+
+c = F.col
+
+
+def query(name: str, sql: str | None = None):
+    def enter(f):
+        QUERIES[name] = f
+        if sql is not None:
+            SQL[name] = sql
+        return f
+
+    return enter
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def made(spark: SparkSession, sf_dir: str, statement: str, table: str) -> DataFrame:
+    return spark.sql(statement.replace(f"FROM {table}", "FROM {t}"), t=read(spark, sf_dir, table))
+
+
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return made(spark, sf_dir, LISTINGS, "orders")
+
+
+def complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform(listings(spark, sf_dir))
+
+
+L = f"WITH l AS ({LISTINGS})"
+
+
+# ---------------------------------------------------------------- ranking, windows, top-k
+@query("value_bands", """
+WITH r AS (SELECT p_partkey, p_size, p_retailprice, rank() OVER (PARTITION BY p_size ORDER BY p_retailprice) AS r, count(*) OVER (PARTITION BY p_size, p_retailprice) AS k, count(*) OVER (PARTITION BY p_size) AS n FROM part),
+s AS (SELECT *, (r + (k - 1) / 2.0) / n AS s FROM r)
+SELECT p_partkey, p_size, p_retailprice, CASE WHEN n >= 5 THEN CAST(round_even(s * 100, 0) AS DOUBLE) END AS value_percentile,
+  CASE WHEN n < 5 THEN 'INSUFFICIENT_SAMPLE' WHEN s <= 0.25 THEN 'EXCELLENT_VALUE' WHEN s <= 0.5 THEN 'GOOD_VALUE' WHEN s <= 0.75 THEN 'FAIR_VALUE' ELSE 'EXPENSIVE_RELATIVE_TO_SAMPLE' END AS value_band FROM s""")
+def _(spark, d):
+    out = ranking.value_bands(read(spark, d, "part"), "p_size", "p_retailprice", F.lit(True), CFG.min_value_group)
+    return out.select("p_partkey", "p_size", "p_retailprice", c("value_percentile").cast("double").alias("value_percentile"), "value_band")
+
+
+@query("rank_in_category", "SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rank_in_category FROM orders")
+def _(spark, d):
+    orders = read(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return ranking.numbered(orders, [c("o_orderstatus")], [c("o_totalprice").desc(), c("o_orderkey").asc()], "rank_in_category").drop("o_totalprice")
+
+
+@query("topk_quiet_space", "SELECT p_partkey, round(0.6 * p_size + 2 * p_retailprice, 4) AS quiet_space FROM part ORDER BY quiet_space DESC, p_partkey LIMIT 5")
+def _(spark, d):
+    return read(spark, d, "part").select("p_partkey", F.round(0.6 * c("p_size") + 2 * c("p_retailprice"), 4).alias("quiet_space")).orderBy(F.desc("quiet_space"), "p_partkey").limit(5)
+
+
+@query("topk_best_value", f"{L}, v AS (SELECT row_id, round(rent_usd / total_area_m2, 2) AS per_m2 FROM l WHERE rent_usd IS NOT NULL AND furnished) SELECT * FROM v ORDER BY per_m2, row_id LIMIT 5")
+def _(spark, d):
+    rows = listings(spark, d).where(T.true(c("furnished")) & c("rent_usd").isNotNull())
+    return rows.select("row_id", F.round(c("rent_usd") / c("total_area_m2"), 2).alias("per_m2")).orderBy("per_m2", "row_id").limit(5)
+
+
+@query("display_tiers", "WITH r AS (SELECT p_partkey, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS place FROM part) SELECT p_partkey, place, CASE WHEN place <= 10 THEN 'TOP 10' ELSE 'ALTERNATIVE' END AS tier FROM r WHERE place <= 30")
+def _(spark, d):
+    top = read(spark, d, "part").orderBy(F.desc("p_retailprice"), "p_partkey").limit(CFG.top_n + CFG.alternatives).select("p_partkey", "p_retailprice")
+    return ranking.numbered(top, [], [c("p_retailprice").desc(), c("p_partkey").asc()], "place").select("p_partkey", "place", ranking.display_tier("place", CFG.top_n).alias("tier"))
+
+
+# ---------------------------------------------------------------- aggregates
+@query("market_snapshot", f"""{L} SELECT bedrooms, count(*) AS n, round(median(rent_usd), 4) AS median_rent, round(median(total_area_m2), 4) AS median_area, round(median(built_area_m2), 4) AS median_per_m2,
+  round(avg(CASE WHEN furnished THEN 1.0 ELSE 0.0 END), 6) AS furnished_share, round(avg(CASE WHEN maintenance_usd IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS maintenance_share FROM l GROUP BY bedrooms""")
+def _(spark, d):
+    out = aggregates.market_snapshot(listings(spark, d), area="total_area_m2", per_area="built_area_m2")
+    return out.select("bedrooms", "n", *[F.round(k, 4).alias(k) for k in ("median_rent", "median_area", "median_per_m2")], *[F.round(k, 6).alias(k) for k in ("furnished_share", "maintenance_share")])
+
+
+@query("lease_observations", f"""{L}, m AS (SELECT minimum_contract_months AS v, count(*) AS k FROM l WHERE minimum_contract_months IS NOT NULL GROUP BY 1 ORDER BY k DESC, v LIMIT 1)
+SELECT count(*) AS n, count(minimum_contract_months) AS terms_stated, (SELECT v FROM m) AS usual_term, count(deposit_months) AS deposits_stated, median(deposit_months) AS median_deposit, count(*) FILTER (WHERE deposit_months >= 3) AS high_deposits,
+  count(maintenance_usd) + count(*) FILTER (WHERE maintenance_included_in_rent) AS maintenance_known, count(*) FILTER (WHERE rent_usd_basis = 'CALCULATED') AS converted FROM l""")
+def _(spark, d):
+    return aggregates.lease_observations(listings(spark, d))
+
+
+@query("lease_mode_median", """WITH k AS (SELECT l_linenumber, l_quantity, count(*) AS n FROM lineitem GROUP BY 1, 2), m AS (SELECT l_linenumber, l_quantity AS usual, row_number() OVER (PARTITION BY l_linenumber ORDER BY n DESC, l_quantity) AS r FROM k)
+SELECT m.l_linenumber, m.usual, (SELECT median(l_quantity) FROM lineitem x WHERE x.l_linenumber = m.l_linenumber) AS middle FROM m WHERE r = 1""")
+def _(spark, d):
+    return read(spark, d, "lineitem").groupBy("l_linenumber").agg(F.mode("l_quantity", True).alias("usual"), F.median("l_quantity").alias("middle"))
+
+
+@query("exclusion_reason_topk", "WITH w AS (SELECT unnest(string_split(text, ' ')) AS reason FROM conversations) SELECT reason, count(*) AS n FROM w WHERE reason <> '' GROUP BY 1 ORDER BY n DESC, reason LIMIT 6")
+def _(spark, d):
+    return aggregates.top_reasons(read(spark, d, "conversations"), "text", " ")
+
+
+_filled = lambda *fields: " OR ".join(f"({f} IS NOT NULL AND CAST({f} AS VARCHAR) NOT IN ('', 'false'))" for f in fields)
+_coverage = {"url": ("source_url",), "rent": ("rent_original",), "bedrooms": ("bedrooms",), "area": ("total_area_m2", "built_area_m2"), "maintenance": ("maintenance_usd", "maintenance_included_in_rent"), "contact": ("phone", "agency_name"), "laundry": ("laundry",)}
+
+
+@query("source_coverage", f"{L} SELECT source, " + ", ".join(f"round(avg(CASE WHEN {_filled(*f)} THEN 1.0 ELSE 0.0 END), 6) AS {k}" for k, f in _coverage.items()) + " FROM l GROUP BY source")
+def _(spark, d):
+    out = aggregates.coverage(listings(spark, d), "source", _coverage)
+    return out.select("source", *[F.round(k, 6).alias(k) for k in _coverage])
+
+
+@query("validation_table", f"""{L} SELECT source, count(*) AS records, round(avg(CASE WHEN rent_original BETWEEN 150 AND 60000 AND rent_currency IN ('USD', 'PEN') THEN 1.0 ELSE 0.0 END), 6) AS valid_rent,
+  round(avg(CASE WHEN bedrooms BETWEEN 0 AND 10 THEN 1.0 ELSE 0.0 END), 6) AS valid_bedrooms, round(avg(CASE WHEN built_area_m2 BETWEEN 12 AND 400 OR total_area_m2 BETWEEN 12 AND 400 THEN 1.0 ELSE 0.0 END), 6) AS valid_area,
+  round(avg(CASE WHEN maintenance_included_in_rent THEN 1.0 ELSE 0.0 END), 6) AS maintenance, round(avg(CASE WHEN latitude IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS coordinates,
+  round(avg(CASE WHEN phone IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS contact, round(avg(CASE WHEN publication_date IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS dated FROM l GROUP BY source""")
+def _(spark, d):
+    out = aggregates.validation(complete(spark, d))
+    return out.select("source", "records", *[F.round(k, 6).alias(k) for k in out.columns[2:]])
+
+
+@query("usable_sample", f"""{L} SELECT source, count(*) >= 5 AND avg(CASE WHEN source_url <> '' THEN 1.0 ELSE 0.0 END) >= 0.9 AND avg(CASE WHEN rent_original <> 0 AND rent_currency <> '' THEN 1.0 ELSE 0.0 END) >= 0.8
+  AND avg(CASE WHEN bedrooms IS NOT NULL THEN 1.0 ELSE 0.0 END) >= 0.7 AS usable FROM l GROUP BY source""")
+def _(spark, d):
+    return aggregates.usable_sample(listings(spark, d))
+
+
+@query("source_status", f"""{L}, s AS (SELECT source, count(*) AS n, least(avg(CASE WHEN source_url IS NOT NULL THEN 1.0 ELSE 0.0 END), avg(CASE WHEN bedrooms IS NOT NULL THEN 1.0 ELSE 0.0 END)) AS core, avg(CASE WHEN built_area_m2 IS NOT NULL THEN 1.0 ELSE 0.0 END) AS area FROM l GROUP BY source)
+SELECT source, CASE WHEN n >= 5 AND core >= 0.9 AND area >= 0.6 THEN 'APPROVED' ELSE 'PARTIAL' END AS status FROM s""")
+def _(spark, d):
+    cover = listings(spark, d).groupBy("source").agg(F.count("*").alias("n"), F.least(aggregates.share(c("source_url").isNotNull()), aggregates.share(c("bedrooms").isNotNull())).alias("core"), aggregates.share(c("built_area_m2").isNotNull()).alias("area"))
+    return cover.select("source", aggregates.source_status(c("n"), F.lit(""), F.lit("SUCCESS"), c("core"), c("area")).alias("status"))
+
+
+@query("group_counts", f"{L}, g AS (SELECT row_id % 4000 AS g, count(*) AS n, max(dup_inconsistencies <> '') AS clash FROM l GROUP BY 1) SELECT count(*) AS groups, count(*) FILTER (WHERE n > 1) AS merged_groups, CAST(sum(n - 1) AS BIGINT) AS folded, count(*) FILTER (WHERE clash) AS conflicting FROM g")
+def _(spark, d):
+    return aggregates.group_counts(listings(spark, d).withColumn("g", c("row_id") % 4000), "g")
+
+
+@query("status_histogram", f"{L} SELECT active_status, count(*) AS n FROM l WHERE active_status IS NOT NULL GROUP BY 1")
+def _(spark, d):
+    return aggregates.histogram(listings(spark, d), "active_status")
+
+
+@query("extents", f"{L} SELECT min(latitude) AS min_latitude, max(latitude) AS max_latitude, min(longitude) AS min_longitude, max(longitude) AS max_longitude FROM l")
+def _(spark, d):
+    return aggregates.extents(listings(spark, d), "latitude", "longitude")
+
+
+@query("run_sizes", """WITH s AS (SELECT c_mktsegment AS source, CAST(count(*) AS INT) AS cap, CAST(count(*) AS DOUBLE) AS records, sum(c_custkey) / 100000.0 AS cost FROM customer GROUP BY 1), t AS (SELECT sum(cap) AS total FROM s)
+SELECT source, CAST(greatest(0, least(cap, trunc((5.0 * 0.8 * cap / total) / (cost / records)))) AS INT) AS items, round(cost / records, 8) AS cost_per_item FROM s, t""")
+def _(spark, d):
+    samples = read(spark, d, "customer").groupBy(c("c_mktsegment").alias("source")).agg(F.count("*").cast("int").alias("cap"), F.count("*").cast("double").alias("records"), (F.sum("c_custkey") / 100000.0).alias("cost"), F.lit(None).cast("double").alias("estimate"))
+    return aggregates.run_sizes(samples, 5.0, 0.8, 10).withColumn("cost_per_item", F.round("cost_per_item", 8))
+
+
+@query("key_frequency", "WITH k AS (SELECT unnest(json_keys(props)) AS key FROM events) SELECT key, count(*) AS n FROM k GROUP BY 1 ORDER BY n DESC, key LIMIT 60")
+def _(spark, d):
+    return aggregates.field_counts(read(spark, d, "events"), "props")
+
+
+# ---------------------------------------------------------------- text
+@query("url_normalise", r"""SELECT page_id, lower(concat(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\.', ''), regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''), '/+$', ''))) AS url FROM pages""")
+def _(spark, d):
+    return read(spark, d, "pages").select("page_id", T.norm_url(c("url")).alias("url"))
+
+
+def _unescape_sql(x: str) -> str:
+    for a, b in T.ENTITIES:
+        x = f"replace({x}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+@query("html_strip", "SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(" + _unescape_sql("html") + r", '<br\s*/?>|</p>|</li>', chr(10), 'gi'), '<[^>]+>', ' ', 'g'), '[ \t\r\f\v]+', ' ', 'g'), '^\s+|\s+$', '', 'g') AS text FROM pages")
+def _(spark, d):
+    return read(spark, d, "pages").select("page_id", T.strip_html(c("html")).alias("text"))
+
+
+_FOLD = f"regexp_replace(translate(lower({{}}), '{T.ACCENTED}', '{T.PLAIN}'), '\\p{{M}}+', '', 'g')"
+_fold = lambda x: _FOLD.replace("{}", x)
+
+
+@query("text_fold", f"SELECT doc_id, {_fold('text')} AS folded FROM documents")
+def _(spark, d):
+    return read(spark, d, "documents").select("doc_id", T.fold(c("text")).alias("folded"))
+
+
+_portable = [n for n, (yes, no) in signals.FEATURES.items() if not any("(?!" in p or "(?<" in p for p in yes + no)]
+
+
+def _feature_sql(name: str) -> str:
+    yes, no = signals.FEATURES[name]
+    denied = f"WHEN regexp_matches(t, '{signals.any_of(no)}') THEN FALSE " if no else ""
+    base = f"CASE {denied}WHEN regexp_matches(t, '{signals.any_of(yes)}') THEN TRUE END"
+    if name == "furnished":
+        semi = signals.any_of(signals.FEATURES["semi_furnished"][0])
+        return f"coalesce({base}, CASE WHEN regexp_matches(t, '{semi}') THEN FALSE END) AS furnished"
+    return f"{base} AS {name}"
+
+
+_PHRASES = [
+    "Departamento amoblado, balcón y terraza, ascensor", "sin amoblar, no se aceptan mascotas", "semi amoblado con lavandería y cochera", "vista a la avenida, ventanas acústicas, vigilancia 24 horas", "incluye mantenimiento, piscina y gimnasio",
+    "monoambiente temporal", "calle tranquila, vista al parque, home office", "no incluye mantenimiento; sin cochera; walk-in closet", "pet friendly, co-working, zona de parrilla, wifi incluido", "se alquila habitación",
+]
+_phrase_sql = "CASE o_orderkey % 10 " + " ".join(f"WHEN {k} THEN '{p}'" for k, p in enumerate(_PHRASES)) + " END"
+
+
+@query("signal_flags", f"WITH s AS (SELECT o_orderkey, {_phrase_sql} AS x FROM orders), t AS (SELECT o_orderkey, regexp_replace({_fold('x')}, '\\bsemi[\\s-]+(amo|amue|furn)', 'semi\\1', 'g') AS t FROM s) SELECT o_orderkey, " + ", ".join(map(_feature_sql, _portable)) + " FROM t")
+def _(spark, d):
+    rows = read(spark, d, "orders").select("o_orderkey", F.expr(_phrase_sql).alias("x")).withColumn("t", signals.reading_text(c("x")))
+    found = signals.features(c("t"))
+    return rows.select("o_orderkey", *[found[k].alias(k) for k in _portable])
+
+
+@query("signal_evidence")
+def _(spark, d):
+    rows = read(spark, d, "conversations").withColumn("t", signals.reading_text(c("text")))
+    return rows.select("conv_id", "turn", signals.evidence(c("t")).alias("evidence"), signals.utilities(c("t")).alias("utilities"))
+
+
+_terms_sql = "concat('Contrato minimo ', 1 + o_orderkey % 3, ' años. ', 1 + o_orderkey % 4, ' meses de garantia y ', 1 + o_orderkey % 2, ' mes de adelanto. Piso ', 1 + o_orderkey % 20, '. Mantenimiento S/ ', 100 + o_orderkey % 400)"
+
+
+@query("lease_terms", "SELECT o_orderkey, CAST(12 * (1 + o_orderkey % 3) AS INT) AS months, CAST(1 + o_orderkey % 4 AS DOUBLE) AS deposit, CAST(1 + o_orderkey % 2 AS DOUBLE) AS advance, CAST(1 + o_orderkey % 20 AS INT) AS floor, CAST(100 + o_orderkey % 400 AS DOUBLE) AS fee, 'PEN' AS fee_currency FROM orders")
+def _(spark, d):
+    s = signals.signals(c("x"))
+    rows = read(spark, d, "orders").select("o_orderkey", F.expr(_terms_sql).alias("x"))
+    return rows.select("o_orderkey", s["minimum_contract_months"].alias("months"), s["deposit_months"].alias("deposit"), s["advance_months"].alias("advance"), s["floor"].alias("floor"), s["maintenance_text_amount"].alias("fee"), s["maintenance_text_currency"].alias("fee_currency"))
+
+
+@query("foreign_tenants", f"""{L} SELECT row_id, CASE WHEN row_id % 4 = 0 THEN 'HIGH' ELSE 'UNKNOWN' END AS kind,
+  concat_ws('; ', CASE WHEN row_id % 4 = 0 THEN 'accepts foreigners' END, CASE WHEN furnished THEN 'furnished' END, CASE WHEN minimum_contract_months <> 0 THEN concat('minimum stay ', minimum_contract_months, ' months') END) AS evidence FROM l""")
+def _(spark, d):
+    kind, said = signals.foreign_tenant(c("title"), c("description"), c("furnished"), c("minimum_contract_months"))
+    return listings(spark, d).select("row_id", kind.alias("kind"), said.alias("evidence"))
+
+
+@query("amounts", """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN CAST(1000 + o_orderkey % 9000 AS DOUBLE) WHEN 1 THEN CAST(1000 + o_orderkey % 9000 AS DOUBLE) + 0.5 WHEN 2 THEN CAST(o_orderkey % 900 AS DOUBLE) + 0.25 ELSE CAST(o_orderkey % 900 AS DOUBLE) END AS amount,
+  CASE o_orderkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'PEN' END AS currency FROM orders""")
+def _(spark, d):
+    n, small = "1000 + o_orderkey % 9000", "o_orderkey % 900"
+    grouped = f"concat(({n}) div 1000, '.', lpad(cast(({n}) % 1000 as string), 3, '0'))"
+    body = f"CASE o_orderkey % 4 WHEN 0 THEN {grouped} WHEN 1 THEN concat({grouped}, ',50') WHEN 2 THEN concat({small}, '.25') ELSE concat({small}) END"
+    prefix = "CASE o_orderkey % 3 WHEN 0 THEN 'US$ ' WHEN 1 THEN 'S/ ' ELSE '' END"
+    x = F.expr(f"concat({prefix}, {body})")
+    return read(spark, d, "orders").select("o_orderkey", T.money_amount(x).alias("amount"), T.money_currency(x).alias("currency"))
+
+
+@query("phones", "SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN concat('+519', 10000000 + c_custkey) WHEN 1 THEN concat('+511', 4000000 + c_custkey) ELSE concat('+1', 3000000000 + c_custkey) END AS phone, CASE WHEN c_custkey % 3 = 0 THEN concat('https://wa.me/519', 10000000 + c_custkey) END AS chat FROM customer")
+def _(spark, d):
+    raw = F.expr("CASE c_custkey % 3 WHEN 0 THEN concat('9 ', 10000000 + c_custkey) WHEN 1 THEN concat('', 4000000 + c_custkey) ELSE concat('00 1-', 3000000000 + c_custkey) END")
+    return read(spark, d, "customer").select("c_custkey", T.phone(raw).alias("phone"), T.chat_link(T.phone(raw)).alias("chat"))
+
+
+@query("addresses", "SELECT c_custkey, concat('av larco ', 100 + c_custkey % 900, '   ') AS padded, CAST(100 + c_custkey % 900 AS VARCHAR) AS numbers FROM customer")
+def _(spark, d):
+    a = T.norm_address(F.expr("concat('Avenida Larco ', 100 + c_custkey % 900, ', Miraflores')"))
+    return read(spark, d, "customer").select("c_custkey", F.concat(a, F.lit("   ")).alias("padded"), F.array_join(T.street_numbers(a), ",").alias("numbers"))
+
+
+@query("relative_dates", "SELECT o_orderkey, CAST(CASE o_orderkey % 5 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 + o_orderkey % 9 WHEN 3 THEN 7 * (1 + o_orderkey % 9) END AS INT) AS days FROM orders")
+def _(spark, d):
+    x = F.expr("CASE o_orderkey % 5 WHEN 0 THEN 'Publicado hoy' WHEN 1 THEN 'ayer' WHEN 2 THEN concat('hace ', 1 + o_orderkey % 9, ' días') WHEN 3 THEN concat('hace ', 1 + o_orderkey % 9, ' semanas') ELSE 'sin fecha' END")
+    return read(spark, d, "orders").select("o_orderkey", T.relative_days(x).alias("days"))
+
+
+@query("dates", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '2024-05-29' END AS day FROM orders")
+def _(spark, d):
+    x = F.expr("CASE o_orderkey % 3 WHEN 0 THEN date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm\") WHEN 1 THEN date_format(o_orderdate, 'd/M/yyyy') ELSE 'hace 3 dias' END")
+    return read(spark, d, "orders").select("o_orderkey", T.date_text(x, F.lit("2024-06-01T10:00:00")).alias("day"))
+
+
+@query("currency_codes", "SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN 'USD' WHEN 1 THEN 'PEN' WHEN 2 THEN 'USD' WHEN 3 THEN 'PEN' WHEN 4 THEN 'USD' WHEN 5 THEN 'PEN' WHEN 6 THEN 'USD' END AS code FROM customer")
+def _(spark, d):
+    x = F.expr("CASE c_custkey % 8 WHEN 0 THEN '2' WHEN 1 THEN '6' WHEN 2 THEN 'US$' WHEN 3 THEN 'S/.' WHEN 4 THEN 'Dólares' WHEN 5 THEN ' soles ' WHEN 6 THEN '$' ELSE 'EUR' END")
+    return read(spark, d, "customer").select("c_custkey", money.currency_code(x).alias("code"))
+
+
+@query("districts", f"{L} SELECT row_id, CASE WHEN district = 'San Isidro' THEN 'San Isidro' WHEN district = 'Miraflores' THEN 'Miraflores' WHEN lower(address) LIKE '%miraflores%' THEN 'Miraflores' END AS district FROM l")
+def _(spark, d):
+    return complete(spark, d).select("row_id", district(CFG)[0].alias("district"))
+
+
+@query("display_texts", f"""{L} SELECT row_id, CASE WHEN furnished THEN 'Yes' WHEN semi_furnished THEN 'Semi' WHEN furnished = FALSE THEN 'No' ELSE 'UNKNOWN' END AS furnished, CASE WHEN parking_spaces > 0 THEN concat('Yes (', parking_spaces, ')') WHEN parking_spaces = 0 THEN 'No' ELSE 'UNKNOWN' END AS parking,
+  coalesce(CAST(floor AS VARCHAR), 'UNKNOWN') AS floor, CASE WHEN minimum_contract_months IS NULL THEN 'UNKNOWN' ELSE concat(minimum_contract_months, ' months min.') END AS contract FROM l""")
+def _(spark, d):
+    from . import views
+
+    return complete(spark, d).select("row_id", views.furnished_text().alias("furnished"), views.parking_text().alias("parking"), views.floor_text().alias("floor"), views.contract_text().alias("contract"))
+
+
+@query("page_challenges", "SELECT page_id, page_id % 50 = 0 OR (" + " OR ".join(f"contains(lower(left(html, 6000)), '{m}')" for m in qa.CHALLENGES) + ") AND length(html) < 60000 AS challenge FROM pages")
+def _(spark, d):
+    return read(spark, d, "pages").select("page_id", qa.is_challenge(F.when(c("page_id") % 50 == 0, 403).otherwise(200), F.lit("text/html"), c("html")).alias("challenge"))
+
+
+# ---------------------------------------------------------------- money
+@query("money_normalise", f"""{L} SELECT row_id, CASE WHEN rent_currency = 'USD' THEN round(rent_original * 3.4, 2) ELSE rent_original END AS rent_pen, CASE WHEN rent_original IS NULL THEN NULL WHEN rent_currency = 'USD' THEN 'CALCULATED' ELSE 'PUBLISHED' END AS rent_pen_basis,
+  CASE WHEN rent_currency = 'USD' THEN rent_original ELSE round(rent_original / 3.4, 2) END AS rent_usd, CASE WHEN rent_original IS NULL THEN NULL WHEN rent_currency = 'USD' THEN 'PUBLISHED' ELSE 'CALCULATED' END AS rent_usd_basis FROM l""")
+def _(spark, d):
+    bare = conform(listings(spark, d).drop("rent_usd", "rent_usd_basis", "maintenance_usd", "estimated_total_monthly_usd"))
+    return money.with_currencies(bare, 3.4).select("row_id", "rent_pen", "rent_pen_basis", "rent_usd", "rent_usd_basis")
+
+
+_TOTAL = "CASE WHEN maintenance_included_in_rent THEN rent_usd ELSE estimated_total_monthly_usd END"
+
+
+@query("budget_class", f"{L}, t AS (SELECT *, {_TOTAL} AS total FROM l) SELECT row_id, CASE WHEN rent_usd IS NULL THEN 'UNKNOWN' WHEN rent_usd <= 1000 AND total <= 1000 THEN 'STRICT_ALL_IN' WHEN rent_usd <= 1000 THEN 'BASE_RENT_COMPLIANT' WHEN rent_usd <= 1100 THEN 'STRETCH' ELSE 'OVER_BUDGET' END AS budget_class FROM t")
+def _(spark, d):
+    return complete(spark, d).select("row_id", money.budget_class(CFG)[0].alias("budget_class"))
+
+
+@query("fx_latest", "SELECT max_by(o_totalprice, o_orderkey) FILTER (WHERE o_orderkey % 7 <> 0) AS usd_pen, TRUE AS live FROM orders")
+def _(spark, d):
+    series = read(spark, d, "orders").select(c("o_orderkey").alias("period"), F.when(c("o_orderkey") % 7 == 0, F.lit("n.d.")).otherwise(c("o_totalprice").cast("string")).alias("value"))
+    return money.latest_rate(series, CFG.fx_fallback)
+
+
+@query("cost_estimates", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN round(p_size * 0.01 * 100, 6) WHEN 1 THEN round(0.5 + p_size * 0.001 * 100, 6) WHEN 2 THEN 0.0 END AS cost FROM part")
+def _(spark, d):
+    model = F.expr("CASE p_partkey % 4 WHEN 0 THEN 'PRICE_PER_DATASET_ITEM' WHEN 1 THEN 'PAY_PER_EVENT' WHEN 2 THEN 'FREE' ELSE 'FLAT_PRICE_PER_MONTH' END")
+    return read(spark, d, "part").select("p_partkey", F.round(money.cost_estimate(model, c("p_size") * F.lit(0.01), F.lit(0.5), c("p_size") * F.lit(0.001), 100), 6).alias("cost"))
+
+
+@query("page_urls", "SELECT n_nationkey, p AS page, CASE WHEN p = 1 THEN concat('https://m.test/', n_nationkey, '/') ELSE concat('https://m.test/', n_nationkey, '/_Desde_', (p - 1) * 48 + 1, '_NoIndex_True') END AS url FROM nation, (SELECT unnest([1, 2, 3]) AS p)")
+def _(spark, d):
+    pages = read(spark, d, "nation").select("n_nationkey", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("page"))
+    return pages.select("n_nationkey", "page", records.page_url(F.concat(F.lit("https://m.test/"), c("n_nationkey").cast("string"), F.lit("/")), c("page")).alias("url"))
+
+
+# ---------------------------------------------------------------- gates, noise, fit, flags
+_true = lambda k: f"coalesce({k}, FALSE)"
+
+
+@query("gates", f"""{L}, g AS (SELECT *, operation <> 'Alquiler' OR property_type <> 'Departamento' OR {_true('shared_room_text')} OR coalesce(active_status = 'INACTIVE', FALSE) OR bedrooms IS NULL OR bedrooms < 1 OR bedrooms > 2 OR rent_usd IS NULL AS hard,
+  coalesce(district = 'Miraflores', FALSE) AS by_text FROM l),
+i AS (SELECT *, CASE WHEN inside_district_polygon IS NULL THEN by_text WHEN coord_precision IN ('APPROXIMATE', 'STREET_LEVEL') THEN by_text OR (inside_district_polygon AND district IS NULL) ELSE inside_district_polygon END AS inside FROM g)
+SELECT row_id, CASE WHEN hard THEN 'EXCLUDED' WHEN NOT inside AND coalesce(dist_outside_district_m <= 300 AND rent_usd <= 1000, FALSE) THEN 'NEAR_MISS_CANDIDATE' WHEN NOT inside THEN 'EXCLUDED' WHEN rent_usd <= 1000 THEN 'PRIMARY' WHEN rent_usd <= 1100 THEN 'STRETCH' ELSE 'EXCLUDED' END AS category,
+  concat_ws(',', CASE WHEN {_true('studio_text')} AND bedrooms = 1 THEN 'STUDIO_WORDING' END, CASE WHEN inside_district_polygon IS NOT NULL AND inside_district_polygon <> by_text AND district IS NOT NULL THEN 'DISTRICT_MISMATCH' END) AS flags FROM i""")
+def _(spark, d):
+    g = scoring.gates(CFG)
+    return complete(spark, d).select("row_id", g["category"].alias("category"), F.array_join(g["__gate_flags"], ",").alias("flags"))
+
+
+def _step(column: str, steps: tuple) -> str:
+    return "coalesce(CASE " + " ".join(f"WHEN {column} <= {m} THEN -{p}.0" for m, p in steps) + " ELSE 0.0 END, 0.0)"
+
+
+_NOISE = f"""n AS (SELECT *, dist_major_road_m IS NOT NULL AS located, {_step('dist_major_road_m', CFG.major_road)} + {_step('dist_arterial_road_m', CFG.arterial_road)} + {_step('dist_nightclub_m', CFG.nightclub)}
+    + CASE WHEN bars_within_m >= 3 THEN -12 WHEN bars_within_m > 0 THEN -5 ELSE 0 END + CASE WHEN restaurants_within_m >= 10 THEN -5 ELSE 0 END AS geo,
+  CASE WHEN {_true('interior_view')} THEN 10 ELSE 0 END + CASE WHEN {_true('acoustic_windows')} THEN 12 ELSE 0 END + CASE WHEN {_true('avenue_view')} THEN -12 WHEN {_true('exterior_view')} AND dist_major_road_m > 0 AND dist_major_road_m <= 150 THEN -4 ELSE 0 END
+    + CASE WHEN {_true('quiet_claim')} THEN 3 ELSE 0 END + CASE WHEN floor >= 8 THEN 3 ELSE 0 END AS said FROM l),
+q AS (SELECT *, greatest(0.0, least(100.0, CASE WHEN located THEN 72 + geo + said ELSE 50 + 0.6 * said END)) AS raw FROM n),
+r AS (SELECT *, CAST(round_even(raw, 0) AS INT) AS quietness, CASE WHEN raw >= 70 THEN 'LOW' WHEN raw >= 50 THEN 'MEDIUM' ELSE 'HIGH' END AS risk,
+  CASE WHEN NOT located OR coord_precision IN ('APPROXIMATE', 'STREET_LEVEL') THEN 'LOW' WHEN coord_precision IN ('EXACT', 'STREET_NUMBER') AND ({_true('interior_view')} OR {_true('exterior_view')} OR {_true('avenue_view')}) THEN 'HIGH' ELSE 'MEDIUM' END AS confidence FROM q)"""
+
+
+@query("noise_score", f"{L}, {_NOISE} SELECT row_id, quietness, risk, confidence FROM r")
+def _(spark, d):
+    n = scoring.noise(CFG)
+    return complete(spark, d).select("row_id", n["quietness_score_0_100"].alias("quietness"), n["noise_risk"].alias("risk"), n["noise_confidence"].alias("confidence"))
+
+
+_AREA = "CASE WHEN built_area_m2 BETWEEN 12 AND 400 THEN built_area_m2 WHEN total_area_m2 BETWEEN 12 AND 400 THEN total_area_m2 END"
+_served = " + ".join(f"CASE WHEN dist_{k}_m <= {m} THEN {w} WHEN dist_{k}_m <= {m} * 1.6 THEN {w / 2} ELSE 0 END" for k, (m, w) in CFG.livability.items())
+
+
+@query("fit_components", f"""{L}, {_NOISE}, a AS (SELECT *, {_AREA} AS area FROM r),
+b AS (SELECT *, CASE WHEN bedrooms NOT IN (1, 2) OR bedrooms IS NULL OR area IS NULL THEN 0.35 WHEN area >= CASE bedrooms WHEN 1 THEN 60 ELSE 85 END THEN 0.95 WHEN area >= CASE bedrooms WHEN 1 THEN 50 ELSE 70 END THEN 0.8 WHEN area >= CASE bedrooms WHEN 1 THEN 40 ELSE 55 END THEN 0.55
+    WHEN area < 0.85 * CASE bedrooms WHEN 1 THEN 40 ELSE 55 END THEN 0.15 ELSE 0.3 END + CASE WHEN bathrooms >= 2 THEN 0.05 ELSE 0 END + CASE WHEN {_true('balcony')} THEN 0.05 ELSE 0 END + CASE WHEN {_true('laundry')} THEN 0.025 ELSE 0 END AS space,
+  CASE WHEN rent_usd IS NULL THEN 0.0 WHEN rent_usd > 1100 THEN 0.0 WHEN rent_usd > 1000 THEN 0.2 WHEN estimated_total_monthly_usd IS NULL THEN 0.6 + 0.3 * least(1.0, (1000 - rent_usd) / 300) WHEN estimated_total_monthly_usd <= 1000 THEN 0.7 + 0.3 * least(1.0, (1000 - estimated_total_monthly_usd) / 300)
+    WHEN estimated_total_monthly_usd <= 1100 THEN 0.5 ELSE 0.3 END AS paid,
+  CASE WHEN dist_supermarket_m IS NULL AND dist_park_m IS NULL THEN 0.5 ELSE {_served} END AS place, CASE WHEN furnished THEN 1.0 WHEN semi_furnished THEN 0.6 WHEN furnished = FALSE THEN 0.2 ELSE 0.35 END AS fitted,
+  CASE WHEN {_true('security_24h')} THEN 0.35 ELSE 0 END + CASE WHEN {_true('elevator')} THEN 0.2 ELSE 0 END + CASE WHEN {_true('laundry')} THEN 0.15 ELSE 0 END + CASE WHEN parking_spaces > 0 THEN 0.15 ELSE 0 END + CASE WHEN {_true('gym')} THEN 0.15 ELSE 0 END AS house,
+  CASE active_status WHEN 'ACTIVE_CONFIRMED' THEN 0.3 WHEN 'LIKELY_ACTIVE' THEN 0.25 WHEN 'UNKNOWN' THEN 0.1 ELSE 0 END + CASE WHEN publication_date IS NOT NULL THEN 0.2 ELSE 0 END + CASE WHEN image_count >= 8 THEN 0.1 WHEN image_count >= 3 THEN 0.05 ELSE 0 END
+    + CASE WHEN latitude IS NOT NULL THEN 0.1 ELSE 0 END + CASE WHEN phone IS NOT NULL OR agency_name IS NOT NULL THEN 0.1 ELSE 0 END + CASE WHEN number_of_sources >= 2 THEN 0.1 ELSE 0 END AS good FROM a)
+SELECT row_id, round(25 * quietness / 100.0, 2) AS pts_quietness, round(20 * paid, 1) AS pts_budget, round(20 * least(1, space), 1) AS pts_space, round(10 * place, 1) AS pts_location, round(8 * fitted, 1) AS pts_furnishing, round(7 * least(1, house), 1) AS pts_building, round(10 * least(1, good), 1) AS pts_listing_quality FROM b""")
+def _(spark, d):
+    rows = complete(spark, d).withColumns(scoring.noise(CFG))
+    parts = scoring.components(CFG, AS_OF)
+    return rows.select("row_id", *[(v if k == "pts_quietness" else F.round(v, 1)).cast("double").alias(k) for k, v in parts.items()])
+
+
+@query("red_flags", f"""{L}, {_NOISE}, a AS (SELECT *, {_AREA} AS area, coalesce(district = 'Miraflores', FALSE) AS by_text FROM r),
+f AS (SELECT row_id, unnest([CASE WHEN {_true('studio_text')} AND bedrooms = 1 THEN 'STUDIO_WORDING' END, CASE WHEN inside_district_polygon IS NOT NULL AND inside_district_polygon <> by_text AND district IS NOT NULL THEN 'DISTRICT_MISMATCH' END,
+  CASE WHEN dist_major_road_m <= 50 OR {_true('avenue_view')} THEN 'DIRECT_MAJOR_AVENUE' END, CASE WHEN located AND (dist_nightclub_m <= 300 OR bars_within_m >= 3) THEN 'NIGHTLIFE_PROXIMITY' END, CASE WHEN risk = 'HIGH' THEN 'HIGH_NOISE_RISK' END,
+  CASE WHEN rent_usd > 1000 THEN 'PRICE_OVER_BUDGET' END, CASE WHEN estimated_total_monthly_usd > 1000 THEN 'TOTAL_COST_OVER_BUDGET' END, CASE WHEN maintenance_usd IS NULL AND NOT {_true('maintenance_included_in_rent')} THEN 'UNKNOWN_MAINTENANCE' END,
+  CASE WHEN area < 0.85 * CASE bedrooms WHEN 1 THEN 40 WHEN 2 THEN 55 END THEN 'VERY_SMALL_AREA' END, CASE WHEN area IS NULL THEN 'AREA_UNKNOWN' END, CASE WHEN publication_date IS NULL THEN 'NO_PUBLICATION_DATE' END, CASE WHEN active_status IS NULL OR active_status = 'UNKNOWN' THEN 'UNKNOWN_ACTIVE_STATUS' END,
+  CASE WHEN deposit_months >= 3 THEN 'VERY_HIGH_DEPOSIT' END, CASE WHEN minimum_contract_months >= 13 THEN 'LONG_MINIMUM_CONTRACT' END, CASE WHEN furnished = FALSE AND NOT {_true('semi_furnished')} THEN 'NO_FURNITURE' END, CASE WHEN possible_duplicate_of <> '' THEN 'POSSIBLE_DUPLICATE' END,
+  CASE WHEN dup_inconsistencies <> '' THEN 'DUPLICATE_DATA_CONFLICT' END, CASE WHEN phone IS NULL THEN 'INCOMPLETE_CONTACT' END, CASE WHEN NOT regexp_matches(address, '\\d') THEN 'INCOMPLETE_ADDRESS' END, CASE WHEN coord_precision = 'APPROXIMATE' THEN 'APPROXIMATE_LOCATION' END,
+  CASE WHEN latitude IS NULL THEN 'NO_COORDINATES' END, CASE WHEN built_area_m2 > total_area_m2 * 1.05 THEN 'AREA_INCONSISTENT' END, CASE WHEN bedrooms <> 1 + row_id % 3 THEN 'BEDROOM_TITLE_MISMATCH' END, CASE WHEN {_true('short_term_text')} THEN 'SHORT_TERM_WORDING' END, CASE WHEN rent_usd_basis = 'CALCULATED' THEN 'PRICE_CONVERTED_FROM_PEN' END]) AS flag FROM a)
+SELECT row_id, coalesce(string_agg(flag, '; ' ORDER BY flag), '') AS red_flags FROM f GROUP BY row_id""")
+def _(spark, d):
+    rows = complete(spark, d).withColumns(scoring.gates(CFG) | scoring.noise(CFG))
+    return rows.select("row_id", F.array_join(scoring.red_flags(CFG), "; ").alias("red_flags"))
+
+
+@query("plausibility", f"""{L} SELECT row_id, concat_ws('; ', CASE WHEN source_url IS NULL THEN 'no listing URL' END, CASE WHEN rent_usd IS NULL OR rent_usd NOT BETWEEN 150 AND 5000 THEN 'implausible rent' END, CASE WHEN bedrooms IS NULL OR bedrooms NOT IN (1, 2) THEN 'bedrooms not 1–2' END,
+  CASE WHEN rent_usd / total_area_m2 NOT BETWEEN 4 AND 45 THEN 'USD/m² outside plausible 4–45 range — check area/price' END, CASE WHEN maintenance_usd > 0.6 * rent_usd THEN 'maintenance > 60% of rent — possible rent/maintenance mix-up' END,
+  CASE WHEN NOT (latitude BETWEEN -12.1420 AND -12.0960 AND longitude BETWEEN -77.0620 AND -77.0000) THEN 'coordinates outside the district''s box' END, CASE WHEN phone IS NULL AND agency_name IS NULL THEN 'no contact channel' END) AS issues FROM l""")
+def _(spark, d):
+    rows = complete(spark, d).withColumn("rent_usd_per_m2", c("rent_usd") / c("total_area_m2"))
+    return rows.select("row_id", F.array_join(qa.plausibility(CFG), "; ").alias("issues"))
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(complete(spark, sf_dir), CFG, AS_OF)
+
+
+@query("listing_scores")
+def _(spark, d):
+    return _scored(spark, d).select("row_id", "category", "fit_score", "budget_class", "value_band", "value_percentile", "red_flags", "main_advantage", "main_drawback", "estimated_total_text", "exclusion_reason")
+
+
+@query("ranked_listings")
+def _(spark, d):
+    return ranking.rank(_scored(spark, d), CFG).select("row_id", "category", "rank_in_category", "fit_score")
+
+
+@query("qa_worklist")
+def _(spark, d):
+    ranked = ranking.rank(_scored(spark, d), CFG)
+    return qa.worklist(ranked, CFG).select("row_id", "category", "rank_in_category", "qa_place", "deep")
+
+
+@query("final_checks")
+def _(spark, d):
+    return qa.final_checks(ranking.rank(_scored(spark, d), CFG), CFG)
+
+
+@query("page_verdicts", f"{L} SELECT row_id, CASE WHEN row_id % 10 = 0 THEN 'INACTIVE' WHEN row_id % 10 = 1 THEN 'UNVERIFIED_ERROR' WHEN row_id % 10 = 2 THEN 'INACTIVE' WHEN row_id % 10 = 3 AND rent_original IS NOT NULL THEN 'ACTIVE_WITH_DIFFERENCES' ELSE 'VERIFIED_ACTIVE' END AS status FROM l")
+def _(spark, d):
+    k = c("row_id") % 10
+    body = F.when(k == 2, F.lit("Aviso finalizado")).when(k == 3, F.lit("sin precio")).otherwise(F.concat(F.lit("USD "), F.format_number("rent_original", 0), F.lit(" "), c("total_area_m2").cast("int").cast("string"), F.lit(" m²")))
+    rows = listings(spark, d).withColumn("body", F.coalesce(body, F.concat(c("total_area_m2").cast("int").cast("string"), F.lit(" m²"))))
+    verdict, _ = qa.page_verdict(F.when(k == 0, 404).when(k == 1, 500).otherwise(200), c("body"), c("rent_original"), F.when(k != 3, c("total_area_m2")))
+    return rows.select("row_id", verdict.alias("status"))
+
+
+# ---------------------------------------------------------------- joins
+@query("manual_override_join", """WITH s AS (SELECT l_orderkey, arg_max(l_returnflag, (l_linenumber::BIGINT, l_partkey, l_suppkey, l_returnflag)) AS l_returnflag FROM lineitem GROUP BY 1)
+SELECT o_orderkey, coalesce(s.l_returnflag, 'NONE') AS qa_status FROM orders LEFT JOIN s ON o_orderkey = l_orderkey""")
+def _(spark, d):
+    ranked = read(spark, d, "orders").select("o_orderkey", c("o_orderkey").cast("string").alias("source_url"), F.lit("NONE").alias("qa_status"), F.lit("").alias("qa_notes"), F.lit("").alias("qa_checked_at"), F.lit("UNKNOWN").alias("active_status"))
+    overrides = read(spark, d, "lineitem").select(c("l_orderkey").cast("string").alias("source_url"), c("l_returnflag").alias("qa_status"), F.lit("").alias("qa_notes"), F.lit("").alias("checked_at"), F.struct(c("l_linenumber").cast("long"), "l_partkey", "l_suppkey", "l_returnflag").alias("seq"))
+    return qa.apply_overrides(ranked, overrides).select("o_orderkey", "qa_status")
+
+
+@query("semi_anti_top", "WITH t AS (SELECT o_custkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100) SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM t) AS in_top FROM customer")
+def _(spark, d):
+    top = read(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100).select(c("o_custkey").alias("c_custkey"))
+    people = read(spark, d, "customer").select("c_custkey")
+    return people.join(top, "c_custkey", "left_semi").withColumn("in_top", F.lit(True)).union(people.join(top, "c_custkey", "left_anti").withColumn("in_top", F.lit(False)))
+
+
+@query("union_sources", "SELECT 'customer' AS source, c_name AS title, c_acctbal AS rent_original, c_mktsegment AS subarea FROM customer UNION ALL SELECT 'supplier', s_name, s_acctbal, NULL FROM supplier")
+def _(spark, d):
+    people = read(spark, d, "customer").select(F.lit("customer").alias("source"), c("c_name").alias("title"), c("c_acctbal").alias("rent_original"), c("c_mktsegment").alias("subarea"))
+    return files.union_sources(people, read(spark, d, "supplier").select(F.lit("supplier").alias("source"), c("s_name").alias("title"), c("s_acctbal").alias("rent_original")))
+
+
+@query("write_back", "SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 3 = 0 THEN 'CHANGED' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def _(spark, d):
+    rows = read(spark, d, "orders").select(c("o_orderkey").alias("row_id"), "o_orderstatus")
+    return qa.write_back(rows, rows.where(c("row_id") % 3 == 0).withColumn("o_orderstatus", F.lit("CHANGED")), ["o_orderstatus"])
+
+
+@query("geocode_fill", f"{L}, a AS (SELECT address, min(row_id) AS k FROM l WHERE latitude IS NOT NULL GROUP BY 1) SELECT row_id, CASE WHEN latitude IS NULL AND k IS NOT NULL THEN 'GEOCODED' END AS coord_source, CASE WHEN latitude IS NULL AND k IS NOT NULL THEN -12.0 - k / 1000000.0 ELSE latitude END AS latitude FROM l LEFT JOIN a USING (address)")
+def _(spark, d):
+    rows = complete(spark, d)
+    cache = rows.where(c("latitude").isNotNull()).groupBy(c("address").alias("query")).agg(F.min("row_id").alias("k")).select("query", (F.lit(-12.0) - c("k") / F.lit(1000000.0)).alias("latitude"), F.lit(-77.03).alias("longitude"), F.lit("STREET_LEVEL").alias("precision"))
+    return enrich.fill_coordinates(rows, cache, c("address")).select("row_id", "coord_source", "latitude")
+
+
+@query("recheck_fields", f"""{L} SELECT row_id, CASE WHEN row_id % 6 = 5 THEN 'UNVERIFIED_NOT_RETURNED' WHEN active_status = 'INACTIVE' THEN 'INACTIVE' WHEN row_id % 6 = 1 AND rent_original IS NOT NULL THEN 'ACTIVE_WITH_DIFFERENCES' ELSE 'VERIFIED_ACTIVE' END AS qa_status FROM l""")
+def _(spark, d):
+    rows = complete(spark, d)
+    fresh = rows.where(c("row_id") % 6 != 5).withColumn("rent_original", F.when(c("row_id") % 6 == 1, c("rent_original") * 1.1).otherwise(c("rent_original") * 1.001))
+    return qa.recheck(rows, fresh).select("row_id", "qa_status")
+
+
+# ---------------------------------------------------------------- geometry
+_X, _Y = f"(({{0}} - ({geo.LON0})) * {geo.KX!r})", f"(({{0}} - ({geo.LAT0})) * {geo.KY!r})"
+_NEAR = f"{L}, p AS ({PLACES}), d AS (SELECT row_id, layer, name, seq, sqrt(pow({_X.format('longitude')} - {_X.format('lon')}, 2) + pow({_Y.format('latitude')} - {_Y.format('lat')}, 2)) AS m FROM l, p WHERE latitude IS NOT NULL)"
+
+
+def _shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = made(spark, sf_dir, PLACES, "supplier")
+    x, y = geo.project(c("lat"), c("lon"))
+    return places.select("layer", "name", "seq", F.lit("point").alias("kind"), F.array(F.struct(x.alias("x"), y.alias("y"))).alias("points"))
+
+
+@query("geo_nearest", f"{_NEAR}, r AS (SELECT *, row_number() OVER (PARTITION BY row_id, layer ORDER BY round(m, 6), seq) AS k FROM d) SELECT row_id, layer, name, round(m, 3) AS distance FROM r WHERE k = 1")
+def _(spark, d):
+    points = enrich._placed(listings(spark, d))
+    return enrich.nearest(points, _shapes(spark, d)).select("row_id", "layer", "name", F.round("distance", 3).alias("distance"))
+
+
+@query("geo_within", f"{_NEAR} SELECT row_id, layer, CAST(count(*) AS INT) AS n FROM d WHERE m <= 150 GROUP BY 1, 2")
+def _(spark, d):
+    return enrich.within(enrich._placed(listings(spark, d)), _shapes(spark, d), CFG.cluster_radius_m).select("row_id", "layer", "n")
+
+
+_SQUARE = [(-77.055, -12.135), (-77.010, -12.135), (-77.010, -12.105), (-77.055, -12.105)]
+
+
+@query("geo_containment", f"""{L}, p AS (SELECT row_id, {_X.format('longitude')} AS x, {_Y.format('latitude')} AS y FROM l WHERE latitude IS NOT NULL), e AS (SELECT {_X.format('(-77.055)')} AS x0, {_X.format('(-77.010)')} AS x1, {_Y.format('(-12.135)')} AS y0, {_Y.format('(-12.105)')} AS y1),
+m AS (SELECT row_id, sqrt(pow(greatest(x0 - x, 0, x - x1), 2) + pow(greatest(y0 - y, 0, y - y1), 2)) AS out FROM p, e) SELECT row_id, out < 15 AS inside, CAST(CASE WHEN out < 15 THEN 0 ELSE round_even(out, 0) END AS INT) AS beyond FROM m""")
+def _(spark, d):
+    ring = [((lon - geo.LON0) * geo.KX, (lat - geo.LAT0) * geo.KY) for lon, lat in [*_SQUARE, _SQUARE[0]]]
+    inside, beyond = enrich.outline(c("x"), c("y"), ring, CFG.boundary_tolerance_m)
+    return enrich._placed(listings(spark, d)).select("row_id", inside.alias("inside"), beyond.alias("beyond"))
+
+
+@query("haversine", f"{L} SELECT row_id, round(2 * 6371000.0 * asin(sqrt(pow(sin((radians(-12.121) - radians(latitude)) / 2), 2) + cos(radians(latitude)) * cos(radians(-12.121)) * pow(sin(radians(-77.03 - longitude) / 2), 2))), 3) AS metres FROM l")
+def _(spark, d):
+    return listings(spark, d).select("row_id", F.round(geo.haversine(c("latitude"), c("longitude"), F.lit(-12.121), F.lit(-77.03)), 3).alias("metres"))
+
+
+# ---------------------------------------------------------------- records
+_RECORD = """concat('{"postingId": "', o_orderkey, '", "URL": "/aviso-', o_orderkey, '", "title": "Depa ', o_orderkey, '", "price": {"amount": ', 500 + o_orderkey % 900, ', "currency": "', CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'S/' END,
+ '"}, "expenses": {"amount": ', 100 + o_orderkey % 300, ', "currency": "PEN"}, "mainFeatures": {"A": {"label": "Dormitorios", "value": "', 1 + o_orderkey % 3, '"}, "B": {"label": "Area total", "value": "', 40 + o_orderkey % 60, ' m2"}}, "geo": {"lat": -12.1, "lng": -77.03}, "showExactLocation": true, "amenities": ["Piscina", "2 ascensores"], "images": [{"url": "https://i.test/', 1234567 + o_orderkey, '.jpg"}]}')"""
+
+
+@query("record_mapping", """SELECT CAST(o_orderkey AS VARCHAR) AS source_listing_id, concat('https://p.test/aviso-', o_orderkey) AS source_url, concat('Depa ', o_orderkey) AS title, CAST(500 + o_orderkey % 900 AS DOUBLE) AS rent_original, CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'PEN' END AS rent_currency,
+  CAST(100 + o_orderkey % 300 AS DOUBLE) AS maintenance_fee, 'PEN' AS maintenance_currency, CAST(1 + o_orderkey % 3 AS INT) AS bedrooms, CAST(40 + o_orderkey % 60 AS DOUBLE) AS total_area_m2, -12.1 AS latitude, 'EXACT' AS coord_precision, 'Piscina' AS amenities, CAST(1234567 + o_orderkey AS VARCHAR) AS image_keys FROM orders""")
+def _(spark, d):
+    raw = read(spark, d, "orders").select(F.expr(_RECORD).alias("json"))
+    out = records.map_record(raw, "json", F.lit("urbania"), F.lit("2024-06-01T10:00:00"), "https://p.test")
+    return out.select("source_listing_id", "source_url", "title", "rent_original", "rent_currency", "maintenance_fee", "maintenance_currency", "bedrooms", "total_area_m2", "latitude", "coord_precision", F.array_join("amenities", ",").alias("amenities"), F.array_join("image_keys", ",").alias("image_keys"))
+
+
+@query("json_alias_pick", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def _(spark, d):
+    return read(spark, d, "events").select("event_id", records.pick(c("props"), "missing", "K", "k").alias("k"))
+
+
+# ---------------------------------------------------------------- duplicates
+@query("duplicate_exact_groups", """WITH n AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY lower(trim(text))) AS root FROM documents), r AS (SELECT doc_id, root, dense_rank() OVER (ORDER BY root) AS g FROM n)
+SELECT doc_id, concat('G', CASE WHEN g < 10000 THEN lpad(CAST(g AS VARCHAR), 4, '0') ELSE CAST(g AS VARCHAR) END) AS duplicate_group_id, doc_id = root AS is_canonical FROM r""")
+def _(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", F.xxhash64(F.lower(F.trim("text"))).alias("a"), F.xxhash64(F.lit(1), F.lower(F.trim("text"))).alias("b"))
+    firsts = docs.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
+    edges = docs.join(firsts, ["a", "b"]).where(c("doc_id") != c("first")).select(c("first").alias("a"), c("doc_id").alias("b"))
+    rooted = docs.select("doc_id").join(components(edges), c("doc_id") == c("id"), "left").select("doc_id", F.coalesce("root", "doc_id").alias("root"))
+    numbers = ranking.numbered(rooted.select("root").distinct(), [], [c("root").asc()], "n")
+    label = F.concat(F.lit("G"), F.when(c("n") < 10000, F.lpad(c("n").cast("string"), 4, "0")).otherwise(c("n").cast("string")))
+    return rooted.join(numbers, "root").select("doc_id", label.alias("duplicate_group_id"), (c("doc_id") == c("root")).alias("is_canonical"))
+
+
+@query("backfill_from_copies", """WITH g AS (SELECT d.doc_id, min(d.doc_id) OVER (PARTITION BY d.text) AS root, quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id), k AS (SELECT root, arg_min(quality, doc_id) FILTER (WHERE quality IS NOT NULL) AS v FROM g GROUP BY 1)
+SELECT g.root AS doc_id, coalesce(g.quality, k.v) AS quality FROM g JOIN k ON g.root = k.root WHERE g.doc_id = g.root""")
+def _(spark, d):
+    docs = read(spark, d, "documents").join(read(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    first = F.min_by("quality", F.when(c("quality").isNotNull(), c("doc_id")))
+    return docs.groupBy(F.xxhash64("text"), F.xxhash64(F.lit(1), "text")).agg(F.min("doc_id").alias("doc_id"), first.alias("quality")).select("doc_id", "quality")
+
+
+@query("pair_dedupe_fuzzy")
+def _(spark, d):
+    people = read(spark, d, "customer")
+    k = c("c_custkey")
+    copy = k % 500  # each tenth row shares its place and photo with others
+    rows = people.select(
+        k.alias("row_id"), F.when(k % 2 == 0, "urbania").otherwise("adondevivir").alias("source"), F.concat(F.lit("c"), k.cast("string")).alias("source_listing_id"), F.concat(F.lit("https://p.test/"), k.cast("string")).alias("source_url"), F.lit(1).alias("bedrooms"),
+        (F.lit(-12.14) + copy / 20000.0).alias("latitude"), (F.lit(-77.05) + copy / 20000.0).alias("longitude"), F.lit(60.0).alias("total_area_m2"), (F.lit(700.0) + copy).alias("rent_usd"), c("c_name").alias("title"), F.concat(F.lit("Calle Berlin "), (copy + 100).cast("string")).alias("address"),
+    )
+    out = dedupe.deduplicate(conform(rows), CFG)
+    return out.select("row_id", "duplicate_group_id", "is_canonical", "number_of_records", "duplicate_sources", "dup_inconsistencies", "dedupe_evidence")
+
+
+@query("listing_pipeline")
+def _(spark, d):
+    from .pipeline import process
+
+    raw = read(spark, d, "customer").select(c("c_custkey").alias("row_id"), F.expr(_RECORD.replace("o_orderkey", "c_custkey")).alias("json"))
+    mapped = records.map_record(raw, "json", F.lit("urbania"), F.lit("2024-06-01T10:00:00"), "https://p.test").drop("json")
+    return process(mapped, _shapes(spark, d), [], CFG, 3.4, AS_OF).select("row_id", "duplicate_group_id", "category", "rank_in_category", "fit_score")
 
-QUERIES: dict = {}
-SQL: dict = {}
