@@ -1,0 +1,253 @@
+import hashlib
+import html
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, minhash, secret_scan, sharding, suffix_dedup, threshold_search
+from millrace.llm.components import components
+
+ROWS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("id", T.StringType()), T.StructField("h", T.StringType()), T.StructField("rank", T.StringType())])
+
+
+def prose(seed: int, words: int) -> str:
+    r = random.Random(seed)
+    return " ".join("".join(r.choice(["th", "er", "on", "an", "re", "he", "in", "ed"]) for _ in range(r.randint(1, 4))) for _ in range(words))
+
+
+PASSAGE = prose(99, 160)
+TEXTS = [None, "", " \n\n ", "a", "a b c", prose(1, 300), prose(1, 300), prose(2, 300), prose(3, 50) + "\n" + PASSAGE + "\n" + prose(4, 50), prose(5, 70) + " " + PASSAGE + " " + prose(6, 40), "ab" * 5000, "\U0001f600é " * 400, prose(1, 280) + " zz yy xx", prose(7, 20000), "menu line\n" + prose(8, 30), "menu line\n" + prose(9, 30), "menu line\n" + prose(10, 30)]
+
+
+def table(spark, texts=TEXTS):
+    """Extra columns have names that operators use inside."""
+    return spark.createDataFrame([(k, t, "en" if k % 2 else None, None if k % 5 == 0 else "s", None, "x", "y", "z") for k, t in enumerate(texts)], ROWS)
+
+
+def empty(spark):
+    return spark.createDataFrame([], ROWS)
+
+
+# ------------------------------------------------------------------ lines
+def test_lines(spark):
+    docs = table(spark, ["menu\nbody a\n\nmenu", "menu\nbody b", " menu \nbody c", "menu\nbody d", "menu\nbody e", None, ""])
+    docs = docs.withColumn("source", F.lit("s"))
+    for limit in (1000, 0):
+        out = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, ratio=0.5, min_pages=5, broadcast_lines=limit).collect()}
+        assert out[0]["text"] == "body a\n" and out[0]["n_dropped"] == 2 and out[2]["text"] == "body c"
+        assert out[5]["text"] is None and out[5]["n_lines"] == 0 and out[6]["text"] == "" and out[6]["n_dropped"] == 0
+
+
+def test_lines_copies_count_once_and_hosts_are_apart(spark):
+    copies = table(spark, ["one\ntwo"] * 8 + ["three"]).withColumn("source", F.lit("s"))
+    assert line_dedup.dedup_lines(copies, ratio=0.1, min_pages=2).agg(F.sum("n_dropped")).first()[0] == 0
+    mixed = table(spark, ["x\na", "x\nb", "x\nc", "x\nd"]).withColumn("source", F.when(F.col("doc_id") < 2, F.lit(None)).otherwise("s"))
+    assert line_dedup.dedup_lines(mixed, ratio=0.5, min_pages=3).agg(F.sum("n_dropped")).first()[0] == 0
+    assert line_dedup.dedup_lines(empty(spark)).count() == 0
+
+
+def test_lines_use_no_python(spark):
+    plan = line_dedup.boilerplate(table(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+# ------------------------------------------------------------------ tokens
+def test_bpe_equals_library():
+    import tiktoken
+
+    data, pattern = byte_bpe.vocabulary()
+    encoder, library = byte_bpe.Encoder(data, pattern), tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.parse_ranks(data), special_tokens={})
+    r = random.Random(5)
+    odd = ["".join(chr(r.choice([97, 98, 32, 233, 0x4E2D, 0x1F600, 10, 48, 39, 0x1C, 0x85, 0xB2, 0x301, 0xA0, 95, 115])) for _ in range(r.randint(0, 60))) for _ in range(400)]
+    for text in [t or "" for t in TEXTS] + odd + ["a" * 3000, " " * 2000, "<|endoftext|>"]:
+        ids = encoder.encode(text)
+        assert ids == library.encode_ordinary(text) and encoder.decode(ids) == text.encode()
+
+
+def test_bpe_rows(spark):
+    out = {r["doc_id"]: r for r in byte_bpe.round_trip(table(spark)).collect()}
+    assert out[0]["n_tokens"] == 0 and out[0]["decoded_sha256"] == hashlib.sha256(b"").hexdigest() == out[0]["ids_sha256"]
+    assert all(out[k]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest() for k, t in enumerate(TEXTS))
+    assert [r["bytes"].decode() for r in byte_bpe.decode(byte_bpe.encode(table(spark))).orderBy("doc_id").collect()] == [t or "" for t in TEXTS]
+    assert byte_bpe.round_trip(empty(spark)).count() == 0
+
+
+# ------------------------------------------------------------------ pages
+def page(body: str) -> str:
+    return f'<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var a="</p>";</script></head><body><nav><ul><li><a href="/a">A</a></li></ul></nav>{body}<footer>&copy; x</footer></body></html>'
+
+
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        ("<article><h1>Head &amp; line</h1><p>One  two,\n three.<br>Four.</p><p>Five.</p></article>", "Head & line\nOne two, three. Four.\nFive."),
+        ("<article><p><b>Open<br><p>Second.</article>", "Open\nSecond."),
+        ('<div class="ad">Buy now.</div><article><p>Text here, long enough.</p></article><div class="comments"><p>Great post, thanks a lot.</p></div>', "Text here, long enough."),
+        ('<div id="content"><p>Long text, with words and words.</p><p>More text, with other words.</p></div><div class="sidebar"><p>Side.</p></div><form><p>Sign up.</p></form>', "Long text, with words and words.\nMore text, with other words."),
+        ('<div class="cookie-notice"><p>We use cookies, accept.</p></div><main><p>Only this, really.</p><aside><p>Not this.</p></aside></main>', "Only this, really."),
+        ("", ""),
+    ],
+)
+def test_pages(body, text):
+    assert html_text.extract(page(body)) == text
+
+
+def test_pages_edge_cases(spark):
+    assert html_text.extract(None) == html_text.extract("") == "" and html_text.extract("<!-- open") == ""
+    assert html_text.extract("<p>" + "x, y. " * 50000 + "</p>").count("x") == 50000
+    rows = spark.createDataFrame([(1, "u", None, "k"), (2, None, page("<article><p>A, b.</p></article>"), "k"), (2, None, "", "k")], "page_id long, url string, html string, text string")
+    assert sorted((r["page_id"], r["text"]) for r in html_text.extract_pages(rows).collect()) == [(1, ""), (2, ""), (2, "A, b.")]
+
+
+def test_pages_keep_references_and_order():
+    words = [prose(k, 12).capitalize() + "." for k in range(9)]
+    assert html_text.extract(page("<article>" + "".join(f"<p>{html.escape(w)} &lt;{k}&gt;</p>" for k, w in enumerate(words)) + "</article>")) == "\n".join(f"{w} <{k}>" for k, w in enumerate(words))
+
+
+# ------------------------------------------------------------------ secrets
+@pytest.mark.parametrize("text", [*TEXTS[:6], 'x token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" y', "token: token:abcdefg", "PASSWORD=abc password='abcdef'", "AKIA" + "B" * 16 + " AKIA12 AKIAAKIA" + "C" * 14, "ſecret=abcdef api_key:  zzzzzz", "a" * 23 + " " + "a" * 24, "x é\U0001f600 secret=äabcdefg secret=abcdefg"])
+def test_base_spans(text):
+    base = secret_scan.base_spans(text or "")
+    counts = tuple(sum(s[1] == k for s in base) for k in range(3))
+    assert (*counts, hashlib.sha256(secret_scan.digest(base).encode()).hexdigest()) == secret_scan.brute(text)
+
+
+def test_linked_spans(spark):
+    weak = "aB3dE6gH9jK2mN5pQ8sT1vW4"
+    near = f"user = alice then {weak} at https://api.test/v1"
+    kinds = lambda t: [secret_scan.KINDS[k] for _, k, _ in sorted(secret_scan.linked_spans(t, secret_scan.base_spans(t)))]
+    assert kinds(near) == ["identifier", "weak", "endpoint"]
+    assert kinds(f"nothing but {weak}") == [] and kinds("user = alice and https://api.test/v1") == []
+    assert kinds(f"user = alice\n\n{weak}") == [] and kinds(f"user = alice {'x ' * 300}{weak}") == []
+    assert secret_scan.scan(table(spark)).count() == len(TEXTS) and secret_scan.scan(empty(spark)).count() == 0
+
+
+# ------------------------------------------------------------------ suffixes
+@pytest.mark.parametrize("group", [500, 1])
+def test_suffix_dedup(spark, group):
+    texts = [*TEXTS, PASSAGE[:399], PASSAGE[:400], prose(11, 40) + PASSAGE[100:] + prose(12, 40), "ab" * 500, "x" * 1000, "x" * 1000]
+    out = [(r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in suffix_dedup.remove_repeats(table(spark, texts), group=group).orderBy("doc_id").collect()]
+    assert out == suffix_dedup.brute(texts)
+
+
+def test_suffix_sort_orders_segments():
+    r = np.random.RandomState(1)
+    data = r.randint(97, 99, 4000).astype(np.uint8)
+    starts, segment = r.randint(0, 3900, 300), np.sort(r.randint(0, 12, 300))
+    order = suffix_dedup.suffix_sort(data, suffix_dedup.Prefix(data), starts, segment, 50)
+    keys = [(segment[k], data[starts[k] : starts[k] + 50].tobytes()) for k in order]
+    assert keys == sorted(keys)
+
+
+def test_suffix_dedup_empty(spark):
+    assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
+
+
+# ------------------------------------------------------------------ benchmark
+def test_decontaminate(spark):
+    items = [(1, PASSAGE), (2, prose(5, 5)), (3, None), (4, ""), (5, PASSAGE), (10, "zz yy"), (11, prose(7, 20000)[500:700])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    wanted = decontaminate.brute(TEXTS, [(i, t) for i, t in items])
+    for block in (decontaminate.BLOCK_BYTES, 200):
+        found = decontaminate.judged(decontaminate.matches(table(spark), bench, block_bytes=block)).withColumn("names", F.sha2(F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ","), 256))
+        assert [(r["n_words"], r["n_hit"], r["n_items"], r["names"], r["contaminated"]) for r in found.orderBy("doc_id").collect()] == wanted
+    assert decontaminate.matches(empty(spark), bench).count() == 0
+    assert decontaminate.judged(decontaminate.matches(table(spark), bench.limit(0))).where("n_hit > 0").count() == 0
+
+
+def test_proximity():
+    items = decontaminate.Items([(1, b"a b c d e f g h i j k l m")], 13)
+    shard = decontaminate.Shard([b"a b c d e f x g h i j k l m", b"a b c d e f g h i j k l m"], items)
+    assert shard.report(items, 0)["spans"] == [[], [0, 13]] and shard.report(items, 1)["n_near"][0] > 0
+
+
+# ------------------------------------------------------------------ languages
+def test_language(spark):
+    samples = {"en": "the house and the garden are near the river with many trees", "fr": "la maison et le jardin sont près de la rivière avec des arbres", "de": "das haus und der garten sind nahe am fluss mit vielen bäumen"}
+    rows = [(k * 10 + n, " ".join(t.split()[n % 4 :] * 3), lang) for n, (lang, t) in enumerate(samples.items()) for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(docs)
+    asked = spark.createDataFrame([(1, "the river and trees"), (2, "la rivière et des arbres"), (3, None), (4, "123 !?"), (5, ""), (6, "und der fluss"), (7, "x" * 5000)], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in language_id.predict(asked, model).collect()}
+    assert [out[k]["lang_pred"] for k in (1, 2, 3, 4, 5, 6)] == ["en", "fr", "und", "und", "und", "de"]
+    assert out[3]["score"] == 0.0 and all(0 <= r["score"] <= 1 for r in out.values()) and out[7]["lang_pred"] in samples
+    assert language_id.learn(docs.limit(0)) is None and {r["lang_pred"] for r in language_id.predict(asked, None).collect()} == {"und"}
+
+
+def test_forward_sums_all_segmentations():
+    pieces, weights = [b"a", b"b", b"ab", b"ba"], np.array([[0.2], [0.3], [0.4], [0.1]])
+    model = language_id.Model(["x"], pieces, weights)
+    by_hand = 0.2 * 0.3 * 0.2 + 0.4 * 0.2 + 0.2 * 0.1
+    assert np.allclose(np.exp(model.forward([b"aba", b"a", b"aba"])[:, 0]), [by_hand, 0.2, by_hand])
+
+
+# ------------------------------------------------------------------ search
+def test_search(spark):
+    r = np.random.RandomState(3)
+    rows = [(int(k), [float(x) for x in v]) for k, v in enumerate(r.normal(size=(230, 6)))] + [(300, None), (301, [1.0, None] * 3), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (304, []), (350, [1.0, 2.0])] + [(k, [0.5] * 6) for k in (400, 401, 402, 403, 404, 405, 406)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {k: [int(np.floor(256 * x)) for x in v] for k, v in rows if v and all(x is not None and np.isfinite(x) for x in v)}
+    wanted = []
+    for q in sorted(k for k in whole if k % 50 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), k) for k, v in whole.items() if k != q and len(v) == len(whole[q]))
+        wanted += [(q, n + 1, k, -s) for n, (s, k) in enumerate(scored[:5])]
+    for block, queries in ((8192, 4096), (40, 2)):
+        out = threshold_search.search(vectors, block=block, queries=queries).orderBy("query_id", "rank").collect()
+        assert [tuple(x) for x in out] == wanted
+    assert threshold_search.search(vectors.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ near-duplicates
+@pytest.mark.parametrize("small", [48, 1])
+def test_near_duplicates(spark, small):
+    base = prose(21, 60).split()
+    r = random.Random(2)
+    edited = []
+    for _ in range(60):
+        words = list(base)
+        for _ in range(r.randint(0, 5)):
+            words[r.randrange(len(words))] = "q" + str(r.randrange(99))
+        edited.append(" ".join(words))
+    texts = [*TEXTS, *edited, "A B C", "a\tb  c", None]
+    wanted = minhash.brute(list(enumerate(texts)))
+    out = {x["doc_id"]: (x["n_shingles"], x["component_id"], x["kept"]) for x in minhash.near_duplicates(table(spark, texts), small=small).collect()}
+    assert out == wanted
+
+
+def test_near_duplicates_empty(spark):
+    assert minhash.near_duplicates(empty(spark)).count() == 0
+
+
+def test_signature_is_unbiased():
+    r = np.random.RandomState(0)
+    values = r.randint(0, 1 << 62, 4000).astype(np.uint64)
+    a, b = np.sort(values[:3000]), np.sort(values[600:3600])
+    sig = minhash.signatures([a, b])
+    assert abs((sig[0] == sig[1]).mean() - 2400 / 3600) < 0.15
+
+
+def test_components(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(9)] + [(20, 21), (21, 20), (30, 30)], "a long, b long")
+    assert {r["id"]: r["label"] for r in components(edges).collect()} == {**{k: 0 for k in range(10)}, 20: 20, 21: 20, 30: 30}
+
+
+# ------------------------------------------------------------------ shards
+def test_hilbert_neighbours_touch():
+    grid = np.array([(x, y, z) for x in range(8) for y in range(8) for z in range(8)])
+    order = np.argsort(sharding.hilbert_index(grid, 3))
+    steps = np.abs(np.diff(grid[order], axis=0)).sum(axis=1)
+    assert sorted(sharding.hilbert_index(grid, 3)) == list(range(512)) and (steps == 1).all()
+
+
+@pytest.mark.parametrize("shards", [4, 40])
+def test_shards(spark, shards):
+    out = sharding.shard(table(spark), shards=shards).collect()
+    sizes = [sorted(r["slot"] for r in out if r["shard"] == k) for k in range(shards)]
+    assert len(out) == len(TEXTS) and max(map(len, sizes)) - min(map(len, sizes)) <= 1 and all(s == list(range(len(s))) for s in sizes)
+    import zlib
+
+    assert all(r["text_crc32"] == zlib.crc32((TEXTS[r["doc_id"]] or "").encode()) and r["size"] == len((TEXTS[r["doc_id"]] or "").encode()) + 16 for r in out)
+    assert sharding.shard(empty(spark), shards=shards).count() == 0
