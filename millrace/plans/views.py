@@ -54,7 +54,7 @@ def maintenance_text() -> Column:
 
 def sources_text() -> Column:
     names = F.create_map(*[F.lit(x) for pair in LABELS.items() for x in pair])
-    each = F.filter(F.transform(F.split(F.coalesce(F.nullif(c("duplicate_sources"), F.lit("")), c("source")), ";"), F.trim), lambda s: s != "")
+    each = F.filter(F.transform(F.split(F.coalesce(F.nullif(c("duplicate_sources"), F.lit("")), c("source")), ";"), lambda s: F.trim(s)), lambda s: s != "")
     return F.array_join(F.transform(each, lambda s: F.coalesce(F.try_element_at(names, s), s)), " + ")
 
 

@@ -26,7 +26,7 @@ def coerce(column: str) -> Column:
         return X.to_float(value)
     if isinstance(kind, T.ArrayType):
         parts = F.when(value.startswith("["), F.from_json(value, "array<string>")).otherwise(F.split(value, ";"))
-        return F.filter(F.transform(parts, F.trim), lambda x: x != "")
+        return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
     return value
 
 
