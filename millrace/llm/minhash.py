@@ -8,7 +8,8 @@ Equal sets are folded first, so a group of copies of any size is one entry. With
 with the smallest id (a star, linear in the bucket). The pairs are confirmed and joined into components; then only
 buckets that still hold several components are looked at again, in cells of at most 2 * CELL entries, for pairs
 across components whose signatures agree on at least EXPECT of their values (5 standard deviations below the
-threshold). Every such pair is confirmed on full sets, so buckets have no cap. Links within a component are not
+threshold). Every such pair is confirmed on full sets, so buckets have no cap: those of up to SMALL entries by a join,
+larger ones inside their cells, where the sets travel and no pair is written. Links within a component are not
 expanded; they can't change it.
 
 Words: A-Z lowered, split at space and \\x09-\\x0D. Set: distinct runs of SHINGLE words; a shorter text is one run.
@@ -31,7 +32,7 @@ from .components import components
 SHINGLE, PERCENT = 5, 75
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
-CELL, EXPECT = 512, 0.54
+CELL, EXPECT, SMALL = 512, 0.54, 48
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _draw = np.random.RandomState(20240601)
@@ -136,15 +137,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(s) > len(t):
-                    s, t = t, s
-                if 100 * len(s) < percent * len(t):
-                    keep.append(False)
-                    continue
-                at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-                both = int((t[at] == s).sum())
-                keep.append(100 * both >= percent * (len(s) + len(t) - both))
+                keep.append(_resemble(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], schema=arrow)
 
@@ -152,20 +145,54 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, schema)
 
 
-def _across(shared: DataFrame, labels: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across components, from buckets that hold several, in cells of bounded size."""
+def _resemble(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Are two sorted sets similar enough?"""
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < percent * len(y):
+        return False
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _candidates(rows: dict[str, np.ndarray], kind: int, i: int, j: int, low: int, percent: int):
+    """Pairs (places) of a cell across components, by size and signature; those with the bucket's star are tested."""
+    ids, label, n, home, main, sig = (rows[k] for k in ("id", "label", "n", "home", "d", "sig"))
+    first = np.nonzero(~main)[0]
+    other = np.nonzero(main)[0] if kind == 0 else first[home[first] == j]
+    for x in first if kind == 0 else first[home[first] == i]:
+        if ids[x] == low:
+            continue
+        y = other[(label[other] != label[x]) & (ids[other] != low)]
+        if kind and i == j:
+            y = y[ids[y] > ids[x]]
+        y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
+        if len(y):
+            agree = (sig[y] == sig[x]).mean(axis=1)
+            order = np.argsort(-agree, kind="stable")
+            yield x, y[order[agree[order] >= EXPECT]]
+
+
+def _open_buckets(shared: DataFrame, labels: DataFrame, entries: DataFrame) -> DataFrame:
+    """Rows of buckets that still hold several components, dealt to cells of at most 2 * CELL rows.
+
+    A bucket's largest component is cut into kd blocks, the rest into ku; every block of the rest meets every block.
+    """
     named = shared.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     groups = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    open_ = groups.groupBy("bucket").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all")).where(F.col("labels") > 1)
-    open_ = open_.select("bucket", F.col("top.label").alias("main"), F.ceil(F.col("top.n") / CELL).cast("int").alias("kd"), F.greatest(F.lit(1), F.ceil((F.col("all") - F.col("top.n")) / CELL)).cast("int").alias("ku"))
+    open_ = groups.groupBy("bucket").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size")).where(F.col("labels") > 1)
+    open_ = open_.select("bucket", "size", F.col("top.label").alias("main"), F.ceil(F.col("top.n") / CELL).cast("int").alias("kd"), F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("top.n")) / CELL)).cast("int").alias("ku"))
     rows = named.join(open_, "bucket").join(entries, "id").withColumn("d", F.col("label") == F.col("main"))
-    home = F.pmod(F.xxhash64("id"), F.when(F.col("d"), F.col("kd")).otherwise(F.col("ku"))).cast("int")
-    rows = rows.withColumn("home", home)
+    rows = rows.withColumn("home", F.pmod(F.xxhash64("id"), F.when(F.col("d"), F.col("kd")).otherwise(F.col("ku"))).cast("int"))
     to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     h = F.col("home")
-    ours = F.concat(F.transform(to("kd"), lambda i: cell(0, i, h)), F.transform(to("ku"), lambda j: cell(1, F.least(h, j), F.greatest(h, j))))
-    cells = rows.withColumn("cell", F.explode(F.when(F.col("d"), F.transform(to("ku"), lambda j: cell(0, h, j))).otherwise(ours)))
+    rest = F.concat(F.transform(to("kd"), lambda i: cell(0, i, h)), F.transform(to("ku"), lambda j: cell(1, F.least(h, j), F.greatest(h, j))))
+    return rows.withColumn("cell", F.explode(F.when(F.col("d"), F.transform(to("ku"), lambda j: cell(0, h, j))).otherwise(rest)))
+
+
+def _small_buckets(cells: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of buckets with at most SMALL rows; to be confirmed on full sets."""
     lists = cells.groupBy("bucket", "cell").agg(F.collect_list(F.struct("id", "label", "n", "low", "d", "home", "sig")).alias("rows"))
     lists = lists.where((F.size("rows") > 1) & (F.size(F.array_distinct(F.col("rows.label"))) > 1)).select("cell.kind", "cell.i", "cell.j", "rows")
     schema = "a long, b long"
@@ -175,20 +202,10 @@ def _across(shared: DataFrame, labels: DataFrame, entries: DataFrame, percent: i
         for batch in batches:
             left, right = [], []
             for kind, i, j, rows in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                get = lambda name, rows=rows: np.array([r[name] for r in rows])
-                ids, label, n, home, main = get("id"), get("label"), get("n"), get("home"), get("d")
-                low = rows[0]["low"]
-                sig = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint8).reshape(len(rows), -1)
-                first = np.nonzero(~main)[0]
-                other = np.nonzero(main)[0] if kind == 0 else first[home[first] == j]
-                if kind:
-                    first = first[home[first] == i]
-                for x in first:
-                    y = other[(label[other] != label[x]) & (ids[other] != low)] if ids[x] != low else other[:0]
-                    if kind and i == j:
-                        y = y[ids[y] > ids[x]]
-                    y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
-                    y = y[(sig[y] == sig[x]).mean(axis=1) >= EXPECT] if len(y) else y
+                columns = {name: np.array([r[name] for r in rows]) for name in ("id", "label", "n", "home", "d")}
+                columns["sig"] = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint8).reshape(len(rows), -1)
+                for x, y in _candidates(columns, kind, i, j, rows[0]["low"], percent):
+                    ids = columns["id"]
                     left += np.minimum(ids[y], ids[x]).tolist()
                     right += np.maximum(ids[y], ids[x]).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=arrow)
@@ -196,7 +213,43 @@ def _across(shared: DataFrame, labels: DataFrame, entries: DataFrame, percent: i
     return lists.mapInArrow(run, schema).distinct()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def _large_buckets(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of larger buckets, confirmed where the rows meet: pairs are not written, and within a cell two
+    components are linked once. A pair is looked at only in the first of the buckets that it shares."""
+    schema = "a long, b long"
+
+    def each(table: pa.Table) -> pa.Table:
+        rows = {name: table.column(name).to_numpy() for name in ("id", "label", "n", "home", "bucket", "low", "kind", "i", "j")}
+        rows["d"] = np.array(table.column("d").to_pylist(), bool)
+        rows["sig"] = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(table), -1)
+        own = np.array(table.column("bands").to_pylist(), np.int64)
+        values = [np.frombuffer(v, np.uint64) for v in table.column("values").to_pylist()]
+        bucket, ids, joined = rows["bucket"][0], rows["id"], {}
+
+        def root(k: int) -> int:
+            while joined.get(k, k) != k:
+                k = joined[k]
+            return k
+
+        left, right = [], []
+        for x, near in _candidates(rows, int(rows["kind"][0]), int(rows["i"][0]), int(rows["j"][0]), int(rows["low"][0]), percent):
+            if not len(near):
+                continue
+            same = own[near] == own[x]
+            near = near[own[x][same.argmax(axis=1)] == bucket]
+            for y in near:
+                p, q = root(int(rows["label"][x])), root(int(rows["label"][y]))
+                if p != q and _resemble(values[x], values[y], percent):
+                    joined[max(p, q)] = min(p, q)
+                    left.append(min(ids[x], ids[y]))
+                    right.append(max(ids[x], ids[y]))
+        return pa.table([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=arrow_schema(schema))
+
+    flat = cells.select("bucket", "cell.kind", "cell.i", "cell.j", "id", "label", "n", "low", "d", "home", "sig", "bands").join(sets, "id")
+    return flat.groupBy("bucket", "kind", "i", "j").applyInArrow(each, schema)
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id, kept)."""
     text_batches(docs.sparkSession)
     base = cut(sketch(docs, key, text, shingle))
@@ -214,7 +267,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     star = star.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
     links = cut(confirmed(star, sets, percent))
     labels = components(links)
-    more = cut(confirmed(_across(shared, labels, entries.select("id", "n", "sig"), percent), sets, percent))
+    cells = _open_buckets(shared, labels, entries.select("id", "n", "sig", "bands"))
+    more = cut(confirmed(_small_buckets(cells.where(F.col("size") <= small), percent), sets, percent).union(_large_buckets(cells.where(F.col("size") > small), sets, percent)))
     labels = components(labels.select(F.col("label").alias("a"), F.col("id").alias("b")).union(more))
     # Folded sets: the smallest id of a component's entries is the smallest of its documents.
     named = classes.join(labels, F.col("rep") == F.col("id"), "left").select("a", "b", "n", F.coalesce("label", "rep").alias("component_id"))
