@@ -154,9 +154,8 @@ def utilities(text: Column) -> Column:
     return F.nullif(F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(UTILITIES), F.lit(1)))), "; "), F.lit(""))
 
 
-def signals(*texts: Column) -> dict[str, Column]:
-    """Everything that the texts say, by name."""
-    t = reading_text(*texts)
+def signals(t: Column) -> dict[str, Column]:
+    """Everything that a reading text says, by name. Make the text a column first: it is read some two hundred times."""
     value, currency, assumed = fee(t)
     return features(t) | {
         "minimum_contract_months": contract_months(t), "deposit_months": _months(t, DEPOSIT), "advance_months": _months(t, ADVANCE), "floor": floor(t),

@@ -38,9 +38,9 @@ def normalize(df: DataFrame, cfg: Config, rate: float | Column) -> DataFrame:
     """Listing columns of any subset -> complete listings."""
     c = F.col
     base = conform(df)
-    sig = S.signals(c("title"), c("description"), F.array_join("amenities", " ; "))
-    reading = S.reading_text(c("title"), c("description"), F.array_join("amenities", " ; "))
-    said = base.withColumns({f"__{k}": v for k, v in sig.items()} | {"__evidence": S.evidence(reading)})
+    sig = S.signals(c("__text"))
+    read = base.withColumn("__text", S.reading_text(c("title"), c("description"), F.array_join("amenities", " ; ")))
+    said = read.withColumns({f"__{k}": v for k, v in sig.items()} | {"__evidence": S.evidence(c("__text"))})
     fill = {k: F.coalesce(c(k), c(f"__{k}").cast(base.schema[k].dataType)) for k in FILLED}
     fill |= {to: F.coalesce(c(to), c(f"__{src}")) for src, to in RENAMED.items()}
     fill["parking_included"] = F.coalesce(c("parking_included"), c("parking_spaces") > 0, c("__parking_included"))
@@ -59,5 +59,5 @@ def normalize(df: DataFrame, cfg: Config, rate: float | Column) -> DataFrame:
     fill["bedrooms"] = F.coalesce(c("bedrooms"), T.found(c("title"), r"(?i)(\d)\s*(?:dormitorio|dorm\.?|habitaci[oó]n|hab\.?|bedroom)").cast("int"))
     fill["district"] = where
     fill["phone"], fill["whatsapp"] = (F.when(T.known(c(k)), T.phone(c(k))).otherwise(c(k)) for k in ("phone", "whatsapp"))
-    out = said.withColumns(fill).drop(*[f"__{k}" for k in sig], "__evidence")
+    out = said.withColumns(fill).drop(*[f"__{k}" for k in sig], "__evidence", "__text")
     return with_currencies(out, rate)

@@ -237,8 +237,8 @@ _terms_sql = "concat('Contrato minimo ', 1 + o_orderkey % 3, ' años. ', 1 + o_o
 
 @query("lease_terms", "SELECT o_orderkey, CAST(12 * (1 + o_orderkey % 3) AS INT) AS months, CAST(1 + o_orderkey % 4 AS DOUBLE) AS deposit, CAST(1 + o_orderkey % 2 AS DOUBLE) AS advance, CAST(1 + o_orderkey % 20 AS INT) AS floor, CAST(100 + o_orderkey % 400 AS DOUBLE) AS fee, 'PEN' AS fee_currency FROM orders")
 def _(spark, d):
-    s = signals.signals(c("x"))
-    rows = read(spark, d, "orders").select("o_orderkey", F.expr(_terms_sql).alias("x"))
+    s = signals.signals(c("t"))
+    rows = read(spark, d, "orders").select("o_orderkey", F.expr(_terms_sql).alias("x")).withColumn("t", signals.reading_text(c("x")))
     return rows.select("o_orderkey", s["minimum_contract_months"].alias("months"), s["deposit_months"].alias("deposit"), s["advance_months"].alias("advance"), s["floor"].alias("floor"), s["maintenance_text_amount"].alias("fee"), s["maintenance_text_currency"].alias("fee_currency"))
 
 

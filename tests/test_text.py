@@ -42,7 +42,7 @@ def test_urls_and_phones(spark):
     [("Departamento amoblado", "furnished", True), ("sin amoblar", "furnished", False), ("semi amoblado", "furnished", False), ("semi amoblado", "semi_furnished", True), ("no se aceptan mascotas", "pets_allowed", False), ("pet friendly", "pets_allowed", True), ("terraza común", "terrace", None), ("linda terraza", "terrace", True)],
 )
 def test_features(spark, said, feature, expected):
-    assert value(spark, signals.signals(F.col("x"))[feature], x=said) is expected
+    assert value(spark, signals.signals(signals.reading_text(F.col("x")))[feature], x=said) is expected
 
 
 def test_evidence_cites_first_pattern_of_the_list(spark):
@@ -51,7 +51,7 @@ def test_evidence_cites_first_pattern_of_the_list(spark):
 
 
 def test_lease_terms(spark):
-    s = signals.signals(F.col("x"))
+    s = signals.signals(signals.reading_text(F.col("x")))
     assert value(spark, s["minimum_contract_months"], x="contrato mínimo un año") == 12
     assert value(spark, s["deposit_months"], x="dos meses de garantía") == 2.0
     assert value(spark, s["floor"], x="tercer piso") == 3
