@@ -330,7 +330,7 @@ def _(spark, d):
     return money.latest_rate(series, CFG.fx_fallback)
 
 
-@query("cost_estimates", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN round(p_size * 0.01 * 100, 6) WHEN 1 THEN round(0.5 + p_size * 0.001 * 100, 6) WHEN 2 THEN 0.0 END AS cost FROM part")
+@query("cost_estimates", "SELECT p_partkey, CAST(CASE p_partkey % 4 WHEN 0 THEN round(p_size * 0.01 * 100, 6) WHEN 1 THEN round(0.5 + p_size * 0.001 * 100, 6) WHEN 2 THEN 0.0 END AS DOUBLE) AS cost FROM part")
 def _(spark, d):
     model = F.expr("CASE p_partkey % 4 WHEN 0 THEN 'PRICE_PER_DATASET_ITEM' WHEN 1 THEN 'PAY_PER_EVENT' WHEN 2 THEN 'FREE' ELSE 'FLAT_PRICE_PER_MONTH' END")
     return read(spark, d, "part").select("p_partkey", F.round(money.cost_estimate(model, c("p_size") * F.lit(0.01), F.lit(0.5), c("p_size") * F.lit(0.001), 100), 6).alias("cost"))
@@ -388,7 +388,7 @@ b AS (SELECT *, CASE WHEN bedrooms NOT IN (1, 2) OR bedrooms IS NULL OR area IS
   CASE WHEN {_true('security_24h')} THEN 0.35 ELSE 0 END + CASE WHEN {_true('elevator')} THEN 0.2 ELSE 0 END + CASE WHEN {_true('laundry')} THEN 0.15 ELSE 0 END + CASE WHEN parking_spaces > 0 THEN 0.15 ELSE 0 END + CASE WHEN {_true('gym')} THEN 0.15 ELSE 0 END AS house,
   CASE active_status WHEN 'ACTIVE_CONFIRMED' THEN 0.3 WHEN 'LIKELY_ACTIVE' THEN 0.25 WHEN 'UNKNOWN' THEN 0.1 ELSE 0 END + CASE WHEN publication_date IS NOT NULL THEN 0.2 ELSE 0 END + CASE WHEN image_count >= 8 THEN 0.1 WHEN image_count >= 3 THEN 0.05 ELSE 0 END
     + CASE WHEN latitude IS NOT NULL THEN 0.1 ELSE 0 END + CASE WHEN phone IS NOT NULL OR agency_name IS NOT NULL THEN 0.1 ELSE 0 END + CASE WHEN number_of_sources >= 2 THEN 0.1 ELSE 0 END AS good FROM a)
-SELECT row_id, round(25 * quietness / 100.0, 2) AS pts_quietness, round(20 * paid, 1) AS pts_budget, round(20 * least(1, space), 1) AS pts_space, round(10 * place, 1) AS pts_location, round(8 * fitted, 1) AS pts_furnishing, round(7 * least(1, house), 1) AS pts_building, round(10 * least(1, good), 1) AS pts_listing_quality FROM b""")
+SELECT row_id, round(25 * quietness / 100.0, 2) AS pts_quietness, round(20 * paid, 1) AS pts_budget, CAST(round(20 * least(1, space), 1) AS DOUBLE) AS pts_space, CAST(round(10 * place, 1) AS DOUBLE) AS pts_location, CAST(round(8 * fitted, 1) AS DOUBLE) AS pts_furnishing, CAST(round(7 * least(1, house), 1) AS DOUBLE) AS pts_building, CAST(round(10 * least(1, good), 1) AS DOUBLE) AS pts_listing_quality FROM b""")
 def _(spark, d):
     rows = complete(spark, d).withColumns(scoring.noise(CFG))
     parts = scoring.components(CFG, AS_OF)
@@ -537,7 +537,7 @@ _RECORD = """concat('{"postingId": "', o_orderkey, '", "URL": "/aviso-', o_order
 
 
 @query("record_mapping", """SELECT CAST(o_orderkey AS VARCHAR) AS source_listing_id, concat('https://p.test/aviso-', o_orderkey) AS source_url, concat('Depa ', o_orderkey) AS title, CAST(500 + o_orderkey % 900 AS DOUBLE) AS rent_original, CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'PEN' END AS rent_currency,
-  CAST(100 + o_orderkey % 300 AS DOUBLE) AS maintenance_fee, 'PEN' AS maintenance_currency, CAST(1 + o_orderkey % 3 AS INT) AS bedrooms, CAST(40 + o_orderkey % 60 AS DOUBLE) AS total_area_m2, -12.1 AS latitude, 'EXACT' AS coord_precision, 'Piscina' AS amenities, CAST(1234567 + o_orderkey AS VARCHAR) AS image_keys FROM orders""")
+  CAST(100 + o_orderkey % 300 AS DOUBLE) AS maintenance_fee, 'PEN' AS maintenance_currency, CAST(1 + o_orderkey % 3 AS INT) AS bedrooms, CAST(40 + o_orderkey % 60 AS DOUBLE) AS total_area_m2, CAST(-12.1 AS DOUBLE) AS latitude, 'EXACT' AS coord_precision, 'Piscina' AS amenities, CAST(1234567 + o_orderkey AS VARCHAR) AS image_keys FROM orders""")
 def _(spark, d):
     raw = read(spark, d, "orders").select(F.expr(_RECORD).alias("json"))
     out = records.map_record(raw, "json", F.lit("urbania"), F.lit("2024-06-01T10:00:00"), "https://p.test")
