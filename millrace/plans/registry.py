@@ -533,11 +533,11 @@ def _(spark, d):
 
 # ---------------------------------------------------------------- records
 _RECORD = """concat('{"postingId": "', o_orderkey, '", "URL": "/aviso-', o_orderkey, '", "title": "Depa ', o_orderkey, '", "price": {"amount": ', 500 + o_orderkey % 900, ', "currency": "', CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'S/' END,
- '"}, "expenses": {"amount": ', 100 + o_orderkey % 300, ', "currency": "PEN"}, "mainFeatures": {"A": {"label": "Dormitorios", "value": "', 1 + o_orderkey % 3, '"}, "B": {"label": "Area total", "value": "', 40 + o_orderkey % 60, ' m2"}}, "geo": {"lat": -12.1, "lng": -77.03}, "showExactLocation": true, "amenities": ["Piscina", "2 ascensores"], "images": [{"url": "https://i.test/', 1234567 + o_orderkey, '.jpg"}]}')"""
+ '"}, "expenses": {"amount": ', 100 + o_orderkey % 300, ', "currency": "PEN"}, "mainFeatures": {"A": {"label": "Dormitorios", "value": "', 1 + o_orderkey % 3, '"}, "B": {"label": "Area total", "value": "', 40 + o_orderkey % 60, ' m2"}}, "geo": {"lat": -12.1', lpad(cast(o_orderkey % 1000 as string), 3, '0'), ', "lng": -77.0', lpad(cast((o_orderkey div 1000) % 60 as string), 2, '0'), '}, "showExactLocation": true, "amenities": ["Piscina", "2 ascensores"], "images": [{"url": "https://i.test/', 1234567 + o_orderkey, '.jpg"}]}')"""
 
 
 @query("record_mapping", """SELECT CAST(o_orderkey AS VARCHAR) AS source_listing_id, concat('https://p.test/aviso-', o_orderkey) AS source_url, concat('Depa ', o_orderkey) AS title, CAST(500 + o_orderkey % 900 AS DOUBLE) AS rent_original, CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'PEN' END AS rent_currency,
-  CAST(100 + o_orderkey % 300 AS DOUBLE) AS maintenance_fee, 'PEN' AS maintenance_currency, CAST(1 + o_orderkey % 3 AS INT) AS bedrooms, CAST(40 + o_orderkey % 60 AS DOUBLE) AS total_area_m2, CAST(-12.1 AS DOUBLE) AS latitude, 'EXACT' AS coord_precision, 'Piscina' AS amenities, CAST(1234567 + o_orderkey AS VARCHAR) AS image_keys FROM orders""")
+  CAST(100 + o_orderkey % 300 AS DOUBLE) AS maintenance_fee, 'PEN' AS maintenance_currency, CAST(1 + o_orderkey % 3 AS INT) AS bedrooms, CAST(40 + o_orderkey % 60 AS DOUBLE) AS total_area_m2, CAST(concat('-12.1', lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')) AS DOUBLE) AS latitude, 'EXACT' AS coord_precision, 'Piscina' AS amenities, CAST(1234567 + o_orderkey AS VARCHAR) AS image_keys FROM orders""")
 def _(spark, d):
     raw = read(spark, d, "orders").select(F.expr(_RECORD).alias("json"))
     out = records.map_record(raw, "json", F.lit("urbania"), F.lit("2024-06-01T10:00:00"), "https://p.test")
@@ -574,10 +574,10 @@ def _(spark, d):
 def _(spark, d):
     people = read(spark, d, "customer")
     k = c("c_custkey")
-    copy = k % 500  # each tenth row shares its place and photo with others
+    copy = F.floor(k / 3)  # three rows share a place
     rows = people.select(
         k.alias("row_id"), F.when(k % 2 == 0, "urbania").otherwise("adondevivir").alias("source"), F.concat(F.lit("c"), k.cast("string")).alias("source_listing_id"), F.concat(F.lit("https://p.test/"), k.cast("string")).alias("source_url"), F.lit(1).alias("bedrooms"),
-        (F.lit(-12.14) + copy / 20000.0).alias("latitude"), (F.lit(-77.05) + copy / 20000.0).alias("longitude"), F.lit(60.0).alias("total_area_m2"), (F.lit(700.0) + copy).alias("rent_usd"), c("c_name").alias("title"), F.concat(F.lit("Calle Berlin "), (copy + 100).cast("string")).alias("address"),
+        (F.lit(-12.14) + (copy % 1000) / 1000.0).alias("latitude"), (F.lit(-77.05) + F.floor(copy / 1000) / 1000.0).alias("longitude"), F.lit(60.0).alias("total_area_m2"), (F.lit(700.0) + copy % 500).alias("rent_usd"), c("c_name").alias("title"), F.concat(F.lit("Calle Berlin "), (copy % 90000 + 100).cast("string")).alias("address"),
     )
     out = dedupe.deduplicate(conform(rows), CFG)
     return out.select("row_id", "duplicate_group_id", "is_canonical", "number_of_records", "duplicate_sources", "dup_inconsistencies", "dedupe_evidence")

@@ -117,7 +117,13 @@ def _first(value, paths: str):
 
 
 def _text(value) -> str | None:
-    return None if value is None else json.dumps(value, ensure_ascii=False) if isinstance(value, (dict, list)) else str(value).lower() if isinstance(value, bool) else str(value)
+    if value is None or isinstance(value, str):
+        return value
+    if isinstance(value, float):
+        plain = f"{value:.12f}" if "e" in repr(value) else repr(value)
+        # Three digits behind a point would read as thousands in text; a number's point is always decimal.
+        return plain + "0" if len(plain.partition(".")[2]) == 3 else plain
+    return str(value).lower() if isinstance(value, bool) else json.dumps(value, ensure_ascii=False)
 
 
 def _entry(label, value) -> dict:

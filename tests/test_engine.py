@@ -115,11 +115,11 @@ def test_places(spark, tmp_path):
 
 def test_record_shapes(spark):
     nested = {"postingId": 55, "url": "/x-1.html", "title": "T", "priceOperationTypes": [{"operationType": {"name": "Alquiler"}, "prices": [{"amount": 950, "currency": "USD"}, {"amount": 3200, "currency": "S/"}]}], "mainFeatures": {"a": {"label": "Dormitorios", "value": "2"}, "b": {"label": "Baños", "value": "1"}}, "status": "FINALIZADO", "publishedText": "Publicado hace 3 días"}
-    flat = {"id": "7", "url": "https://p.pe/7", "price": "USD 950", "expenses": "S/ 320", "bedrooms": 1, "coveredArea": "72 m²", "latitude": -12.12, "longitude": -77.03}
+    flat = {"id": "7", "url": "https://p.pe/7", "price": "USD 950", "expenses": "S/ 320", "bedrooms": 1, "coveredArea": "72 m²", "latitude": -12.123, "longitude": -77.03}
     rows = spark.createDataFrame([(json.dumps(nested),), (json.dumps(flat),), ("not json",), (None,)], "json string")
     a, b, bad, none = records.map_record(rows, "json", F.lit("urbania"), F.lit("2024-06-01T10:00:00"), "https://p.pe").collect()
     assert (a["source_listing_id"], a["source_url"], a["rent_original"], a["rent_usd"], a["rent_pen"], a["bedrooms"], a["bathrooms"], a["active_status"], a["operation"], a["publication_date"]) == ("55", "https://p.pe/x-1.html", 950.0, 950.0, 3200.0, 2, 1.0, "INACTIVE", "Alquiler", "2024-05-29")
-    assert (b["rent_original"], b["rent_currency"], b["maintenance_fee"], b["maintenance_currency"], b["built_area_m2"], b["coord_precision"]) == (950.0, "USD", 320.0, "PEN", 72.0, "UNSPECIFIED")
+    assert (b["rent_original"], b["rent_currency"], b["maintenance_fee"], b["maintenance_currency"], b["built_area_m2"], b["coord_precision"], b["latitude"]) == (950.0, "USD", 320.0, "PEN", 72.0, "UNSPECIFIED", -12.123)
     assert bad["source_listing_id"] is None and none["rent_original"] is None
 
 
