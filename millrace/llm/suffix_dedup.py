@@ -9,8 +9,8 @@ A byte goes if a LENGTH-byte string that covers it starts anywhere else too, in
 3. Sorting. Where a gram has several contexts, their suffixes are sorted by mergesort: two suffixes are compared by
    their longest common extension, found by binary search over prefix polynomial hashes, and the byte behind it.
    Neighbours that share LENGTH bytes are repeats, which is verified on the bytes themselves. A gram with more than
-   GROUP contexts would make one task too large: its windows are counted by two 64-bit hashes instead, with partial
-   sums before the shuffle.
+   GROUP contexts would make one task too large: its runs are split by binary search over the same hashes instead,
+   each range of windows being counted (two 64-bit hashes, partial sums before the shuffle), folded or cut finer.
 4. Cutting. The intervals go back to their documents, where overlapping ones are merged.
 
 Texts are split into overlapping pieces of PIECE windows, so memory doesn't grow with a text. Null and empty texts
@@ -31,10 +31,9 @@ from .common import arrow_schema, cut, mix, table, text_batches, text_bytes
 
 LENGTH, GRAM = 400, 96
 GROUP = 500
+#: Windows in a cell, round by round; each size divides the one before.
+CELLS = (80, 20, 5, 1)
 PIECE = 1 << 19
-#: Repeated windows up to this number travel as a broadcast (16 bytes each); more go by a join on shuffled keys.
-BROADCAST_WINDOWS = 200_000
-
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -270,30 +269,63 @@ def _cold(found: DataFrame) -> DataFrame:
     return lists.select("members").mapInArrow(run, schema)
 
 
-def _hot(found: DataFrame) -> DataFrame:
-    """Intervals from grams of more contexts: their windows, counted by hash."""
-    schema = "w long, v long, h long, c long, id long, a long, s long, need boolean"
+def _folded(rows: DataFrame, key: list[str], full: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(whole, open) of rows of window ranges [a, b] whose ``key`` they share and whose ``full`` bytes may differ.
 
-    def run(batches):
-        arrow = arrow_schema(schema)
-        for batch in batches:
-            rows = batch.to_pylist()
-            for at in range(0, len(rows), 200):
-                part = rows[at : at + 200]
-                data = np.frombuffer(b"".join(m["context"] for m in part), np.uint8)
-                sizes = np.array([m["b"] - m["a"] + 1 for m in part])
-                begins = np.cumsum([0] + [len(m["context"]) for m in part[:-1]])
-                owner = np.repeat(np.arange(len(part)), sizes)
-                inside = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                w, v = (mix(Prefix(data, k).of(begins[owner] + inside, LENGTH)).view(np.int64) for k in range(2))
-                get = lambda name, part=part, owner=owner: np.array([m[name] for m in part])[owner]
-                yield _arrow([w, v, get("h"), get("c"), get("id"), get("a"), get("a") + inside, get("need")], arrow)
-
-    windows = found.select("h", "c", "id", "a", "b", "need", "context").mapInArrow(run, schema)
-    twice = cut(windows.groupBy("w", "v").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("w", "v"))
-    keys = F.broadcast(twice) if twice.count() <= BROADCAST_WINDOWS else twice
-    hits = windows.where("need").join(keys, ["w", "v"])
-    return hits.groupBy("id", "h", "a").agg(F.min("s").alias("start"), (F.max("s") + LENGTH).alias("end")).select("id", "start", "end")
+    whole: rows whose bytes occur again as they are; all of their windows repeat. open: one row for each of the
+    different bytes behind a key; it needs an answer if it stands for itself alone. Rows alone with their key are gone.
+    """
+    groups = rows.groupBy(*key, *full).agg(F.count("*").alias("n"), F.min(F.struct("id", "a", "b", "p", "need", "from", "context")).alias("one"))
+    kept = cut(groups)
+    several = kept.groupBy(*key).agg(F.count("*").alias("m")).where(F.col("m") > 1).select(*key)
+    whole = rows.where("need").join(kept.where(F.col("n") > 1).select(*key, *full), [*key, *full]).select("id", F.col("a").alias("start"), (F.col("b") + LENGTH).alias("end"))
+    one = [F.col(f"one.{k}").alias(k) for k in ("id", "a", "b", "p", "from", "context")]
+    return whole, kept.join(several, key).select(*key, *one, ((F.col("n") == 1) & F.col("one.need")).alias("need"))
+
+
+def _hot(found: DataFrame) -> DataFrame:
+    """Intervals from grams of more contexts: ranges of windows are cut finer from round to round, as in binary search.
+
+    Ranges lie on a grid of offsets from the anchor, so that equal windows fall in equal cells. All windows of a cell
+    share its core. A core that occurs nowhere else repeats nowhere; a range whose bytes occur again repeats as a
+    whole; only ranges at the edges of what repeats are cut further, down to single windows. Rows are counted by
+    64-bit hashes of core and bytes with partial sums, and equal bytes are one row.
+    """
+    schema = "h long, id long, a long, b long, p long, need boolean, from long, context binary, core long, other long, whole long"
+
+    def cutter(size: int):
+        def run(batches):
+            arrow = arrow_schema(schema)
+            for batch in batches:
+                rows, out = batch.to_pylist(), []
+                for at in range(0, len(rows), 500):
+                    nodes, data, used = [], [], 0
+                    for m in rows[at : at + 500]:
+                        lo = m["a"]
+                        while lo <= m["b"]:
+                            top = m["p"] - (m["p"] - lo) // size * size  # the cell's last window
+                            nodes.append((m, lo, min(top, m["b"]), top, used - m["from"]))
+                            lo = top + 1
+                        data.append(m["context"])
+                        used += len(m["context"])
+                    joined = np.frombuffer(b"".join(data), np.uint8)
+                    lo, hi, top, base = (np.array([x[k] for x in nodes], np.int64) for k in (1, 2, 3, 4))
+                    cell = mix(np.array([x[0]["p"] for x in nodes], np.int64) - top)
+                    one, two = Prefix(joined), Prefix(joined, 1)
+                    core, other = (mix(f.of(base + top, LENGTH - size + 1) ^ cell).view(np.int64) for f in (one, two))
+                    whole = mix(two.of(base + lo, LENGTH + hi - lo) ^ mix(hi - lo) ^ mix(top - lo, 3)).view(np.int64)
+                    for (m, x, y, _, _), k, o, w in zip(nodes, core.tolist(), other.tolist(), whole.tolist(), strict=True):
+                        out.append((m["h"], m["id"], x, y, m["p"], m["need"], x, m["context"][x - m["from"] : y + LENGTH - m["from"]], k, o, w))
+                yield _arrow(list(zip(*out, strict=True)) or [[]] * len(arrow), arrow)
+
+        return run
+
+    todo, done = found.select("h", "id", "a", "b", "p", "need", F.col("a").alias("from"), "context"), None
+    for size in CELLS:
+        rows = cut(todo.mapInArrow(cutter(size), schema))
+        whole, todo = _folded(rows, ["h", "core", "other"], ["whole"])
+        done = whole if done is None else done.union(whole)
+    return done
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
@@ -310,9 +342,9 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", group: int
     # One member stands for equal contexts; it needs no answer if there are several.
     members = by_context.join(many, "h").select("h", "c", F.col("one.id").alias("id"), F.col("one.a").alias("a"), F.col("one.b").alias("b"), F.col("one.p").alias("p"), (F.col("n") == 1).alias("need"))
     cutout = cut(contexts(texts, members).join(many, "h"))
-    cold = _cold(cutout.where(F.col("contexts") <= group))
-    hot = _hot(cutout.where(F.col("contexts") > group))
-    return whole.union(cold).union(hot)
+    out = whole.union(_cold(cutout.where(F.col("contexts") <= group)))
+    hot = cutout.where(F.col("contexts") > group)
+    return out.union(_hot(hot)) if hot.limit(1).count() else out
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
