@@ -5,7 +5,9 @@ kind. Multipart linking adds ``identifier`` (user or client names and ids), ``we
 ``endpoint`` (URLs and hosts with a port): none of them means anything alone, so one is reported only where a
 complementary part lies within its scope, which is ``SCOPE`` code points to either side within the same paragraph:
 an identifier needs a secret, a weak secret needs an identifier, an access id or an endpoint, an endpoint needs a
-secret. Scopes are joined as intervals over sorted starts, so a text costs n log n in its parts.
+secret. The value of a secret access key's name is a weak secret however it is mixed. An identifier's value is no weak
+secret; a mixed string that reaches beyond it is one, but the two are no company for each other. Scopes are joined as
+intervals over sorted starts, so a text costs n log n in its parts.
 Null and empty texts have no spans. Spans are in code points, end exclusive; a weak span inside a base span is dropped.
 """
 
@@ -14,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -27,7 +29,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Every ASSIGN match holds one of these in any case of its ASCII letters.
 WORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
-IDENTIFIER = re.compile(r"(?ai:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._+-]{3,})")
+IDENTIFIER = re.compile(r"(?ai:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key_?id|(?<!secret)(?<!secret[_.-])access_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._+-]{3,})")
+SECRET_KEY = re.compile(r"(?ai:secret\x20?[a-z0-9_.-]{0,20}?access\x20?[a-z0-9_.-]{0,20}?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_-]+(?:\.[A-Za-z0-9+/_-]+)*={0,2})")
 ENDPOINT = re.compile(r"(?ai:[a-z][a-z0-9+.-]{1,20}://[^\s\"'<>]{4,})|(?ai:(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[a-z0-9.-]{4,}(?::[0-9]{2,5})?)")
 WEAK = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}")
 BREAK = re.compile(r"\n\s*\n")
@@ -55,20 +58,15 @@ def _mixed(piece: str) -> bool:
 
 
 class _Near:
-    """Intervals sorted by start, asked for one that meets a scope."""
+    """Intervals, counted where they meet a scope."""
 
     def __init__(self, spans: list[tuple[int, int]]):
-        self.spans = sorted(spans)
-        self.starts = [s for s, _ in self.spans]
-        self.ends, most = [], -1
-        for _, end in self.spans:
-            most = max(most, end)
-            self.ends.append(most)
+        self.starts = sorted(s for s, _ in spans)
+        self.ends = sorted(e for _, e in spans)
 
-    def meets(self, low: int, high: int) -> bool:
-        """Is there an interval with start < high and end > low?"""
-        k = bisect_left(self.starts, high)
-        return k > 0 and self.ends[k - 1] > low
+    def meets(self, low: int, high: int) -> int:
+        """How many intervals have start < high and end > low?"""
+        return bisect_left(self.starts, high) - bisect_right(self.ends, low)
 
 
 def linked_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -78,8 +76,19 @@ def linked_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     if not ids and not ends and not access:
         return []
     strong = [(s, e) for s, k, e in base if k != 1]
-    inside = _Near([(s, e) for s, _, e in base] + ends + ids)
-    weak = [m.span() for m in WEAK.finditer(text) if _mixed(m[0]) and not inside.meets(*m.span())]
+    own, inside = _Near([(s, e) for s, _, e in base]), _Near([(s, e) for s, _, e in base] + ends)
+    keys = [m.span(1) for m in SECRET_KEY.finditer(text)]
+    known = _Near(keys)
+    named = [(s, e) for s, e in keys if e - s >= 6 and not inside.meets(s, e)]
+    ids = [x for x in ids if not known.meets(*x)]
+    first = [s for s, _ in ids]
+
+    def identifies(start: int, piece: str) -> bool:
+        """Is the piece, padding aside, part of one identifier's value?"""
+        k = bisect_right(first, start) - 1
+        return k >= 0 and ids[k][1] >= start + len(piece.rstrip("="))
+
+    weak = named + [m.span() for m in WEAK.finditer(text) if _mixed(m[0]) and not inside.meets(*m.span()) and not known.meets(*m.span()) and not identifies(m.start(), m[0])]
     breaks = [m.start() for m in BREAK.finditer(text)]
 
     def scope(span: tuple[int, int]) -> tuple[int, int]:
@@ -89,10 +98,14 @@ def linked_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         high = breaks[k] if k < len(breaks) else len(text)
         return max(low, span[0] - SCOPE), min(high, span[1] + SCOPE)
 
-    secrets, others = _Near(strong + weak), _Near(ids + access + ends)
-    own = _Near([(s, e) for s, _, e in base])
-    out = [(s, 3, e) for s, e in ids if secrets.meets(*scope((s, e))) and not own.meets(s, e)]
-    out += [(s, 4, e) for s, e in weak if others.meets(*scope((s, e)))]
+    secrets, names, places = _Near(strong + weak), _Near(ids), _Near(access + ends)
+
+    def apart(near: _Near, span: tuple[int, int]) -> bool:
+        """Is there one in scope that doesn't overlap the span itself?"""
+        return near.meets(*scope(span)) > near.meets(*span)
+
+    out = [(s, 3, e) for s, e in ids if not own.meets(s, e) and apart(secrets, (s, e))]
+    out += [(s, 4, e) for s, e in weak if places.meets(*scope((s, e))) or apart(names, (s, e))]
     return out + [(s, 5, e) for s, e in ends if secrets.meets(*scope((s, e))) and not own.meets(s, e)]
 
 
