@@ -8,7 +8,8 @@ an identifier needs a secret, a weak secret needs an identifier, an access id or
 secret. The value of a secret access key's name is a weak secret however it is mixed. An identifier's value is no weak
 secret; a mixed string that reaches beyond it is one, but the two are no company for each other. Scopes are joined as
 intervals over sorted starts, so a text costs n log n in its parts.
-Null and empty texts have no spans. Spans are in code points, end exclusive; a weak span inside a base span is dropped.
+Null and empty texts have no spans. Spans are in code points, end exclusive; a weak span inside a base span is dropped,
+and so is one inside an endpoint unless it is a value behind ``=`` in the query.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ WORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 IDENTIFIER = re.compile(r"(?ai:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key_?id|(?<!secret)(?<!secret[_.-])access_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._+-]{3,})")
 SECRET_KEY = re.compile(r"(?ai:secret\x20?[a-z0-9_.-]{0,20}?access\x20?[a-z0-9_.-]{0,20}?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_-]+(?:\.[A-Za-z0-9+/_-]+)*={0,2})")
 ENDPOINT = re.compile(r"(?ai:[a-z][a-z0-9+.-]{1,20}://[^\s\"'<>]{4,})|(?ai:(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[a-z0-9.-]{4,}(?::[0-9]{2,5})?)")
-WEAK = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}")
+WEAK = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 BREAK = re.compile(r"\n\s*\n")
 
 
@@ -76,10 +77,17 @@ def linked_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     if not ids and not ends and not access:
         return []
     strong = [(s, e) for s, k, e in base if k != 1]
-    own, inside = _Near([(s, e) for s, _, e in base]), _Near([(s, e) for s, _, e in base] + ends)
+    marks = [text.find("?", s, e) for s, e in ends]
+    own, tails = _Near([(s, e) for s, _, e in base]), _Near([(k, e) for k, (_, e) in zip(marks, ends, strict=True) if k >= 0])
+    heads = _Near([(s, e if k < 0 else k) for k, (s, e) in zip(marks, ends, strict=True)])
+
+    def inside(start: int, end: int) -> bool:
+        """Does it lie in a base span or in an endpoint, where only a query's values stand for themselves?"""
+        return bool(own.meets(start, end) or heads.meets(start, end) or text[start - 1 : start] != "=" and tails.meets(start, end))
+
     keys = [m.span(1) for m in SECRET_KEY.finditer(text)]
     known = _Near(keys)
-    named = [(s, e) for s, e in keys if e - s >= 6 and not inside.meets(s, e)]
+    named = [(s, e) for s, e in keys if e - s >= 6 and not inside(s, e)]
     ids = [x for x in ids if not known.meets(*x)]
     first = [s for s, _ in ids]
 
@@ -88,7 +96,7 @@ def linked_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         k = bisect_right(first, start) - 1
         return k >= 0 and ids[k][1] >= start + len(piece.rstrip("="))
 
-    weak = named + [m.span() for m in WEAK.finditer(text) if _mixed(m[0]) and not inside.meets(*m.span()) and not known.meets(*m.span()) and not identifies(m.start(), m[0])]
+    weak = named + [m.span() for m in WEAK.finditer(text) if _mixed(m[0]) and not inside(*m.span()) and not known.meets(*m.span()) and not identifies(m.start(), m[0])]
     breaks = [m.start() for m in BREAK.finditer(text)]
 
     def scope(span: tuple[int, int]) -> tuple[int, int]:
