@@ -3,8 +3,10 @@
 A page is read into text leaves, each with its root-to-leaf path of tags (and classes; inline tags are transparent).
 Per path, text length and punctuation are summed and divided by the number of leaves; the two ratios are fused by
 their product. Along the page, each leaf's value is smoothed with its neighbours', weighted by how much of the path
-they share. Leaves above a part of the spread are content; they vote for a container, the deepest element that holds
-most of their text, and the blocks in it that aren't link lists are the article. Elements that say what they are
+they share. Leaves above a part of the spread are content, and all of them are kept. They also choose containers: the
+article and main elements that hold them, where these have most of their text, or else the element common to all. All
+blocks there are the article, and so are those from a heading of the first level on where none lies inside; only link
+lists whose surroundings have no content are left out. Elements that say what they are
 (menus, page headers and footers, sidebars, adverts, notices, forms, comments, scripts, styles) never take part.
 
 Null and empty pages, and pages with no text outside such elements, give the empty string. White space (also from
@@ -16,13 +18,14 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Leaves to each side that smooth a leaf; share of the spread that content must exceed; share of text a container needs.
+#: Leaves to each side that smooth a leaf; share of the spread that content must exceed; share of content that article elements need.
 REACH, SPREAD, MOST = 2, 0.25, 0.8
-#: A block with at least this share of its text in links is a link list.
+#: A block with at least this share of its text in links may be part of a link list.
 LINKS = 0.6
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|title|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|</?[a-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<[!?][^>]*>|[^<]+|<", re.I | re.S)
@@ -35,6 +38,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 NEVER = frozenset("aside button canvas dialog footer form head menu nav object select audio video".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+#: Parts of an article that aren't the whole of it, and those of them that make lists.
+PARTS = frozenset("p li h1 h2 h3 h4 h5 h6 pre blockquote section ul ol dl dt dd table caption thead tbody tfoot tr td th figure figcaption".split())
+LISTS = frozenset("li ul ol dl dt dd table thead tbody tfoot tr td th".split())
 #: Words of class and id names that say an element isn't the article.
 NAMES = frozenset(
     "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup paywall"
@@ -197,32 +203,60 @@ def content(found: list[Leaf]) -> list[Leaf]:
     return [leaf for leaf, x in zip(found, smooth, strict=True) if x >= limit]
 
 
+def _up(e: Element | None) -> Iterator[Element]:
+    """The element and those around it, inside out."""
+    while e is not None:
+        yield e
+        e = e.parent
+
+
+def _linked(leaf: Leaf) -> bool:
+    return leaf.linked >= LINKS * max(1, len(leaf.text))
+
+
+def _listed(leaf: Leaf, prose: set[int]) -> bool:
+    """Does the leaf stand in a list (or a bare container) whose surroundings hold no prose?"""
+    e = leaf.element
+    if e.tag in PARTS and not any(x.tag in LISTS for x in _up(e)):
+        return False
+    e = e.parent or e
+    while e.tag in LISTS and e.parent is not None:
+        e = e.parent
+    return id(e) not in prose
+
+
 def extract(page: str | None) -> str:
     found = leaves(page) if page else []
     if not found:
         return ""
     chosen = content(found)
-    held: dict[int, int] = {}
-    elements: dict[int, Element] = {}
+    whole = sum(len(leaf.text) for leaf in chosen)
+    articles: dict[int, Element] = {}
+    held = 0
     for leaf in chosen:
-        e = leaf.element
-        while e is not None:
-            held[id(e)] = held.get(id(e), 0) + len(leaf.text)
-            elements[id(e)] = e
-            e = e.parent
-    need = MOST * sum(len(leaf.text) for leaf in chosen)
-    box = max((elements[k] for k, n in held.items() if n >= need), key=lambda e: e.depth)
-    # A paragraph alone isn't the article: its heading lies beside it.
-    while box.tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "td", "dd", "blockquote") and box.parent is not None:
-        box = box.parent
-    out = []
-    for leaf in found:
-        e = leaf.element
-        while e is not None and e is not box:
-            e = e.parent
-        if e is box and leaf.linked < LINKS * max(1, len(leaf.text)):
-            out.append(leaf.text)
-    return "\n".join(out)
+        around = [e for e in _up(leaf.element) if e.tag in ("article", "main")]
+        if around:
+            articles[id(around[-1])] = around[-1]
+            held += len(leaf.text)
+    if held >= MOST * whole:
+        boxes = set(articles)
+    else:
+        box = chosen[0].element
+        for leaf in chosen:
+            line = {id(e) for e in _up(leaf.element)}
+            box = next(e for e in _up(box) if id(e) in line)
+        # A paragraph, list or section alone isn't the article: its heading lies beside it.
+        while box.tag in PARTS and box.parent is not None:
+            box = box.parent
+        boxes = {id(box)}
+    wanted = {id(leaf) for leaf in chosen}
+    keep = [id(leaf) in wanted or any(id(e) in boxes for e in _up(leaf.element)) for leaf in found]
+    if not any(k and leaf.element.tag == "h1" for k, leaf in zip(keep, found, strict=True)):
+        first = keep.index(True)
+        title = max((k for k in range(first) if found[k].element.tag == "h1"), default=first)
+        keep[title:first] = [True] * (first - title)
+    prose = {id(e) for leaf in chosen if not _linked(leaf) for e in _up(leaf.element)}
+    return "\n".join(leaf.text for k, leaf in zip(keep, found, strict=True) if k and not (_linked(leaf) and _listed(leaf, prose)))
 
 
 def extract_pages(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

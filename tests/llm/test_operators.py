@@ -107,6 +107,28 @@ def test_pages_keep_references_and_order():
     assert html_text.extract(page("<article>" + "".join(f"<p>{html.escape(w)} &lt;{k}&gt;</p>" for k, w in enumerate(words)) + "</article>")) == "\n".join(f"{w} <{k}>" for k, w in enumerate(words))
 
 
+def tagged(tag: str, seed: int, count: int) -> tuple[str, list[str]]:
+    words = [", ".join(prose(seed + k, 9).capitalize().split(" ", 2)) + "." for k in range(count)]
+    return "".join(f"<{tag}>{w}</{tag}>" for w in words), words
+
+
+def test_pages_keep_all_content_beside_the_largest_part():
+    body, words = tagged("p", 100, 9)
+    less, few = tagged("p", 200, 1)
+    items, listed = tagged("li", 300, 12)
+    head = "<h1>Title</h1><p class=lead>A lead, short.</p>"
+    link = '<p>See <a href="/x">this very long text of a link</a>.</p>'
+    for around in ("article", "main", "div"):
+        wrap = lambda x, a=around: html_text.extract(page(f"<{a}>{x}</{a}>")).split("\n")
+        assert wrap(f"{head}<div class=body>{body}</div>") == ["Title", "A lead, short.", *words]
+        assert wrap(f"<section>{body}</section><section>{less}</section>") == words + few
+        assert wrap(f"<p>Short.</p><ul>{items}</ul>{less}") == ["Short.", *listed, *few]
+        assert wrap(f"{body}{link}{less}") == [*words, "See this very long text of a link.", *few]
+    assert html_text.extract(page(f"<article>{body}</article><article>{less}</article>")).split("\n") == words + few
+    lists = "<div><ul>" + "<li><a href='/x'>A link</a></li>" * 5 + "</ul></div>"
+    assert html_text.extract(page(f"<article>{body}{lists}</article>")).split("\n") == words
+
+
 # ------------------------------------------------------------------ secrets
 @pytest.mark.parametrize("text", [*TEXTS[:6], 'x token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" y', "token: token:abcdefg", "PASSWORD=abc password='abcdef'", "AKIA" + "B" * 16 + " AKIA12 AKIAAKIA" + "C" * 14, "ſecret=abcdef api_key:  zzzzzz", "a" * 23 + " " + "a" * 24, "x é\U0001f600 secret=äabcdefg secret=abcdefg"])
 def test_base_spans(text):
