@@ -7,7 +7,9 @@ they share. Leaves above a part of the spread are content, and all of them are k
 article and main elements that hold them, where these have most of their text, or else the element common to all. All
 blocks there are the article, and so are those from a heading of the first level on where none lies inside; only link
 lists whose surroundings have no content are left out. Elements that say what they are
-(menus, page headers and footers, sidebars, adverts, notices, forms, comments, scripts, styles) never take part.
+(menus, page headers and footers, sidebars, adverts, notices, forms, comments, scripts, styles) never take part. A name
+or form doesn't count where the element holds the article or main element with the most text or, on pages without any,
+more than half of the page's text outside links.
 
 Null and empty pages, and pages with no text outside such elements, give the empty string. White space (also from
 references and line breaks) inside a block becomes one space; blocks are joined in page order by one newline.
@@ -36,8 +38,8 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 # HTML element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-NEVER = frozenset("aside button canvas dialog footer form head menu nav object select audio video".split())
-ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+NEVER = frozenset("aside button canvas dialog footer head menu nav object select audio video".split())
+ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 #: Parts of an article that aren't the whole of it, and those of them that make lists.
 PARTS = frozenset("p li h1 h2 h3 h4 h5 h6 pre blockquote section ul ol dl dt dd table caption thead tbody tfoot tr td th figure figcaption".split())
 LISTS = frozenset("li ul ol dl dt dd table thead tbody tfoot tr td th".split())
@@ -47,15 +49,19 @@ NAMES = frozenset(
     " sidebar aside widget widgets rail menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager toc masthead topbar header footer copyright legal disclaimer"
     " comment comments comentarios kommentare commentaires disqus reply replies respond discussion related recommended recommendations share sharing social login search form toolbar tags hidden".split()
 )
+#: Words before a name that say the element is only marked by it, and those whose headers belong to the article.
+MODIFIERS = frozenset("has have no non not with without".split())
+OWN_HEADERS = frozenset("article content entry page post story".split())
 #: Opening one of these closes an open one of the others first, up to the nearest of the third.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "depth", "dropped", "link", "block")
+    __slots__ = ("tag", "parent", "path", "depth", "dropped", "named", "link", "block", "size")
 
-    def __init__(self, tag: str, parent: "Element | None", path: int, dropped: bool, link: bool, block: bool):
+    def __init__(self, tag: str, parent: "Element | None", path: int, dropped: bool, named: bool, link: bool, block: bool):
         self.tag, self.parent, self.path, self.dropped, self.link, self.block = tag, parent, path, dropped, link, block
+        self.named, self.size = named, 0  # named: by class, id or as a form; size: characters outside links
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -66,9 +72,27 @@ class Leaf:
         self.element, self.text, self.linked, self.path = element, text, linked, element.path
 
 
-def _unwanted(tag: str, attributes: str, inside: bool) -> tuple[bool, str]:
-    """(does the element say it isn't article text, its class). inside: within an article or main element."""
-    names, drop = "", tag in NEVER or tag == "header" and not inside
+def _up(e: Element | None) -> Iterator[Element]:
+    """The element and those around it, inside out."""
+    while e is not None:
+        yield e
+        e = e.parent
+
+
+def _named(names: str, inside: bool) -> bool:
+    """Does one of the names say that the element isn't article text? inside: within an article or main element."""
+    for name in names.split():
+        before = ""
+        for word in re.split(r"[^a-z]+", name):
+            if word in NAMES and before not in MODIFIERS and not (word == "header" and (inside or before in OWN_HEADERS)):
+                return True
+            before = word
+    return False
+
+
+def _unwanted(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, str]:
+    """(is the element none of the article's, does it only call itself so, its class)."""
+    names, drop, named = "", tag in NEVER or tag == "header" and not inside, tag == "form"
     if attributes:
         for name, a, b, c, hidden in ATTRIBUTE.findall(attributes):
             name, value = (name or hidden).lower(), (a or b or c).lower()
@@ -76,18 +100,33 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> tuple[bool, str]:
                 names += " " + value
             elif name == "role":
                 drop |= value in ROLES
+                named |= value == "form"
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 drop = True
-    if tag in ("html", "body", "article", "main"):
-        return False, names
-    return drop or not NAMES.isdisjoint(re.split(r"[^a-z]+", names)), names
+    named = named or _named(names, inside)
+    return drop and tag not in ("html", "body", "article", "main"), named, names
+
+
+def _settle(elements: list[Element]) -> None:
+    """Drops what only calls itself unwanted, unless it holds the article; elements in page order."""
+    if not any(e.named for e in elements):
+        return
+    for e in reversed(elements):
+        if e.parent:
+            e.parent.size += e.size
+    articles = [e for e in elements if e.tag in ("article", "main") and not e.dropped and not e.named and e.size]
+    kept = {id(e) for e in _up(max(articles, key=lambda e: e.size, default=None))}
+    for e in elements:
+        if e.parent and not e.dropped:
+            own = e.named and e.tag not in ("html", "body", "article", "main") and id(e) not in kept
+            e.dropped = e.parent.dropped or own and (bool(articles) or 2 * e.size <= elements[0].size)
 
 
 def leaves(page: str) -> list[Leaf]:
     """Text blocks outside unwanted elements, in page order. Paths are numbered; an element knows its parent."""
     numbers: dict[tuple, int] = {}
-    root = Element("", None, -1, False, False, True)
-    top, found, buffer, linked = root, [], [], 0
+    root = Element("", None, -1, False, False, False, True)
+    top, found, buffer, elements = root, [], [], [root]
     open_articles = 0
 
     def owner(e: Element) -> Element:
@@ -96,22 +135,18 @@ def leaves(page: str) -> list[Leaf]:
         return e
 
     def flush() -> None:
-        nonlocal linked
         if buffer:
-            text = " ".join("".join(buffer).split())
-            if text:
-                found.append(Leaf(owner(top), text, linked))
+            found.append((owner(top), buffer[:]))
             buffer.clear()
-        linked = 0
 
     for m in TOKEN.finditer(page):
         token = m[0]
         if token[0] != "<" or len(token) == 1:
             if not top.dropped:
                 text = entities.unescape(token) if "&" in token else token
-                buffer.append(text)
-                if top.link:
-                    linked += len(text)
+                buffer.append((top, text))
+                if not top.link:
+                    top.size += len(text) if not text.isspace() else 0
             continue
         if m[1] or not (t := TAG.match(token)):
             continue
@@ -136,7 +171,7 @@ def leaves(page: str) -> list[Leaf]:
             if tag == "hr":
                 flush()
             elif tag == "br" and not top.dropped:
-                buffer.append(" ")
+                buffer.append((top, " "))
             continue
         block = tag in BLOCKS
         if block:
@@ -156,14 +191,22 @@ def leaves(page: str) -> list[Leaf]:
             if close is not None:
                 flush()
                 top = close.parent
-        drop, names = _unwanted(tag, token[t.end() : -1], open_articles > 0)
+        drop, named, names = _unwanted(tag, token[t.end() : -1], open_articles > 0)
         path = numbers.setdefault((top.path, tag, names), len(numbers)) if block else top.path
         open_articles += tag in ("article", "main")
-        top = Element(tag, top, path, top.dropped or drop, top.link or tag == "a", block)
+        top = Element(tag, top, path, top.dropped or drop, named, top.link or tag == "a", block)
+        elements.append(top)
         if token.endswith("/>") and not block:
             top = top.parent
     flush()
-    return found
+    _settle(elements)
+    out = []
+    for e, pieces in found:
+        pieces = [(x, text) for x, text in pieces if not x.dropped]
+        text = " ".join("".join(text for _, text in pieces).split())
+        if text:
+            out.append(Leaf(e, text, sum(len(text) for x, text in pieces if x.link)))
+    return out
 
 
 def _shared(a: Element, b: Element) -> float:
@@ -203,13 +246,6 @@ def content(found: list[Leaf]) -> list[Leaf]:
     return [leaf for leaf, x in zip(found, smooth, strict=True) if x >= limit]
 
 
-def _up(e: Element | None) -> Iterator[Element]:
-    """The element and those around it, inside out."""
-    while e is not None:
-        yield e
-        e = e.parent
-
-
 def _linked(leaf: Leaf) -> bool:
     return leaf.linked >= LINKS * max(1, len(leaf.text))
 

@@ -129,6 +129,25 @@ def test_pages_keep_all_content_beside_the_largest_part():
     assert html_text.extract(page(f"<article>{body}{lists}</article>")).split("\n") == words
 
 
+@pytest.mark.parametrize("start", ["<div class='layout has-sidebar'>", "<div id='no-sidebar'>", "<div class='article with-comments'>", "<form action='/x'>", "<div class='page sidebar'>", "<div role='form'>"])
+def test_pages_in_named_wrappers(start):
+    body, words = tagged("p", 400, 5)
+    end = "</form>" if start.startswith("<form") else "</div>"
+    side = "<div class='sidebar'><p>Side text, short.</p></div><form><p>Sign up, now.</p></form>"
+    for inner in (f"<article>{body}</article>", f"<div>{body}</div>"):
+        assert html_text.extract(page(start + inner + side.replace("form", "div class='form'", 1).replace("/form", "/div") + end)).split("\n") == words
+
+
+def test_pages_names_that_belong_to_the_article():
+    body, words = tagged("p", 500, 5)
+    comments = "<div class='comments'><article class='comment-body'><p>" + prose(9, 300) + ".</p></article></div>"
+    for name in ("post-header", "entry-header"):
+        for around in ("article", "div"):
+            assert html_text.extract(page(f"<{around}><div class='{name}'><h1>Title</h1></div>{body}</{around}>")).split("\n") == ["Title", *words]
+    assert html_text.extract(page(f"<article>{body}</article>{comments}")).split("\n") == words
+    assert html_text.extract(page(f"<div class='header'><p>Site, here.</p></div><article>{body}</article>")).split("\n") == words
+
+
 # ------------------------------------------------------------------ secrets
 @pytest.mark.parametrize("text", [*TEXTS[:6], 'x token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" y', "token: token:abcdefg", "PASSWORD=abc password='abcdef'", "AKIA" + "B" * 16 + " AKIA12 AKIAAKIA" + "C" * 14, "ſecret=abcdef api_key:  zzzzzz", "a" * 23 + " " + "a" * 24, "x é\U0001f600 secret=äabcdefg secret=abcdefg"])
 def test_base_spans(text):
