@@ -300,6 +300,12 @@ def test_signature_is_unbiased():
     assert abs((sig[0] == sig[1]).mean() - 2400 / 3600) < 0.15
 
 
+def test_bands_of_short_texts_agree_as_often_as_of_long_ones():
+    values = np.random.RandomState(0).randint(0, 1 << 62, (4000, 4)).astype(np.uint64)
+    left, right = (minhash.bands(minhash.signatures(list(x))) for x in (values, values[:, :3]))
+    assert abs((left == right).mean() - 0.75**4) < 0.01
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(9)] + [(20, 21), (21, 20), (30, 30)], "a long, b long")
     assert {r["id"]: r["label"] for r in components(edges).collect()} == {**{k: 0 for k in range(10)}, 20: 20, 21: 20, 30: 30}
