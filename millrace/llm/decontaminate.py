@@ -144,14 +144,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
             items = Items(shared.value, window)
             return lambda x: {"doc_id": x["doc_id"]} | Shard([t or b"" for t in x["text"]], items).report(items, slop)
 
-        parts.append(map_rows(source, "doc_id long, n_words long, spans array<long>, items array<long>, n_near long", make))
+        digest = [F.xxhash64("text").alias("__a"), F.xxhash64(F.lit("text"), "text").alias("__b")] if blocks > 1 else []
+        rows = source.select("*", *digest, F.lit(block).alias("__block")) if digest else source
+        parts.append(map_rows(rows, "doc_id long, n_words long, spans array<long>, items array<long>, n_near long", make, ("__a", "__b", "__block") if digest else ()))
     if blocks == 1:
         return parts[0]
+    # Ids may be null or repeated: rows of one id and text have the same findings, so they fold and are written out again.
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part.where((F.size("items") > 0) | (F.col("n_near") > 0)))
-    merged = out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.sum("n_near").alias("n_near"))
-    return merged.withColumn("spans", _merged("spans"))
+    found = F.collect_set(F.struct("__block", "spans", "items", "n_near")).alias("found")
+    folded = out.groupBy("doc_id", "__a", "__b").agg(F.max("n_words").alias("n_words"), found, F.count(F.when(F.col("__block") == 0, 1)).cast("int").alias("copies"))
+    near = F.aggregate("found.n_near", F.lit(0).cast("long"), lambda a, x: a + x)
+    merged = folded.select("doc_id", "n_words", F.flatten("found.spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten("found.items"))).alias("items"), near.alias("n_near"), "copies")
+    return merged.withColumn("spans", _merged("spans")).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy", "copies")
 
 
 @F.udf(T.ArrayType(T.LongType()), useArrow=True)

@@ -10,6 +10,8 @@ stays empty; a null host is a host of its own. Lines repeated within a page coun
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
 def dedup_lines(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and n_lines and n_dropped (long; 0 for null text).
 
-    ``key`` names the rows and is used only by the path beyond ``broadcast_lines``; there it must be unique.
+    ``key`` deals the rows in the path beyond ``broadcast_lines``; it may be null or repeated.
     """
     from .common import cut
 
@@ -55,9 +57,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", host: str = "source", text
         per_host = F.broadcast(found.groupBy(F.col("host").alias("__host"), F.col("none").alias("__none")).agg(F.collect_list("key").alias("__drop")))
         joined = docs.join(per_host, (here == F.col("__host")) & (F.col(host).isNull() == F.col("__none")), "left").drop("__host", "__none")
     else:
-        lines = docs.select(F.col(key).alias("__id"), here.alias("host"), F.col(host).isNull().alias("none"), F.explode(F.array_distinct(F.transform(F.transform(F.split(text, "\n"), _trimmed), _key))).alias("key"))
-        hits = lines.join(found, ["host", "none", "key"]).groupBy("__id").agg(F.collect_list("key").alias("__drop"))
-        joined = docs.join(hits, F.col(key) == F.col("__id"), "left").drop("__id")
+        # Rows of one id, host and text lose the same lines, so they share one list of them.
+        marks = [F.col(key), here, F.col(host).isNull(), F.xxhash64(text), F.xxhash64(F.lit("page"), F.col(text))]
+        names = ["__id", "host", "none", "__a", "__b"]
+        lines = docs.select(*(m.alias(n) for m, n in zip(marks, names, strict=True)), F.explode(F.array_distinct(F.transform(F.transform(F.split(text, "\n"), _trimmed), _key))).alias("key"))
+        hits = lines.join(found, ["host", "none", "key"]).groupBy(*names).agg(F.collect_set("key").alias("__drop")).select("__drop", *(F.col(n).alias(f"__hit{k}") for k, n in enumerate(names)))
+        same = reduce(lambda x, y: x & y, (m.eqNullSafe(F.col(f"__hit{k}")) for k, m in enumerate(marks)))
+        joined = docs.join(hits, same, "left").drop(*(f"__hit{k}" for k in range(len(names))))
     whole = F.split(text, "\n")
     kept = F.filter(whole, lambda line: ~F.coalesce(F.array_contains(F.col("__drop"), _key(_trimmed(line))), F.lit(False)))
     touched = F.col("__drop").isNotNull() & F.col(text).isNotNull()

@@ -49,6 +49,14 @@ def test_lines_copies_count_once_and_hosts_are_apart(spark):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
+def test_lines_of_null_and_repeated_ids(spark):
+    rows = [(k, f"menu\nbody {n}", "s") for n, k in enumerate([None, None, 1, 1, 2, 3])] + [(None, "menu\nother", "t"), (1, "menu\nother", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for limit in (1000, 0):
+        out = line_dedup.dedup_lines(docs, ratio=0.5, min_pages=5, broadcast_lines=limit).collect()
+        assert sorted(r["text"] for r in out) == sorted([f"body {n}" for n in range(6)] + ["menu\nother"] * 2)
+
+
 def test_lines_use_no_python(spark):
     plan = line_dedup.boilerplate(table(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
@@ -229,6 +237,14 @@ def test_decontaminate(spark):
     assert decontaminate.judged(decontaminate.matches(table(spark), bench.limit(0))).where("n_hit > 0").count() == 0
 
 
+def test_decontaminate_null_and_repeated_ids(spark):
+    rows = [(None, PASSAGE), (None, PASSAGE), (None, "a b"), (7, PASSAGE), (7, prose(5, 70)), (7, None), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, PASSAGE), (2, prose(7, 200)), (3, PASSAGE)], "item_id long, text string")
+    one, many = (sorted(map(str, decontaminate.matches(docs, bench, block_bytes=b, slop=2).collect())) for b in (decontaminate.BLOCK_BYTES, 200))
+    assert len(one) == len(rows) and one == many
+
+
 def test_proximity():
     items = decontaminate.Items([(1, b"a b c d e f g h i j k l m")], 13)
     shard = decontaminate.Shard([b"a b c d e f x g h i j k l m", b"a b c d e f g h i j k l m"], items)
