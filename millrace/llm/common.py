@@ -26,10 +26,14 @@ def text_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: the session's ``spark.checkpoint.dir``; only where none is set (tests) a temporary one is made."""
+    """The shared folder: the session's ``spark.checkpoint.dir``. Where it is unset, a local session makes a temporary
+    folder; on a cluster that is an error, as executors would not see it."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
@@ -39,6 +43,35 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a key that one task may take in any case, and the most keys that can be called hot.
+LEAST_HOT, MOST_HOT = 1000, 100_000
+
+
+def spread(rows: DataFrame, classes: DataFrame, key: list[str], by: list[str], how: str = "inner", n: str = "n") -> DataFrame:
+    """``rows`` joined with ``classes``, which has one row for each key and in ``n`` the number of its rows.
+
+    A key with more rows than ``limit`` is dealt to several tasks: its rows are numbered by a hash of ``by``, its class is
+    written once for each number. With ``limit`` at a MOST_HOT-th of all rows at least, there can't be more than MOST_HOT
+    such keys, which bounds the broadcast of them. ``classes`` should be a written table, as it is read three times.
+    """
+    total = classes.agg(F.sum(n)).first()[0] or 0
+    limit = max(LEAST_HOT, -(-total // MOST_HOT))
+    parts = F.ceil(F.col(n) / F.lit(limit)).cast("int")
+    hot = classes.where(F.col(n) > limit).select(*key, parts.alias("__parts"))
+    salt = F.when(F.col("__parts").isNotNull(), F.pmod(F.xxhash64(F.lit("salt"), *by), F.col("__parts"))).otherwise(F.lit(0)).cast("int")
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("__salt", salt).drop("__parts")
+    copies = F.explode(F.sequence(F.lit(0), F.when(F.col(n) > limit, parts - 1).otherwise(F.lit(0))))
+    return dealt.join(classes.withColumn("__salt", copies), [*key, "__salt"], how).drop("__salt")
+
+
+def keyed(docs: DataFrame, key: str, text: str, carry: bool = False) -> DataFrame:
+    """(id, dg, text), and with ``carry`` the key itself as doc_id: what tells rows apart where ids repeat or are null. dg: 64 bits of the text; a null id is replaced by
+    64 other bits of it. Rows that agree in both have the same text, so whatever is found for one holds for the other."""
+    value = F.col(text)
+    other = F.xxhash64(F.lit("id"), F.coalesce(value, F.lit("")))
+    return docs.select(F.coalesce(F.col(key).cast("long"), other).alias("id"), F.xxhash64(F.coalesce(value, F.lit(""))).alias("dg"), value.alias("text"), *([F.col(key).cast("long").alias("doc_id")] if carry else []))
+
+
 def without(docs: DataFrame, gone: DataFrame, key: str, small: int = 200_000) -> DataFrame:
     """``docs`` less the rows whose ``key`` is in ``gone``: up to ``small`` ids travel as a broadcast, more are joined by shuffle."""
     ids = cut(gone.select(key).distinct())

@@ -5,7 +5,8 @@ A byte goes if a LENGTH-byte string that covers it starts anywhere else too, in
 1. Sampling. Any LENGTH-byte window holds LENGTH - GRAM + 1 grams of GRAM bytes; the one with the least hash is the
    window's anchor. Equal windows have equal anchors at equal offsets, so only suffixes around anchors whose gram
    occurs twice are ever compared. Consecutive windows of one anchor form a run; a run's context is all its bytes.
-2. Folding. Runs with equal contexts are repeated as a whole; they are counted, never brought together.
+2. Folding. Runs with equal contexts (by gram hash and 64 bits of BLAKE2b of the bytes) are repeated as a whole; they
+   are counted, never brought together.
 3. Sorting. Where a gram has several contexts, their suffixes are sorted by mergesort: two suffixes are compared by
    their longest common extension, found by binary search over prefix polynomial hashes, and the byte behind it.
    Neighbours that share LENGTH bytes are repeats, which is verified on the bytes themselves. A gram with more than
@@ -13,8 +14,12 @@ A byte goes if a LENGTH-byte string that covers it starts anywhere else too, in
    each range of windows being counted (two 64-bit hashes, partial sums before the shuffle), folded or cut finer.
 4. Cutting. The intervals go back to their documents, where overlapping ones are merged.
 
+Rows are told apart by id and text, so ids may be null or repeated, and a row that is repeated as a whole counts twice.
+Grams and contexts with very many rows are dealt to several tasks (``common.spread``).
+
 Texts are split into overlapping pieces of PIECE windows, so memory doesn't grow with a text. Null and empty texts
-and texts shorter than LENGTH lose nothing. A text that occurs twice and has LENGTH bytes goes entirely, both times.
+and texts shorter than LENGTH lose nothing; an empty table gives no rows. A text that occurs twice and has LENGTH bytes
+goes entirely, both times. Columns other than the key and the text are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,10 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, cut, mix, table, text_batches, text_bytes
+from .common import arrow_schema, cut, keyed, mix, spread, table, text_batches, text_bytes
 
 LENGTH, GRAM = 400, 96
 GROUP = 500
+#: Contexts that a task sorts, give or take a gram.
+SORTED = 4000
 #: Windows in a cell, round by round; each size divides the one before.
 CELLS = (80, 20, 5, 1)
 PIECE = 1 << 19
@@ -116,8 +123,8 @@ def suffix_sort(data: np.ndarray, prefix: Prefix, starts: np.ndarray, segment: n
     return order
 
 
-def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
-    """All runs of the texts: text number, first and last window start (a, b), anchor place p, gram hash h, context hash c."""
+def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, digests: bool = True) -> dict[str, np.ndarray]:
+    """All runs of the texts: text number, first and last window start (a, b), anchor place p, gram hash h, context digest c (0 without ``digests``)."""
     out: dict[str, list] = {k: [] for k in "tabphc"}
     chunk: list[tuple[int, int, bytes]] = []
     size = 0
@@ -129,7 +136,7 @@ def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str
         data = np.frombuffer(b"".join(c[2] for c in chunk), np.uint8)
         ends = np.cumsum([len(c[2]) for c in chunk])
         begins = ends - [len(c[2]) for c in chunk]
-        prefix, other = Prefix(data), Prefix(data, 1)
+        prefix = Prefix(data)
         grams = len(data) - gram + 1
         hashed = mix(prefix.of(np.arange(grams), gram))
         # The place in the low bits: the leftmost of equal grams wins, and the minimum tells where it is.
@@ -156,7 +163,11 @@ def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str
         out["b"].append(b + shift)
         out["p"].append(p + shift)
         out["h"].append(hashed[p].view(np.int64))
-        out["c"].append(mix(other.of(a, b + length - a) ^ mix(b - a)).view(np.int64))
+        if digests:
+            whole, digest = data.tobytes(), hashlib.blake2b
+            out["c"].append(np.frombuffer(b"".join([digest(whole[x:y], digest_size=8).digest() for x, y in zip(a.tolist(), (b + length).tolist(), strict=True)]), np.int64))
+        else:
+            out["c"].append(np.zeros(len(a), np.int64))
         chunk.clear()
         size = 0
 
@@ -171,39 +182,54 @@ def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str
 
 
 def _arrow(columns: list, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def grams(texts: DataFrame) -> DataFrame:
+    """texts (id, dg, text binary) -> (h, n): anchor grams of a batch and how many runs they have."""
+    schema = "h long, n long"
+
+    def run(batches):
+        arrow = arrow_schema(schema)
+        for batch in batches:
+            h, n = np.unique(runs(text_bytes(batch.column(2)), digests=False)["h"], return_counts=True)
+            yield _arrow([h, n], arrow)
+
+    return texts.mapInArrow(run, schema)
 
 
 def anchors(texts: DataFrame) -> DataFrame:
-    """texts (id, text binary) -> (h, c, id, a, b, p)."""
-    schema = "h long, c long, id long, a long, b long, p long"
+    """texts (id, dg, text binary) -> (h, c, id, dg, a, b, p)."""
+    schema = "h long, c long, id long, dg long, a long, b long, p long"
 
     def run(batches):
         arrow = arrow_schema(schema)
         for batch in batches:
-            r = runs(text_bytes(batch.column(1)))
-            ids = np.array(batch.column(0).to_pylist(), np.int64)
-            yield _arrow([r["h"], r["c"], ids[r["t"]] if len(r["t"]) else r["t"], r["a"], r["b"], r["p"]], arrow)
+            r = runs(text_bytes(batch.column(2)))
+            t = pa.array(r["t"], pa.int64())
+            yield _arrow([r["h"], r["c"], batch.column(0).take(t), batch.column(1).take(t), r["a"], r["b"], r["p"]], arrow)
 
     return texts.mapInArrow(run, schema)
 
 
 def contexts(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """The members' contexts, cut from the texts: (h, c, id, a, b, p, need, context)."""
-    schema = "h long, c long, id long, a long, b long, p long, need boolean, context binary"
-    lists = members.groupBy("id").agg(F.collect_list(F.struct("h", "c", "a", "b", "p", "need")).alias("runs"))
+    """The members' contexts, cut from the texts: (h, id, dg, a, b, p, need, contexts, context)."""
+    schema = "h long, id long, dg long, a long, b long, p long, need boolean, contexts long, context binary"
+    lists = members.groupBy("id", "dg").agg(F.collect_list(F.struct("h", "a", "b", "p", "need", "contexts")).alias("runs"))
 
     def run(batches):
         arrow = arrow_schema(schema)
         for batch in batches:
-            rows = [(r["h"], r["c"], i, r["a"], r["b"], r["p"], r["need"], text[r["a"] : r["b"] + LENGTH]) for i, text, found in zip(batch.column("id").to_pylist(), text_bytes(batch.column("text")), batch.column("runs").to_pylist(), strict=True) for r in found]
+            columns = (batch.column(k).to_pylist() for k in ("id", "dg", "runs"))
+            rows = [(r["h"], i, d, r["a"], r["b"], r["p"], r["need"], r["contexts"], text[r["a"] : r["b"] + LENGTH]) for i, d, found, text in zip(*columns, text_bytes(batch.column("text")), strict=True) for r in found]
             yield _arrow(list(zip(*rows, strict=True)) or [[]] * len(arrow), arrow)
 
-    return texts.join(lists, "id").select("id", "text", "runs").mapInArrow(run, schema)
+    # A row that is there twice is cut out once: its contexts stand for both.
+    return texts.join(lists, ["id", "dg"]).dropDuplicates(["id", "dg"]).select("id", "dg", "text", "runs").mapInArrow(run, schema)
 
 
-def sorted_repeats(members: list[dict], length: int = LENGTH) -> list[tuple[int, int, int]]:
-    """Members of any grams (h, id, a, b, p, need, context) -> (id, start, end) of what repeats, for those in need."""
+def sorted_repeats(members: list[dict], length: int = LENGTH) -> list[tuple[int, int, int, int]]:
+    """Members of any grams (h, id, dg, a, b, p, need, context) -> (id, dg, start, end) of what repeats, for those in need."""
     data = np.frombuffer(b"".join(m["context"] for m in members), np.uint8)
     sizes = np.array([m["b"] - m["a"] + 1 for m in members])
     begins = np.cumsum([0] + [len(m["context"]) for m in members[:-1]])
@@ -245,13 +271,13 @@ def sorted_repeats(members: list[dict], length: int = LENGTH) -> list[tuple[int,
     np.minimum.at(low, owner[repeated], inside[repeated])
     np.maximum.at(high, owner[repeated], inside[repeated])
     # All windows of a run hold its anchor, so what they cover is one interval.
-    return [(m["id"], m["a"] + int(lo), m["a"] + int(hi) + length) for m, lo, hi in zip(members, low, high, strict=True) if hi >= 0 and m["need"]]
+    return [(m["id"], m["dg"], m["a"] + int(lo), m["a"] + int(hi) + length) for m, lo, hi in zip(members, low, high, strict=True) if hi >= 0 and m["need"]]
 
 
-def _cold(found: DataFrame) -> DataFrame:
-    """Intervals from grams of up to GROUP contexts."""
-    schema = "id long, start long, end long"
-    lists = found.groupBy("h").agg(F.collect_list(F.struct("h", "id", "a", "b", "p", "need", "context")).alias("members"))
+def _cold(found: DataFrame, parts: int) -> DataFrame:
+    """Intervals from grams of up to GROUP contexts, sorted in ``parts`` tasks."""
+    schema = "id long, dg long, start long, end long"
+    lists = found.repartition(parts, "h").groupBy("h").agg(F.collect_list(F.struct("h", "id", "dg", "a", "b", "p", "need", "context")).alias("members"))
 
     def run(batches):
         arrow = arrow_schema(schema)
@@ -264,7 +290,7 @@ def _cold(found: DataFrame) -> DataFrame:
                     together += groups[at]
                     at += 1
                 out += sorted_repeats(together)
-            yield _arrow(list(zip(*out, strict=True)) or [[]] * 3, arrow)
+            yield _arrow(list(zip(*out, strict=True)) or [[]] * 4, arrow)
 
     return lists.select("members").mapInArrow(run, schema)
 
@@ -275,11 +301,12 @@ def _folded(rows: DataFrame, key: list[str], full: list[str]) -> tuple[DataFrame
     whole: rows whose bytes occur again as they are; all of their windows repeat. open: one row for each of the
     different bytes behind a key; it needs an answer if it stands for itself alone. Rows alone with their key are gone.
     """
-    groups = rows.groupBy(*key, *full).agg(F.count("*").alias("n"), F.min(F.struct("id", "a", "b", "p", "need", "from", "context")).alias("one"))
+    groups = rows.groupBy(*key, *full).agg(F.count("*").alias("n"), F.min(F.struct("id", "dg", "a", "b", "p", "need", "from", "context")).alias("one"))
     kept = cut(groups)
     several = kept.groupBy(*key).agg(F.count("*").alias("m")).where(F.col("m") > 1).select(*key)
-    whole = rows.where("need").join(kept.where(F.col("n") > 1).select(*key, *full), [*key, *full]).select("id", F.col("a").alias("start"), (F.col("b") + LENGTH).alias("end"))
-    one = [F.col(f"one.{k}").alias(k) for k in ("id", "a", "b", "p", "from", "context")]
+    light = rows.where("need").select(*key, *full, "id", "dg", "a", "b")
+    whole = spread(light, cut(kept.where(F.col("n") > 1).select(*key, *full, "n")), [*key, *full], ["id", "a"]).select("id", "dg", F.col("a").alias("start"), (F.col("b") + LENGTH).alias("end"))
+    one = [F.col(f"one.{k}").alias(k) for k in ("id", "dg", "a", "b", "p", "from", "context")]
     return whole, kept.join(several, key).select(*key, *one, ((F.col("n") == 1) & F.col("one.need")).alias("need"))
 
 
@@ -291,7 +318,7 @@ def _hot(found: DataFrame) -> DataFrame:
     whole; only ranges at the edges of what repeats are cut further, down to single windows. Rows are counted by
     64-bit hashes of core and bytes with partial sums, and equal bytes are one row.
     """
-    schema = "h long, id long, a long, b long, p long, need boolean, from long, context binary, core long, other long, whole long"
+    schema = "h long, id long, dg long, a long, b long, p long, need boolean, from long, context binary, core long, other long, whole long"
 
     def cutter(size: int):
         def run(batches):
@@ -315,12 +342,12 @@ def _hot(found: DataFrame) -> DataFrame:
                     core, other = (mix(f.of(base + top, LENGTH - size + 1) ^ cell).view(np.int64) for f in (one, two))
                     whole = mix(two.of(base + lo, LENGTH + hi - lo) ^ mix(hi - lo) ^ mix(top - lo, 3)).view(np.int64)
                     for (m, x, y, _, _), k, o, w in zip(nodes, core.tolist(), other.tolist(), whole.tolist(), strict=True):
-                        out.append((m["h"], m["id"], x, y, m["p"], m["need"], x, m["context"][x - m["from"] : y + LENGTH - m["from"]], k, o, w))
+                        out.append((m["h"], m["id"], m["dg"], x, y, m["p"], m["need"], x, m["context"][x - m["from"] : y + LENGTH - m["from"]], k, o, w))
                 yield _arrow(list(zip(*out, strict=True)) or [[]] * len(arrow), arrow)
 
         return run
 
-    todo, done = found.select("h", "id", "a", "b", "p", "need", F.col("a").alias("from"), "context"), None
+    todo, done = found.select("h", "id", "dg", "a", "b", "p", "need", F.col("a").alias("from"), "context"), None
     for size in CELLS:
         rows = cut(todo.mapInArrow(cutter(size), schema))
         whole, todo = _folded(rows, ["h", "core", "other"], ["whole"])
@@ -329,34 +356,34 @@ def _hot(found: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """(id, start, end): byte intervals, overlapping ones not merged, whose union is what goes."""
+    """(id, dg, start, end): byte intervals, overlapping ones not merged, whose union is what goes."""
     text_batches(docs.sparkSession)
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text")).where(F.octet_length("text") >= LENGTH)
-    found = anchors(texts)
-    often = found.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("h")
+    texts = keyed(docs, key, text).select("id", "dg", F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= LENGTH)
+    often = cut(grams(texts).groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > 1))
     # The runs are made again rather than kept: they are cheap, and few of them have a gram that occurs twice.
-    shared = cut(found.join(often, "h"))
-    by_context = cut(shared.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("id", "a", "b", "p")).alias("one")))
+    shared = cut(spread(anchors(texts), often, ["h"], ["id", "a"]).drop("n"))
+    by_context = cut(shared.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("id", "dg", "a", "b", "p")).alias("one")))
     many = by_context.groupBy("h").agg(F.count("*").alias("contexts")).where(F.col("contexts") > 1)
-    whole = shared.join(by_context.where(F.col("n") > 1).select("h", "c"), ["h", "c"]).select("id", F.col("a").alias("start"), (F.col("b") + LENGTH).alias("end"))
+    copied = cut(by_context.where(F.col("n") > 1).select("h", "c", "n"))
+    whole = spread(shared, copied, ["h", "c"], ["id", "a"]).select("id", "dg", F.col("a").alias("start"), (F.col("b") + LENGTH).alias("end"))
     # One member stands for equal contexts; it needs no answer if there are several.
-    members = by_context.join(many, "h").select("h", "c", F.col("one.id").alias("id"), F.col("one.a").alias("a"), F.col("one.b").alias("b"), F.col("one.p").alias("p"), (F.col("n") == 1).alias("need"))
-    cutout = cut(contexts(texts, members).join(many, "h"))
-    out = whole.union(_cold(cutout.where(F.col("contexts") <= group)))
-    hot = cutout.where(F.col("contexts") > group)
-    return out.union(_hot(hot)) if hot.limit(1).count() else out
+    members = by_context.join(many, "h").select("h", "contexts", *[F.col(f"one.{k}").alias(k) for k in ("id", "dg", "a", "b", "p")], (F.col("n") == 1).alias("need"))
+    cutout = cut(contexts(texts, members))
+    sizes = cutout.agg(F.count(F.when(F.col("contexts") <= group, 1)).alias("cold"), F.count(F.when(F.col("contexts") > group, 1)).alias("hot")).first()
+    out = whole.union(_cold(cutout.where(F.col("contexts") <= group), max(1, -(-sizes["cold"] // SORTED))))
+    return out.union(_hot(cutout.where(F.col("contexts") > group))) if sizes["hot"] else out
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """Per document: (doc_id, n_bytes, n_removed, n_spans, kept binary)."""
+    """Per row: (doc_id, n_bytes, n_removed, n_spans, kept binary)."""
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    lists = repeats(docs, key, text, group).groupBy("id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    lists = repeats(docs, key, text, group).groupBy("id", "dg").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
     def run(batches):
         arrow = arrow_schema(schema)
         for batch in batches:
             out = []
-            for i, data, spans in zip(batch.column("id").to_pylist(), text_bytes(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
+            for data, spans in zip(text_bytes(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
                 kept, at, n = [], 0, 0
                 for s in spans or ():
                     if s["start"] > at or n == 0 and s["start"] == 0:
@@ -365,11 +392,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", gro
                     at = max(at, s["end"])
                 kept.append(data[at:])
                 rest = b"".join(kept)
-                out.append((i, len(data), len(data) - len(rest), n, rest))
-            yield _arrow(list(zip(*out, strict=True)) or [[]] * 5, arrow)
+                out.append((len(data), len(data) - len(rest), n, rest))
+            yield _arrow([batch.column("doc_id"), *(list(zip(*out, strict=True)) or [[]] * 4)], arrow)
 
-    whole = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    return whole.join(lists, "id", "left").select("id", "text", "spans").mapInArrow(run, schema)
+    whole = keyed(docs, key, text, carry=True).withColumn("text", F.col("text").cast("binary"))
+    return whole.join(lists, ["id", "dg"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, minhash, secret_scan, sharding, suffix_dedup, threshold_search
+from millrace.llm import byte_bpe, common, decontaminate, html_text, language_id, line_dedup, minhash, secret_scan, sharding, suffix_dedup, threshold_search
 from millrace.llm.components import components
 
 ROWS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("id", T.StringType()), T.StructField("h", T.StringType()), T.StructField("rank", T.StringType())])
@@ -221,6 +221,22 @@ def test_suffix_sort_orders_segments():
     assert keys == sorted(keys)
 
 
+def test_suffix_dedup_null_and_repeated_ids(spark):
+    texts = [prose(1, 200), prose(2, 200), prose(1, 200), prose(31, 200), prose(31, 200), None, ""]
+    docs = spark.createDataFrame(list(zip([1, 1, 2, None, None, None, 3], texts, strict=True)), "doc_id long, text string").withColumn("h", F.lit("x")).withColumn("dg", F.lit("y"))
+    out = sorted((r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in suffix_dedup.remove_repeats(docs).collect())
+    assert out == sorted(suffix_dedup.brute(texts))
+
+
+def test_spread_keeps_all_rows_of_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(common, "LEAST_HOT", 10)
+    rows = spark.range(1000).withColumn("k", F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 50))
+    classes = rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("k") % 2 == 0)
+    joined = common.spread(rows, classes, ["k"], ["id"])
+    assert joined.count() == rows.where("k % 2 = 0").count() == joined.select("id").distinct().count()
+    assert common.spread(rows, classes, ["k"], ["id"], "left").count() == 1000
+
+
 def test_suffix_dedup_empty(spark):
     assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
 
