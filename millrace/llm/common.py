@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.components import cut, shared_dir
+
+__all__ = ["cut", "shared_dir"]
+
 #: Rows and bytes of an Arrow batch of whole texts; a text is never split or cut.
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
@@ -25,24 +28,6 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: the session's ``spark.checkpoint.dir``. Where it is unset, a local session makes a temporary
-    folder; on a cluster that is an error, as executors would not see it."""
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: what lost executors held is still there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 #: Rows of a key that one task may take in any case, and the most keys that can be called hot.
 LEAST_HOT, MOST_HOT = 1000, 100_000
 
@@ -64,18 +49,30 @@ def spread(rows: DataFrame, classes: DataFrame, key: list[str], by: list[str], h
     return dealt.join(classes.withColumn("__salt", copies), [*key, "__salt"], how).drop("__salt")
 
 
+def keyed_id(key: str, text: str) -> Column:
+    return F.coalesce(F.col(key).cast("long"), F.xxhash64(F.lit("id"), F.coalesce(F.col(text), F.lit(""))))
+
+
+def keyed_digest(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def keyed(docs: DataFrame, key: str, text: str, carry: bool = False) -> DataFrame:
-    """(id, dg, text), and with ``carry`` the key itself as doc_id: what tells rows apart where ids repeat or are null. dg: 64 bits of the text; a null id is replaced by
-    64 other bits of it. Rows that agree in both have the same text, so whatever is found for one holds for the other."""
-    value = F.col(text)
-    other = F.xxhash64(F.lit("id"), F.coalesce(value, F.lit("")))
-    return docs.select(F.coalesce(F.col(key).cast("long"), other).alias("id"), F.xxhash64(F.coalesce(value, F.lit(""))).alias("dg"), value.alias("text"), *([F.col(key).cast("long").alias("doc_id")] if carry else []))
+    """(id, dg, text), and with ``carry`` the key itself as doc_id: what tells rows apart where ids repeat or are null.
+
+    dg: 64 bits of the text; a null id is replaced by 64 other bits of it. Rows that agree in both have the same text
+    (null counts as empty), so whatever is found for one holds for the other.
+    """
+    return docs.select(keyed_id(key, text).alias("id"), keyed_digest(text).alias("dg"), F.col(text).alias("text"), *([F.col(key).cast("long").alias("doc_id")] if carry else []))
 
 
-def without(docs: DataFrame, gone: DataFrame, key: str, small: int = 200_000) -> DataFrame:
-    """``docs`` less the rows whose ``key`` is in ``gone``: up to ``small`` ids travel as a broadcast, more are joined by shuffle."""
-    ids = cut(gone.select(key).distinct())
-    return docs.join(F.broadcast(ids) if ids.count() <= small else ids, key, "left_anti")
+def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text", small: int = 100_000) -> DataFrame:
+    """``docs`` less the rows that ``gone`` (id, dg of ``keyed``) names: up to ``small`` of them travel as a broadcast, more are
+    joined by shuffle. Every row has a key, so either way the same rows go."""
+    names = cut(gone.select(F.col("id").alias("__id"), F.col("dg").alias("__dg")).distinct())
+    marks = {"__i": keyed_id(key, text), "__d": keyed_digest(text)}
+    found = F.broadcast(names) if names.count() <= small else names
+    return docs.withColumns(marks).join(found, (F.col("__i") == F.col("__id")) & (F.col("__d") == F.col("__dg")), "left_anti").drop("__i", "__d")
 
 
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], carry: tuple[str, ...] = ()) -> DataFrame:

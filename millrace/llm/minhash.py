@@ -14,8 +14,13 @@ threshold). Every such pair is confirmed on full sets, so buckets have no cap: t
 larger ones inside their cells, where the sets travel and no pair is written. Links within a component are not
 expanded; they can't change it.
 
+Hot keys are dealt to several tasks: buckets, the stars' centres, the final look-up of a set's component.
+
 Words: A-Z lowered, split at space and \\x09-\\x0D. Set: distinct runs of SHINGLE words; a shorter text is one run.
-Null, empty and wordless texts have an empty set, link with nothing and are kept. Ties: the smallest id stays.
+Null, empty and wordless texts have an empty set, link with nothing and are kept. Ties: the smallest id stays. Ids may
+repeat: equal rows are kept or dropped together, and rows of one id with different texts are judged one by one. Null ids
+count as the largest; a group of nothing else has a null component and is kept. An empty table gives no rows; columns
+other than the key and the text are not looked at.
 """
 
 from __future__ import annotations
@@ -27,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .byte_bpe import Memo
-from .common import arrow_schema, cut, mix, table, text_batches, text_bytes
-from .components import components
+from .common import arrow_schema, cut, keyed, mix, spread, table, text_batches, text_bytes, without
 
 SHINGLE, PERCENT = 5, 75
 PERMUTATIONS, ROWS = 64, 4
@@ -98,13 +103,13 @@ def _digest(values: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """(id, n, a, b, bands, sig): set size, 128 bits of the set, buckets, and a byte of each signature value."""
-    schema = "id long, n long, a long, b long, bands array<long>, sig binary"
+    """(id, dg, doc_id, n, a, b, bands, sig): set size, 128 bits of the set, buckets, and a byte of each signature value."""
+    schema = "id long, dg long, doc_id long, n long, a long, b long, bands array<long>, sig binary"
 
     def run(batches):
         shingles, arrow = Shingles(shingle), arrow_schema(schema)
         for batch in batches:
-            sets = shingles.sets(text_bytes(batch.column(1)))
+            sets = shingles.sets(text_bytes(batch.column("text")))
             full = [k for k, s in enumerate(sets) if len(s)]
             keys, low = [[]] * len(sets), [b""] * len(sets)
             if full:
@@ -112,24 +117,25 @@ def sketch(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
                 for k, row, eight in zip(full, bands(sig), (mix(sig, 7) & np.uint64(255)).astype(np.uint8), strict=True):
                     keys[k], low[k] = row, eight.tobytes()
             digests = [_digest(s) for s in sets]
-            columns = [batch.column(0), [len(s) for s in sets], [d[0] for d in digests], [d[1] for d in digests], keys, low]
-            yield pa.RecordBatch.from_arrays([c.cast(pa.int64()) if k == 0 else pa.array(c, arrow[k].type) for k, c in enumerate(columns)], schema=arrow)
+            made = [[len(s) for s in sets], [d[0] for d in digests], [d[1] for d in digests], keys, low]
+            columns = [batch.column(k) for k in ("id", "dg", "doc_id")] + [pa.array(c, f.type) for c, f in zip(made, list(arrow)[3:], strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return keyed(docs, key, text, carry=True).mapInArrow(run, schema)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """(id, values binary): the sorted hashes of the sets of the wanted rows."""
-    schema = "id long, values binary"
+    """(node, values binary): the sorted hashes of the sets of the wanted rows (id, dg, node)."""
+    schema = "node long, values binary"
 
     def run(batches):
         shingles, arrow = Shingles(shingle), arrow_schema(schema)
         for batch in batches:
-            values = [s.tobytes() for s in shingles.sets(text_bytes(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(values, pa.binary())], schema=arrow)
+            values = [s.tobytes() for s in shingles.sets(text_bytes(batch.column("text")))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(values, pa.binary())], schema=arrow)
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
-    return rows.mapInArrow(run, schema)
+    # A row that is there twice has one set.
+    return keyed(docs, key, text).join(wanted, ["id", "dg"]).select("node", "text").mapInArrow(run, schema).dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -145,8 +151,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], schema=arrow)
 
-    x, y = sets.select(F.col("id").alias("a"), F.col("values").alias("x")), sets.select(F.col("id").alias("b"), F.col("values").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, schema)
+    # A node with very many pairs is ``a`` in all of them, as those of a bucket start from one node.
+    often = cut(pairs.groupBy("a").agg(F.count("*").alias("n")))
+    x, y = sets.select(F.col("node").alias("a"), F.col("values").alias("x")), sets.select(F.col("node").alias("b"), F.col("values").alias("y"))
+    return spread(pairs, often.join(x, "a"), ["a"], ["b"]).join(y, "b").select("a", "b", "x", "y").mapInArrow(run, schema)
 
 
 def _resemble(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -161,7 +169,7 @@ def _resemble(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 def _candidates(rows: dict[str, np.ndarray], kind: int, i: int, j: int, low: int, percent: int):
     """Pairs (places) of a cell across components, by size and signature; those with the bucket's star are tested."""
-    ids, label, n, home, main, sig = (rows[k] for k in ("id", "label", "n", "home", "d", "sig"))
+    ids, label, n, home, main, sig = (rows[k] for k in ("node", "label", "n", "home", "d", "sig"))
     first = np.nonzero(~main)[0]
     other = np.nonzero(main)[0] if kind == 0 else first[home[first] == j]
     for x in first if kind == 0 else first[home[first] == i]:
@@ -182,12 +190,12 @@ def _open_buckets(shared: DataFrame, labels: DataFrame, entries: DataFrame) -> D
 
     A bucket's largest component is cut into kd blocks, the rest into ku; every block of the rest meets every block.
     """
-    named = shared.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    groups = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    open_ = groups.groupBy("bucket").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size")).where(F.col("labels") > 1)
-    open_ = open_.select("bucket", "size", F.col("top.label").alias("main"), F.ceil(F.col("top.n") / CELL).cast("int").alias("kd"), F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("top.n")) / CELL)).cast("int").alias("ku"))
-    rows = named.join(open_, "bucket").join(entries, "id").withColumn("d", F.col("label") == F.col("main"))
-    rows = rows.withColumn("home", F.pmod(F.xxhash64("id"), F.when(F.col("d"), F.col("kd")).otherwise(F.col("ku"))).cast("int"))
+    named = shared.join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    groups = named.groupBy("bucket", "size", "label").agg(F.count("*").alias("n"))
+    open_ = groups.groupBy("bucket", "size").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top")).where(F.col("labels") > 1)
+    open_ = cut(open_.select("bucket", F.col("size").alias("n"), F.col("top.label").alias("main"), F.ceil(F.col("top.n") / CELL).cast("int").alias("kd"), F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("top.n")) / CELL)).cast("int").alias("ku")))
+    rows = spread(named, open_, ["bucket"], ["node"]).drop("n").join(entries, "node").withColumn("d", F.col("label") == F.col("main"))
+    rows = rows.withColumn("home", F.pmod(F.xxhash64("node"), F.when(F.col("d"), F.col("kd")).otherwise(F.col("ku"))).cast("int"))
     to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     h = F.col("home")
@@ -197,7 +205,7 @@ def _open_buckets(shared: DataFrame, labels: DataFrame, entries: DataFrame) -> D
 
 def _small_buckets(cells: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of buckets with at most SMALL rows; to be confirmed on full sets."""
-    lists = cells.groupBy("bucket", "cell").agg(F.collect_list(F.struct("id", "label", "n", "low", "d", "home", "sig")).alias("rows"))
+    lists = cells.groupBy("bucket", "cell").agg(F.collect_list(F.struct("node", "label", "n", "low", "d", "home", "sig")).alias("rows"))
     lists = lists.where((F.size("rows") > 1) & (F.size(F.array_distinct(F.col("rows.label"))) > 1)).select("cell.kind", "cell.i", "cell.j", "rows")
     schema = "a long, b long"
 
@@ -206,10 +214,10 @@ def _small_buckets(cells: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             left, right = [], []
             for kind, i, j, rows in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                columns = {name: np.array([r[name] for r in rows]) for name in ("id", "label", "n", "home", "d")}
+                columns = {name: np.array([r[name] for r in rows]) for name in ("node", "label", "n", "home", "d")}
                 columns["sig"] = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint8).reshape(len(rows), -1)
                 for x, y in _candidates(columns, kind, i, j, rows[0]["low"], percent):
-                    ids = columns["id"]
+                    ids = columns["node"]
                     left += np.minimum(ids[y], ids[x]).tolist()
                     right += np.maximum(ids[y], ids[x]).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=arrow)
@@ -223,12 +231,12 @@ def _large_buckets(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     schema = "a long, b long"
 
     def each(table: pa.Table) -> pa.Table:
-        rows = {name: table.column(name).to_numpy() for name in ("id", "label", "n", "home", "bucket", "low", "kind", "i", "j")}
+        rows = {name: table.column(name).to_numpy() for name in ("node", "label", "n", "home", "bucket", "low", "kind", "i", "j")}
         rows["d"] = np.array(table.column("d").to_pylist(), bool)
         rows["sig"] = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(table), -1)
         own = np.array(table.column("bands").to_pylist(), np.int64)
         values = [np.frombuffer(v, np.uint64) for v in table.column("values").to_pylist()]
-        bucket, ids, joined = rows["bucket"][0], rows["id"], {}
+        bucket, ids, joined = rows["bucket"][0], rows["node"], {}
 
         def root(k: int) -> int:
             while joined.get(k, k) != k:
@@ -249,39 +257,57 @@ def _large_buckets(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                     right.append(max(ids[x], ids[y]))
         return pa.table([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=arrow_schema(schema))
 
-    flat = cells.select("bucket", "cell.kind", "cell.i", "cell.j", "id", "label", "n", "low", "d", "home", "sig", "bands").join(sets, "id")
+    flat = cells.select("bucket", "cell.kind", "cell.i", "cell.j", "node", "label", "n", "low", "d", "home", "sig", "bands").join(sets, "node")
     return flat.groupBy("bucket", "kind", "i", "j").applyInArrow(each, schema)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, small: int = SMALL) -> DataFrame:
-    """One row per document: (doc_id, n_shingles, component_id, kept)."""
+    """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept), and (id, dg) that tell rows apart.
+
+    The nodes of the graph are different sets, not ids: rows with one id and different texts are apart.
+    """
     text_batches(docs.sparkSession)
     base = cut(sketch(docs, key, text, shingle))
-    full = base.where(F.col("n") > 0)
-    classes = full.groupBy("a", "b", "n").agg(F.min("id").alias("rep"))
-    entries = base.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    placed = entries.select("id", "n", F.explode("bands").alias("bucket"))
-    buckets = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("low")).where(F.col("size") > 1).select("bucket", "low")
-    shared = cut(placed.join(buckets, "bucket").select("bucket", "id", "low"))
-    ids = shared.select("id").distinct()
-    sets = cut(full_sets(docs, ids, key, text, shingle))
-    size = entries.select("id", "n")
-    star = shared.where(F.col("id") != F.col("low")).select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
-    star = star.join(size.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-    star = star.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
-    links = cut(confirmed(star, sets, percent))
-    labels = components(links)
-    cells = _open_buckets(shared, labels, entries.select("id", "n", "sig", "bands"))
-    more = cut(confirmed(_small_buckets(cells.where(F.col("size") <= small), percent), sets, percent).union(_large_buckets(cells.where(F.col("size") > small), sets, percent)))
-    labels = components(labels.select(F.col("label").alias("a"), F.col("id").alias("b")).union(more))
-    # Folded sets: the smallest id of a component's entries is the smallest of its documents.
-    named = classes.join(labels, F.col("rep") == F.col("id"), "left").select("a", "b", "n", F.coalesce("label", "rep").alias("component_id"))
-    out = base.select("id", "n", "a", "b").join(named, ["a", "b", "n"], "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    # Equal sets are one node. The smallest id of a node may be null only if all are.
+    sets_of = base.where(F.col("n") > 0).groupBy("a", "b", "n")
+    classes = sets_of.agg(F.count("*").alias("size"), F.min("doc_id").alias("least"), F.min(F.struct("id", "dg")).alias("one"), F.min_by(F.struct("bands", "sig"), F.struct("id", "dg")).alias("sketch"))
+    classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
+    entries = classes.select("node", "n", "sketch.bands", "sketch.sig")
+    placed = entries.select("node", F.explode("bands").alias("bucket"))
+    buckets = cut(placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("low")).where(F.col("n") > 1))
+    shared = cut(spread(placed, buckets, ["bucket"], ["node"]).select("bucket", "node", "low", F.col("n").alias("size")))
+    wanted = shared.select("node").distinct().join(classes.select("node", "one.id", "one.dg"), "node")
+    sets = cut(full_sets(docs, wanted, key, text, shingle))
+    sizes = classes.select("node", "n")
+    star = shared.where(F.col("node") != F.col("low")).select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
+    star = cut(star.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"))
+    starts = star.groupBy("a").agg(F.count("*").alias("n")).join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+    star = spread(star, cut(starts), ["a"], ["b"]).where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
+    links = cut(confirmed(cut(star), sets, percent))
+    labels = components(links).withColumnRenamed("root", "label")
+    cells = cut(_open_buckets(shared, labels, entries))
+    pairs = cut(_small_buckets(cells.where(F.col("size") <= small), percent))
+    large = cells.where(F.col("size") > small)
+    more = confirmed(pairs, sets, percent)
+    more = cut(more.union(_large_buckets(large, sets, percent)) if large.limit(1).count() else more)
+    labels = components(labels.select(F.col("label").alias("a"), F.col("id").alias("b")).union(more)).withColumnRenamed("root", "label")
+    # The smallest id of a component is the smallest of its nodes' smallest ids.
+    named = classes.select("node", "a", "b", "n", "size", "least").join(labels, F.col("node") == F.col("id"), "left").withColumn("label", F.coalesce("label", "node")).drop("id")
+    groups = cut(named.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("nodes")))
+    named = spread(named, groups, ["label"], ["node"], n="nodes").select("a", "b", F.col("n").alias("m"), F.col("size").alias("n"), "component_id")
+    rows = base.select("doc_id", "id", "dg", "a", "b", F.col("n").alias("n_shingles"))
+    found = spread(rows.where(F.col("n_shingles") > 0), cut(named), ["a", "b"], ["id", "dg"]).select("doc_id", "n_shingles", "component_id", "id", "dg")
+    empty = rows.where(F.col("n_shingles") == 0).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "id", "dg")
+    return found.union(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "n_shingles", "component_id", "kept", "id", "dg")
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates."""
+    return without(docs, near_duplicates(docs, key, text).where(~F.col("kept")), key, text)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("id", "dg")
 
 
 def brute(rows: list[tuple[int, str | None]], shingle: int = SHINGLE, percent: int = PERCENT) -> dict[int, tuple[int, int, bool]]:

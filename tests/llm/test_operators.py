@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import byte_bpe, common, decontaminate, html_text, language_id, line_dedup, minhash, secret_scan, sharding, suffix_dedup, threshold_search
-from millrace.llm.components import components
 
 ROWS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("id", T.StringType()), T.StructField("h", T.StringType()), T.StructField("rank", T.StringType())])
 
@@ -338,9 +337,14 @@ def test_bands_of_short_texts_agree_as_often_as_of_long_ones():
     assert abs((left == right).mean() - 0.75**4) < 0.01
 
 
-def test_components(spark):
-    edges = spark.createDataFrame([(k, k + 1) for k in range(9)] + [(20, 21), (21, 20), (30, 30)], "a long, b long")
-    assert {r["id"]: r["label"] for r in components(edges).collect()} == {**{k: 0 for k in range(10)}, 20: 20, 21: 20, 30: 30}
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    texts = [prose(1, 90), prose(2, 90), prose(1, 90) + " q", prose(2, 90) + " q", prose(31, 90), prose(31, 90), None, "", prose(2, 90)]
+    ids = [1, 1, 5, 4, None, None, None, 9, 1]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    out = sorted(str((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"])) for r in minhash.near_duplicates(docs).collect())
+    wanted = [(1, 86, 1, True), (1, 86, 1, True), (1, 86, 1, True), (5, 87, 1, False), (4, 87, 1, False), (None, 86, None, True), (None, 86, None, True), (None, 0, None, True), (9, 0, 9, True)]
+    assert out == sorted(map(str, wanted))
+    assert minhash.deduplicated(docs).count() == 7
 
 
 # ------------------------------------------------------------------ shards
