@@ -1,31 +1,42 @@
-"""Benchmark passages in documents, by a positional inverted index that is distributed over the documents.
-
-Every batch of documents is a shard of the index with its own postings (term -> positions); only terms of the test
-items are kept. A window of an item is looked up from its rarest term in the shard: that list, less the term's place
-in the window, gives the candidate starts, and the lists of the other terms, rarest first and adjusted alike, are
-intersected with it. What is left are exact phrase matches. With ``slop`` > 0, proximity matches (every term within
-``slop`` words of its place) are counted beside them.
-
-The test items travel to the shards in blocks of BLOCK_BYTES, so a benchmark of any size works; documents are never
-shuffled. Null and wordless documents have no words and no hits; null and wordless items have no windows; repeated
-items count each with its own id. Words: A-Z lowered, runs of digits, letters a-z and anything beyond ASCII.
+"""Benchmark passages in documents, by a stored positional inverted index and joins of posting lists.
+
+1. Windows. Each test item gives windows of WINDOW terms; a shorter item is one window. Equal windows are one.
+2. Counts. How often each test term occurs in all documents; windows' terms are ordered by that, rarest first.
+3. Index. Postings of the two rarest terms of each window (row, term, places) are written to the shared folder.
+4. Intersection. A window's rarest list, less the term's place in the window, gives candidate starts; they are joined with
+   the second list at its own place. Only for rows that are left, postings of all test terms are stored too, and the
+   remaining terms must stand at their places. What is left are exact phrase matches.
+5. Proximity. With ``slop`` > 0, matches in which each term lies within ``slop`` words of its place, counted from the rarest
+   term, but some not at it, are counted in n_near.
+
+Terms are 64-bit hashes of words. Tasks know the wanted terms (and rows) by a bit map of BITS bits, whatever their number;
+what it lets through by chance finds no partner in the joins. Nothing else is broadcast or collected, but for keys that
+``common.spread`` deals to several tasks, so the benchmark may have any size. Documents are read three times and never
+shuffled.
+
+Rows are told apart by id and text, so ids may be null or repeated and every row gets one row. Null and wordless
+documents have no words and no hits; null and wordless items have no windows; repeated items count each with its own
+id, a null item id has no name and isn't counted. Empty tables give no rows, or no hits. Other columns are not looked at.
+Words: A-Z lowered, runs of digits, letters a-z and anything beyond ASCII.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WINDOW, MIN_SHARE = 13, 20
-BLOCK_BYTES = 8 << 20
-#: Candidate starts looked at together in a shard.
-TOGETHER = 1_000_000
+from .byte_bpe import Memo
+from .common import arrow_schema, cut, keyed, spread, text_batches, text_bytes
+
+WINDOW, MIN_SHARE, SLOP = 13, 20, 1
+#: Bits of a map of terms or rows: a megabyte in all.
+BITS = 1 << 23
 
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -34,138 +45,156 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_WORD).split()
 
 
-class Items:
-    """The windows of a block of test items: a matrix of terms, -1 beyond a short item's end, and whose they are."""
-
-    def __init__(self, items: list[tuple[int, bytes]], window: int):
-        self.terms: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[int]] = defaultdict(set)
-        for item, text in items:
-            ids = [self.terms.setdefault(w, len(self.terms)) for w in words(text)]
-            for at in range(max(1, len(ids) - window + 1) if ids else 0):
-                owners[tuple(ids[at : at + window])].add(item)
-        self.matrix = np.full((len(owners), window), -1, np.int64)
-        for k, ids in enumerate(owners):
-            self.matrix[k, : len(ids)] = ids
-        self.length = (self.matrix >= 0).sum(axis=1)
-        self.owners = [sorted(x) for x in owners.values()]
-
-
-class Shard:
-    """Postings of a batch of documents, as sorted (term, position) keys; positions run on over the documents."""
-
-    def __init__(self, texts: list[bytes], items: Items):
-        split = [words(t) for t in texts]
-        self.n_words = [len(w) for w in split]
-        # A gap after each document, so that no phrase goes over its end.
-        self.starts = np.concatenate([[0], np.cumsum(np.array(self.n_words, np.int64) + 1)])
-        self.size = int(self.starts[-1]) + 1
-        get, none = items.terms.get, repeat(-1)
-        found = np.full(self.size, -1, np.int64)
-        for at, w in zip(self.starts, split, strict=False):
-            found[at : at + len(w)] = np.fromiter(map(get, w, none), np.int64, len(w))
-        places = np.nonzero(found >= 0)[0]
-        self.keys = np.sort(found[places] * self.size + places)
-        self.counts = np.bincount(found[places], minlength=len(items.terms))
-        self.first = np.concatenate([[0], np.cumsum(self.counts)])
-
-    def has(self, terms: np.ndarray, places: np.ndarray, slop: int = 0) -> np.ndarray:
-        """Is there a posting of each term within ``slop`` of its place?"""
-        low = np.searchsorted(self.keys, terms * self.size + np.maximum(places - slop, 0))
-        return (low < len(self.keys)) & (self.keys[np.minimum(low, len(self.keys) - 1)] <= terms * self.size + np.minimum(places + slop, self.size - 1))
-
-    def phrases(self, items: Items, slop: int) -> tuple[np.ndarray, np.ndarray]:
-        """(window, start) of every match."""
-        none = np.empty(0, np.int64)
-        if not len(items.matrix) or not len(self.keys):
-            return none, none
-        lengths = np.where(items.matrix >= 0, self.counts[items.matrix], 1 << 60)
-        alive = np.nonzero(lengths.min(axis=1) > 0)[0]
-        rarest = np.argsort(lengths[alive], axis=1, kind="stable")
-        pivots = items.matrix[alive, rarest[:, 0]]
-        sums = np.concatenate([[0], np.cumsum(self.counts[pivots])])
-        out, at = [(none, none)], 0
-        while at < len(alive):
-            to = max(at + 1, int(np.searchsorted(sums, sums[at] + TOGETHER, "right")) - 1)
-            n = self.counts[pivots[at:to]]
-            which = np.repeat(np.arange(at, to), n)
-            into = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-            start = self.keys[self.first[pivots[which]] + into] % self.size - rarest[which, 0]
-            good = (start >= 0) & (start + items.length[alive[which]] <= self.size)
-            which, start = which[good], start[good]
-            for k in range(1, items.matrix.shape[1]):
-                place = rarest[which, k]
-                term = items.matrix[alive[which], place]
-                good = (term < 0) | self.has(np.maximum(term, 0), start + place, slop)
-                which, start = which[good], start[good]
-            out.append((alive[which], start))
-            at = to
-        return np.concatenate([w for w, _ in out]), np.concatenate([s for _, s in out])
-
-    def report(self, items: Items, slop: int) -> dict[str, list]:
-        window, start = self.phrases(items, 0)
-        cover = np.zeros(self.size + 1, np.int64)
-        np.add.at(cover, start, 1)
-        np.add.at(cover, start + items.length[window], -1)
-        edge = np.diff(np.concatenate([[0], (np.cumsum(cover) > 0).astype(np.int8), [0]]))
-        begin, end = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
-        n = len(self.n_words)
-        doc_of = lambda places: np.searchsorted(self.starts, places, "right") - 1
-        spans: list[list[int]] = [[] for _ in range(n)]
-        for d, b, e in zip(doc_of(begin), begin, end, strict=True):
-            spans[d] += [int(b - self.starts[d]), int(e - self.starts[d])]
-        found: list[set[int]] = [set() for _ in range(n)]
-        for d, w in set(zip(doc_of(start).tolist(), window.tolist(), strict=True)):
-            found[d].update(items.owners[w])
-        near = np.zeros(n, np.int64)
-        if slop:
-            w, s = self.phrases(items, slop)
-            exact = set(zip(window.tolist(), start.tolist(), strict=True))
-            inexact = [x for x, y in zip(s.tolist(), w.tolist(), strict=True) if (y, x) not in exact]
-            near = np.bincount(doc_of(np.array(inexact, np.int64)), minlength=n)
-        return {"n_words": self.n_words, "spans": spans, "items": [sorted(f) for f in found], "n_near": near.tolist()}
-
-
-def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: n_words, spans (word places: start, end, start, end ... of what windows cover), items, n_near."""
-    from .common import map_rows, text_batches
-
+class Terms:
+    """Hashes of a text's words, in order."""
+
+    def __init__(self):
+        self.memo = Memo(lambda w: int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little", signed=True))
+
+    def of(self, text: bytes) -> np.ndarray:
+        found = words(text)
+        return np.fromiter(map(self.memo.__getitem__, found), np.int64, len(found))
+
+
+def bit_map(keys: DataFrame, key: str) -> np.ndarray:
+    """The map of a column of 64-bit hashes, put together where the rows are; at most BITS / 64 numbers come back."""
+    bit = F.col(key).bitwiseAND(F.lit(BITS - 1))
+    words = keys.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({key} & 63 as int))")).alias("bits"))
+    out = np.zeros(BITS // 64, np.int64)
+    for r in words.collect():
+        out[r["at"]] = r["bits"]
+    return out.view(np.uint64)
+
+
+def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    low = keys.view(np.uint64) & np.uint64(64 * len(bits) - 1)
+    return (bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def windows(benchmark: DataFrame, item: str, text: str, size: int) -> DataFrame:
+    """(item, terms array<long>): every window of every item."""
+    schema = "item long, terms array<long>"
+
+    def run(batches):
+        terms, arrow = Terms(), arrow_schema(schema)
+        for batch in batches:
+            items, rows = [], []
+            for i, value in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
+                found = terms.of(value).tolist()
+                made = [found[at : at + size] for at in range(max(1, len(found) - size + 1) if found else 0)]
+                items += [i] * len(made)
+                rows += made
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(rows, arrow[1].type)], schema=arrow)
+
+    return benchmark.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text")).mapInArrow(run, schema)
+
+
+def counted(rows: DataFrame, wanted) -> DataFrame:
+    """(term, n) of each batch, for the terms in the map."""
+    schema = "term long, n long"
+
+    def run(batches):
+        terms, bits, arrow = Terms(), wanted.value, arrow_schema(schema)
+        for batch in batches:
+            found = [terms.of(t) for t in text_bytes(batch.column(0))]
+            whole = np.concatenate(found) if found else np.empty(0, np.int64)
+            term, n = np.unique(whole[marked(bits, whole)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n.astype(np.int64))], schema=arrow)
+
+    return rows.select("text").mapInArrow(run, schema)
+
+
+def postings(rows: DataFrame, wanted, only=None) -> DataFrame:
+    """(id, dg, doc_id, n_words, terms, places): the postings of a row's terms that are in the map ``wanted``, in page order.
+
+    only: a map of ``mark``; other rows have no words here.
+    """
+    schema = "id long, dg long, doc_id long, n_words long, terms array<long>, places array<int>"
+
+    def run(batches):
+        terms, bits, arrow = Terms(), wanted.value, arrow_schema(schema)
+        for batch in batches:
+            texts = text_bytes(batch.column("text"))
+            if only is not None:
+                keep = marked(only.value, np.array(batch.column("mark").to_pylist(), np.int64)) if texts else []
+                texts = [t if k else b"" for t, k in zip(texts, keep, strict=True)]
+            found = [terms.of(t) for t in texts]
+            places = [np.nonzero(marked(bits, f))[0] for f in found]
+            made = [pa.array([len(f) for f in found], pa.int64()), pa.array([f[p] for f, p in zip(found, places, strict=True)], arrow[4].type), pa.array([p.astype(np.int32) for p in places], arrow[5].type)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("id", "dg", "doc_id")), *made], schema=arrow)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _single(index: DataFrame) -> DataFrame:
+    """(id, dg, term, place): one row for each posting; rows that are there twice count once."""
+    rows = index.where(F.size("terms") > 0).dropDuplicates(["id", "dg"])
+    return rows.select("id", "dg", F.explode(F.arrays_zip("terms", "places")).alias("x")).select("id", "dg", F.col("x.terms").alias("term"), F.col("x.places").alias("place"))
+
+
+def phrases(docs: DataFrame, tests: DataFrame, index_of, slop: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with their number of words, matches (id, dg, w, start, length, exact)) of windows (w, terms)."""
+    shared = docs.sparkSession.sparkContext.broadcast
+    terms = cut(tests.select(F.explode("terms").alias("term")).distinct())
+    all_terms = shared(bit_map(terms, "term"))
+    counts = cut(counted(docs, all_terms).groupBy("term").agg(F.sum("n").alias("n")).join(terms, "term", "left_semi"))
+    placed = tests.select("w", F.posexplode("terms").alias("place", "term")).join(counts, "term", "left")
+    lists = placed.groupBy("w").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "place", "term"))).alias("lists"))
+    # A term that occurs nowhere rules its window out.
+    plans = cut(lists.where(F.col("lists")[0]["n"] > 0))
+    first, second = F.col("lists")[0], F.get("lists", 1)
+    pivots = plans.select(F.explode(F.slice("lists", 1, 2)).alias("x")).select("x.term", "x.n").distinct()
+    pivots = cut(pivots)
+    index = cut(index_of(shared(bit_map(pivots, "term")), None))
+    single = cut(_single(index))
+    begin = plans.select("w", F.size("lists").alias("length"), first["term"].alias("term"), first["place"].alias("at"), first["n"].alias("n"), second["term"].alias("term2"), second["place"].alias("at2"))
+    starts = spread(single, cut(begin), ["term"], ["id", "place"], sizes=pivots).select("id", "dg", "w", "length", (F.col("place") - F.col("at")).alias("start"), "term2", "at2").where(F.col("start") >= 0)
+    reach = F.explode(F.sequence(F.lit(-slop), F.lit(slop)))
+    probes = starts.where(F.col("term2").isNotNull()).withColumn("off", reach)
+    probes = probes.select("id", "dg", "w", "length", "start", "off", F.col("term2").alias("term"), (F.col("start") + F.col("at2") + F.col("off")).alias("place"))
+    met = probes.join(single, ["id", "dg", "term", "place"]).groupBy("id", "dg", "w", "length", "start").agg(F.max(F.col("off") == 0).alias("exact"))
+    alone = starts.where(F.col("term2").isNull()).select("id", "dg", "w", "length", "start", F.lit(True).alias("exact"))
+    left = cut(met.union(alone))
+    # The rest of the terms, in the few rows that are left.
+    marks = bit_map(left.select(F.xxhash64("id", "dg").alias("mark")), "mark")
+    more = cut(_single(index_of(all_terms, shared(marks))))
+    often = cut(left.groupBy("w").agg(F.count("*").alias("n")))
+    rest = often.join(plans.select("w", F.slice("lists", 3, 1 << 20).alias("rest")), "w")
+    todo = spread(left, rest, ["w"], ["id", "start"]).drop("n")
+    done = todo.where(F.size("rest") == 0).select("id", "dg", "w", "start", "length", "exact")
+    probes = todo.where(F.size("rest") > 0).withColumn("t", F.explode("rest")).withColumn("off", reach)
+    probes = probes.select("id", "dg", "w", "start", "length", "exact", F.col("t.place").alias("at"), "off", F.col("t.term").alias("term"), (F.col("start") + F.col("t.place") + F.col("off")).alias("place"))
+    each = probes.join(more, ["id", "dg", "term", "place"]).groupBy("id", "dg", "w", "start", "length", "exact", "at").agg(F.max(F.col("off") == 0).alias("here"))
+    full = each.groupBy("id", "dg", "w", "start", "length", "exact").agg(F.count("*").alias("terms"), F.min("here").alias("all_here")).where(F.col("terms") == F.col("length") - 2)
+    return index, cut(done.union(full.select("id", "dg", "w", "start", "length", (F.col("exact") & F.col("all_here")).alias("exact"))))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int = 0) -> DataFrame:
+    """Per row: doc_id, n_words, spans (word places: start, end, start, end ... of what windows cover), items, n_near, and (id, dg)."""
     text_batches(docs.sparkSession)
-    tests = benchmark.select(F.col(item).cast("long").alias("item"), F.col(item_text).cast("binary").alias("text")).where(F.col("text").isNotNull())
-    total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    parts = []
-    for block in range(blocks):
-        rows = [(r[0], bytes(r[1])) for r in tests.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()]
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
-
-        def make(shared=shared):
-            items = Items(shared.value, window)
-            return lambda x: {"doc_id": x["doc_id"]} | Shard([t or b"" for t in x["text"]], items).report(items, slop)
-
-        digest = [F.xxhash64("text").alias("__a"), F.xxhash64(F.lit("text"), "text").alias("__b")] if blocks > 1 else []
-        rows = source.select("*", *digest, F.lit(block).alias("__block")) if digest else source
-        parts.append(map_rows(rows, "doc_id long, n_words long, spans array<long>, items array<long>, n_near long", make, ("__a", "__b", "__block") if digest else ()))
-    if blocks == 1:
-        return parts[0]
-    # Ids may be null or repeated: rows of one id and text have the same findings, so they fold and are written out again.
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part.where((F.size("items") > 0) | (F.col("n_near") > 0)))
-    found = F.collect_set(F.struct("__block", "spans", "items", "n_near")).alias("found")
-    folded = out.groupBy("doc_id", "__a", "__b").agg(F.max("n_words").alias("n_words"), found, F.count(F.when(F.col("__block") == 0, 1)).cast("int").alias("copies"))
-    near = F.aggregate("found.n_near", F.lit(0).cast("long"), lambda a, x: a + x)
-    merged = folded.select("doc_id", "n_words", F.flatten("found.spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten("found.items"))).alias("items"), near.alias("n_near"), "copies")
-    return merged.withColumn("spans", _merged("spans")).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy", "copies")
+    made = cut(windows(benchmark, item, item_text, window).withColumn("w", F.xxhash64("terms")))
+    rows = keyed(docs, key, text, carry=True).withColumn("mark", F.xxhash64("id", "dg"))
+    index, found = phrases(rows, made.groupBy("w").agg(F.first("terms").alias("terms")), lambda wanted, only: postings(rows, wanted, only), slop)
+    exact = found.where("exact")
+    spans = exact.groupBy("id", "dg").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("spans"))
+    hits = cut(exact.select("id", "dg", "w").distinct())
+    sizes = cut(hits.groupBy("w").agg(F.count("*").alias("n")))
+    owners = cut(made.select("w", "item").distinct().join(sizes, "w"))
+    items = spread(hits, owners, ["w"], ["id", "dg"], sizes=sizes).groupBy("id", "dg").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    near = found.where(~F.col("exact")).groupBy("id", "dg").agg(F.count("*").alias("n_near"))
+    told = cut(spans.join(items, ["id", "dg"], "full").join(near, ["id", "dg"], "full"))
+    out = index.select("doc_id", "id", "dg", "n_words").join(told, ["id", "dg"], "left")
+    none = F.array().cast("array<long>")
+    flat = _merged(F.flatten(F.transform("spans", lambda x: F.array(x["start"].cast("long"), x["end"].cast("long")))))
+    return out.select("doc_id", "n_words", F.when(F.col("spans").isNotNull(), flat).otherwise(none).alias("spans"), F.coalesce("items", none).alias("items"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "id", "dg")
 
 
 @F.udf(T.ArrayType(T.LongType()), useArrow=True)
 def _merged(spans):
     out: list[int] = []
-    for b, e in sorted(zip(spans[::2], spans[1::2], strict=True)):
+    for b, e in zip(spans[::2], spans[1::2], strict=True) if spans is not None else ():
         if out and b <= out[-1]:
-            out[-1] = max(out[-1], e)
+            out[-1] = max(out[-1], int(e))
         else:
             out += [int(b), int(e)]
     return out
@@ -179,12 +208,19 @@ def judged(found: DataFrame) -> DataFrame:
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (MIN_SHARE * F.col("n_hit") >= F.col("n_words")))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without those that the contamination rule names."""
+    from .common import without
+
+    return without(docs, judged(matches(docs, benchmark, key, text)).where("contaminated"), key, text)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
-    out = judged(matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    out = judged(matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=SLOP))
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(names, 256).alias("items_sha256"), "contaminated")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(names, 256).alias("items_sha256"), "contaminated", "n_near")
 
 
 def brute(texts: list[str | None], items: list[tuple[int, str | None]], window: int = WINDOW) -> list[tuple]:

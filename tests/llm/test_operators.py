@@ -241,13 +241,18 @@ def test_suffix_dedup_empty(spark):
 
 
 # ------------------------------------------------------------------ benchmark
-def test_decontaminate(spark):
-    items = [(1, PASSAGE), (2, prose(5, 5)), (3, None), (4, ""), (5, PASSAGE), (10, "zz yy"), (11, prose(7, 20000)[500:700])]
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    wanted = decontaminate.brute(TEXTS, [(i, t) for i, t in items])
-    for block in (decontaminate.BLOCK_BYTES, 200):
-        found = decontaminate.judged(decontaminate.matches(table(spark), bench, block_bytes=block)).withColumn("names", F.sha2(F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ","), 256))
-        assert [(r["n_words"], r["n_hit"], r["n_items"], r["names"], r["contaminated"]) for r in found.orderBy("doc_id").collect()] == wanted
+def verdicts(found) -> list[tuple]:
+    named = decontaminate.judged(found).withColumn("names", F.sha2(F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ","), 256))
+    return [(r["n_words"], r["n_hit"], r["n_items"], r["names"], r["contaminated"]) for r in named.orderBy("doc_id").collect()]
+
+
+def test_decontaminate(spark, monkeypatch):
+    items = [(1, PASSAGE), (2, prose(5, 5)), (3, None), (4, ""), (5, PASSAGE), (10, "zz yy"), (11, prose(7, 20000)[500:700]), (12, "menu"), (13, "never seen")]
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("w", F.lit("x"))
+    wanted = decontaminate.brute(TEXTS, items)
+    for bits, slop in ((1 << 23, 0), (1 << 7, 2)):  # a tiny map lets nearly everything through
+        monkeypatch.setattr(decontaminate, "BITS", bits)
+        assert verdicts(decontaminate.matches(table(spark), bench, slop=slop)) == wanted
     assert decontaminate.matches(empty(spark), bench).count() == 0
     assert decontaminate.judged(decontaminate.matches(table(spark), bench.limit(0))).where("n_hit > 0").count() == 0
 
@@ -255,15 +260,19 @@ def test_decontaminate(spark):
 def test_decontaminate_null_and_repeated_ids(spark):
     rows = [(None, PASSAGE), (None, PASSAGE), (None, "a b"), (7, PASSAGE), (7, prose(5, 70)), (7, None), (7, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    bench = spark.createDataFrame([(1, PASSAGE), (2, prose(7, 200)), (3, PASSAGE)], "item_id long, text string")
-    one, many = (sorted(map(str, decontaminate.matches(docs, bench, block_bytes=b, slop=2).collect())) for b in (decontaminate.BLOCK_BYTES, 200))
-    assert len(one) == len(rows) and one == many
+    items = [(1, PASSAGE), (2, prose(7, 200)), (3, PASSAGE)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(verdicts(decontaminate.matches(docs, bench))) == sorted(decontaminate.brute([t for _, t in rows], items))
+    assert sorted(str(r["text"]) for r in decontaminate.clean(docs, bench).collect()) == sorted(str(t) for _, t in rows if t != PASSAGE)
 
 
-def test_proximity():
-    items = decontaminate.Items([(1, b"a b c d e f g h i j k l m")], 13)
-    shard = decontaminate.Shard([b"a b c d e f x g h i j k l m", b"a b c d e f g h i j k l m"], items)
-    assert shard.report(items, 0)["spans"] == [[], [0, 13]] and shard.report(items, 1)["n_near"][0] > 0
+def test_proximity(spark):
+    texts = ["a b c d e f x g h i j k l m", "a b c d e f g h i j k l m", "m l k j i h g f e d c b a", "a b c d e g f h i j k l m"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a b c d e f g h i j k l m")], "item_id long, text string")
+    out = {r["doc_id"]: r for r in decontaminate.matches(docs, bench, slop=1).collect()}
+    assert [list(out[k]["spans"]) for k in range(4)] == [[], [0, 13], [], []]
+    assert [out[k]["n_near"] for k in range(4)] == [1, 0, 0, 1]
 
 
 # ------------------------------------------------------------------ languages
