@@ -1,22 +1,28 @@
 """Site-relative line frequency: lines that too many of a host's pages carry are boilerplate and go.
 
 Only DataFrame functions are used. A line's frequency is (pages of the host with the line) / (pages of the host).
-A page that repeats another page of its host word for word counts once, in both numbers: else a group of copies
-would turn its own prose into boilerplate; near-duplicate removal deals with the copies themselves.
+A page that repeats another page of its host word for word counts once, in both numbers: else a group of copies that
+makes up a tenth of a host would lose its whole prose, in each copy, so that none of it were left for near-duplicate
+removal, which deals with the copies themselves.
+
+A host's boilerplate is one list, joined to the host's pages. A line in it is on more than ``ratio`` of the pages, so a list
+holds fewer lines than 1 / ratio average pages do. Pages and lines of hot hosts are dealt to several tasks.
 
 Lines are compared trimmed; blank lines never count and stay where they are. Null text stays null; an empty text
 stays empty; a null host is a host of its own. Lines repeated within a page count once for it and all go together.
+Rows are cleaned one by one, so ids may be null or repeated, and repeated rows are cleaned alike. An empty table gives no
+rows. Other columns are passed on; those named n_lines and n_dropped are replaced.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut, spread
+
 RATIO, MIN_PAGES = 0.1, 5
-#: Boilerplate lines up to this number travel as a broadcast (24 bytes each); more go by a join on shuffled keys.
+#: Lists of up to this number of lines in all travel as a broadcast (24 bytes each); the same join is shuffled beyond that.
 BROADCAST_LINES = 200_000
 
 
@@ -39,31 +45,18 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
     # Lines of copies: each (line, page digest) counts once. Frequent lines are few, so they are found by plain counts first.
     lines = keyed.select("host", "none", "page", F.explode("keys").alias("key"))
     often = lines.groupBy("host", "none", "key").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    often = often.join(totals, (often.host == totals.host) & (often.none == totals.none)).where(F.col("n") > ratio * F.col("distinct_pages")).select(often.host, often.none, "key", "distinct_pages")
-    exact = lines.join(often, ["host", "none", "key"]).groupBy("host", "none", "key", "distinct_pages", "page").agg(F.lit(1).alias("one")).groupBy("host", "none", "key").agg(F.count("*").alias("n"), F.first("distinct_pages").alias("distinct_pages"))
+    often = cut(often.join(totals, ["host", "none"]).where(F.col("n") > ratio * F.col("distinct_pages")).select("host", "none", "key", "n", "distinct_pages"))
+    exact = spread(lines, often, ["host", "none", "key"], ["page"]).groupBy("host", "none", "key", "distinct_pages", "page").agg(F.lit(1).alias("one")).groupBy("host", "none", "key").agg(F.count("*").alias("n"), F.first("distinct_pages").alias("distinct_pages"))
     return exact.where((F.col("n") >= min_pages) & (F.col("n") > ratio * F.col("distinct_pages"))).select("host", "none", "key")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text``, and n_lines and n_dropped (long; 0 for null text).
-
-    ``key`` deals the rows in the path beyond ``broadcast_lines``; it may be null or repeated.
-    """
-    from .common import cut
-
-    found = cut(boilerplate(docs, host, text, ratio, min_pages))
-    here = F.coalesce(F.col(host), F.lit(""))
-    if found.count() <= broadcast_lines:
-        per_host = F.broadcast(found.groupBy(F.col("host").alias("__host"), F.col("none").alias("__none")).agg(F.collect_list("key").alias("__drop")))
-        joined = docs.join(per_host, (here == F.col("__host")) & (F.col(host).isNull() == F.col("__none")), "left").drop("__host", "__none")
-    else:
-        # Rows of one id, host and text lose the same lines, so they share one list of them.
-        marks = [F.col(key), here, F.col(host).isNull(), F.xxhash64(text), F.xxhash64(F.lit("page"), F.col(text))]
-        names = ["__id", "host", "none", "__a", "__b"]
-        lines = docs.select(*(m.alias(n) for m, n in zip(marks, names, strict=True)), F.explode(F.array_distinct(F.transform(F.transform(F.split(text, "\n"), _trimmed), _key))).alias("key"))
-        hits = lines.join(found, ["host", "none", "key"]).groupBy(*names).agg(F.collect_set("key").alias("__drop")).select("__drop", *(F.col(n).alias(f"__hit{k}") for k, n in enumerate(names)))
-        same = reduce(lambda x, y: x & y, (m.eqNullSafe(F.col(f"__hit{k}")) for k, m in enumerate(marks)))
-        joined = docs.join(hits, same, "left").drop(*(f"__hit{k}" for k in range(len(names))))
+def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
+    """``docs`` with boilerplate lines taken out of ``text``, and n_lines and n_dropped (long; 0 for null text)."""
+    found = boilerplate(docs, host, text, ratio, min_pages)
+    lists = cut(found.groupBy(F.col("host").alias("__host"), F.col("none").alias("__none")).agg(F.collect_list("key").alias("__drop")))
+    small = (lists.agg(F.sum(F.size("__drop"))).first()[0] or 0) <= broadcast_lines
+    same = (F.coalesce(F.col(host), F.lit("")) == F.col("__host")) & (F.col(host).isNull() == F.col("__none"))
+    joined = docs.join(F.broadcast(lists) if small else lists, same, "left").drop("__host", "__none")
     whole = F.split(text, "\n")
     kept = F.filter(whole, lambda line: ~F.coalesce(F.array_contains(F.col("__drop"), _key(_trimmed(line))), F.lit(False)))
     touched = F.col("__drop").isNotNull() & F.col(text).isNotNull()

@@ -279,38 +279,89 @@ def test_proximity(spark):
 def test_language(spark):
     samples = {"en": "the house and the garden are near the river with many trees", "fr": "la maison et le jardin sont près de la rivière avec des arbres", "de": "das haus und der garten sind nahe am fluss mit vielen bäumen"}
     rows = [(k * 10 + n, " ".join(t.split()[n % 4 :] * 3), lang) for n, (lang, t) in enumerate(samples.items()) for k in range(12)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rows += [(7, "zq", "xx"), (8, "123 ½", "yy"), (9, "gone", None), (None, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("word", F.lit("x"))
     model = language_id.learn(docs)
-    asked = spark.createDataFrame([(1, "the river and trees"), (2, "la rivière et des arbres"), (3, None), (4, "123 !?"), (5, ""), (6, "und der fluss"), (7, "x" * 5000)], "doc_id long, text string")
-    out = {r["doc_id"]: r for r in language_id.predict(asked, model).collect()}
-    assert [out[k]["lang_pred"] for k in (1, 2, 3, 4, 5, 6)] == ["en", "fr", "und", "und", "und", "de"]
-    assert out[3]["score"] == 0.0 and all(0 <= r["score"] <= 1 for r in out.values()) and out[7]["lang_pred"] in samples
+    assert model.languages == ["de", "en", "fr", "xx"]  # one row is enough; one without a letter teaches nothing
+    asked = spark.createDataFrame([(1, "the river and trees"), (2, "la rivière et des arbres"), (3, None), (4, "123 !? ½²Ⅷ①"), (5, ""), (6, "und der fluss"), (7, "x" * 5000), (8, "zq zq"), (None, "the"), (1, "der fluss")], "doc_id long, text string")
+    out = language_id.predict(asked, model).collect()
+    assert [r["lang_pred"] for r in out if r["doc_id"] != 7] == ["en", "fr", "und", "und", "und", "de", "xx", "en", "de"]
+    assert out[2]["score"] == 0.0 and all(0 <= r["score"] <= 1 for r in out) and out[6]["lang_pred"] in model.languages
+    # What is returned for a batch is what summing by hand gives.
+    names = {k: n for n, k in enumerate(model.languages)}
+    total = sum(model.words([w])[0] for w in ("und", "der", "fluss"))
+    assert int(np.argmax(total)) == names["de"] and np.isclose(out[5]["score"], 1 / np.exp((total - total.max()) / np.sqrt(3)).sum())
     assert language_id.learn(docs.limit(0)) is None and {r["lang_pred"] for r in language_id.predict(asked, None).collect()} == {"und"}
+    assert language_id.learn(docs.where("lang = 'xx'")).languages == ["xx"] and language_id.learn(docs.where("lang = 'yy'")) is None
+
+
+def segmentations(word: bytes, pieces):
+    if not word:
+        yield ()
+    for n in range(1, len(word) + 1):
+        if word[:n] in pieces:
+            for rest in segmentations(word[n:], pieces):
+                yield (word[:n], *rest)
 
 
 def test_forward_sums_all_segmentations():
-    pieces, weights = [b"a", b"b", b"ab", b"ba"], np.array([[0.2], [0.3], [0.4], [0.1]])
-    model = language_id.Model(["x"], pieces, weights)
-    by_hand = 0.2 * 0.3 * 0.2 + 0.4 * 0.2 + 0.2 * 0.1
-    assert np.allclose(np.exp(model.forward([b"aba", b"a", b"aba"])[:, 0]), [by_hand, 0.2, by_hand])
+    pieces, weights = [b"a", b"b", b"ab", b"ba", b"bab"], np.array([[0.2, 0.1], [0.3, 0.2], [0.4, 0.3], [0.1, 0.3], [0.05, 0.1]])
+    model = language_id.Model(["x", "y"], pieces, weights)
+    of = dict(zip(pieces, weights, strict=True))
+    asked = [b"aba", b"a", b"abababbab", b"bbbaaabab", b"aba"]
+    by_hand = [sum(np.prod([of[p] for p in cut], axis=0) for cut in segmentations(w, of)) for w in asked]
+    assert np.allclose(np.exp(model.forward(asked)), by_hand)
+    long = model.forward([b"ab" * 4000, b"a" * 3000])
+    assert np.isfinite(long).all() and np.allclose(long[1], 3000 * np.log([0.2, 0.1]))
+    step = model.forward([b"ab" * 2001])[0] - model.forward([b"ab" * 2000])[0]
+    assert np.allclose(long[0] - model.forward([b"ab" * 3999])[0], step)
+
+
+def test_fit_is_expectation_maximisation():
+    pieces = {p: k for k, p in enumerate([b" ", b"a", b"b", b"ab", b" a", b"ba"])}
+    words = [("ab", 3), ("ba", 1), ("aab", 2)]
+    p = {x: 1 / len(pieces) for x in pieces}
+    for _ in range(2):
+        expected = dict.fromkeys(pieces, language_id.SMOOTH)
+        for word, n in words:
+            cuts = list(segmentations(b" " + word.encode(), pieces))
+            mass = [np.prod([p[x] for x in c]) for c in cuts]
+            for c, m in zip(cuts, mass, strict=True):
+                for x in c:
+                    expected[x] += n * m / sum(mass)
+        p = {x: e / sum(expected.values()) for x, e in expected.items()}
+    assert np.allclose(language_id.fit_pieces(words, pieces, 2), [expected[x] for x in pieces])
+
+
+def test_language_of_held_out_rows(spark):
+    out = language_id.query(spark, "/root/testdata/sf0.001").where("held_out").join(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang"), "doc_id").where("lang is not null and lang_pred <> 'und'")
+    assert out.where("lang = lang_pred").count() >= 0.97 * out.count()
 
 
 # ------------------------------------------------------------------ search
 def test_search(spark):
     r = np.random.RandomState(3)
     rows = [(int(k), [float(x) for x in v]) for k, v in enumerate(r.normal(size=(230, 6)))] + [(300, None), (301, [1.0, None] * 3), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (304, []), (350, [1.0, 2.0])] + [(k, [0.5] * 6) for k in (400, 401, 402, 403, 404, 405, 406)]
-    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("row", F.lit("x")).withColumn("dims", F.lit("y"))
     whole = {k: [int(np.floor(256 * x)) for x in v] for k, v in rows if v and all(x is not None and np.isfinite(x) for x in v)}
     wanted = []
     for q in sorted(k for k in whole if k % 50 == 0):
         scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), k) for k, v in whole.items() if k != q and len(v) == len(whole[q]))
         wanted += [(q, n + 1, k, -s) for n, (s, k) in enumerate(scored[:5])]
-    for block, queries in ((8192, 4096), (40, 2)):
+    for block, queries in ((8192, 1 << 21), (40, 20)):
         out = threshold_search.search(vectors, block=block, queries=queries).orderBy("query_id", "rank").collect()
         assert [tuple(x) for x in out] == wanted
     assert threshold_search.search(vectors.limit(0)).count() == 0
 
 
+def test_search_with_repeated_ids(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (7, [2.0, 0.0]), (7, [2.0, 0.0]), (None, [9.0, 9.0])]
+    out = threshold_search.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    first = [(50, 1, 7, 131072), (50, 2, 7, 131072), (50, 3, 50, 0)]
+    second = [(50, 1, 7, 0), (50, 2, 7, 0), (50, 3, 50, 0)]
+    assert sorted(map(tuple, out)) == sorted(first + second)
+
+
 # ------------------------------------------------------------------ near-duplicates
 @pytest.mark.parametrize("small", [48, 1])
 def test_near_duplicates(spark, small):
@@ -364,12 +415,32 @@ def test_hilbert_neighbours_touch():
     assert sorted(sharding.hilbert_index(grid, 3)) == list(range(512)) and (steps == 1).all()
 
 
-@pytest.mark.parametrize("shards", [4, 40])
-def test_shards(spark, shards):
-    out = sharding.shard(table(spark), shards=shards).collect()
-    sizes = [sorted(r["slot"] for r in out if r["shard"] == k) for k in range(shards)]
-    assert len(out) == len(TEXTS) and max(map(len, sizes)) - min(map(len, sizes)) <= 1 and all(s == list(range(len(s))) for s in sizes)
+def test_shards(spark, tmp_path):
     import zlib
 
-    assert all(r["text_crc32"] == zlib.crc32((TEXTS[r["doc_id"]] or "").encode()) and r["size"] == len((TEXTS[r["doc_id"]] or "").encode()) + 16 for r in out)
-    assert sharding.shard(empty(spark), shards=shards).count() == 0
+    rows = [(k, TEXTS[k % len(TEXTS)], f"s{k % 7}" if k % 5 else None, "en" if k % 3 else None) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("slot", F.lit("x")).withColumn("more", F.col("doc_id"))
+    for shards in (4, 40):
+        out = sharding.shard(docs, shards=shards).collect()
+        assert {r["doc_id"]: (r["shard"], r["slot"]) for r in out} == sharding.brute(rows, shards)
+        sizes = [sorted(r["slot"] for r in out if r["shard"] == k) for k in range(shards)]
+        assert max(map(len, sizes)) - min(map(len, sizes)) <= 1 and all(s == list(range(len(s))) for s in sizes)
+    assert all(r["text_crc32"] == zlib.crc32((rows[r["doc_id"]][1] or "").encode()) and r["size"] == len((rows[r["doc_id"]][1] or "").encode()) + 16 for r in out)
+    # Equal texts are one point of the curve.
+    points = {}
+    for r in out:
+        points.setdefault(rows[r["doc_id"]][1], set()).add(r["curve"])
+    assert all(len(p) == 1 for p in points.values())
+    sharding.write(docs, str(tmp_path / "out"), shards=4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 60 and {"text", "source", "lang", "more", "shard", "slot"} <= set(back.columns)
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in back.collect()} == sharding.brute(rows, 4)
+
+
+def test_shards_of_many_values_nulls_and_repeated_rows(spark):
+    rows = [(k, f"text {k}", f"source {k * 37 % 3000}", None) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard(docs).collect()} == sharding.brute(rows)
+    odd = spark.createDataFrame([(None, None, None, None), (None, None, None, None), (3, "a", "s", "x"), (3, "a", "s", "x")], "doc_id long, text string, source string, lang string")
+    assert sorted((r["shard"], r["slot"]) for r in sharding.shard(odd, shards=2).collect()) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    assert sharding.shard(empty(spark)).count() == 0
