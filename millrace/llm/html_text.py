@@ -11,8 +11,15 @@ lists whose surroundings have no content are left out. Elements that say what th
 or form doesn't count where the element holds the article or main element with the most text or, on pages without any,
 more than half of the page's text outside links.
 
+Inside an article or main element text blocks (paragraphs, headings, items, cells) are dropped only for names that are
+adverts, comments or the like as a whole, and containers only where the name as a whole, its end, or its start before a
+word for a container says so.
+
 Null and empty pages, and pages with no text outside such elements, give the empty string. White space (also from
-references and line breaks) inside a block becomes one space; blocks are joined in page order by one newline.
+references and line breaks) inside a block becomes one space; blocks are joined in page order by one newline. Pages are
+read in time linear in their length, whatever their markup: open tags, quotes and raw elements may never end, elements may
+nest as deep as they like. Very long texts are kept whole. Rows are read one by one, so page_ids may be null or repeated;
+an empty table gives no rows, and columns other than page_id, url and html are not looked at.
 """
 
 from __future__ import annotations
@@ -20,6 +27,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -30,8 +38,8 @@ REACH, SPREAD, MOST = 2, 0.25, 0.8
 #: A block with at least this share of its text in links may be part of a link list.
 LINKS = 0.6
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|title|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|</?[a-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<[!?][^>]*>|[^<]+|<", re.I | re.S)
-TAG = re.compile(r"<(/?)([a-z][^\s/>]*)", re.I)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
@@ -49,6 +57,14 @@ NAMES = frozenset(
     " sidebar aside widget widgets rail menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager toc masthead topbar header footer copyright legal disclaimer"
     " comment comments comentarios kommentare commentaires disqus reply replies respond discussion related recommended recommendations share sharing social login search form toolbar tags hidden".split()
 )
+#: Those of them that mark a text block inside an article as none of its own, where they are the whole name.
+STRONG = frozenset("ad ads advert adverts advertisement adsense sponsor sponsored promo cookie cookies newsletter subscribe signup comment comments comentarios kommentare commentaires reply replies share sharing related recommended".split())
+#: Names that say nothing at the start of a longer one inside an article, and words for containers that may follow the others.
+WEAK = frozenset("header form tags hidden legal copyright notice search login".split())
+HOLDERS = frozenset("area banner bar block box button buttons container content form group holder inner item items link links list module nav outer panel posts row section slot unit widget wrap wrapper".split())
+#: Elements whose content is no markup.
+RAW = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in "script style noscript template svg iframe textarea title xmp".split()}
+TEXTS = frozenset("p li h1 h2 h3 h4 h5 h6 pre blockquote dt dd td th caption figcaption span a b i em strong".split())
 #: Words before a name that say the element is only marked by it, and those whose headers belong to the article.
 MODIFIERS = frozenset("has have no non not with without".split())
 OWN_HEADERS = frozenset("article content entry page post story".split())
@@ -57,12 +73,19 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "depth", "dropped", "named", "link", "block", "size")
+    """named: unwanted by class, id or as a form; size: characters outside links; owner: the nearest block; article: the
+    outermost article or main element around; base: the nearest element that makes no list; n: chosen leaves inside."""
+
+    __slots__ = ("tag", "parent", "path", "depth", "dropped", "named", "link", "block", "size", "owner", "article", "listed", "base", "n", "prose", "boxed")
 
     def __init__(self, tag: str, parent: "Element | None", path: int, dropped: bool, named: bool, link: bool, block: bool):
         self.tag, self.parent, self.path, self.dropped, self.link, self.block = tag, parent, path, dropped, link, block
-        self.named, self.size = named, 0  # named: by class, id or as a form; size: characters outside links
+        self.named, self.size, self.n, self.prose, self.boxed = named, 0, 0, False, False
         self.depth = parent.depth + 1 if parent else 0
+        self.owner = self if block else parent.owner
+        self.article = (parent.article if parent else None) or (self if tag in ("article", "main") else None)
+        self.listed = tag in LISTS or bool(parent and parent.listed)
+        self.base = parent.base if tag in LISTS and parent else self
 
 
 class Leaf:
@@ -79,14 +102,22 @@ def _up(e: Element | None) -> Iterator[Element]:
         e = e.parent
 
 
-def _named(names: str, inside: bool) -> bool:
+def _named(names: str, inside: bool, tag: str) -> bool:
     """Does one of the names say that the element isn't article text? inside: within an article or main element."""
     for name in names.split():
-        before = ""
-        for word in re.split(r"[^a-z]+", name):
-            if word in NAMES and before not in MODIFIERS and not (word == "header" and (inside or before in OWN_HEADERS)):
+        words = [w for w in re.split(r"[^a-z]+", name) if w]
+        if not words:
+            continue
+        if inside and tag in TEXTS:
+            if len(words) == 1 and words[0] in STRONG:
+                return True
+            continue
+        for k, word in enumerate(words):
+            before = words[k - 1] if k else ""
+            if word not in NAMES or before in MODIFIERS or word == "header" and (inside or before in OWN_HEADERS):
+                continue
+            if not inside or k == len(words) - 1 or k == 0 and word not in WEAK and words[-1] in HOLDERS:
                 return True
-            before = word
     return False
 
 
@@ -103,7 +134,7 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, str]
                 named |= value == "form"
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 drop = True
-    named = named or _named(names, inside)
+    named = named or _named(names, inside, tag)
     return drop and tag not in ("html", "body", "article", "main"), named, names
 
 
@@ -122,50 +153,113 @@ def _settle(elements: list[Element]) -> None:
             e.dropped = e.parent.dropped or own and (bool(articles) or 2 * e.size <= elements[0].size)
 
 
-def leaves(page: str) -> list[Leaf]:
-    """Text blocks outside unwanted elements, in page order. Paths are numbered; an element knows its parent."""
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, tag or text, attributes): kind is "" for text, "<" and "/" for tags. Every character is passed a bounded number of times."""
+    at, quotes = 0, True
+    while (start := page.find("<", at)) >= 0:
+        if start > at:
+            yield "", page[at:start], ""
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            if end < 0:
+                return
+            at = end + 3
+            continue
+        kind = page[start + 1 : start + 2]
+        name = NAME.match(page, start + 1 + (kind == "/"))
+        if not name and kind not in ("!", "?", "/"):
+            yield "", "<", ""
+            at = start + 1
+            continue
+        end = page.find(">", start)
+        if end < 0:  # nothing behind is text
+            return
+        if name and quotes and kind != "/":
+            far = _tag_end(page, name.end())
+            if far is None:  # a quote that never ends: from here on quotes hide nothing
+                quotes = False
+            else:
+                end = far
+        at = end + 1
+        if not name:
+            continue
+        tag = name[0].lower()
+        yield ("/" if kind == "/" else "<"), tag, page[name.end() : end]
+        if kind != "/" and tag in RAW:
+            close = RAW[tag].search(page, at)
+            at = page.find(">", close.start()) + 1 if close else 0
+            if not at:
+                return
+            yield "/", tag, ""
+    if at < len(page):
+        yield "", page[at:], ""
+
+
+def _tag_end(page: str, at: int) -> int | None:
+    """The ">" that ends a tag, beyond quoted values."""
+    while (found := STOP.search(page, at)) and found[0] != ">":
+        at = found.start()
+        before = at - 1
+        while page[before].isspace():
+            before -= 1
+        if page[before] == "=":
+            at = page.find(found[0], at + 1)
+            if at < 0:
+                return None
+        at += 1
+    return found.start() if found else None
+
+
+def leaves(page: str) -> tuple[list[Leaf], list[Element]]:
+    """Text blocks outside unwanted elements, and all elements, both in page order. Paths are numbered; an element knows its parent."""
     numbers: dict[tuple, int] = {}
     root = Element("", None, -1, False, False, False, True)
     top, found, buffer, elements = root, [], [], [root]
-    open_articles = 0
-
-    def owner(e: Element) -> Element:
-        while not e.block:
-            e = e.parent
-        return e
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
         if buffer:
-            found.append((owner(top), buffer[:]))
+            found.append((top.owner, buffer[:]))
             buffer.clear()
 
-    for m in TOKEN.finditer(page):
-        token = m[0]
-        if token[0] != "<" or len(token) == 1:
+    def close(e: Element) -> None:
+        """Ends ``e`` and what is open inside it."""
+        nonlocal top
+        while True:
+            last, top = top, top.parent
+            opened[last.tag] -= 1
+            if last is e:
+                return
+
+    def nearest(tags: set[str], until: set[str]) -> Element | None:
+        """The outermost open element of ``tags`` inside the nearest of ``until``."""
+        if not any(opened[t] for t in tags):
+            return None
+        e, out = top, None
+        while e is not root and e.tag not in until:
+            out = e if e.tag in tags else out
+            e = e.parent
+        return out
+
+    for kind, tag, more in tokens(page):
+        if not kind:
             if not top.dropped:
-                text = entities.unescape(token) if "&" in token else token
+                text = entities.unescape(tag) if "&" in tag else tag
                 buffer.append((top, text))
                 if not top.link:
                     top.size += len(text) if not text.isspace() else 0
             continue
-        if m[1] or not (t := TAG.match(token)):
-            continue
-        tag = t[2].lower()
-        if t[1]:
-            e = top
-            while e is not root and e.tag != tag:
-                e = e.parent
-            if e is root:
+        if kind == "/":
+            if not opened[tag]:
                 if tag == "p":
                     flush()
                 continue
             if tag in BLOCKS:
                 flush()
-            while top is not e:
-                open_articles -= top.tag in ("article", "main")
-                top = top.parent
-            open_articles -= top.tag in ("article", "main")
-            top = top.parent
+            e = top
+            while e.tag != tag:
+                e = e.parent
+            close(e)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -177,27 +271,20 @@ def leaves(page: str) -> list[Leaf]:
         if block:
             flush()
             # A paragraph ends where a block begins; items and cells end where the next one does.
-            e = top
-            while e is not root and e.tag != "p" and (not e.block):
-                e = e.parent
-            if e.tag == "p":
-                top = e.parent
-        if tag in CLOSES:
-            same, until = CLOSES[tag]
-            e, close = top, None
-            while e is not root and e.tag not in until:
-                close = e if e.tag in same else close
-                e = e.parent
-            if close is not None:
-                flush()
-                top = close.parent
-        drop, named, names = _unwanted(tag, token[t.end() : -1], open_articles > 0)
+            if top.owner.tag == "p":
+                close(top.owner)
+        if tag in CLOSES and (e := nearest(*CLOSES[tag])) is not None:
+            flush()
+            close(e)
+        drop, named, names = _unwanted(tag, more, top.article is not None)
+        if tag in RAW:
+            drop = True
         path = numbers.setdefault((top.path, tag, names), len(numbers)) if block else top.path
-        open_articles += tag in ("article", "main")
         top = Element(tag, top, path, top.dropped or drop, named, top.link or tag == "a", block)
         elements.append(top)
-        if token.endswith("/>") and not block:
-            top = top.parent
+        opened[tag] += 1
+        if more.endswith("/") and not block and tag not in RAW:
+            close(top)
     flush()
     _settle(elements)
     out = []
@@ -206,7 +293,7 @@ def leaves(page: str) -> list[Leaf]:
         text = " ".join("".join(text for _, text in pieces).split())
         if text:
             out.append(Leaf(e, text, sum(len(text) for x, text in pieces if x.link)))
-    return out
+    return out, elements
 
 
 def _shared(a: Element, b: Element) -> float:
@@ -250,49 +337,46 @@ def _linked(leaf: Leaf) -> bool:
     return leaf.linked >= LINKS * max(1, len(leaf.text))
 
 
-def _listed(leaf: Leaf, prose: set[int]) -> bool:
+def _listed(leaf: Leaf) -> bool:
     """Does the leaf stand in a list (or a bare container) whose surroundings hold no prose?"""
     e = leaf.element
-    if e.tag in PARTS and not any(x.tag in LISTS for x in _up(e)):
+    if e.tag in PARTS and not e.listed:
         return False
-    e = e.parent or e
-    while e.tag in LISTS and e.parent is not None:
-        e = e.parent
-    return id(e) not in prose
+    return not (e.parent or e).base.prose
 
 
 def extract(page: str | None) -> str:
-    found = leaves(page) if page else []
+    found, elements = leaves(page) if page else ([], [])
     if not found:
         return ""
     chosen = content(found)
-    whole = sum(len(leaf.text) for leaf in chosen)
-    articles: dict[int, Element] = {}
-    held = 0
     for leaf in chosen:
-        around = [e for e in _up(leaf.element) if e.tag in ("article", "main")]
-        if around:
-            articles[id(around[-1])] = around[-1]
-            held += len(leaf.text)
-    if held >= MOST * whole:
-        boxes = set(articles)
+        leaf.element.n += 1
+        leaf.element.prose |= not _linked(leaf)
+    for e in reversed(elements):
+        if e.parent:
+            e.parent.n += e.n
+            e.parent.prose |= e.prose
+    inside = [leaf for leaf in chosen if leaf.element.article]
+    if sum(len(leaf.text) for leaf in inside) >= MOST * sum(len(leaf.text) for leaf in chosen):
+        for leaf in inside:
+            leaf.element.article.boxed = True
     else:
-        box = chosen[0].element
-        for leaf in chosen:
-            line = {id(e) for e in _up(leaf.element)}
-            box = next(e for e in _up(box) if id(e) in line)
+        # The innermost element that holds all chosen leaves; they form a chain, so it comes last.
+        box = next(e for e in reversed(elements) if e.n == len(chosen))
         # A paragraph, list or section alone isn't the article: its heading lies beside it.
         while box.tag in PARTS and box.parent is not None:
             box = box.parent
-        boxes = {id(box)}
+        box.boxed = True
+    for e in elements:
+        e.boxed |= bool(e.parent and e.parent.boxed)
     wanted = {id(leaf) for leaf in chosen}
-    keep = [id(leaf) in wanted or any(id(e) in boxes for e in _up(leaf.element)) for leaf in found]
+    keep = [id(leaf) in wanted or leaf.element.boxed for leaf in found]
     if not any(k and leaf.element.tag == "h1" for k, leaf in zip(keep, found, strict=True)):
         first = keep.index(True)
         title = max((k for k in range(first) if found[k].element.tag == "h1"), default=first)
         keep[title:first] = [True] * (first - title)
-    prose = {id(e) for leaf in chosen if not _linked(leaf) for e in _up(leaf.element)}
-    return "\n".join(leaf.text for k, leaf in zip(keep, found, strict=True) if k and not (_linked(leaf) and _listed(leaf, prose)))
+    return "\n".join(leaf.text for k, leaf in zip(keep, found, strict=True) if k and not (_linked(leaf) and _listed(leaf)))
 
 
 def extract_pages(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

@@ -155,6 +155,33 @@ def test_pages_names_that_belong_to_the_article():
     assert html_text.extract(page(f"<div class='header'><p>Site, here.</p></div><article>{body}</article>")).split("\n") == words
 
 
+def test_pages_keep_named_text_blocks_of_the_article():
+    body, words = tagged("p", 600, 4)
+    kept = '<h1 class="header">Head</h1><p class="legal">A legal text.</p><p class="share-price">Prices, shared.</p><div class="form-of-life"><p>A form, of life.</p></div><p><a href="/x">A paragraph that is a link.</a></p>'
+    gone = '<div class="ad-slot"><p>Buy, now.</p></div><p class="advert">Buy.</p><div class="share-buttons">Share</div><div class="related">More, here.</div><section class="comments"><p>Nice, thanks.</p></section>'
+    assert html_text.extract(page(f"<article>{kept}{body}{gone}</article>")).split("\n") == ["Head", "A legal text.", "Prices, shared.", "A form, of life.", "A paragraph that is a link.", *words]
+
+
+@pytest.mark.parametrize("hostile", ["<a " * 300000, "<script " * 100000, "<a \"" * 200000, "<a b='" * 150000 + ">", "<div>" * 150000 + "x", "<b>" * 150000 + "<div></div>" * 50000, "<div>x" * 100000, "</p>" * 200000, "<td>" + "<b>" * 100000 + "</i>" * 100000, "<!--" * 200000, "<li><a>x, y." * 60000, "&amp" * 200000, "< " * 400000, "<p class='" + "x " * 300000 + "'>a"])
+def test_pages_of_hostile_markup_take_linear_time(hostile):
+    import time
+
+    began = time.process_time()
+    html_text.extract(hostile)
+    html_text.extract(page(f"<article><p>Some text, here.</p></article>{hostile}"))
+    assert time.process_time() - began < 12
+
+
+def test_pages_of_the_tables(spark):
+    """Their articles are flat and hold nothing unwanted, so the text is the article's, less markup."""
+    import re
+
+    for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
+        inner = re.search(r"<article[^>]*>(.*?)</article>", r["html"], re.S)
+        plain = html.unescape(re.sub("<[^>]+>", "", inner[1])) if inner else ""
+        assert "".join(html_text.extract(r["html"]).split()) == "".join(plain.split())
+
+
 # ------------------------------------------------------------------ secrets
 @pytest.mark.parametrize("text", [*TEXTS[:6], 'x token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" y', "token: token:abcdefg", "PASSWORD=abc password='abcdef'", "AKIA" + "B" * 16 + " AKIA12 AKIAAKIA" + "C" * 14, "ſecret=abcdef api_key:  zzzzzz", "a" * 23 + " " + "a" * 24, "x é\U0001f600 secret=äabcdefg secret=abcdefg"])
 def test_base_spans(text):
