@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import byte_bpe, decontaminate, language_id, line_dedup, minhash
-from millrace.llm.common import shared_dir, table, without
+from millrace.llm.common import shared_dir, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -27,14 +27,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near-duplicates stays."""
-    found = minhash.near_duplicates(docs)
-    return without(docs.select(*COLUMNS), found.where(~F.col("kept")), "doc_id")
+    return minhash.deduplicated(docs).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule names go."""
-    found = decontaminate.judged(decontaminate.matches(docs, table(spark, sf_dir, "benchmark")))
-    return without(docs.select(*COLUMNS), found.where("contaminated"), "doc_id")
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +47,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages. A stage's folder goes when the next one has been written; the last one is read by what is returned."""
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{before}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
