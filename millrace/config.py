@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import pkgutil
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from functools import cache
 from types import MappingProxyType
 from typing import Any
 
@@ -85,6 +88,12 @@ def load(path: str) -> Config:
         return from_mapping(yaml.safe_load(f) or {})
 
 
+@cache
+def wordings() -> dict[str, Any]:
+    """The word lists that come with the package, also out of a zip."""
+    return json.loads(pkgutil.get_data(__package__, "wordings.json") or b"{}")
+
+
 def dotenv(text: str) -> dict[str, str]:
     """NAME=value lines; comments and blank lines are skipped, quotes around values go."""
     pairs = (line.split("=", 1) for line in map(str.strip, text.splitlines()) if line and not line.startswith("#") and "=" in line)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..config import wordings
 from .text import ORDINALS, amount, fold, found, joined, known, let, listed, mapped, number_word, strip_html, true
 
 # Feature -> (patterns that state it, patterns that deny it), in evaluation order.
@@ -40,9 +41,9 @@ FEATURES: dict[str, tuple[list[str], list[str]]] = {
     "walk_in_closet": ([r"walk[\s-]?in", r"vestidor", r"closets? amplio", r"amplios? closets?"], []),
     "internet_included": ([r"internet incluido", r"incluye internet", r"wifi incluido", r"incluye wifi", r"internet included", r"(internet|wifi) y (cable|tv)", r"servicios incluidos"], []),
     "maintenance_included": ([r"mantenimiento incluido", r"incluye (el )?mantenimiento", r"incl(uye|\.)? mant", r"maintenance included"], [r"no incluye (el )?mantenimiento", r"mas mantenimiento", r"\+ ?mantenimiento", r"mantenimiento aparte"]),
-    "studio_text": ([r"monoambiente", r"tipo estudio", r"departamento estudio", r"\bflat estudio\b", r"\bstudio apartment\b", r"\bmini ?depa", r"\bloft\b"], []),
+    "studio_text": (wordings()["studio_text"], []),
     "short_term": ([r"temporal", r"por dias", r"por semanas", r"airbnb", r"corta estancia", r"short[- ]term"], []),
-    "shared": ([r"habitacion en departamento compartido", r"cuarto compartido", r"se alquila (una )?habitacion", r"alquilo (una )?habitacion", r"room for rent"], []),
+    "shared": (wordings()["shared"], []),
 }
 
 # Number, contract, deposit, floor, fee and utility wordings.

@@ -7,14 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import Config
+from ..config import Config, wordings
 from ..functions import text as T
 from ..functions.money import budget_class, total_text
 from ..functions.signals import foreign_tenant
 from .ranking import value_bands
 
 # Words of property types, markers of demo data.
-APARTMENT = ("departamento", "depa", "apartment", "flat", "penthouse", "duplex", "loft", "apartamento", "dpto")
+APARTMENT = tuple(wordings()["apartment_types"])
 NOT_APARTMENT = ("casa", "house", "oficina", "office", "local", "terreno", "habitacion", "cuarto", "room", "cochera", "deposito")
 RENTING = ("alquiler", "rent", "arriendo")
 DEMO_FIELD, DEMO_TEXT = r"(?i)\bdemo\b|\(demo|ejemplo|synthetic|sint[eé]tic|\bfake\b|lorem ipsum", r"(?i)\(demo|synthetic|lorem ipsum|fake listing"

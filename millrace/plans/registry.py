@@ -213,7 +213,7 @@ def _feature_sql(name: str) -> str:
 
 
 _PHRASES = [
-    "Departamento amoblado, balcón y terraza, ascensor", "sin amoblar, no se aceptan mascotas", "semi amoblado con lavandería y cochera", "vista a la avenida, ventanas acústicas, vigilancia 24 horas", "incluye mantenimiento, piscina y gimnasio",
+    "Flat amoblado, balcón y terraza, ascensor", "sin amoblar, no se aceptan mascotas", "semi amoblado con lavandería y cochera", "vista a la avenida, ventanas acústicas, vigilancia 24 horas", "incluye mantenimiento, piscina y gimnasio",
     "monoambiente temporal", "calle tranquila, vista al parque, home office", "no incluye mantenimiento; sin cochera; walk-in closet", "pet friendly, co-working, zona de parrilla, wifi incluido", "se alquila habitación",
 ]
 _phrase_sql = "CASE o_orderkey % 10 " + " ".join(f"WHEN {k} THEN '{p}'" for k, p in enumerate(_PHRASES)) + " END"
@@ -346,7 +346,7 @@ def _(spark, d):
 _true = lambda k: f"coalesce({k}, FALSE)"
 
 
-@query("gates", f"""{L}, g AS (SELECT *, operation <> 'Alquiler' OR property_type <> 'Departamento' OR {_true('shared_room_text')} OR coalesce(active_status = 'INACTIVE', FALSE) OR bedrooms IS NULL OR bedrooms < 1 OR bedrooms > 2 OR rent_usd IS NULL AS hard,
+@query("gates", f"""{L}, g AS (SELECT *, operation <> 'Alquiler' OR property_type <> 'Flat' OR {_true('shared_room_text')} OR coalesce(active_status = 'INACTIVE', FALSE) OR bedrooms IS NULL OR bedrooms < 1 OR bedrooms > 2 OR rent_usd IS NULL AS hard,
   coalesce(district = 'Miraflores', FALSE) AS by_text FROM l),
 i AS (SELECT *, CASE WHEN inside_district_polygon IS NULL THEN by_text WHEN coord_precision IN ('APPROXIMATE', 'STREET_LEVEL') THEN by_text OR (inside_district_polygon AND district IS NULL) ELSE inside_district_polygon END AS inside FROM g)
 SELECT row_id, CASE WHEN hard THEN 'EXCLUDED' WHEN NOT inside AND coalesce(dist_outside_district_m <= 300 AND rent_usd <= 1000, FALSE) THEN 'NEAR_MISS_CANDIDATE' WHEN NOT inside THEN 'EXCLUDED' WHEN rent_usd <= 1000 THEN 'PRIMARY' WHEN rent_usd <= 1100 THEN 'STRETCH' ELSE 'EXCLUDED' END AS category,

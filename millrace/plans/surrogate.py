@@ -10,10 +10,10 @@ SELECT o_orderkey AS row_id,
   CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE concat('https://www.portal.test/aviso/', o_orderkey, '/') END AS source_url,
   CASE WHEN o_orderkey % 7 = 0 THEN 'San Isidro' WHEN o_orderkey % 19 = 0 THEN NULL ELSE 'Miraflores' END AS district,
   CASE WHEN o_orderkey % 3 = 0 THEN concat('Calle Berlin ', 100 + o_orderkey % 800) ELSE 'Miraflores' END AS address,
-  CASE WHEN o_orderkey % 29 = 0 THEN 'Casa' ELSE 'Departamento' END AS property_type,
+  CASE WHEN o_orderkey % 29 = 0 THEN 'Casa' ELSE 'Flat' END AS property_type,
   CASE WHEN o_orderkey % 31 = 0 THEN 'Venta' ELSE 'Alquiler' END AS operation,
-  concat('Departamento de ', 1 + o_orderkey % 3, ' dormitorios') AS title,
-  CASE WHEN o_orderkey % 4 = 0 THEN 'Contrato minimo 1 año, 2 meses de garantia. Acepta extranjeros.' ELSE 'Departamento amoblado con balcon, ascensor y vista a la calle. Piso 9.' END AS description,
+  concat('Piso de ', 1 + o_orderkey % 3, ' dormitorios') AS title,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'Contrato minimo 1 año, 2 meses de garantia. Acepta extranjeros.' ELSE 'Flat amoblado con balcon, ascensor y vista a la calle. Piso 9.' END AS description,
   CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(o_orderkey % 4 AS INT) END AS bedrooms,
   CAST(1 + o_orderkey % 3 AS DOUBLE) AS bathrooms,
   CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(500 + (o_orderkey * 37) % 800 AS DOUBLE) END AS rent_usd,

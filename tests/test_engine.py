@@ -15,7 +15,7 @@ from millrace.schema import KINDS, conform
 from millrace.sources import files, html_cards, places, records, requests
 
 CFG = Config()
-BASE = {"source": "urbania", "source_listing_id": "1", "source_url": "https://a.pe/1", "bedrooms": 1, "rent_usd": 900.0, "total_area_m2": 60.0, "built_area_m2": 58.0, "latitude": -12.12, "longitude": -77.03, "title": "Departamento frente al parque", "description": "x" * 90, "address": "Calle Berlin 350", "image_keys": ["abc"]}
+BASE = {"source": "urbania", "source_listing_id": "1", "source_url": "https://a.pe/1", "bedrooms": 1, "rent_usd": 900.0, "total_area_m2": 60.0, "built_area_m2": 58.0, "latitude": -12.12, "longitude": -77.03, "title": "Flat frente al parque", "description": "x" * 90, "address": "Calle Berlin 350", "image_keys": ["abc"]}
 
 
 def listings(spark, *rows):
@@ -80,7 +80,7 @@ def test_normalize_prefers_structured_values(spark):
 
 
 def test_gates(spark):
-    ok = {"source": "manual", "bedrooms": 1, "rent_usd": 950.0, "district": "Miraflores", "property_type": "Departamento", "operation": "Alquiler"}
+    ok = {"source": "manual", "bedrooms": 1, "rent_usd": 950.0, "district": "Miraflores", "property_type": "Flat", "operation": "Alquiler"}
     cases = {"PRIMARY": {}, "STRETCH": {"rent_usd": 1050.0}, "EXCLUDED": {"bedrooms": 3}}
     for category, change in cases.items():
         rows = listings(spark, {**ok, **change}).withColumns({"inside_district_polygon": F.lit(True), "dist_outside_district_m": F.lit(0)})
@@ -132,9 +132,22 @@ def test_html_cards():
     assert detail["specs"] == {"Dormitorios": "2"} and detail["latitude"] == -12.1 and detail["published_text"].startswith("Publicado hace 5")
 
 
+def test_market_cards_and_details():
+    card = '<li class="ui-search-layout__item"><h2><a href="https://m.pe/MPE-12345678-x#y">Flat</a></h2><s class="andes-money-amount"><b class="andes-money-amount__fraction">9</b></s><div class="poly-price__current"><span class="andes-money-amount"><b class="andes-money-amount__currency-symbol">S/</b><b class="andes-money-amount__fraction">3,200</b></span></div><i class="poly-attributes_list__item">60 m²</i><i class="poly-component__location">Miraflores</i></li>'
+    (found,) = html_cards.market_cards(card + '<li class="ui-search-layout__item"><p>no link</p></li>')
+    assert found == {"id": "MPE12345678", "url": "https://m.pe/MPE-12345678-x", "title": "Flat", "price": "S/ 3,200", "features": ["60 m²"], "district": "Miraflores", "address": "Miraflores"}
+    page = '<div class="ui-vpp-highlighted-specs__key-value">Piso : 4</div><tr class="ui-vpp-striped-specs__row"><th>Piso</th><td>5</td></tr><figure class="ui-pdp-gallery__figure"><img src="s" data-zoom="z"></figure><script type="application/ld+json">{bad</script><img src="staticmap?center=-12.1%2C-77.0"><p>Publicación pausada</p>'
+    detail = html_cards.detail_page(page)
+    assert detail["specs"] == {"Piso": "5"} and (detail["latitude"], detail["longitude"], detail["image_count"], detail["main_image"], detail["inactive"], detail["linked_data"], detail["seller"]) == (-12.1, -77.0, 1, "z", True, None, None)
+
+
 def test_collector_input():
-    out, notes = requests.collector_input({"maxPrice": {"type": "integer"}, "startUrls": {"type": "array"}, "maxItems": {}}, {"max_price": 1150.0, "start_urls": ["https://a"], "currency": "USD"}, 40)
-    assert out == {"maxPrice": 1150, "startUrls": [{"url": "https://a"}], "maxItems": 40} and len(notes) == 1
+    out, remarks = requests.collector_input({"maxPrice": {"type": "integer"}, "startUrls": {"type": "array"}, "maxItems": {}}, {"max_price": 1150.0, "start_urls": ["https://a"], "currency": "USD"}, 40)
+    assert out == {"maxPrice": 1150, "startUrls": [{"url": "https://a"}], "maxItems": 40} and len(remarks) == 1
+    schema = {"Operation": {"enum": ["1", "2"], "enumTitles": ["Venta", "Alquiler"]}, "propertyType": {"type": "array", "items": {"enum": ["house"]}}, "url": {"type": "string"}, "location": {"type": "array"}, "token": {"required": True}, "limit": {"type": "integer"}, "details": {"type": "boolean"}}
+    out, remarks = requests.collector_input(schema, {"operation": "rent", "property_type": "flat", "start_urls": ["a", "b"], "location": "x", "with_details": 1, "min_bedrooms": None, "raw_input": {}}, 9)
+    assert out == {"Operation": "2", "url": "a", "location": ["x"], "limit": 9, "details": True} and len(remarks) == 3
+    assert requests.collector_input(None, {"raw_input": {"q": 1}}, 5) == ({"q": 1, "maxItems": 5}, ["no schema: raw input sent as it is"])
     assert requests.pages(600) == [(0, 250), (250, 250), (500, 100)]
 
 

@@ -39,7 +39,7 @@ def test_urls_and_phones(spark):
 
 @pytest.mark.parametrize(
     ("said", "feature", "expected"),
-    [("Departamento amoblado", "furnished", True), ("sin amoblar", "furnished", False), ("semi amoblado", "furnished", False), ("semi amoblado", "semi_furnished", True), ("no se aceptan mascotas", "pets_allowed", False), ("pet friendly", "pets_allowed", True), ("terraza común", "terrace", None), ("linda terraza", "terrace", True)],
+    [("Flat amoblado", "furnished", True), ("sin amoblar", "furnished", False), ("semi amoblado", "furnished", False), ("semi amoblado", "semi_furnished", True), ("no se aceptan mascotas", "pets_allowed", False), ("pet friendly", "pets_allowed", True), ("terraza común", "terrace", None), ("linda terraza", "terrace", True)],
 )
 def test_features(spark, said, feature, expected):
     assert value(spark, signals.signals(signals.reading_text(F.col("x")))[feature], x=said) is expected
