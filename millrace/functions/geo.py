@@ -62,15 +62,6 @@ def to_shape(x: Column, y: Column, kind: Column, points: Column) -> Column:
     return F.when((kind == "polygon") & inside(x, y, points), F.lit(0.0)).otherwise(to_line(x, y, points))
 
 
-def cell(x: Column, y: Column, size: float) -> Column:
-    return F.struct(F.floor(x / size).alias("i"), F.floor(y / size).alias("j"))
-
-
-def cells_around(x: Column, y: Column, size: float, reach: int = 1) -> Column:
-    steps = [(i, j) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1)]
-    return F.array(*[F.struct((F.floor(x / size) + i).alias("i"), (F.floor(y / size) + j).alias("j")) for i, j in steps])
-
-
 def stitch(lines: list[list[tuple[float, float]]]) -> list[tuple[float, float]]:
     """The largest closed ring that the lines join to; empty if none closes. For a boundary's few members, on the driver."""
     rest, rings = [list(line) for line in lines if len(line) >= 2], []

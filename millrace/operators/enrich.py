@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import geo
+from .components import cut
 
 # Columns of nearest places and the layers they come from.
 NEAREST = {"major_road": "major", "arterial_road": "arterial", "nightclub": "nightclub", "supermarket": "supermarket", "pharmacy": "pharmacy", "park": "park", "cafe": "cafe", "transit": "transit", "malecon": "malecon"}
 
-#: A layer table up to this number of shapes is broadcast for the nearest search; a larger one is searched by grid.
-BROADCAST_SHAPES = 50_000
-GRID_M = 500.0
+#: Least side of grid cells in metres; each round's cells are GROWTH times as wide.
+GRID_M, GROWTH = 125.0, 3
 
 c = F.col
 
@@ -23,40 +25,47 @@ def _placed(df: DataFrame) -> DataFrame:
     return df.select("row_id", x.alias("x"), y.alias("y")).where(c("x").isNotNull() & c("y").isNotNull())
 
 
+def _distance(x: Column, y: Column) -> Column:
+    """To a point by its coordinates, which stay in compiled code; to other shapes along their segments."""
+    return F.when(c("px").isNotNull(), F.hypot(x - c("px"), y - c("py"))).otherwise(geo.to_shape(x, y, c("kind"), c("points")))
+
+
 def nearest(points: DataFrame, shapes: DataFrame) -> DataFrame:
     """points (row_id, x, y), shapes (layer, name, seq, kind, points) -> (row_id, layer, distance, name); ties to the first shape.
 
-    A checked, small layer table meets every point. A larger one is cut into grid cells and searched in widening
-    squares: a hit is final once it is nearer than the square's edge, so the result is the same.
+    Rounds of an equi-join on grid cells. A round looks at the cell of a point and the eight around it; a hit within the
+    width of a cell is final, as nothing outside can be nearer. Points left over go to the next round, whose cells are
+    GROWTH times as wide, so each round costs nine rows a point however far its places are. When the nine cells cover
+    all shapes, whatever is found is final.
     """
-    dist = geo.to_shape(c("x"), c("y"), c("kind"), c("points"))
-    best = lambda df: df.groupBy("row_id", "layer").agg(F.min(F.struct("distance", "seq", "name")).alias("b")).select("row_id", "layer", c("b.distance").alias("distance"), c("b.name").alias("name"))
-    if shapes.limit(BROADCAST_SHAPES + 1).count() <= BROADCAST_SHAPES:
-        return best(points.crossJoin(F.broadcast(shapes)).withColumn("distance", dist))
-    return _by_grid(points, shapes, dist, best)
-
-
-def _by_grid(points: DataFrame, shapes: DataFrame, dist: Column, best) -> DataFrame:
-    from .components import cut
-
-    span = lambda k: F.sequence(F.floor(F.array_min(c("points")[k]) / F.lit(GRID_M)), F.floor(F.array_max(c("points")[k]) / F.lit(GRID_M)))
-    cells = shapes.withColumn("i", F.explode(span("x"))).withColumn("j", F.explode(span("y")))
+    shapes = shapes.withColumns({"px": F.when(F.size("points") == 1, c("points")[0]["x"]), "py": F.when(F.size("points") == 1, c("points")[0]["y"]), "x0": F.array_min(c("points")["x"]), "x1": F.array_max(c("points")["x"]), "y0": F.array_min(c("points")["y"]), "y1": F.array_max(c("points")["y"])})
+    ends = lambda df, *k: df.agg(*[f(n) for n in k for f in (F.min, F.max)]).first()
+    near, far = ends(points, "x", "y"), ends(shapes, "x0", "x1", "y0", "y1")
     layers = shapes.select("layer").distinct()
-    todo, done, reach = cut(points.crossJoin(F.broadcast(layers))), None, 1
-    limits = shapes.agg(F.min(F.array_min(c("points")["x"])), F.max(F.array_max(c("points")["x"])), F.min(F.array_min(c("points")["y"])), F.max(F.array_max(c("points")["y"]))).first()
-    edge = points.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
-    if edge[0] is None or limits[0] is None:
-        return best(points.limit(0).crossJoin(shapes.limit(0)).withColumn("distance", dist))
-    across = max(abs(a - b) for a in (*limits, ) for b in (*edge, )) / GRID_M + 2
+    todo, done = points.select("row_id", "x", "y").crossJoin(F.broadcast(layers)), None
+    if near[0] is None or far[0] is None:
+        return todo.limit(0).select("row_id", "layer", F.lit(None).cast("double").alias("distance"), F.lit(None).cast("string").alias("name"))
+    # To begin with, a cell holds about one shape of a layer.
+    many = shapes.groupBy("layer").count().agg(F.max("count")).first()[0]
+    size = max(GRID_M, math.sqrt(max(1.0, (far[3] - far[0]) * (far[7] - far[4])) / many))
+    # No point and shape are further apart than this.
+    across = max(near[1] - far[0], far[3] - near[0], near[3] - far[4], far[7] - near[2], size)
     while True:
-        around = todo.withColumn("cell", F.explode(geo.cells_around(c("x"), c("y"), GRID_M, reach))).select("row_id", "layer", "x", "y", c("cell.i").alias("i"), c("cell.j").alias("j"))
-        hits = best(around.join(cells, ["layer", "i", "j"]).withColumn("distance", dist))
-        sure = cut(hits if reach > across else hits.where(c("distance") <= reach * GRID_M))
+        cell = lambda v, step=size: F.floor(v / F.lit(step)).cast("long")
+        own = todo.withColumns({"ci": cell(c("x")), "cj": cell(c("y"))})
+        around = own.withColumn("i", F.explode(F.array(*[c("ci") + k for k in (-1, 0, 1)]))).withColumn("j", F.explode(F.array(*[c("cj") + k for k in (-1, 0, 1)])))
+        inside = shapes.withColumn("i", F.explode(F.sequence(cell(c("x0")), cell(c("x1"))))).withColumn("j", F.explode(F.sequence(cell(c("y0")), cell(c("y1"))))).select("layer", "i", "j", "seq", "name", "kind", "points", "px", "py")
+        hits = around.drop("ci", "cj").join(inside, ["layer", "i", "j"]).withColumn("distance", _distance(c("x"), c("y")))
+        best = hits.groupBy("row_id", "layer").agg(F.min(F.struct("distance", "seq", "name")).alias("b")).select("row_id", "layer", c("b.distance").alias("distance"), c("b.name").alias("name"))
+        last = size > across
+        sure = cut(best if last else best.where(c("distance") <= size))
         done = sure if done is None else done.union(sure)
-        todo = cut(todo.join(sure, ["row_id", "layer"], "left_anti"))
-        if reach > across or not todo.limit(1).count():
+        if last:
+            return done
+        todo = cut(todo.join(sure.select("row_id", "layer"), ["row_id", "layer"], "left_anti"))
+        if not todo.limit(1).count():
             return done
-        reach *= 3
+        size *= GROWTH
 
 
 def within(points: DataFrame, shapes: DataFrame, radius: float) -> DataFrame:

@@ -41,7 +41,8 @@ def rank_order(cfg: Config) -> list[Column]:
 
 def rank(scored: DataFrame, cfg: Config) -> DataFrame:
     """Canonical records with rank_in_category."""
-    return numbered(scored.where("is_canonical"), [F.col("category")], rank_order(cfg), "rank_in_category")
+    # Scoring is dear and the range sort reads its input twice, so the scores are written once.
+    return numbered(cut(scored.where("is_canonical")), [F.col("category")], rank_order(cfg), "rank_in_category")
 
 
 def value_bands(df: DataFrame, group: str, value: str, in_scope: Column, min_group: int) -> DataFrame:

@@ -71,11 +71,6 @@ def _(spark, d):
     return ranking.numbered(orders, [c("o_orderstatus")], [c("o_totalprice").desc(), c("o_orderkey").asc()], "rank_in_category").drop("o_totalprice")
 
 
-@query("topk_quiet_space", "SELECT p_partkey, round(0.6 * p_size + 2 * p_retailprice, 4) AS quiet_space FROM part ORDER BY quiet_space DESC, p_partkey LIMIT 5")
-def _(spark, d):
-    return read(spark, d, "part").select("p_partkey", F.round(0.6 * c("p_size") + 2 * c("p_retailprice"), 4).alias("quiet_space")).orderBy(F.desc("quiet_space"), "p_partkey").limit(5)
-
-
 @query("topk_best_value", f"{L}, v AS (SELECT row_id, round(rent_usd / total_area_m2, 2) AS per_m2 FROM l WHERE rent_usd IS NOT NULL AND furnished) SELECT * FROM v ORDER BY per_m2, row_id LIMIT 5")
 def _(spark, d):
     rows = listings(spark, d).where(T.true(c("furnished")) & c("rent_usd").isNotNull())
@@ -89,10 +84,11 @@ def _(spark, d):
 
 
 # ---------------------------------------------------------------- aggregates
-@query("market_snapshot", f"""{L} SELECT bedrooms, count(*) AS n, round(median(rent_usd), 4) AS median_rent, round(median(total_area_m2), 4) AS median_area, round(median(built_area_m2), 4) AS median_per_m2,
+@query("market_snapshot", f"""{L} SELECT bedrooms, count(*) AS n, round(median(rent_usd), 4) AS median_rent, round(median(total_area_m2), 4) AS median_area, round(median(rent_usd / total_area_m2), 4) AS median_per_m2,
   round(avg(CASE WHEN furnished THEN 1.0 ELSE 0.0 END), 6) AS furnished_share, round(avg(CASE WHEN maintenance_usd IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS maintenance_share FROM l GROUP BY bedrooms""")
 def _(spark, d):
-    out = aggregates.market_snapshot(listings(spark, d), area="total_area_m2", per_area="built_area_m2")
+    rows = listings(spark, d).withColumn("rent_usd_per_m2", c("rent_usd") / c("total_area_m2"))
+    out = aggregates.market_snapshot(rows, area="total_area_m2", per_area="rent_usd_per_m2")
     return out.select("bedrooms", "n", *[F.round(k, 4).alias(k) for k in ("median_rent", "median_area", "median_per_m2")], *[F.round(k, 6).alias(k) for k in ("furnished_share", "maintenance_share")])
 
 
@@ -379,7 +375,7 @@ _AREA = "CASE WHEN built_area_m2 BETWEEN 12 AND 400 THEN built_area_m2 WHEN tota
 _served = " + ".join(f"CASE WHEN dist_{k}_m <= {m} THEN {w} WHEN dist_{k}_m <= {m} * 1.6 THEN {w / 2} ELSE 0 END" for k, (m, w) in CFG.livability.items())
 
 
-@query("fit_components", f"""{L}, {_NOISE}, a AS (SELECT *, {_AREA} AS area FROM r),
+_PARTS = f"""a AS (SELECT *, {_AREA} AS area FROM r),
 b AS (SELECT *, CASE WHEN bedrooms NOT IN (1, 2) OR bedrooms IS NULL OR area IS NULL THEN 0.35 WHEN area >= CASE bedrooms WHEN 1 THEN 60 ELSE 85 END THEN 0.95 WHEN area >= CASE bedrooms WHEN 1 THEN 50 ELSE 70 END THEN 0.8 WHEN area >= CASE bedrooms WHEN 1 THEN 40 ELSE 55 END THEN 0.55
     WHEN area < 0.85 * CASE bedrooms WHEN 1 THEN 40 ELSE 55 END THEN 0.15 ELSE 0.3 END + CASE WHEN bathrooms >= 2 THEN 0.05 ELSE 0 END + CASE WHEN {_true('balcony')} THEN 0.05 ELSE 0 END + CASE WHEN {_true('laundry')} THEN 0.025 ELSE 0 END AS space,
   CASE WHEN rent_usd IS NULL THEN 0.0 WHEN rent_usd > 1100 THEN 0.0 WHEN rent_usd > 1000 THEN 0.2 WHEN estimated_total_monthly_usd IS NULL THEN 0.6 + 0.3 * least(1.0, (1000 - rent_usd) / 300) WHEN estimated_total_monthly_usd <= 1000 THEN 0.7 + 0.3 * least(1.0, (1000 - estimated_total_monthly_usd) / 300)
@@ -387,7 +383,10 @@ b AS (SELECT *, CASE WHEN bedrooms NOT IN (1, 2) OR bedrooms IS NULL OR area IS
   CASE WHEN dist_supermarket_m IS NULL AND dist_park_m IS NULL THEN 0.5 ELSE {_served} END AS place, CASE WHEN furnished THEN 1.0 WHEN semi_furnished THEN 0.6 WHEN furnished = FALSE THEN 0.2 ELSE 0.35 END AS fitted,
   CASE WHEN {_true('security_24h')} THEN 0.35 ELSE 0 END + CASE WHEN {_true('elevator')} THEN 0.2 ELSE 0 END + CASE WHEN {_true('laundry')} THEN 0.15 ELSE 0 END + CASE WHEN parking_spaces > 0 THEN 0.15 ELSE 0 END + CASE WHEN {_true('gym')} THEN 0.15 ELSE 0 END AS house,
   CASE active_status WHEN 'ACTIVE_CONFIRMED' THEN 0.3 WHEN 'LIKELY_ACTIVE' THEN 0.25 WHEN 'UNKNOWN' THEN 0.1 ELSE 0 END + CASE WHEN publication_date IS NOT NULL THEN 0.2 ELSE 0 END + CASE WHEN image_count >= 8 THEN 0.1 WHEN image_count >= 3 THEN 0.05 ELSE 0 END
-    + CASE WHEN latitude IS NOT NULL THEN 0.1 ELSE 0 END + CASE WHEN phone IS NOT NULL OR agency_name IS NOT NULL THEN 0.1 ELSE 0 END + CASE WHEN number_of_sources >= 2 THEN 0.1 ELSE 0 END AS good FROM a)
+    + CASE WHEN latitude IS NOT NULL THEN 0.1 ELSE 0 END + CASE WHEN phone IS NOT NULL OR agency_name IS NOT NULL THEN 0.1 ELSE 0 END + CASE WHEN number_of_sources >= 2 THEN 0.1 ELSE 0 END AS good FROM a)"""
+
+
+@query("fit_components", f"""{L}, {_NOISE}, {_PARTS}
 SELECT row_id, round(25 * quietness / 100.0, 2) AS pts_quietness, round(20 * paid, 1) AS pts_budget, CAST(round(20 * least(1, space), 1) AS DOUBLE) AS pts_space, CAST(round(10 * place, 1) AS DOUBLE) AS pts_location, CAST(round(8 * fitted, 1) AS DOUBLE) AS pts_furnishing, CAST(round(7 * least(1, house), 1) AS DOUBLE) AS pts_building, CAST(round(10 * least(1, good), 1) AS DOUBLE) AS pts_listing_quality FROM b""")
 def _(spark, d):
     rows = complete(spark, d).withColumns(scoring.noise(CFG))
@@ -421,23 +420,53 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(complete(spark, sf_dir), CFG, AS_OF)
 
 
-@query("listing_scores")
+#: Rounds as Spark does: half up on the shortest decimal text of the double.
+_half_up = lambda x, n: f"CAST(round(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 20)), {n}) AS DOUBLE)"
+_points = [_half_up(x, 2) for x in ("25 * quietness / 100.0", "20 * paid", "20 * least(1, space)", "10 * place", "8 * fitted", "7 * least(1, house)", "10 * least(1, good)")]
+_SCORES = f"""{L}, {_NOISE}, {_PARTS},
+g AS (SELECT *, operation <> 'Alquiler' OR property_type <> 'Flat' OR {_true('shared_room_text')} OR coalesce(active_status = 'INACTIVE', FALSE) OR bedrooms IS NULL OR bedrooms < 1 OR bedrooms > 2 OR rent_usd IS NULL AS hard,
+  coalesce(district = 'Miraflores', FALSE) AS by_text, {_half_up(" + ".join(_points), 1)} AS fit_score, {_TOTAL} AS total, CASE WHEN rent_usd IS NOT NULL AND area > 0 THEN {_half_up("rent_usd / area", 2)} END AS per_m2 FROM b),
+i AS (SELECT *, CASE WHEN inside_district_polygon IS NULL THEN by_text WHEN coord_precision IN ('APPROXIMATE', 'STREET_LEVEL') THEN by_text OR (inside_district_polygon AND district IS NULL) ELSE inside_district_polygon END AS inside FROM g),
+k AS (SELECT *, CASE WHEN hard THEN 'EXCLUDED' WHEN NOT inside AND coalesce(dist_outside_district_m <= 300 AND rent_usd <= 1000, FALSE) THEN CASE WHEN fit_score < 70 THEN 'EXCLUDED' ELSE 'NEAR_MISS' END WHEN NOT inside THEN 'EXCLUDED' WHEN rent_usd <= 1000 THEN 'PRIMARY' WHEN rent_usd <= 1100 THEN 'STRETCH' ELSE 'EXCLUDED' END AS category,
+  CASE WHEN rent_usd IS NULL THEN 'UNKNOWN' WHEN rent_usd <= 1000 AND total <= 1000 THEN 'STRICT_ALL_IN' WHEN rent_usd <= 1000 THEN 'BASE_RENT_COMPLIANT' WHEN rent_usd <= 1100 THEN 'STRETCH' ELSE 'OVER_BUDGET' END AS budget_class FROM i),
+v AS (SELECT row_id, (rank() OVER (PARTITION BY bedrooms ORDER BY per_m2) + (count(*) OVER (PARTITION BY bedrooms, per_m2) - 1) / 2.0) / count(*) OVER (PARTITION BY bedrooms) AS s, count(*) OVER (PARTITION BY bedrooms) AS n FROM k WHERE category IN ('PRIMARY', 'STRETCH') AND per_m2 IS NOT NULL AND bedrooms IS NOT NULL),
+scored AS (SELECT k.*, CASE WHEN n >= 5 THEN CAST(round_even(s * 100, 0) AS DOUBLE) END AS value_percentile,
+  CASE WHEN n IS NULL THEN 'INSUFFICIENT_DATA' WHEN n < 5 THEN 'INSUFFICIENT_SAMPLE' WHEN s <= 0.25 THEN 'EXCELLENT_VALUE' WHEN s <= 0.5 THEN 'GOOD_VALUE' WHEN s <= 0.75 THEN 'FAIR_VALUE' ELSE 'EXPENSIVE_RELATIVE_TO_SAMPLE' END AS value_band FROM k LEFT JOIN v USING (row_id)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY CASE WHEN risk = 'HIGH' AND confidence <> 'LOW' THEN 1 ELSE 0 END, fit_score + CASE WHEN budget_class = 'STRICT_ALL_IN' THEN 5.0 ELSE 0.0 END DESC, CASE WHEN budget_class = 'STRICT_ALL_IN' THEN 0 ELSE 1 END, coalesce(estimated_total_monthly_usd, rent_usd) NULLS LAST, row_id) AS rank_in_category FROM scored)"""
+
+
+@query("listing_scores", f"{_SCORES} SELECT row_id, category, fit_score, budget_class, value_band, value_percentile, red_flags FROM scored JOIN ({SQL['red_flags']}) USING (row_id)")
 def _(spark, d):
-    return _scored(spark, d).select("row_id", "category", "fit_score", "budget_class", "value_band", "value_percentile", "red_flags", "main_advantage", "main_drawback", "estimated_total_text", "exclusion_reason")
+    return _scored(spark, d).select("row_id", "category", "fit_score", "budget_class", "value_band", c("value_percentile").cast("double").alias("value_percentile"), "red_flags")
 
 
-@query("ranked_listings")
+@query("listing_texts")
+def _(spark, d):
+    return _scored(spark, d).select("row_id", "main_advantage", "main_drawback", "estimated_total_text", "exclusion_reason")
+
+
+@query("ranked_listings", f"{_SCORES} SELECT row_id, category, rank_in_category, fit_score FROM ranked")
 def _(spark, d):
     return ranking.rank(_scored(spark, d), CFG).select("row_id", "category", "rank_in_category", "fit_score")
 
 
-@query("qa_worklist")
+@query("topk_quiet_space", f"{_SCORES} SELECT row_id, round(0.6 * quietness + 2 * CAST(pts AS DOUBLE), 4) AS quiet_space FROM (SELECT *, {_points[2]} AS pts FROM ranked WHERE category = 'PRIMARY') ORDER BY quiet_space DESC, row_id LIMIT 5")
+def _(spark, d):
+    rows = _scored(spark, d).where("category = 'PRIMARY'")
+    return rows.select("row_id", F.round(F.lit(0.6) * c("quietness_score_0_100") + F.lit(2.0) * c("pts_space"), 4).alias("quiet_space")).orderBy(F.desc("quiet_space"), "row_id").limit(5)
+
+
+@query("qa_worklist", f"""{_SCORES}, w AS (SELECT * FROM ranked WHERE category = 'PRIMARY' AND rank_in_category <= {CFG.qa_programmatic} OR category IN ('STRETCH', 'NEAR_MISS')),
+z AS (SELECT *, row_number() OVER (ORDER BY CASE category WHEN 'PRIMARY' THEN 0 WHEN 'NEAR_MISS' THEN 1 ELSE 2 END, rank_in_category) AS qa_place FROM w) SELECT row_id, category, rank_in_category, qa_place, qa_place <= {CFG.qa_deep} AS deep FROM z""")
 def _(spark, d):
     ranked = ranking.rank(_scored(spark, d), CFG)
     return qa.worklist(ranked, CFG).select("row_id", "category", "rank_in_category", "qa_place", "deep")
 
 
-@query("final_checks")
+@query("final_checks", f"""{_SCORES}, t AS (SELECT * FROM ranked WHERE category = 'PRIMARY' AND rank_in_category <= {CFG.top_n})
+SELECT 'district' AS rule, count(*) FILTER (WHERE coalesce(lower(district) <> 'miraflores', TRUE) AND NOT coalesce(inside_district_polygon, FALSE)) AS bad FROM t UNION ALL SELECT 'bedrooms', count(*) FILTER (WHERE bedrooms IS NULL OR bedrooms NOT BETWEEN 1 AND 2) FROM t
+UNION ALL SELECT 'budget_class', count(*) FILTER (WHERE budget_class = 'STRICT_ALL_IN' AND NOT coalesce(coalesce(estimated_total_monthly_usd, rent_usd) <= 1000, FALSE)) FROM t UNION ALL SELECT 'confidence', count(*) FILTER (WHERE confidence IS NULL) FROM t
+UNION ALL SELECT 'demo', count(*) FILTER (WHERE regexp_matches(lower(title), '\\bdemo\\b|synthetic')) FROM t UNION ALL SELECT 'repeated_groups', count(*) - count(DISTINCT duplicate_group_id) FROM t""")
 def _(spark, d):
     return qa.final_checks(ranking.rank(_scored(spark, d), CFG), CFG)
 

@@ -55,6 +55,7 @@ PATHS = {
     "main_image": "mainImage.url mainImage.src mainImage mainImageUrl thumbnail coverImage image",
     "image_count": "picturesCount imageCount imagesCount photoCount",
 }
+# Keys of pictures, of labelled features and of amenities; label rules; words of closed listings; plausible coordinates.
 IMAGE = "url url730x532 resizeUrl1200x1200 src href original large"
 FEATURES = "mainFeatures features characteristics attributes specs details"
 AMENITIES = "amenities generalFeatures services extras facilities amenitiesList features characteristics"
@@ -100,20 +101,35 @@ def scalar(value: Column) -> Column:
 
 
 # ---------------------------------------------------------------- shapes, resolved by Arrow batch before Catalyst types them
-def _step(value, key: str):
-    if isinstance(value, list):
-        return value[int(key)] if key.isdigit() and int(key) < len(value) else None
-    if not isinstance(value, dict):
-        return None
-    return value[key] if key in value else next((v for k, v in value.items() if k.lower() == key.lower()), None)
+#: field -> its paths as steps, cut once.
+STEPS = {k: [tuple(path.split(".")) for path in paths.split()] for k, paths in PATHS.items()} | {k: [(k,)] for k in ("rooms", *FEATURES.split(), *AMENITIES.split())}
+IMAGE_STEPS = [(k,) for k in IMAGE.split()]
+
+
+class _Record:
+    """Look-ups in one record: keys as they are first, then without case by an index made once for each object."""
 
+    def __init__(self):
+        self.folded: dict[int, dict] = {}
 
-def _first(value, paths: str):
-    for path in paths.split():
-        found = reduce(_step, path.split("."), value)
-        if found not in (None, "", [], {}):
-            return found
-    return None
+    def step(self, value, key: str):
+        if isinstance(value, dict):
+            if key in value:
+                return value[key]
+            index = self.folded.get(id(value))
+            if index is None:
+                index = self.folded[id(value)] = {k.lower(): v for k, v in reversed(value.items())}
+            return index.get(key.lower())
+        return value[int(key)] if isinstance(value, list) and key.isdigit() and int(key) < len(value) else None
+
+    def first(self, value, paths: list[tuple[str, ...]]):
+        for path in paths:
+            found = value
+            for key in path:
+                found = self.step(found, key)
+            if found not in (None, "", [], {}):
+                return found
+        return None
 
 
 def _text(value) -> str | None:
@@ -161,21 +177,21 @@ def resolve(text: str | None) -> dict:
     except ValueError:
         record = {}
     record = record if isinstance(record, dict) else {}
-    out: dict = {k: _text(_first(record, paths)) for k, paths in PATHS.items()}
-    out["rooms"] = _text(_first(record, "rooms"))
+    first = _Record().first
+    out: dict = {k: _text(first(record, STEPS[k])) for k in (*PATHS, "rooms")}
     offers = record.get("priceOperationTypes")
     nested = [p for o in offers if isinstance(o, dict) for p in o.get("prices") or []] if isinstance(offers, list) else []
     flat = record.get("prices")
     for k in ("price", "expenses"):
-        value = _first(record, PATHS[k])
+        value = first(record, STEPS[k])
         if isinstance(value, dict):
             out[k] = _text(next((value[n] for n in ("value", "amount", "number") if value.get(n) not in (None, "")), None))
             out[f"{k}_currency" if k == "expenses" else "currency"] = out["expenses_currency" if k == "expenses" else "currency"] or _text(value.get("currency"))
     out["prices"] = [m for p in nested + (flat if isinstance(flat, list) else []) for m in _money(p)]
-    out["pairs"] = [e for k in FEATURES.split() for e in label_values(_first(record, k))]
-    out["extras"] = [e for k in AMENITIES.split() for e in label_values(_first(record, k))]
-    pictures = _first(record, PATHS["images"])
-    found = [_first(p, IMAGE) if isinstance(p, dict) else p for p in pictures] if isinstance(pictures, list) else []
+    out["pairs"] = [e for k in FEATURES.split() for e in label_values(first(record, STEPS[k]))]
+    out["extras"] = [e for k in AMENITIES.split() for e in label_values(first(record, STEPS[k]))]
+    pictures = first(record, STEPS["images"])
+    found = [first(p, IMAGE_STEPS) if isinstance(p, dict) else p for p in pictures] if isinstance(pictures, list) else []
     out["pictures"] = [p for p in found if isinstance(p, str)]
     return out
 
@@ -202,18 +218,18 @@ def resolved(df: DataFrame, column: str) -> DataFrame:
     return df.mapInArrow(run, kind)
 
 
-def feature_values(pairs: Column) -> dict[str, Column]:
-    """The first number that a label of each rule gives; a label answers to its first rule only."""
-    def rule(x: Column) -> Column:
-        folded = T.fold(x["label"])
-        return F.coalesce(*[F.when(folded.rlike(p), F.lit(k)) for k, p in RULES.items()])
+def tagged(pairs: Column) -> Column:
+    """Each pair once: the rule that its label answers to, the first of them, and its number; pairs without are left out."""
+    folded = F.transform(pairs, lambda x: F.struct(T.fold(x["label"]).alias("said"), F.equal_null(x["label"], x["value"]).alias("own"), x["value"].alias("value")))
+    ruled = F.transform(folded, lambda x: F.struct(F.coalesce(*[F.when(x["said"].rlike(p), F.lit(k)) for k, p in RULES.items()]).alias("rule"), x["said"].alias("said"), x["own"].alias("own"), x["value"].alias("value")))
+    known = F.filter(ruled, lambda x: x["rule"].isNotNull())
+    number = F.transform(known, lambda x: F.struct(x["rule"].alias("rule"), F.when(~(x["rule"].endswith("area_m2") & x["own"] & ~x["said"].contains("m")), T.to_float(F.when(x["own"], x["said"]).otherwise(x["value"]))).alias("number")))
+    return F.filter(number, lambda x: x["number"].isNotNull())
 
-    def value(x: Column, name: str) -> Column:
-        own = F.equal_null(x["label"], x["value"])
-        n = T.to_float(F.when(own, T.fold(x["label"])).otherwise(x["value"]))
-        return F.when(own & ~T.fold(x["label"]).contains("m"), F.lit(None)).otherwise(n) if name.endswith("area_m2") else n
 
-    return {name: F.get(F.filter(F.transform(F.filter(pairs, lambda x: rule(x) == name), lambda x: value(x, name)), lambda v: v.isNotNull()), 0) for name in RULES}
+def feature_values(found: Column) -> dict[str, Column]:
+    """The first number that a label of each rule gives, out of ``tagged`` pairs."""
+    return {name: F.get(F.filter(found, lambda x: x["rule"] == name), 0)["number"] for name in RULES}
 
 
 def amenities(pairs: Column) -> Column:
@@ -227,7 +243,8 @@ def map_record(df: DataFrame, column: str, source: Column, scraped_at: Column, b
     price = lambda p: F.struct(currency_code(p["currency"]).alias("currency"), T.to_float(p["amount"]).alias("amount"))
     raw = raw.withColumn("__prices", F.filter(F.transform("__prices", price), lambda p: p["currency"].isNotNull() & (p["amount"] != 0)))
     g = lambda k: c(f"__{k}")
-    raw = raw.withColumns({f"__f_{k}": v for k, v in feature_values(g("pairs")).items()})
+    raw = raw.withColumn("__tagged", tagged(g("pairs")))
+    raw = raw.withColumns({f"__f_{k}": v for k, v in feature_values(g("tagged")).items()})
     f = lambda k: c(f"__f_{k}")
     url = F.when(g("url").startswith("/"), F.concat(F.lit(base_url.rstrip("/")), g("url"))).otherwise(g("url"))
     listing_id = F.coalesce(g("id"), T.found(url, r"-(\d{6,})\.html"), T.found(url, r"(\d{8,})"))

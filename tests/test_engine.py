@@ -97,12 +97,34 @@ def test_geometry(spark):
     assert geo.stitch([[(0, 0), (1, 0)], [(1, 1), (1, 0)], [(1, 1), (0, 1), (0, 0)]])[0] in [(0, 0), (1, 1), (1, 0), (0, 1)]
 
 
-def test_grid_and_broadcast_nearest_agree(spark, monkeypatch):
-    points = spark.createDataFrame([(k, float(k * 137 % 4000), float(k * 71 % 3000)) for k in range(60)], "row_id long, x double, y double")
-    shapes = spark.createDataFrame([("cafe" if k % 2 else "park", f"n{k}", k, "point", [(float(k * 997 % 4000), float(k * 613 % 3000))]) for k in range(30)], "layer string, name string, seq int, kind string, points array<struct<x:double,y:double>>")
-    small = {(r["row_id"], r["layer"]): r["name"] for r in enrich.nearest(points, shapes).collect()}
-    monkeypatch.setattr(enrich, "BROADCAST_SHAPES", 5)
-    assert {(r["row_id"], r["layer"]): r["name"] for r in enrich.nearest(points, shapes).collect()} == small
+@pytest.mark.parametrize("scale", [1, 40])
+def test_nearest_is_that_of_all_pairs(spark, scale):
+    """Points, lines and polygons, near and far, with ties, against every pair in plain Python."""
+    import math
+
+    points = [(k, float(k * 137 % 4000) * scale, float(k * 71 % 3000) * scale) for k in range(60)] + [(60, -9e4, 8e4)]
+    shapes = []
+    for k in range(30):
+        x, y = float(k * 997 % 4000), float(k * 613 % 3000)
+        outline = [[(x, y)], [(x, y), (x + 300, y + 50), (x + 350, y - 400)], [(x, y), (x + 200, y), (x + 200, y + 200), (x, y + 200), (x, y)]][k % 3]
+        shapes += [("cafe" if k % 2 else "park", f"n{k}", k, ("point", "line", "polygon")[k % 3], outline)]
+    shapes.append(("park", "tie", 99, *shapes[0][3:]))
+
+    def segment(x, y, a, b):
+        dx, dy = b[0] - a[0], b[1] - a[1]
+        t = 0 if dx == dy == 0 else min(1, max(0, ((x - a[0]) * dx + (y - a[1]) * dy) / (dx * dx + dy * dy)))
+        return math.hypot(x - a[0] - t * dx, y - a[1] - t * dy)
+
+    def distance(x, y, kind, ring):
+        if kind == "polygon" and min(p[0] for p in ring) < x < max(p[0] for p in ring) and min(p[1] for p in ring) < y < max(p[1] for p in ring):
+            return 0.0
+        return min(segment(x, y, a, b) for a, b in zip(ring, ring[1:] or ring, strict=False))
+
+    wanted = {(i, layer): min((round(distance(x, y, s[3], s[4]), 6), s[2]) for s in shapes if s[0] == layer) for i, x, y in points for layer in ("cafe", "park")}
+    names = {s[2]: s[1] for s in shapes}
+    table = spark.createDataFrame(shapes, "layer string, name string, seq int, kind string, points array<struct<x:double,y:double>>")
+    out = {(r["row_id"], r["layer"]): (round(r["distance"], 6), r["name"]) for r in enrich.nearest(spark.createDataFrame(points, "row_id long, x double, y double"), table).collect()}
+    assert out == {k: (m, names[s]) for k, (m, s) in wanted.items()}
 
 
 def test_places(spark, tmp_path):
@@ -183,7 +205,7 @@ def test_settings():
 
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-FAST = ["value_bands", "rank_in_category", "gates", "noise_score", "fit_components", "red_flags", "geo_nearest", "duplicate_exact_groups", "money_normalise", "signal_flags"]
+FAST = ["value_bands", "rank_in_category", "gates", "noise_score", "fit_components", "red_flags", "geo_nearest", "duplicate_exact_groups", "money_normalise", "signal_flags", "listing_scores", "ranked_listings", "qa_worklist", "final_checks", "topk_quiet_space", "market_snapshot", "record_mapping"]
 
 
 @pytest.mark.parametrize("name", FAST)
