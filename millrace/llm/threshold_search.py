@@ -101,7 +101,10 @@ def stored_lists(rows: DataFrame, block: int) -> DataFrame:
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(made, arrow_schema(schema), strict=True)], schema=arrow_schema(schema))
 
     dealt = sized.join(blocks, "dims").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
-    return cut(dealt.select("dims", "block", "row", "id", "v").groupBy("dims", "block").applyInArrow(each, schema))
+    # A few blocks keep all tasks busy; of very many, some share a task and so its best rows.
+    n, wide = blocks.agg(F.sum("blocks")).first()[0] or 1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(n, max(wide, n // 32))
+    return cut(dealt.select("dims", "block", "row", "id", "v").groupBy("dims", "block").applyInArrow(each, schema).repartition(tasks))
 
 
 def solved(lists: DataFrame, asked: list, k: int) -> DataFrame:
