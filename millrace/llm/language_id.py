@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .byte_bpe import parse_ranks, vocabulary
-from .common import map_rows, text_batches
+from .common import MOST_HOT, cut, map_rows, spread, text_batches
 
 SAMPLE_ROWS, SAMPLE_WORDS, ROUNDS, SMOOTH = 400, 20_000, 2, 0.05
 UND = "und"
@@ -164,8 +164,10 @@ def learn(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """Fit on the sample that the module's text describes; None if no labelled row holds a letter."""
     labelled = rows.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     scale = 1 << 24
-    share = labelled.groupBy("lang").agg(F.least(F.lit(scale), F.ceil(F.lit(float(sample_rows * scale)) / F.count("*"))).alias("share"))
-    sample = labelled.join(share, "lang").where(F.pmod(F.xxhash64("key"), F.lit(scale)) < F.col("share"))
+    share = cut(labelled.groupBy("lang").agg(F.count("*").alias("n"), F.least(F.lit(scale), F.ceil(F.lit(float(sample_rows * scale)) / F.count("*"))).alias("share")))
+    # Texts stay where they are as long as the languages are few; else a frequent language is dealt to several tasks.
+    rated = labelled.join(F.broadcast(share), "lang") if share.count() <= MOST_HOT else spread(labelled, share, ["lang"], ["key"])
+    sample = rated.where(F.pmod(F.xxhash64("key"), F.lit(scale)) < F.col("share"))
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     best = words.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("place") <= sample_words)
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary()[0])
