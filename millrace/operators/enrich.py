@@ -114,4 +114,10 @@ def fill_coordinates(df: DataFrame, cache: DataFrame, query: Column) -> DataFram
     joined = df.withColumn("__key", F.when(missing, query)).join(found, c("__key") == c("__q"), "left")
     hit = missing & c("__lat").isNotNull()
     pick = lambda new, old: F.when(hit, new).otherwise(c(old))
-    return joined.withColumns({"coord_source": pick(F.lit("GEOCODED"), "coord_source"), "coord_precision": pick(c("__p"), "coord_precision"), "latitude": pick(c("__lat"), "latitude"), "longitude": pick(c("__lon"), "longitude")}).drop("__key", "__q", "__lat", "__lon", "__p")
+    return joined.withColumns({"coord_source": pick(F.lit("GEOCODED_ADDRESS"), "coord_source"), "coord_precision": pick(c("__p"), "coord_precision"), "latitude": pick(c("__lat"), "latitude"), "longitude": pick(c("__lon"), "longitude")}).drop("__key", "__q", "__lat", "__lon", "__p")
+
+
+def to_geocode(df: DataFrame, cache: DataFrame, query: Column, most: int = 150) -> DataFrame:
+    """(query): the first ``most`` place queries, in row order, that rows without coordinates need and the cache lacks."""
+    missing = df.where(c("latitude").isNull() | c("longitude").isNull()).select(query.alias("query"), "row_id").where("query IS NOT NULL")
+    return missing.groupBy("query").agg(F.min("row_id").alias("row")).join(cache.select("query"), "query", "left_anti").orderBy("row").limit(most).select("query")

@@ -14,7 +14,7 @@ from ..operators import aggregates, dedupe, enrich, qa, ranking, scoring
 from ..operators.components import components
 from ..operators.normalize import district
 from ..schema import conform
-from ..sources import files, records
+from ..sources import files, places, portals, records
 from .surrogate import LISTINGS, PLACES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -508,7 +508,7 @@ def _(spark, d):
     return qa.write_back(rows, rows.where(c("row_id") % 3 == 0).withColumn("o_orderstatus", F.lit("CHANGED")), ["o_orderstatus"])
 
 
-@query("geocode_fill", f"{L}, a AS (SELECT address, min(row_id) AS k FROM l WHERE latitude IS NOT NULL GROUP BY 1) SELECT row_id, CASE WHEN latitude IS NULL AND k IS NOT NULL THEN 'GEOCODED' END AS coord_source, CASE WHEN latitude IS NULL AND k IS NOT NULL THEN -12.0 - k / 1000000.0 ELSE latitude END AS latitude FROM l LEFT JOIN a USING (address)")
+@query("geocode_fill", f"{L}, a AS (SELECT address, min(row_id) AS k FROM l WHERE latitude IS NOT NULL GROUP BY 1) SELECT row_id, CASE WHEN latitude IS NULL AND k IS NOT NULL THEN 'GEOCODED_ADDRESS' END AS coord_source, CASE WHEN latitude IS NULL AND k IS NOT NULL THEN -12.0 - k / 1000000.0 ELSE latitude END AS latitude FROM l LEFT JOIN a USING (address)")
 def _(spark, d):
     rows = complete(spark, d)
     cache = rows.where(c("latitude").isNotNull()).groupBy(c("address").alias("query")).agg(F.min("row_id").alias("k")).select("query", (F.lit(-12.0) - c("k") / F.lit(1000000.0)).alias("latitude"), F.lit(-77.03).alias("longitude"), F.lit("STREET_LEVEL").alias("precision"))
@@ -560,6 +560,61 @@ def _(spark, d):
     return listings(spark, d).select("row_id", F.round(geo.haversine(c("latitude"), c("longitude"), F.lit(-12.121), F.lit(-77.03)), 3).alias("metres"))
 
 
+#: A map element from a supplier, of one of eight kinds.
+_ELEMENT = """CASE s_suppkey % 8
+  WHEN 0 THEN concat('{"type": "way", "tags": {"highway": "primary", "name": "Av. ', s_suppkey, '"}, "geometry": [{"lat": -12.12, "lon": -77.03}, {"lat": -12.121, "lon": -77.031}]}')
+  WHEN 1 THEN concat('{"type": "way", "tags": {"highway": "secondary_link", "name": "MALECON ', s_suppkey, '"}, "geometry": [{"lat": -12.12, "lon": -77.03}, {"lat": -12.121, "lon": -77.031}, {"lat": -12.122, "lon": -77.031}]}')
+  WHEN 2 THEN '{"type": "way", "tags": {"leisure": "park", "brand": "B"}, "geometry": [{"lat": -12.12, "lon": -77.03}, {"lat": -12.12, "lon": -77.031}, {"lat": -12.121, "lon": -77.031}, {"lat": -12.121, "lon": -77.03}]}'
+  WHEN 3 THEN concat('{"type": "node", "lat": -12.13, "lon": -77.04, "tags": {"amenity": "pub", "name": "', s_name, '"}}')
+  WHEN 4 THEN '{"type": "way", "tags": {"amenity": "pharmacy", "ref": "R7"}, "center": {"lat": -12.125, "lon": -77.035}}'
+  WHEN 5 THEN '{"type": "node", "lat": -12.11, "lon": -77.02, "tags": {"highway": "bus_stop", "name": ""}}'
+  WHEN 6 THEN '{"type": "way", "tags": {"highway": "residential", "name": "Jr. X"}, "geometry": [{"lat": -12.12, "lon": -77.03}]}'
+  ELSE '{"type": "relation", "tags": {"boundary": "administrative", "name": "M"}, "members": []}' END"""
+
+
+@query("map_layers", f"""WITH k AS (SELECT s_suppkey AS k, s_name FROM supplier)
+SELECT 'major' AS layer, concat('Av. ', k) AS name, CAST(k AS INT) AS seq, 'line' AS kind, 2 AS points, CAST(0.0 AS DOUBLE) AS x FROM k WHERE k % 8 = 0 UNION ALL SELECT 'arterial', concat('MALECON ', k), CAST(k AS INT), 'line', 3, 0.0 FROM k WHERE k % 8 = 1
+UNION ALL SELECT 'malecon', concat('MALECON ', k), CAST(k AS INT), 'line', 3, 0.0 FROM k WHERE k % 8 = 1 UNION ALL SELECT 'park', 'B', CAST(k AS INT), 'polygon', 5, 0.0 FROM k WHERE k % 8 = 2 UNION ALL SELECT 'bar', s_name, CAST(k AS INT), 'point', 1, round({_X.format('(-77.04)')}, 3) FROM k WHERE k % 8 = 3
+UNION ALL SELECT 'pharmacy', 'R7', CAST(k AS INT), 'point', 1, round({_X.format('(-77.035)')}, 3) FROM k WHERE k % 8 = 4 UNION ALL SELECT 'transit', '(unnamed)', CAST(k AS INT), 'point', 1, round({_X.format('(-77.02)')}, 3) FROM k WHERE k % 8 = 5""")
+def _(spark, d):
+    elements = read(spark, d, "supplier").select(c("s_suppkey").cast("int").alias("seq"), F.from_json(F.expr(_ELEMENT), places.ELEMENT).alias("element"))
+    return places.layers(elements).select("layer", "name", "seq", "kind", F.size("points").alias("points"), F.round(c("points")[0]["x"], 3).alias("x"))
+
+
+#: Level streets and upright blocks, in metres: both are boxes, a street without height.
+_BOXES = "SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'street' ELSE 'block' END AS layer, CAST(s_suppkey AS INT) AS seq, CAST((s_suppkey * 7919) % 6000 - 3000 AS DOUBLE) AS x0, CAST((s_suppkey * 104729) % 6000 - 3000 AS DOUBLE) AS y0, CAST(40 + s_suppkey % 90 AS DOUBLE) AS w, CASE WHEN s_suppkey % 2 = 0 THEN 0.0 ELSE CAST(30 + s_suppkey % 70 AS DOUBLE) END AS h FROM supplier"
+
+
+@query("geo_lines_polygons", f"""{L}, b AS ({_BOXES}), p AS (SELECT row_id, {_X.format('longitude')} AS x, {_Y.format('latitude')} AS y FROM l WHERE latitude IS NOT NULL),
+d AS (SELECT row_id, layer, sqrt(pow(greatest(x0 - x, 0, x - x0 - w), 2) + pow(greatest(y0 - y, 0, y - y0 - h), 2)) AS m FROM p, b) SELECT row_id, layer, round(min(m), 3) AS distance FROM d GROUP BY 1, 2""")
+def _(spark, d):
+    at = lambda x, y: F.struct((c("x0") + x).alias("x"), (c("y0") + y).alias("y"))
+    zero, w, h = F.lit(0.0), c("w"), c("h").cast("double")
+    points = F.when(c("layer") == "street", F.array(at(zero, zero), at(w, zero))).otherwise(F.array(at(zero, zero), at(w, zero), at(w, h), at(zero, h), at(zero, zero)))
+    shapes = made(spark, d, _BOXES, "supplier").select("layer", F.lit("").alias("name"), "seq", F.when(c("layer") == "street", "line").otherwise("polygon").alias("kind"), points.alias("points"))
+    return enrich.nearest(enrich._placed(listings(spark, d)), shapes).select("row_id", "layer", F.round("distance", 3).alias("distance"))
+
+
+# ---------------------------------------------------------------- portals
+_CARD = """concat('<div data-qa="posting PROPERTY" data-id="', o_orderkey, '" data-to-posting="/aviso-', o_orderkey, '.html"><div data-qa="POSTING_CARD_PRICE">', CASE WHEN o_orderkey % 2 = 0 THEN 'USD ' ELSE 'S/ ' END, 500 + o_orderkey % 900, '</div><h3 data-qa="POSTING_CARD_FEATURES"><span>', 30 + o_orderkey % 99, ' m² tot.</span><span>', 1 + o_orderkey % 3, ' dorm.</span></h3></div>')"""
+#: Search pages from orders: a customer is a search; some pages fail, some show no card.
+_PAGES = f"SELECT concat('https://p.pe/s', o_custkey, '.html') AS url, CAST(o_orderkey AS BIGINT) AS page, CASE WHEN o_orderkey % 7 = 0 THEN 500 ELSE 200 END AS status, CASE WHEN o_orderkey % 11 = 0 THEN '<p>nothing</p>' ELSE {_CARD} END AS html FROM orders"
+_SEEN = "o AS (SELECT * FROM orders), e AS (SELECT o_custkey, min(o_orderkey) AS e FROM o WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 GROUP BY 1), s AS (SELECT o.o_orderkey AS k FROM o LEFT JOIN e USING (o_custkey) WHERE e IS NULL OR o_orderkey < e)"
+
+
+@query("portal_pages", f"""WITH {_SEEN} SELECT CAST(k AS VARCHAR) AS source_listing_id, concat('https://p.pe/aviso-', k, '.html') AS source_url, CAST(500 + k % 900 AS DOUBLE) AS rent_original, CASE WHEN k % 2 = 0 THEN 'USD' ELSE 'PEN' END AS rent_currency, CAST(1 + k % 3 AS INT) AS bedrooms, CAST(30 + k % 99 AS DOUBLE) AS total_area_m2 FROM s""")
+def _(spark, d):
+    found, _notes = portals.cards(made(spark, d, _PAGES, "orders"), "portal")
+    mapped = records.map_record(found, "json", F.lit("urbania"), F.lit(AS_OF), "https://p.pe")
+    return mapped.select("source_listing_id", "source_url", "rent_original", "rent_currency", "bedrooms", "total_area_m2")
+
+
+@query("portal_run", f"WITH {_SEEN}, n AS (SELECT least(count(*), 500) AS n FROM s), x AS (SELECT count(*) AS x FROM e WHERE e % 7 = 0) SELECT 'urbania' AS source, n AS records, x AS errors, CASE WHEN n = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS status FROM n, x")
+def _(spark, d):
+    run = portals.portal("urbania", made(spark, d, _PAGES, "orders"), AS_OF, "https://p.pe", max_items=500)
+    return run.statement.select("source", c("records").cast("bigint").alias("records"), "errors", "status")
+
+
 # ---------------------------------------------------------------- records
 _RECORD = """concat('{"postingId": "', o_orderkey, '", "URL": "/aviso-', o_orderkey, '", "title": "Depa ', o_orderkey, '", "price": {"amount": ', 500 + o_orderkey % 900, ', "currency": "', CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'S/' END,
  '"}, "expenses": {"amount": ', 100 + o_orderkey % 300, ', "currency": "PEN"}, "mainFeatures": {"A": {"label": "Dormitorios", "value": "', 1 + o_orderkey % 3, '"}, "B": {"label": "Area total", "value": "', 40 + o_orderkey % 60, ' m2"}}, "geo": {"lat": -12.1', lpad(cast(o_orderkey % 1000 as string), 3, '0'), ', "lng": -77.0', lpad(cast((o_orderkey div 1000) % 60 as string), 2, '0'), '}, "showExactLocation": true, "amenities": ["Piscina", "2 ascensores"], "images": [{"url": "https://i.test/', 1234567 + o_orderkey, '.jpg"}]}')"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..schema import ARRAYS, KINDS, conform
+from . import portals
 
 c = F.col
 
@@ -69,10 +70,13 @@ def with_row_ids(df: DataFrame, *order: str) -> DataFrame:
     return numbered(df, [], [c(k).asc_nulls_last() for k in order], "row_id")
 
 
-SOURCES: dict[str, Callable[..., DataFrame]] = {"manual": read_manual, "records": read_records}
+#: Readers by name: a table, or a portals.Run with its statement.
+SOURCES: dict[str, Callable[..., DataFrame | portals.Run]] = {"manual": read_manual, "records": read_records} | {
+    "urbania": partial(portals.portal, "urbania"), "adondevivir": partial(portals.portal, "adondevivir"), "mercadolibre": partial(portals.market, "mercadolibre"),
+}
 
 
-def collect(name: str, *args, **kwargs) -> DataFrame:
+def collect(name: str, *args, **kwargs) -> DataFrame | portals.Run:
     if name not in SOURCES:
         raise ValueError(f"unknown source {name!r}; known: {', '.join(sorted(SOURCES))}")
     return SOURCES[name](*args, **kwargs)

@@ -16,9 +16,13 @@ ELEMENT = f"struct<type:string,id:bigint,lat:double,lon:double,tags:map<string,s
 c = F.col
 
 
-def read_elements(spark: SparkSession, path: str) -> DataFrame:
-    """(seq, element) of a cached response; ``path`` may name several files."""
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<elements:array<{ELEMENT}>>").alias("r"))
+def read_elements(spark: SparkSession, path: str, as_of: str | None = None, days: int = 30) -> DataFrame:
+    """(seq, element) of a cached response; ``path`` may name several files. With ``as_of``, only responses that are at most
+    ``days`` whole days old then; one that doesn't say when it was fetched is too old."""
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<_fetched_at:string,elements:array<{ELEMENT}>>").alias("r"))
+    if as_of is not None:
+        age = F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp(c("r._fetched_at").try_cast("timestamp"))
+        raw = raw.where(F.floor(age / 86400) <= days)
     return raw.select(F.posexplode("r.elements").alias("seq", "element"))
 
 

@@ -9,10 +9,10 @@ from millrace.functions import geo, money
 from millrace.operators import dedupe, enrich, qa, ranking, scoring
 from millrace.operators.components import components
 from millrace.operators.normalize import normalize
-from millrace.plans import registry, views
+from millrace.plans import registry, report, views, workbook
 from millrace.plans.pipeline import process
 from millrace.schema import KINDS, conform
-from millrace.sources import files, html_cards, places, records, requests
+from millrace.sources import files, html_cards, places, portals, records, requests
 
 CFG = Config()
 BASE = {"source": "urbania", "source_listing_id": "1", "source_url": "https://a.pe/1", "bedrooms": 1, "rent_usd": 900.0, "total_area_m2": 60.0, "built_area_m2": 58.0, "latitude": -12.12, "longitude": -77.03, "title": "Flat frente al parque", "description": "x" * 90, "address": "Calle Berlin 350", "image_keys": ["abc"]}
@@ -173,6 +173,54 @@ def test_collector_input():
     assert requests.pages(600) == [(0, 250), (250, 250), (500, 100)]
 
 
+def test_portal_runs(spark):
+    card = lambda k, price: f'<li class="ui-search-layout__item"><h2><a href="https://m.pe/MPE-{k}-x">Flat</a></h2><span class="andes-money-amount"><b class="andes-money-amount__currency-symbol">{price[0]}</b><b class="andes-money-amount__fraction">{price[1]}</b></span></li>'
+    pages = spark.createDataFrame([("s", 1, 200, "".join(card(10000000 + k, ("US$", "900" if k else "5,000")) for k in range(48))), ("s", 2, 200, card(20000000, ("S/", "3,000"))), ("s", 3, 200, card(30000000, ("S/", "1")))], "url string, page int, status int, html string")
+    detail = '<tr class="andes-table__row"><th>Dormitorios</th><td>2</td></tr>'
+    details = spark.createDataFrame([(f"https://m.pe/MPE-{k}-x", status, detail) for k, status in ((10000000, 200), (10000001, 200), (10000002, 404), (10000003, 200), (20000000, 500))], "url string, status int, html string")
+    run = portals.market("mercadolibre", pages, details, "2024-06-01", 1150, 3.4, max_details=1)
+    rows = {r["source_listing_id"]: r for r in run.listings.collect()}
+    assert len(rows) == 49 and "MPE30000000" not in rows  # a page that isn't full is the last one
+    assert [rows[f"MPE{k}"]["bedrooms"] for k in (10000000, 10000001, 10000003, 20000000)] == [None, 2, None, None] and rows["MPE10000002"]["active_status"] == "INACTIVE"
+    assert run.statement.select("records", "errors", "status").first() == (49, 0, "SUCCESS")
+    failed = portals.portal("urbania", pages.withColumn("status", F.lit(403)), "2024-06-01").statement.first()
+    assert (failed["records"], failed["errors"], failed["status"], failed["notes"]) == (0, 1, "FAILED", ["s page 1: status 403"])
+    none = portals.portal("urbania", pages.limit(0), "2024-06-01").statement.first()
+    assert (none["records"], none["status"]) == (0, "FAILED")
+    audit = report.source_audit(run.listings, run.statement)
+    assert audit.first()["status"] == "PARTIAL" and "# Source audit" in report.audit_markdown(audit, "2024-06-01")
+    items = spark.createDataFrame([('{"id": "7", "price": "USD 950"}',)], "json string")
+    assert portals.collected("urbania", items, "2024-06-01", succeeded=False).statement.first()["status"] == "PARTIAL"
+    assert files.collect("urbania", pages.limit(0), "2024-06-01").listings.count() == 0
+
+
+def test_map_cache_is_fresh(spark, tmp_path):
+    (tmp_path / "m.json").write_text(json.dumps({"_fetched_at": "2024-05-01T00:00:00+00:00", "elements": [{"type": "node", "id": 1}]}))
+    read = lambda *at: places.read_elements(spark, str(tmp_path / "m.json"), *at).count()
+    assert (read(), read("2024-05-31T12:00:00+00:00"), read("2024-06-01T12:00:00+00:00")) == (1, 1, 0)
+
+
+def test_places_to_look_up(spark):
+    rows = spark.createDataFrame([(1, "b", None, None), (2, "a", None, None), (3, "b", None, None), (4, "known", None, None), (5, "c", -12.1, -77.0), (6, None, None, None)], "row_id long, address string, latitude double, longitude double")
+    cache = spark.createDataFrame([("known",)], "query string")
+    assert [r[0] for r in enrich.to_geocode(rows, cache, F.col("address"), 5).collect()] == ["b", "a"] and enrich.to_geocode(rows, cache, F.col("address"), 1).count() == 1
+
+
+def test_workbook(spark, tmp_path):
+    import zipfile
+    from xml.etree import ElementTree
+
+    rows = spark.createDataFrame([(1, "a & <b>", None, True), (2, "\x0bé", 1.5, False)], "n int, said string, x double, yes boolean")
+    assert workbook.write(str(tmp_path / "w.xlsx"), {"stretch": rows, "client_top_picks": rows.limit(0)}) == ["CLIENT_TOP_PICKS", "STRETCH"]
+    with zipfile.ZipFile(tmp_path / "w.xlsx") as book:
+        parts = {name: ElementTree.fromstring(book.read(name)) for name in book.namelist()}
+    space = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
+    found = [["".join(cell.itertext()) for cell in row] for row in parts["xl/worksheets/sheet2.xml"].iterfind(".//m:row", space)]
+    assert found == [["n", "said", "x", "yes"], ["1", "a & <b>", "", "1"], ["2", "é", "1.5", "0"]]
+    with pytest.raises(ValueError, match="characters"):
+        workbook.write(str(tmp_path / "long.xlsx"), {"stretch": spark.createDataFrame([("x" * 40000,)], "said string")})
+
+
 def test_manual_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text("source_url,rent_original,furnished,amenities,latitude\nhttps://x,950,si,gym; pool,-12.1\n,abc,,,\n")
     (tmp_path / "b.json").write_text(json.dumps([{"source_url": "https://y", "bedrooms": 2}]))
@@ -197,6 +245,8 @@ def test_whole_pipeline_and_views(spark):
     assert sorted(r["rank_in_category"] for r in ranked.where("category = 'PRIMARY'").collect()) == [1, 2, 3, 4, 5, 6]
     shown = views.views(ranked, CFG)
     assert len(shown["client_top_picks"].columns) == 14 and len(shown["executive_shortlist"].columns) == 27 and shown["client_top_picks"].count() == 6
+    page = report.html_report(shown, "R", ranked=ranked)
+    assert page.count("<circle") == 12 and page.count("<section>") == 5 and "<td>listings</td><td>6</td>" in page
     assert {r["rule"]: r["bad"] for r in qa.final_checks(ranked, CFG).collect()}["bedrooms"] == 0
 
 
@@ -205,7 +255,7 @@ def test_settings():
 
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-FAST = ["value_bands", "rank_in_category", "gates", "noise_score", "fit_components", "red_flags", "geo_nearest", "duplicate_exact_groups", "money_normalise", "signal_flags", "listing_scores", "ranked_listings", "qa_worklist", "final_checks", "topk_quiet_space", "market_snapshot", "record_mapping"]
+FAST = ["value_bands", "rank_in_category", "gates", "noise_score", "fit_components", "red_flags", "geo_nearest", "duplicate_exact_groups", "money_normalise", "signal_flags", "listing_scores", "ranked_listings", "qa_worklist", "final_checks", "topk_quiet_space", "market_snapshot", "record_mapping", "geocode_fill", "map_layers", "geo_lines_polygons", "portal_pages", "portal_run"]
 
 
 @pytest.mark.parametrize("name", FAST)
