@@ -5,8 +5,7 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
-from . import byte_bpe, decontaminate, html_text, language_id, line_dedup, minhash, secret_scan, sharding, suffix_dedup, threshold_search
-
+from . import byte_bpe, decontaminate, filter_audit, html_text, language_id, line_dedup, minhash, packing, secret_scan, sharding, suffix_dedup, threshold_search, word_runs
 
 
 def _pipeline(spark, sf_dir):
@@ -29,7 +28,10 @@ QUERIES = {
     "op8_threshold_search": threshold_search.query,
     "op9_minhash": minhash.query,
     "op10_hilbert_shards": sharding.query,
+    "op11_filter_audit": filter_audit.query,
+    "op12_best_two_fit": packing.query,
+    "op13_word_runs": word_runs.query,
     "pipeline": _pipeline,
 }
 
-SQL = {"op1_line_dedup": line_dedup.SQL, "op8_threshold_search": threshold_search.SQL}
+SQL = {"op1_line_dedup": line_dedup.SQL, "op8_threshold_search": threshold_search.SQL, "op11_filter_audit": filter_audit.SQL}
