@@ -15,7 +15,9 @@ aren't read.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_right
 from functools import lru_cache
 
@@ -34,17 +36,39 @@ VOCABULARY, CAPACITY, END = "word_bpe_49k.json", 4096, 1
 Slot = tuple[int, int, int, int, int]
 
 
+#: Parts of these characters only: the tokenizer's normalizer changes nothing in them but case, and its pieces are found by ``PIECE``.
+PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+PIECE = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+#: Byte-level letters of bytes: printable ones stand for themselves, the others follow in order from 256.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+#: What a special token of the vocabulary holds; parts with it are left to the tokenizer.
+SPECIAL = "<|"
+
+
 class Tokens:
-    """Bytes of the 32-bit ids of parts between ASCII white space, remembered; the tokenizer never joins such parts."""
+    """Bytes of the 32-bit ids of parts between ASCII white space, remembered; the tokenizer never joins such parts.
+
+    Plain parts are cut here and only their pieces go to the tokenizer's model; all others go through the whole tokenizer.
+    """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.model = self.tokenizer.model.tokenize
         self.parts = Memo(self._part)
 
     def _part(self, part: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        text = part.decode()
+        if PLAIN.fullmatch(text) is None or SPECIAL in text:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        elif part.isalpha():
+            ids = [token.id for token in self.model(text.lower())]
+        else:
+            pieces = [piece if piece.isascii() else piece.encode().decode("latin-1").translate(LETTERS) for piece in PIECE.findall(text.lower())]
+            ids = [token.id for piece in pieces for token in self.model(piece)]
+        return array("I", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.parts.__getitem__, text.encode().split()))
