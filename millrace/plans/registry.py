@@ -620,12 +620,51 @@ _RECORD = """concat('{"postingId": "', o_orderkey, '", "URL": "/aviso-', o_order
  '"}, "expenses": {"amount": ', 100 + o_orderkey % 300, ', "currency": "PEN"}, "mainFeatures": {"A": {"label": "Dormitorios", "value": "', 1 + o_orderkey % 3, '"}, "B": {"label": "Area total", "value": "', 40 + o_orderkey % 60, ' m2"}}, "geo": {"lat": -12.1', lpad(cast(o_orderkey % 1000 as string), 3, '0'), ', "lng": -77.0', lpad(cast((o_orderkey div 1000) % 60 as string), 2, '0'), '}, "showExactLocation": true, "amenities": ["Piscina", "2 ascensores"], "images": [{"url": "https://i.test/', 1234567 + o_orderkey, '.jpg"}]}')"""
 
 
-@query("record_mapping", """SELECT CAST(o_orderkey AS VARCHAR) AS source_listing_id, concat('https://p.test/aviso-', o_orderkey) AS source_url, concat('Depa ', o_orderkey) AS title, CAST(500 + o_orderkey % 900 AS DOUBLE) AS rent_original, CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'PEN' END AS rent_currency,
-  CAST(100 + o_orderkey % 300 AS DOUBLE) AS maintenance_fee, 'PEN' AS maintenance_currency, CAST(1 + o_orderkey % 3 AS INT) AS bedrooms, CAST(40 + o_orderkey % 60 AS DOUBLE) AS total_area_m2, CAST(concat('-12.1', lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')) AS DOUBLE) AS latitude, 'EXACT' AS coord_precision, 'Piscina' AS amenities, CAST(1234567 + o_orderkey AS VARCHAR) AS image_keys FROM orders""")
-def _(spark, d):
-    raw = read(spark, d, "orders").select(F.expr(_RECORD).alias("json"))
+#: A record of one of five shapes for each order: labelled objects with nested prices, name and value lists with a priced text, plain
+#: objects with a price list, texts with converted prices only, and a price object with dues of no currency.
+_SHAPED = """CASE o_orderkey % 5
+WHEN 0 THEN concat('{"postingId": "', o_orderkey, '", "URL": "/aviso-', o_orderkey, '", "title": "Depa ', o_orderkey, '", "priceOperationTypes": [{"operationType": {"name": "Alquiler"}, "prices": [{"amount": ', 500 + o_orderkey % 900,
+  ', "currency": "USD"}, {"amount": ', 2000 + o_orderkey % 900, ', "currency": "S/"}]}], "expenses": {"amount": ', 100 + o_orderkey % 300, ', "currency": "PEN"}, "mainFeatures": {"Z": {"label": "Dormitorios", "value": "', 1 + o_orderkey % 3,
+  '"}, "B": {"label": "Baños", "value": "1"}, "C": {"name": "Medio baño", "measure": 1}, "A": {"label": "Habitaciones", "value": 9}, "D": {"label": "Area total", "value": "', 40 + o_orderkey % 60, ' m2"}}, "geo": {"lat": -12.1', lpad(cast(o_orderkey % 1000 as string), 3, '0'),
+  ', "LNG": -77.0', lpad(cast((o_orderkey div 1000) % 60 as string), 2, '0'), '}, "showExactLocation": true, "amenities": ["Piscina", "2 ascensores"], "images": [{"url": "https://i.test/', 1234567 + o_orderkey, '.jpg"}], "publishedAt": "2024-03-0', 1 + o_orderkey % 9, '"}')
+WHEN 1 THEN concat('{"Link": "https://p.test/aviso-', 10000000 + o_orderkey, '", "headline": "Depa <b>', o_orderkey, '</b>", "Price": "S/ ', 1000 + o_orderkey % 900, '", "maintenance": "US$ ', 50 + o_orderkey % 9, '", "features": [{"name": "Habitaciones", "value": ', 1 + o_orderkey % 3,
+  '}, {"name": "Baños", "value": 2}, {"group": {"Superficie techada": "', 40 + o_orderkey % 60, ' m2", "Gimnasio": true}}, {"title": "Ascensor"}], "location": {"lat": -12.1', lpad(cast(o_orderkey % 1000 as string), 3, '0'), ', "lng": -77.01}, "isApproximate": "si", "facilities": [{"name": "Terraza"}, {"name": "Sauna", "value": "no"}], "amoblado": "Sí", "postingStatus": "',
+  CASE WHEN o_orderkey % 7 = 0 THEN 'Pausado' ELSE 'Online' END, '", "visiblePictures": {"pictures": ["https://i.test/a/', 1234567 + o_orderkey, '-x.png", {"resizeUrl1200x1200": "https://i.test/0123456789abc.webp"}]}, "published": "hace ', o_orderkey % 5, ' días"}')
+WHEN 2 THEN concat('{"listingId": "', o_orderkey, '", "href": "https://p.test/', o_orderkey, '", "name": "Depa ', o_orderkey, '", "prices": [{"currency": "soles", "value": ', 1500 + o_orderkey % 500, '}, {"currency": "?", "amount": 1}, {"currency": {"code": "x"}, "amount": 2}, {"currency": "US$", "amount": "', 400 + o_orderkey % 500, '"}], "gastosComunes": ', 80 + o_orderkey % 50,
+  ', "attributes": {"Piso": ', 1 + o_orderkey % 9, ', "Dormitorios": ', 1 + o_orderkey % 3, ', "Habitaciones": 8, "Estacionamientos": "2", "Superficie total": ', 40 + o_orderkey % 60, '.125, "Sup. cubierta": "', 30 + o_orderkey % 60, '"}, "picturesCount": ', o_orderkey % 4, '}')
+WHEN 3 THEN concat('{"propertyId": ', o_orderkey, ', "url": "/x-', o_orderkey, '", "title": "Depa ', o_orderkey, '", "priceUSD": ', 501 + 10 * (o_orderkey % 50), ', "PRICEPEN": "', 1500 + 10 * (o_orderkey % 50), '", "expenses": 0, "details": ["', 1 + o_orderkey % 3, ' dormitorios", "2 baños", "', 40 + o_orderkey % 60, ' m² area total", "area total"], "lat": "-12.1', lpad(cast(o_orderkey % 1000 as string), 3, '0'), '0", "lon": "-77.0200", "services": {"Piscina": "si", "Agua": 1, "Luz": "no"}}')
+ELSE concat('{"postingCode": "', o_orderkey, '", "permalink": "/aviso-', o_orderkey, '", "title": "Depa ', o_orderkey, '", "price": {"amount": ', 500 + o_orderkey % 900, '.5, "currency": "', CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'S/' END, '"}, "expenses": {"value": ', 90 + o_orderkey % 10, '}, "rooms": ', 1 + o_orderkey % 3, ', "banos": 1.5, "area": ', 40 + o_orderkey % 60, ', "lat": 40.0, "lng": -77.0}')
+END"""
+
+
+def _by_shape(*values: str) -> str:
+    return "CASE o_orderkey % 5 " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(values)) + " END"
+
+
+_LAT = "CAST(concat('-12.1', lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')) AS DOUBLE)"
+_MADE = "CAST(40 + o_orderkey % 60 AS DOUBLE)"
+
+
+@query("record_mapping", f"""SELECT CAST({_by_shape("o_orderkey", "10000000 + o_orderkey", "o_orderkey", "o_orderkey", "o_orderkey")} AS VARCHAR) AS source_listing_id,
+  {_by_shape("concat('https://p.test/aviso-', o_orderkey)", "concat('https://p.test/aviso-', 10000000 + o_orderkey)", "concat('https://p.test/', o_orderkey)", "concat('https://p.test/x-', o_orderkey)", "concat('https://p.test/aviso-', o_orderkey)")} AS source_url,
+  {_by_shape("concat('Depa ', o_orderkey)", "concat('Depa ', o_orderkey)", "concat('Depa ', o_orderkey)", "concat('Depa ', o_orderkey)", "concat('Depa ', o_orderkey)")} AS title,
+  CAST({_by_shape("500 + o_orderkey % 900", "1000 + o_orderkey % 900", "1500 + o_orderkey % 500", "1500 + 10 * (o_orderkey % 50)", "500.5 + o_orderkey % 900")} AS DOUBLE) AS rent_original,
+  {_by_shape("'USD'", "'PEN'", "'PEN'", "'PEN'", "CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'PEN' END")} AS rent_currency,
+  CAST({_by_shape("500 + o_orderkey % 900", "NULL", "400 + o_orderkey % 500", "NULL", "CASE WHEN o_orderkey % 2 = 0 THEN 500.5 + o_orderkey % 900 END")} AS DOUBLE) AS rent_usd,
+  CAST({_by_shape("2000 + o_orderkey % 900", "1000 + o_orderkey % 900", "1500 + o_orderkey % 500", "1500 + 10 * (o_orderkey % 50)", "CASE WHEN o_orderkey % 2 = 1 THEN 500.5 + o_orderkey % 900 END")} AS DOUBLE) AS rent_pen,
+  CAST({_by_shape("100 + o_orderkey % 300", "50 + o_orderkey % 9", "80 + o_orderkey % 50", "NULL", "90 + o_orderkey % 10")} AS DOUBLE) AS maintenance_fee,
+  {_by_shape("'PEN'", "'USD'", "'PEN'", "NULL", "'PEN'")} AS maintenance_currency, o_orderkey % 5 IN (2, 4) AS assumed, CAST(1 + o_orderkey % 3 AS INT) AS bedrooms,
+  CAST({_by_shape("1.5", "2", "NULL", "2", "1.5")} AS DOUBLE) AS bathrooms, {_by_shape(_MADE, "NULL", f"{_MADE} + 0.125", _MADE, _MADE)} AS total_area_m2, CAST({_by_shape("NULL", "40 + o_orderkey % 60", "30 + o_orderkey % 60", "NULL", "NULL")} AS DOUBLE) AS built_area_m2,
+  CAST({_by_shape("NULL", "NULL", "1 + o_orderkey % 9", "NULL", "NULL")} AS INT) AS floor, CAST({_by_shape("NULL", "NULL", "2", "NULL", "NULL")} AS INT) AS parking_spaces, {_by_shape(_LAT, _LAT, "NULL", _LAT, "NULL")} AS latitude,
+  {_by_shape("'EXACT'", "'APPROXIMATE'", "NULL", "'UNSPECIFIED'", "NULL")} AS coord_precision, {_by_shape("'Piscina'", "CASE WHEN o_orderkey % 3 = 0 THEN 'Terraza,Habitaciones,Gimnasio,Ascensor' ELSE 'Terraza,Gimnasio,Ascensor' END", "''", "'Piscina,Agua'", "''")} AS amenities,
+  {_by_shape("CAST(1234567 + o_orderkey AS VARCHAR)", "concat(1234567 + o_orderkey, ',0123456789abc')", "''", "''", "''")} AS image_keys, CAST({_by_shape("1", "2", "nullif(o_orderkey % 4, 0)", "NULL", "NULL")} AS INT) AS image_count,
+  CASE WHEN o_orderkey % 5 = 1 THEN true END AS furnished, CASE WHEN o_orderkey % 5 = 1 AND o_orderkey % 7 = 0 THEN 'INACTIVE' ELSE 'LIKELY_ACTIVE' END AS active_status,
+  {_by_shape("concat('2024-03-0', 1 + o_orderkey % 9)", "strftime(DATE '2024-06-01' - CAST(o_orderkey % 5 AS INT), '%Y-%m-%d')", "NULL", "NULL", "NULL")} AS publication_date FROM orders""")
+def _(spark, d):
+    raw = read(spark, d, "orders").repartition(spark.sparkContext.defaultParallelism).select(F.expr(_SHAPED).alias("json"))
     out = records.map_record(raw, "json", F.lit("urbania"), F.lit("2024-06-01T10:00:00"), "https://p.test")
-    return out.select("source_listing_id", "source_url", "title", "rent_original", "rent_currency", "maintenance_fee", "maintenance_currency", "bedrooms", "total_area_m2", "latitude", "coord_precision", F.array_join("amenities", ",").alias("amenities"), F.array_join("image_keys", ",").alias("image_keys"))
+    kept = ("source_listing_id", "source_url", "title", "rent_original", "rent_currency", "rent_usd", "rent_pen", "maintenance_fee", "maintenance_currency", "bedrooms", "bathrooms", "total_area_m2", "built_area_m2", "floor", "parking_spaces", "latitude", "coord_precision", "image_count", "furnished", "active_status", "publication_date")
+    return out.select(*kept, (F.size("text_signals") > 0).alias("assumed"), F.array_join("amenities", ",").alias("amenities"), F.array_join("image_keys", ",").alias("image_keys"))
 
 
 @query("json_alias_pick", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")

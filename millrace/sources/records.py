@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,48 +15,86 @@ _MAP, _LIST = "map<string,string>", "array<string>"
 
 # Where each field may be in a record, first that is filled wins.
 PATHS = {
-    "url": "url link detailUrl postingUrl permalink listingUrl href",
-    "id": "id postingId listingId propertyId postingCode code",
-    "title": "title generatedTitle name headline",
-    "description": "description descriptionNormalized fullDescription text body",
-    "published": "publicationDate publishedAt publishDate published createdAt created datePublished publishedText publicationDateText antiquity",
-    "updated": "modifiedDate updatedAt lastUpdate modified lastModified updated",
-    "status": "status postingStatus isActive active available",
-    "price": "price priceAmount price.amount price.value rent monthlyPrice",
-    "currency": "currency priceCurrency price.currency currencyCode",
-    "price_usd": "priceUSD priceUsd price_usd usdPrice priceInUsd",
-    "price_pen": "pricePEN pricePen price_pen penPrice priceInPen",
-    "expenses": "expenses maintenance maintenanceFee expensas commonExpenses maintenanceCost hoa gastosComunes",
-    "expenses_currency": "expensesCurrency maintenanceCurrency expenses.currency",
-    "bedrooms": "bedrooms dormitorios bedroomsCount bedroom numBedrooms",
-    "bathrooms": "bathrooms baths banos bathroomsCount",
-    "total_area": "totalArea total_area areaTotal totalSurface surfaceTotal area surface m2Total",
-    "built_area": "coveredArea builtArea covered_area roofedArea areaTechada coveredSurface surfaceCovered",
-    "floor": "floor piso unitFloor",
-    "total_floors": "totalFloors floors buildingFloors",
-    "parking": "parking parkingSpaces garages parkingLots estacionamientos",
-    "latitude": "latitude lat geolocation.latitude geoLocation.latitude location.latitude location.lat coordinates.latitude coordinates.lat postingLocation.postingGeolocation.geolocation.latitude geo.lat geo.latitude mapLocation.lat",
-    "longitude": "longitude lng lon geolocation.longitude geoLocation.longitude location.longitude location.lng location.lon coordinates.longitude coordinates.lng postingLocation.postingGeolocation.geolocation.longitude geo.lng geo.lon geo.longitude mapLocation.lng",
-    "exact": "showExactLocation exactLocation postingLocation.postingGeolocation.showExactLocation",
-    "approximate": "isApproximate approximateLocation locationIsApproximate",
-    "address": "address.name address.street address.value address postingLocation.address.name location.address street fullAddress addressLine",
-    "district": "district.name district neighborhood neighbourhood postingLocation.location.name location.name locationName location.district comuna barrio",
-    "subarea": "city.name city postingLocation.location.parent.name location.city province zone locationText fullLocation",
-    "property_type": "propertyType realEstateType.name property_type type category",
-    "operation": "operationType operation priceOperationTypes.0.operationType.name transaction",
-    "agent": "contactName agent.name agentName contact.name",
-    "agency": "publisher.name publisherName agencyName agency.name advertiser.name advertiserName realEstate.name inmobiliaria",
-    "phone": "phone phones.0 publisher.phone contact.phone phoneNumber telephone mobile cellPhone",
-    "whatsapp": "whatsapp whatsApp whatsappNumber publisher.whatsapp contact.whatsapp publisher.whatsApp",
-    "furnished": "furnished isFurnished amoblado",
-    "images": "images pictures photos visiblePictures.pictures gallery imageUrls imagesUrls",
-    "main_image": "mainImage.url mainImage.src mainImage mainImageUrl thumbnail coverImage image",
-    "image_count": "picturesCount imageCount imagesCount photoCount",
+    "url": ("url", "link", "detailUrl", "postingUrl", "permalink", "listingUrl", "href"),
+    "id": ("id", "postingId", "listingId", "propertyId", "postingCode", "code"),
+    "title": ("title", "generatedTitle", "name", "headline"),
+    "description": ("description", "descriptionNormalized", "fullDescription", "text", "body"),
+    "published": (
+        "publicationDate", "publishedAt", "publishDate", "published", "createdAt", "created", "datePublished",
+        "publishedText", "publicationDateText", "antiquity",
+    ),
+    "updated": ("modifiedDate", "updatedAt", "lastUpdate", "modified", "lastModified", "updated"),
+    "status": ("status", "postingStatus", "isActive", "active", "available"),
+    "price": ("price", "priceAmount", "price.amount", "price.value", "rent", "monthlyPrice"),
+    "currency": ("currency", "priceCurrency", "price.currency", "currencyCode"),
+    "price_usd": ("priceUSD", "priceUsd", "price_usd", "usdPrice", "priceInUsd"),
+    "price_pen": ("pricePEN", "pricePen", "price_pen", "penPrice", "priceInPen"),
+    "expenses": (
+        "expenses", "maintenance", "maintenanceFee", "expensas", "commonExpenses", "maintenanceCost", "hoa",
+        "gastosComunes",
+    ),
+    "expenses_currency": ("expensesCurrency", "maintenanceCurrency", "expenses.currency"),
+    "bedrooms": ("bedrooms", "dormitorios", "bedroomsCount", "bedroom", "numBedrooms"),
+    "bathrooms": ("bathrooms", "baths", "banos", "bathroomsCount"),
+    "total_area": (
+        "totalArea", "total_area", "areaTotal", "totalSurface", "surfaceTotal", "area", "surface", "m2Total",
+    ),
+    "built_area": (
+        "coveredArea", "builtArea", "covered_area", "roofedArea", "areaTechada", "coveredSurface", "surfaceCovered",
+    ),
+    "floor": ("floor", "piso", "unitFloor"),
+    "total_floors": ("totalFloors", "floors", "buildingFloors"),
+    "parking": ("parking", "parkingSpaces", "garages", "parkingLots", "estacionamientos"),
+    "latitude": (
+        "latitude", "lat", "geolocation.latitude", "geoLocation.latitude", "location.latitude", "location.lat",
+        "coordinates.latitude", "coordinates.lat", "postingLocation.postingGeolocation.geolocation.latitude",
+        "geo.lat", "geo.latitude", "mapLocation.lat",
+    ),
+    "longitude": (
+        "longitude", "lng", "lon", "geolocation.longitude", "geoLocation.longitude", "location.longitude",
+        "location.lng", "location.lon", "coordinates.longitude", "coordinates.lng",
+        "postingLocation.postingGeolocation.geolocation.longitude", "geo.lng", "geo.lon", "geo.longitude",
+        "mapLocation.lng",
+    ),
+    "exact": ("showExactLocation", "exactLocation", "postingLocation.postingGeolocation.showExactLocation"),
+    "approximate": ("isApproximate", "approximateLocation", "locationIsApproximate"),
+    "address": (
+        "address.name", "address.street", "address.value", "address", "postingLocation.address.name",
+        "location.address", "street", "fullAddress", "addressLine",
+    ),
+    "district": (
+        "district.name", "district", "neighborhood", "neighbourhood", "postingLocation.location.name",
+        "location.name", "locationName", "location.district", "comuna", "barrio",
+    ),
+    "subarea": (
+        "city.name", "city", "postingLocation.location.parent.name", "location.city", "province", "zone",
+        "locationText", "fullLocation",
+    ),
+    "property_type": ("propertyType", "realEstateType.name", "property_type", "type", "category"),
+    "operation": ("operationType", "operation", "priceOperationTypes.0.operationType.name", "transaction"),
+    "agent": ("contactName", "agent.name", "agentName", "contact.name"),
+    "agency": (
+        "publisher.name", "publisherName", "agencyName", "agency.name", "advertiser.name", "advertiserName",
+        "realEstate.name", "inmobiliaria",
+    ),
+    "phone": (
+        "phone", "phones.0", "publisher.phone", "contact.phone", "phoneNumber", "telephone", "mobile", "cellPhone",
+    ),
+    "whatsapp": (
+        "whatsapp", "whatsApp", "whatsappNumber", "publisher.whatsapp", "contact.whatsapp", "publisher.whatsApp",
+    ),
+    "furnished": ("furnished", "isFurnished", "amoblado"),
+    "images": ("images", "pictures", "photos", "visiblePictures.pictures", "gallery", "imageUrls", "imagesUrls"),
+    "main_image": ("mainImage.url", "mainImage.src", "mainImage", "mainImageUrl", "thumbnail", "coverImage", "image"),
+    "image_count": ("picturesCount", "imageCount", "imagesCount", "photoCount"),
 }
 # Keys of pictures, of labelled features and of amenities; label rules; words of closed listings; plausible coordinates.
-IMAGE = "url url730x532 resizeUrl1200x1200 src href original large"
-FEATURES = "mainFeatures features characteristics attributes specs details"
-AMENITIES = "amenities generalFeatures services extras facilities amenitiesList features characteristics"
+IMAGE = ("url", "url730x532", "resizeUrl1200x1200", "src", "href", "original", "large")
+FEATURES = ("mainFeatures", "features", "characteristics", "attributes", "specs", "details")
+AMENITIES = (
+    "amenities", "generalFeatures", "services", "extras", "facilities", "amenitiesList", "features",
+    "characteristics",
+)
 #: field -> pattern of its label, in order of precedence.
 RULES = {
     "bedrooms": r"dormitorio|dorm\b|dorm\.|habitaci|recamara|bedroom", "half_bath": r"medio bano|medios banos|toilette|half bath", "bathrooms": r"bano|bath",
@@ -100,122 +136,153 @@ def scalar(value: Column) -> Column:
     return F.when(~value.rlike(r"^\s*[\[{]"), value)
 
 
-# ---------------------------------------------------------------- shapes, resolved by Arrow batch before Catalyst types them
-#: field -> its paths as steps, cut once.
-STEPS = {k: [tuple(path.split(".")) for path in paths.split()] for k, paths in PATHS.items()} | {k: [(k,)] for k in ("rooms", *FEATURES.split(), *AMENITIES.split())}
-IMAGE_STEPS = [(k,) for k in IMAGE.split()]
-
-
-class _Record:
-    """Look-ups in one record: keys as they are first, then without case by an index made once for each object."""
-
-    def __init__(self):
-        self.folded: dict[int, dict] = {}
-
-    def step(self, value, key: str):
-        if isinstance(value, dict):
-            if key in value:
-                return value[key]
-            index = self.folded.get(id(value))
-            if index is None:
-                index = self.folded[id(value)] = {k.lower(): v for k, v in reversed(value.items())}
-            return index.get(key.lower())
-        return value[int(key)] if isinstance(value, list) and key.isdigit() and int(key) < len(value) else None
-
-    def first(self, value, paths: list[tuple[str, ...]]):
-        for path in paths:
-            found = value
-            for key in path:
-                found = self.step(found, key)
-            if found not in (None, "", [], {}):
-                return found
-        return None
-
-
-def _text(value) -> str | None:
-    if value is None or isinstance(value, str):
-        return value
-    if isinstance(value, float):
-        plain = f"{value:.12f}" if "e" in repr(value) else repr(value)
-        # Three digits behind a point would read as thousands in text; a number's point is always decimal.
-        return plain + "0" if len(plain.partition(".")[2]) == 3 else plain
-    return str(value).lower() if isinstance(value, bool) else json.dumps(value, ensure_ascii=False)
-
-
-def _entry(label, value) -> dict:
-    return {"label": str(label), "value": _text(value)}
-
-
-def label_values(value) -> list[dict]:
-    """(label, value) pairs of labelled objects, of plain objects, and of lists of either or of texts; nested ones are opened."""
-    out: list[dict] = []
-    if isinstance(value, dict):
-        for key, inner in value.items():
-            if isinstance(inner, dict) and ("label" in inner or "name" in inner):
-                out.append(_entry(inner.get("label") or inner.get("name"), inner.get("value", inner.get("measure"))))
-            elif isinstance(inner, (dict, list)):
-                out += label_values(inner)
-            elif inner is not None:
-                out.append(_entry(key, inner))
-    for inner in value if isinstance(value, list) else ():
-        if isinstance(inner, str):
-            out.append(_entry(inner, inner))
-        elif isinstance(inner, dict):
-            label = next((inner[k] for k in ("label", "name", "key", "title") if inner.get(k)), None)
-            out += label_values(inner) if label is None else [_entry(label, inner.get("value", inner.get("value_name", inner.get("measure"))))]
-    return out
-
-
-def _money(price) -> list[dict]:
-    return [{"currency": _text(price.get("currency")), "amount": _text(price.get("amount") or price.get("value"))}] if isinstance(price, dict) else []
-
-
-def resolve(text: str | None) -> dict:
-    """One raw record: the text at each field's first filled path, all prices, and the pairs of features and amenities."""
-    try:
-        record = json.loads(text) if text else {}
-    except ValueError:
-        record = {}
-    record = record if isinstance(record, dict) else {}
-    first = _Record().first
-    out: dict = {k: _text(first(record, STEPS[k])) for k in (*PATHS, "rooms")}
-    offers = record.get("priceOperationTypes")
-    nested = [p for o in offers if isinstance(o, dict) for p in o.get("prices") or []] if isinstance(offers, list) else []
-    flat = record.get("prices")
-    for k in ("price", "expenses"):
-        value = first(record, STEPS[k])
-        if isinstance(value, dict):
-            out[k] = _text(next((value[n] for n in ("value", "amount", "number") if value.get(n) not in (None, "")), None))
-            out[f"{k}_currency" if k == "expenses" else "currency"] = out["expenses_currency" if k == "expenses" else "currency"] or _text(value.get("currency"))
-    out["prices"] = [m for p in nested + (flat if isinstance(flat, list) else []) for m in _money(p)]
-    out["pairs"] = [e for k in FEATURES.split() for e in label_values(first(record, STEPS[k]))]
-    out["extras"] = [e for k in AMENITIES.split() for e in label_values(first(record, STEPS[k]))]
-    pictures = first(record, STEPS["images"])
-    found = [first(p, IMAGE_STEPS) if isinstance(p, dict) else p for p in pictures] if isinstance(pictures, list) else []
-    out["pictures"] = [p for p in found if isinstance(p, str)]
-    return out
-
-
-_PAIRS = "array<struct<label:string,value:string>>"
-RESOLVED = {k: "string" for k in (*PATHS, "rooms")} | {"prices": "array<struct<currency:string,amount:string>>", "pairs": _PAIRS, "extras": _PAIRS, "pictures": _LIST}
+# ---------------------------------------------------------------- shapes, resolved as variants
+#: Fields that are read as numbers.
+NUMBERS = (
+    "price", "price_usd", "price_pen", "expenses", "bedrooms", "bathrooms", "total_area", "built_area", "floor", "total_floors",
+    "parking", "latitude", "longitude", "image_count", "rooms",
+)
+#: Labelled values inside labelled values are opened this many levels deep.
+DEPTH = 4
+_ITEM = "struct<label:string,value:string,rest:string>"
 
 
-def resolved(df: DataFrame, column: str) -> DataFrame:
-    """``df`` and a column __<field> for each resolved field."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+def lower_keys(text: Column) -> Column:
+    """JSON text with its keys in lower case: what stands between two quotes with a colon behind the second, unless it ends in a backslash."""
+    parts = F.split(text, '"')
+    pairs = F.arrays_zip(parts.alias("x"), F.slice(F.array_append(parts, F.lit("")), 2, F.greatest(F.size(parts), F.lit(1))).alias("next"))
+    return F.array_join(F.transform(pairs, lambda p: F.when(p["next"].rlike(r"^\s*:") & ~p["x"].endswith("\\"), F.lower(p["x"])).otherwise(p["x"])), '"')
+
+
+def under(record: Column, path: str) -> Column:
+    """The variant at a dotted path of a struct of variants."""
+    first, _, rest = path.partition(".")
+    return at(record[first], rest) if rest else record[first]
+
+
+def at(value: Column, path: str, kind: str = "variant") -> Column:
+    """What is at a dotted path of a variant; a step of digits is a place in a list."""
+    steps = "".join(f"[{k}]" if k.isdigit() else f".{k}" for k in path.split("."))
+    return F.try_variant_get(value, f"${steps}", kind)
+
+
+def is_a(value: Column, *kinds: str) -> Column:
+    return reduce(lambda x, y: x | y, [F.schema_of_variant(value).startswith(k) for k in kinds])
+
+
+def number_text(value: Column) -> Column:
+    """The text of a variant. Three digits behind a point would read as thousands in text; a number's point is always decimal."""
+    said = value.cast("string")
+    digits = F.when(is_a(value, "DOUBLE"), said.try_cast("decimal(38,12)").cast("string")).otherwise(said)
+    return F.when(is_a(value, "DECIMAL", "DOUBLE") & digits.rlike(r"\.\d{3}$"), F.concat(digits, F.lit("0"))).otherwise(digits)
+
+
+def first_filled(value: Column, paths: tuple[str, ...]) -> Column:
+    """The variant at the first path that holds anything but null, "", [] or {}."""
+    return _first([at(value, p) for p in paths])
+
+
+def _first(found: list[Column]) -> Column:
+    return F.get(F.filter(F.array(*found), lambda x: ~x.cast("string").isin("", "[]", "{}")), 0)
+
+
+def _first_text(found: list[Column]) -> Column:
+    return F.get(F.filter(F.array(*[x.cast("string") for x in found]), lambda x: ~x.isin("", "[]", "{}")), 0)
 
-    new = StructType.fromDDL(", ".join(f"`__{k}` {kind}" for k, kind in RESOLVED.items()))
-    kind = StructType(df.schema.fields + new.fields)
 
-    def run(batches):
-        arrow = to_arrow_schema(new)
-        for batch in batches:
-            rows = [resolve(t) for t in batch.column(batch.schema.names.index(column)).to_pylist()]
-            made = [pa.array([r[k] for r in rows], arrow.field(f"__{k}").type) for k in RESOLVED]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema=pa.schema([*batch.schema, *arrow]))
+def first_text(value: Column, paths: tuple[str, ...]) -> Column:
+    return _first_text([at(value, p) for p in paths])
 
-    return df.mapInArrow(run, kind)
+
+def container(keys: Column, values: Column, key: str) -> Column:
+    """The text of a top-level value as it stands in the record. ``keys`` (in lower case) and ``values`` run backwards, so of keys that
+    differ in case only the last counts."""
+    return filled(F.get(values, F.array_position(keys, key.lower()).cast("int") - 1))
+
+
+def _item(label: Column, value: Column, rest: Column) -> Column:
+    return F.struct(label.cast("string").alias("label"), value.cast("string").alias("value"), rest.cast("string").alias("rest")).cast(_ITEM)
+
+
+def _labelled(inner: Column, label: Column, *keys: str) -> Column:
+    return _item(label, F.coalesce(*[number_text(at(inner, k)) for k in keys]), F.lit(None))
+
+
+def opened(text: Column) -> Column:
+    """One level of a labelled structure in its own order: pairs, and the texts of what has to be opened in turn."""
+    none, text_or = F.lit(None), lambda *keys: lambda x: F.coalesce(*[F.nullif(at(x, k, "string"), F.lit("")) for k in keys])
+
+    def field(e: Column) -> Column:
+        key, value = e["key"], e["value"]
+        named = at(value, "label").isNotNull() | at(value, "name").isNotNull()
+        label = F.coalesce(text_or("label", "name")(value), F.lit("None"))
+        as_it_stands = F.from_json(text, _MAP)[key]
+        return F.when(is_a(value, "OBJECT"), F.when(named, _labelled(value, label, "value", "measure")).otherwise(_item(none, none, as_it_stands))).when(is_a(value, "ARRAY"), _item(none, none, as_it_stands)).when(value.cast("string").isNotNull(), _item(key, number_text(value), none))
+
+    def member(value: Column, place: Column) -> Column:
+        label = text_or("label", "name", "key", "title")(value)
+        own = _labelled(value, label, "value", "value_name", "measure")
+        said = value.cast("string")
+        return F.when(is_a(value, "STRING"), _item(said, said, none)).when(is_a(value, "OBJECT"), F.when(label.isNull(), _item(none, none, F.get(F.from_json(text, _LIST), place))).otherwise(own))
+
+    fields, members = F.map_entries(F.from_json(text, "map<string,variant>")), F.from_json(text, "array<variant>")
+    return F.array_compact(F.when(text.startswith("{"), F.transform(fields, field)).when(text.startswith("["), F.transform(members, member)))
+
+
+def labelled(df: DataFrame, name: str, texts: list[Column]) -> DataFrame:
+    """``df`` with ``name``: for each text the (label, value) pairs of labelled objects, of plain objects, and of lists of either or of texts."""
+    start = F.transform(F.array(*texts), lambda t: F.when(t.isNotNull(), F.array(_item(F.lit(None), F.lit(None), t))).otherwise(F.array().cast(f"array<{_ITEM}>")))
+    df = df.withColumn(name, start)
+    to_open = lambda items: F.exists(items, lambda i: i["rest"].isNotNull())
+    for _ in range(DEPTH):
+        more = lambda items: F.flatten(F.transform(items, lambda i: F.when(i["rest"].isNull(), F.array(i)).otherwise(F.coalesce(opened(i["rest"]), F.array().cast(f"array<{_ITEM}>")))))
+        df = df.withColumn(name, F.transform(name, lambda items: F.when(to_open(items), more(items)).otherwise(items)))
+    return df.withColumn(name, F.transform(name, lambda items: F.filter(items, lambda i: i["rest"].isNull())))
+
+
+def resolved(df: DataFrame, column: str) -> DataFrame:
+    """``df`` and a column __<field> for each field: the text at its first filled path, all prices, pairs of features and of amenities.
+
+    The record is parsed once as a variant with keys in lower case; where an object has keys that differ in case only, it is
+    parsed as it is and lower-case paths are looked up. Labelled structures are read in the order of the text. Text that is no
+    JSON object has no fields.
+    """
+    whole = F.coalesce(F.try_parse_json(lower_keys(c(column))), F.try_parse_json(column))
+    # All first steps come out of one pass over the record's keys.
+    heads = sorted({p.lower().partition(".")[0] for paths in PATHS.values() for p in paths} | {"rooms", "prices", "priceoperationtypes"})
+    raw = df.withColumn("__low", whole).withColumn("__low", F.try_variant_get("__low", "$", f"struct<{','.join(f'`{k}`:variant' for k in heads)}>"))
+    v = c("__low")
+    each = lambda k: [under(v, p.lower()) for p in PATHS.get(k, (k,))]
+    texts = {f"__{k}": _first_text(each(k)) for k in PATHS if k not in NUMBERS and k != "images"}
+    raw = raw.withColumns(texts | {f"__v_{k}": _first(each(k)) for k in (*NUMBERS, "images")})
+    held, kind = (lambda k: c(f"__v_{k}")), (lambda k: c(f"__k_{k}"))
+    top = F.from_json(column, _MAP)
+    backwards = {"__keys": F.reverse(F.transform(F.map_keys("__top"), F.lower)), "__values": F.reverse(F.map_values("__top"))}
+    raw = raw.withColumns({f"__k_{k}": F.schema_of_variant(held(k)) for k in NUMBERS} | {"__top": top}).withColumns(backwards)
+
+    def number(value: Column, kind: Column) -> Column:
+        return F.when(kind == "STRING", T.to_float(value.cast("string"))).when(kind != "BOOLEAN", F.try_variant_get(value, "$", "double"))
+
+    def held_number(k: str) -> Column:
+        part = first_filled(held(k), ("value", "amount", "number"))
+        return F.when(kind(k).startswith("OBJECT"), number(part, F.schema_of_variant(part))).otherwise(number(held(k), kind(k)))
+
+    inner = lambda k: F.when(kind(k).startswith("OBJECT"), at(held(k), "currency", "string"))
+    codes = {"__currency": F.coalesce(c("__currency"), inner("price")), "__expenses_currency": F.coalesce(c("__expenses_currency"), inner("expenses"))}
+    codes |= {f"__said_{k}": F.when(kind(k) == "STRING", held(k).cast("string")) for k in ("price", "expenses")} | {f"__has_{k}": held(k).isNotNull() for k in ("floor", "parking")}
+    money = lambda p: F.struct(at(p, "currency", "string").alias("currency"), number_text(F.coalesce(first_filled(p, ("amount",)), first_filled(p, ("value",)))).alias("amount"))
+    no_list = F.array().cast("array<variant>")
+    listed = lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), no_list)
+    nested = F.flatten(F.transform(listed(v["priceoperationtypes"]), lambda o: listed(at(o, "prices"))))
+    prices = F.transform(F.filter(F.concat(nested, listed(v["prices"])), lambda p: is_a(p, "OBJECT")), money)
+    image = lambda p: F.when(is_a(p, "STRING"), p.cast("string")).when(is_a(p, "OBJECT"), first_text(p, tuple(k.lower() for k in IMAGE)))
+    pictures = F.array_compact(F.transform(listed(held("images")), image))
+    raw = raw.withColumns({f"__n_{k}": held_number(k) for k in NUMBERS} | codes | {"__prices": prices, "__pictures": pictures})
+    holders = list(dict.fromkeys(FEATURES + AMENITIES))
+    raw = labelled(raw, "__labels", [container(c("__keys"), c("__values"), k) for k in holders])
+    pairs_of = lambda keys: F.flatten(F.array(*[F.get("__labels", holders.index(k)) for k in keys]))
+    raw = raw.withColumns({"__pairs": pairs_of(FEATURES), "__extras": pairs_of(AMENITIES)})
+    return raw.drop("__low", "__top", "__keys", "__values", "__labels", *[f"__v_{k}" for k in (*NUMBERS, "images")], *[f"__k_{k}" for k in NUMBERS])
 
 
 def tagged(pairs: Column) -> Column:
@@ -250,8 +317,7 @@ def map_record(df: DataFrame, column: str, source: Column, scraped_at: Column, b
     listing_id = F.coalesce(g("id"), T.found(url, r"-(\d{6,})\.html"), T.found(url, r"(\d{8,})"))
     # Price: the first published; else the flat one; else the converted figure that looks typed by hand.
     first = F.get(g("prices"), 0)
-    numbers = ("price", "price_usd", "price_pen", "expenses", "bedrooms", "bathrooms", "total_area", "built_area", "floor", "total_floors", "parking", "latitude", "longitude", "image_count", "rooms")
-    raw = raw.withColumns({f"__n_{k}": T.to_float(g(k)) for k in numbers} | {"__code": F.coalesce(currency_code(g("currency")), T.money_currency(g("price"))), "__dues_code": F.coalesce(currency_code(g("expenses_currency")), T.money_currency(g("expenses")))})
+    raw = raw.withColumns({"__code": F.coalesce(currency_code(g("currency")), T.money_currency(g("said_price"))), "__dues_code": F.coalesce(currency_code(g("expenses_currency")), T.money_currency(g("said_expenses")))})
     n = lambda k: c(f"__n_{k}")
     whole = lambda k: F.bround(n(k), 0).try_cast("int")
     flat, flat_currency = n("price"), c("__code")
@@ -281,8 +347,8 @@ def map_record(df: DataFrame, column: str, source: Column, scraped_at: Column, b
         "maintenance_fee": F.when(charged, fee), "maintenance_currency": F.when(charged, F.coalesce(fee_currency, F.lit("PEN"))), "property_type": scalar(g("property_type")), "operation": scalar(g("operation")),
         "bedrooms": F.coalesce(whole("bedrooms"), F.bround(f("bedrooms"), 0).cast("int"), whole("rooms")), "bathrooms": F.coalesce(n("bathrooms"), f("bathrooms") + 0.5 * F.coalesce(f("half_bath"), F.lit(0.0))),
         "total_area_m2": F.coalesce(F.nullif(n("total_area"), F.lit(0.0)), f("total_area_m2")), "built_area_m2": F.coalesce(F.nullif(n("built_area"), F.lit(0.0)), f("built_area_m2")),
-        "floor": F.when(g("floor").isNotNull(), whole("floor")).otherwise(F.bround(f("floor"), 0).cast("int")), "total_floors": F.coalesce(F.nullif(whole("total_floors"), F.lit(0)), F.bround(f("total_floors"), 0).cast("int")),
-        "parking_spaces": F.when(g("parking").isNotNull(), whole("parking")).otherwise(F.bround(f("parking_spaces"), 0).cast("int")), "agent_name": scalar(g("agent")), "agency_name": scalar(g("agency")), "phone": scalar(g("phone")), "whatsapp": scalar(g("whatsapp")),
+        "floor": F.when(g("has_floor"), whole("floor")).otherwise(F.bround(f("floor"), 0).cast("int")), "total_floors": F.coalesce(F.nullif(whole("total_floors"), F.lit(0)), F.bround(f("total_floors"), 0).cast("int")),
+        "parking_spaces": F.when(g("has_parking"), whole("parking")).otherwise(F.bround(f("parking_spaces"), 0).cast("int")), "agent_name": scalar(g("agent")), "agency_name": scalar(g("agency")), "phone": scalar(g("phone")), "whatsapp": scalar(g("whatsapp")),
         "main_image_url": F.coalesce(scalar(g("main_image")), F.get(pictures, 0)), "image_count": F.coalesce(F.nullif(whole("image_count"), F.lit(0)), F.nullif(F.size(pictures), F.lit(0))), "image_keys": keys, "amenities": amenities(g("extras")),
         "furnished": T.to_bool(g("furnished")), "text_signals": T.listed(F.when(charged & fee_currency.isNull(), F.lit("maintenance currency not provided by source — assumed PEN"))),
     }
