@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.components import cut, shared_dir
-from ..operators.spread import spread
+from ..operators.spread import MOST_HOT, spread
 
-__all__ = ["cut", "shared_dir", "spread"]
+__all__ = ["MOST_HOT", "cut", "shared_dir", "spread"]
 
 #: Rows and bytes of an Arrow batch of whole texts; a text is never split or cut.
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
