@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import selection
 
 c = F.col
 
@@ -72,15 +73,27 @@ def top_reasons(df: DataFrame, column: str = "exclusion_reason", separator: str
 
 
 def market_snapshot(df: DataFrame, by: str = "bedrooms", rent: str = "rent_usd", area: str = "area_m2", per_area: str = "rent_usd_per_m2") -> DataFrame:
-    return df.groupBy(by).agg(F.count("*").alias("n"), F.median(rent).alias("median_rent"), F.median(area).alias("median_area"), F.median(per_area).alias("median_per_m2"), share(T.true(c("furnished"))).alias("furnished_share"), share(c("maintenance_usd").isNotNull()).alias("maintenance_share"))
+    shares = df.groupBy(by).agg(F.count("*").alias("n"), share(T.true(c("furnished"))).alias("furnished_share"), share(c("maintenance_usd").isNotNull()).alias("maintenance_share"))
+    middles = selection.medians(df, [by], [rent, area, per_area]).select(by, c(rent).alias("median_rent"), c(area).alias("median_area"), c(per_area).alias("median_per_m2"))
+    return selection.beside(shares, middles, [by]).select(by, "n", "median_rent", "median_area", "median_per_m2", "furnished_share", "maintenance_share")
+
+
+def usual_and_middle(df: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, usual, middle): the most frequent value of each group and the median."""
+    usual = selection.modes(df, [by], [value]).select(by, c(value).alias("usual"))
+    return selection.beside(usual, selection.medians(df, [by], [value]).select(by, c(value).alias("middle")), [by])
 
 
 def lease_observations(df: DataFrame) -> DataFrame:
     term, deposit = c("minimum_contract_months"), c("deposit_months")
-    return df.agg(
-        F.count("*").alias("n"), F.count(term).alias("terms_stated"), F.mode(term, True).alias("usual_term"), F.count(deposit).alias("deposits_stated"), F.median(deposit).alias("median_deposit"), F.count_if(deposit >= 3).alias("high_deposits"),
+    counts = df.agg(
+        F.count("*").alias("n"), F.count(term).alias("terms_stated"), F.count(deposit).alias("deposits_stated"), F.count_if(deposit >= 3).alias("high_deposits"),
         (F.count("maintenance_usd") + F.count_if(T.true(c("maintenance_included_in_rent")))).alias("maintenance_known"), F.count_if(c("rent_usd_basis") == "CALCULATED").alias("converted"),
     )
+    usual = selection.modes(df, [], ["minimum_contract_months"]).select(c("minimum_contract_months").cast(df.schema["minimum_contract_months"].dataType).alias("usual_term"))
+    middle = selection.medians(df, [], ["deposit_months"]).select(c("deposit_months").alias("median_deposit"))
+    out = selection.beside(selection.beside(counts, usual, []), middle, [])
+    return out.select("n", "terms_stated", "usual_term", "deposits_stated", "median_deposit", "high_deposits", "maintenance_known", "converted")
 
 
 def budget_counts(df: DataFrame) -> DataFrame:

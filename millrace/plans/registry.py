@@ -102,7 +102,7 @@ def _(spark, d):
 @query("lease_mode_median", """WITH k AS (SELECT l_linenumber, l_quantity, count(*) AS n FROM lineitem GROUP BY 1, 2), m AS (SELECT l_linenumber, l_quantity AS usual, row_number() OVER (PARTITION BY l_linenumber ORDER BY n DESC, l_quantity) AS r FROM k)
 SELECT m.l_linenumber, m.usual, (SELECT median(l_quantity) FROM lineitem x WHERE x.l_linenumber = m.l_linenumber) AS middle FROM m WHERE r = 1""")
 def _(spark, d):
-    return read(spark, d, "lineitem").groupBy("l_linenumber").agg(F.mode("l_quantity", True).alias("usual"), F.median("l_quantity").alias("middle"))
+    return aggregates.usual_and_middle(read(spark, d, "lineitem"), "l_linenumber", "l_quantity")
 
 
 @query("exclusion_reason_topk", "WITH w AS (SELECT unnest(string_split(text, ' ')) AS reason FROM conversations) SELECT reason, count(*) AS n FROM w WHERE reason <> '' GROUP BY 1 ORDER BY n DESC, reason LIMIT 6")

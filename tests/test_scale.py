@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from millrace.operators import selection
 from millrace.operators.components import components
 from millrace.operators.spread import spread
 
@@ -50,3 +51,22 @@ def test_hot_keys_are_dealt_to_many_tasks(spark):
     classes = rows.groupBy("k").agg(F.count("*").alias("n"))
     sizes = [r["count"] for r in spread(rows, classes, ["k"], ["id"]).where("k = 1").groupBy(F.pmod(F.xxhash64(F.lit("salt"), "id"), F.lit(30))).count().collect()]
     assert sum(sizes) == 30_000 and max(sizes) < 1_500
+
+
+def test_medians_and_modes_of_a_hot_group(spark):
+    import statistics
+
+    r = random.Random(6)
+    rows = [("hot", r.gauss(0, 1000), r.choice([1, 1, 2, 3])) for _ in range(6001)] + [("ties", float(r.choice([5] * 30 + list(range(90)))), 2) for _ in range(2000)]
+    rows += [(None, float(k), None) for k in range(10)] + [("one", -7.5, 4), ("none", None, None)]
+    df = spark.createDataFrame(rows, "g string, v double, m int")
+    for pivots, few in ((8, 20), (64, 1000)):
+        out = {x["g"]: (x["v"], x["m"]) for x in selection.medians(df, ["g"], ["v", "m"], pivots, few).collect()}
+        for g in ("hot", "ties", None, "one"):
+            values = [[x[k] for x in rows if x[0] == g and x[k] is not None] for k in (1, 2)]
+            assert out[g] == tuple(statistics.median(v) if v else None for v in values)
+        assert "none" not in out
+    modes = {x["g"]: x["v"] for x in selection.modes(df, ["g"], ["v"]).collect()}
+    assert modes["ties"] == 5.0 and modes[None] == 0.0
+    assert selection.medians(df, [], ["v"], 8, 20).first()["v"] == statistics.median(x[1] for x in rows if x[1] is not None)
+    assert selection.medians(df.limit(0), ["g"], ["v"]).count() == 0
