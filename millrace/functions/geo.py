@@ -27,7 +27,7 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return 2 * EARTH_M * F.asin(F.sqrt(h))
 
 
-def _segments(points: Column) -> Column:
+def segments(points: Column) -> Column:
     """array<struct<a, b>> of consecutive points."""
     n = F.size(points)
     return F.arrays_zip(F.slice(points, F.lit(1), F.greatest(n - 1, F.lit(0))).alias("a"), F.slice(points, F.lit(2), F.greatest(n - 1, F.lit(0))).alias("b"))
@@ -44,7 +44,7 @@ def to_segment(x: Column, y: Column, s: Column) -> Column:
 def to_line(x: Column, y: Column, points: Column) -> Column:
     """Distance to a polyline; to its point if it has one."""
     first = F.hypot(x - points[0]["x"], y - points[0]["y"])
-    return F.when(F.size(points) == 1, first).otherwise(F.array_min(F.transform(_segments(points), lambda s: to_segment(x, y, s))))
+    return F.when(F.size(points) == 1, first).otherwise(F.array_min(F.transform(segments(points), lambda s: to_segment(x, y, s))))
 
 
 def inside(x: Column, y: Column, ring: Column) -> Column:
@@ -54,26 +54,9 @@ def inside(x: Column, y: Column, ring: Column) -> Column:
         spans = (a["y"] > y) != (b["y"] > y)
         return spans & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
 
-    return F.size(F.filter(_segments(ring), lambda s: F.coalesce(crosses(s), F.lit(False)))) % 2 == 1
+    return F.size(F.filter(segments(ring), lambda s: F.coalesce(crosses(s), F.lit(False)))) % 2 == 1
 
 
 def to_shape(x: Column, y: Column, kind: Column, points: Column) -> Column:
     """Distance to a point, line or polygon (0 inside)."""
     return F.when((kind == "polygon") & inside(x, y, points), F.lit(0.0)).otherwise(to_line(x, y, points))
-
-
-def stitch(lines: list[list[tuple[float, float]]]) -> list[tuple[float, float]]:
-    """The largest closed ring that the lines join to; empty if none closes. For a boundary's few members, on the driver."""
-    rest, rings = [list(line) for line in lines if len(line) >= 2], []
-    while rest:
-        ring = rest.pop()
-        while ring[0] != ring[-1]:
-            k = next((k for k, line in enumerate(rest) if ring[-1] in (line[0], line[-1])), None)
-            if k is None:
-                break
-            line = rest.pop(k)
-            ring += (line if line[0] == ring[-1] else line[::-1])[1:]
-        if len(ring) >= 4 and ring[0] == ring[-1]:
-            rings.append(ring)
-    area = lambda r: abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:], strict=False))) / 2
-    return max(rings, key=area, default=[])

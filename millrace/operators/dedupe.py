@@ -17,6 +17,7 @@ from ..config import Config
 from ..functions import geo
 from ..functions import text as T
 from ..functions.fuzzy import token_set_ratio
+from . import extent
 from .components import components, cut
 from .ranking import numbered
 
@@ -152,21 +153,21 @@ def conflicts(grouped: DataFrame) -> DataFrame:
     inactive = F.coalesce(c("active_status") == "INACTIVE", F.lit(False))
     facts = grouped.withColumn("__street", street).groupBy("root").agg(
         F.min("rent_usd").alias("p0"), F.max("rent_usd").alias("p1"), F.count("rent_usd").alias("pn"), F.min("total_area_m2").alias("a0"), F.max("total_area_m2").alias("a1"), F.count("total_area_m2").alias("an"),
-        F.array_sort(F.collect_set("bedrooms")).alias("beds"), F.max(inactive).alias("off"), F.min(inactive).alias("all_off"), F.collect_set(point).alias("points"), F.min_by("__street", F.when(street.isNotNull(), c("row_id"))).alias("first_street"),
+        F.array_sort(F.collect_set("bedrooms")).alias("beds"), F.max(inactive).alias("off"), F.min(inactive).alias("all_off"), F.when(F.min(point) != F.max(point), 2).otherwise(1).alias("places"), F.min_by("__street", F.when(street.isNotNull(), c("row_id"))).alias("first_street"),
     )
     ratios = grouped.withColumn("__street", street).join(facts.select("root", "first_street"), "root").where(c("__street").isNotNull() & c("first_street").isNotNull())
     ratios = ratios.withColumn("__r", token_set_ratio(c("first_street"), c("__street"))).groupBy("root").agg(F.min("__r").alias("ratio"))
-    spread = F.array_max(F.transform("points", lambda p: F.array_max(F.transform("points", lambda q: geo.haversine(p["latitude"], p["longitude"], q["latitude"], q["longitude"])))))
+    far = extent.spreads(grouped.join(facts.where(c("places") > 1).select("root"), "root", "left_semi"), "root", "latitude", "longitude")
     span = lambda low, high, unit: F.concat(F.lit(" ("), T.plain(c(low)), F.lit("–"), T.plain(c(high)), F.lit(f" {unit})"))
     issues = T.listed(
         F.when((c("pn") > 1) & (c("p1") / F.greatest(c("p0"), F.lit(1.0)) > 1.05), F.concat(F.lit("PRICE_MISMATCH"), span("p0", "p1", "USD"))),
         F.when((c("an") > 1) & (c("a1") / F.greatest(c("a0"), F.lit(1.0)) > 1.10), F.concat(F.lit("AREA_MISMATCH"), span("a0", "a1", "m²"))),
         F.when(F.size("beds") > 1, F.concat(F.lit("BEDROOM_MISMATCH ("), F.array_join(c("beds").cast("array<string>"), ", "), F.lit(")"))),
         F.when(c("off") & ~c("all_off"), F.lit("STATUS_MISMATCH (one copy marked inactive)")),
-        F.when(spread > 150, F.concat(F.lit("COORD_MISMATCH ("), T.plain(spread), F.lit(" m apart)"))),
+        F.when(c("spread") > 150, F.concat(F.lit("COORD_MISMATCH ("), T.plain(c("spread")), F.lit(" m apart)"))),
         F.when(c("ratio") < 70, F.lit("ADDRESS_MISMATCH")),
     )
-    return facts.join(ratios, "root", "left").select("root", F.array_join(issues, "; ").alias("issues"))
+    return facts.join(ratios, "root", "left").join(far, "root", "left").select("root", F.array_join(issues, "; ").alias("issues"))
 
 
 def deduplicate(df: DataFrame, cfg: Config) -> DataFrame:

@@ -16,6 +16,8 @@ NEAREST = {"major_road": "major", "arterial_road": "arterial", "nightclub": "nig
 
 #: Least side of grid cells in metres; each round's cells are GROWTH times as wide.
 GRID_M, GROWTH = 125.0, 3
+#: Cells of a column that one row of a cover spans at most.
+BAND = 64
 
 c = F.col
 
@@ -25,9 +27,42 @@ def _placed(df: DataFrame) -> DataFrame:
     return df.select("row_id", x.alias("x"), y.alias("y")).where(c("x").isNotNull() & c("y").isNotNull())
 
 
-def _distance(x: Column, y: Column) -> Column:
-    """To a point by its coordinates, which stay in compiled code; to other shapes along their segments."""
-    return F.when(c("px").isNotNull(), F.hypot(x - c("px"), y - c("py"))).otherwise(geo.to_shape(x, y, c("kind"), c("points")))
+def cover(shapes: DataFrame, size: float, halo: int = 0) -> DataFrame:
+    """Where shapes are on a grid: (layer, name, seq, kind, i, band, j0, j1, ax, ay, bx, by, points).
+
+    Each segment, in each column i of cells that it crosses, with the rows j0 to j1 that it takes there; so a line's rows grow
+    with its length however it slants. ``points`` is null there. A polygon has besides, for each column, the rows of its
+    box, with ``points``, as a place inside may be far from every segment. Rows are cut in bands of BAND cells, which makes
+    (i, band) a key to join on. ``halo`` widens everything by so many cells.
+    """
+    number = lambda v: F.floor(v / F.lit(size)).cast("long")
+    n = F.size("points")
+    parts = F.when(n == 1, F.array(F.struct(c("points")[0].alias("a"), c("points")[0].alias("b")))).otherwise(geo.segments(c("points")))
+    names = ("layer", "name", "seq", "kind")
+    flat = shapes.select(*names, F.explode(parts).alias("s")).select(*names, c("s.a.x").alias("ax"), c("s.a.y").alias("ay"), c("s.b.x").alias("bx"), c("s.b.y").alias("by"))
+    left, right = F.least("ax", "bx"), F.greatest("ax", "bx")
+    columns = flat.withColumn("i", F.explode(F.sequence(number(left) - halo, number(right) + halo)))
+    low, high = F.greatest(left, (c("i") - halo) * size), F.least(right, (c("i") + 1 + halo) * size)
+    at = lambda x, upright: F.when(c("ax") == c("bx"), upright).otherwise(c("ay") + (x - c("ax")) / (c("bx") - c("ax")) * (c("by") - c("ay")))
+    y = [at(low, c("ay")), at(high, c("by"))]
+    slack = size * 1e-6  # of rounding where a segment meets a cell's edge
+    lines = columns.withColumns({"j0": number(F.least(*y) - slack) - halo, "j1": number(F.greatest(*y) + slack) + halo, "points": F.lit(None).cast(shapes.schema["points"].dataType)})
+    areas = shapes.where(c("kind") == "polygon").withColumn("i", F.explode(F.sequence(number(F.array_min(c("points")["x"])), number(F.array_max(c("points")["x"])))))
+    none = {k: F.lit(None).cast("double") for k in ("ax", "ay", "bx", "by")}
+    areas = areas.withColumns({"j0": number(F.array_min(c("points")["y"])), "j1": number(F.array_max(c("points")["y"]))} | none)
+    both = lines.select(*names, "i", "j0", "j1", "ax", "ay", "bx", "by", "points").unionByName(areas.select(*names, "i", "j0", "j1", "ax", "ay", "bx", "by", "points"))
+    return both.withColumn("band", F.explode(F.sequence(F.floor(c("j0") / BAND).cast("long"), F.floor(c("j1") / BAND).cast("long"))))
+
+
+def _hits(placed: DataFrame, covered: DataFrame) -> DataFrame:
+    """``placed`` (x, y, i, j, own) beside what covers cell (i, j), with the distance to the segment, or 0 inside a polygon."""
+    x, y = c("x"), c("y")
+    banded = placed.withColumn("band", F.floor(c("j") / BAND).cast("long"))
+    keys = ["layer", "i", "band"] if "layer" in placed.columns else ["i", "band"]
+    met = banded.join(covered, keys).where(c("j").between(c("j0"), c("j1")) & (c("points").isNull() | c("own")))
+    segment = F.struct(F.struct(c("ax").alias("x"), c("ay").alias("y")).alias("a"), F.struct(c("bx").alias("x"), c("by").alias("y")).alias("b"))
+    met = met.withColumn("distance", F.when(c("points").isNull(), geo.to_segment(x, y, segment)).when(geo.inside(x, y, c("points")), F.lit(0.0)))
+    return met.where(c("distance").isNotNull())
 
 
 def nearest(points: DataFrame, shapes: DataFrame) -> DataFrame:
@@ -38,9 +73,10 @@ def nearest(points: DataFrame, shapes: DataFrame) -> DataFrame:
     GROWTH times as wide, so each round costs nine rows a point however far its places are. When the nine cells cover
     all shapes, whatever is found is final.
     """
-    shapes = shapes.withColumns({"px": F.when(F.size("points") == 1, c("points")[0]["x"]), "py": F.when(F.size("points") == 1, c("points")[0]["y"]), "x0": F.array_min(c("points")["x"]), "x1": F.array_max(c("points")["x"]), "y0": F.array_min(c("points")["y"]), "y1": F.array_max(c("points")["y"])})
+    shapes = shapes.where(F.size("points") > 0)
+    extents = shapes.withColumns({"x0": F.array_min(c("points")["x"]), "x1": F.array_max(c("points")["x"]), "y0": F.array_min(c("points")["y"]), "y1": F.array_max(c("points")["y"])})
     ends = lambda df, *k: df.agg(*[f(n) for n in k for f in (F.min, F.max)]).first()
-    near, far = ends(points, "x", "y"), ends(shapes, "x0", "x1", "y0", "y1")
+    near, far = ends(points, "x", "y"), ends(extents, "x0", "x1", "y0", "y1")
     layers = shapes.select("layer").distinct()
     todo, done = points.select("row_id", "x", "y").crossJoin(F.broadcast(layers)), None
     if near[0] is None or far[0] is None:
@@ -54,8 +90,8 @@ def nearest(points: DataFrame, shapes: DataFrame) -> DataFrame:
         cell = lambda v, step=size: F.floor(v / F.lit(step)).cast("long")
         own = todo.withColumns({"ci": cell(c("x")), "cj": cell(c("y"))})
         around = own.withColumn("i", F.explode(F.array(*[c("ci") + k for k in (-1, 0, 1)]))).withColumn("j", F.explode(F.array(*[c("cj") + k for k in (-1, 0, 1)])))
-        inside = shapes.withColumn("i", F.explode(F.sequence(cell(c("x0")), cell(c("x1"))))).withColumn("j", F.explode(F.sequence(cell(c("y0")), cell(c("y1"))))).select("layer", "i", "j", "seq", "name", "kind", "points", "px", "py")
-        hits = around.drop("ci", "cj").join(inside, ["layer", "i", "j"]).withColumn("distance", _distance(c("x"), c("y")))
+        around = around.withColumn("own", (c("i") == c("ci")) & (c("j") == c("cj"))).drop("ci", "cj")
+        hits = _hits(around, cover(shapes, size))
         best = hits.groupBy("row_id", "layer").agg(F.min(F.struct("distance", "seq", "name")).alias("b")).select("row_id", "layer", c("b.distance").alias("distance"), c("b.name").alias("name"))
         last = size > across
         sure = cut(best if last else best.where(c("distance") <= size))
@@ -70,12 +106,10 @@ def nearest(points: DataFrame, shapes: DataFrame) -> DataFrame:
 
 def within(points: DataFrame, shapes: DataFrame, radius: float) -> DataFrame:
     """(row_id, layer, n, names): shapes within ``radius``, by an equi-join on grid cells; the first five names."""
-    x0, x1, y0, y1 = (f(c("points")[k]) for k in ("x", "y") for f in (F.array_min, F.array_max))
-    span = lambda a, b: F.sequence(F.floor((a - radius) / radius), F.floor((b + radius) / radius))
-    cells = shapes.withColumn("i", F.explode(span(x0, x1))).withColumn("j", F.explode(span(y0, y1)))
-    placed = points.select("row_id", "x", "y", F.floor(c("x") / radius).alias("i"), F.floor(c("y") / radius).alias("j"))
-    hits = placed.join(cells, ["i", "j"]).where(geo.to_shape(c("x"), c("y"), c("kind"), c("points")) <= radius)
-    return hits.groupBy("row_id", "layer").agg(F.count("*").cast("int").alias("n"), F.array_join(F.slice(F.array_sort(F.collect_set("name")), 1, 5), ", ").alias("names"))
+    placed = points.select("row_id", "x", "y", F.floor(c("x") / radius).cast("long").alias("i"), F.floor(c("y") / radius).cast("long").alias("j"), F.lit(True).alias("own"))
+    hits = _hits(placed, cover(shapes.where(F.size("points") > 0), radius, 1)).where(c("distance") <= radius)
+    once = hits.groupBy("row_id", "layer", "seq", "name").agg(F.lit(1).alias("one"))
+    return once.groupBy("row_id", "layer").agg(F.count("*").cast("int").alias("n"), F.array_join(F.slice(F.array_sort(F.collect_set("name")), 1, 5), ", ").alias("names"))
 
 
 def outline(x: Column, y: Column, ring: list[tuple[float, float]], tolerance: float) -> tuple[Column, Column]:

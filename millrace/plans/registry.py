@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import geo, money, signals
 from ..functions import text as T
-from ..operators import aggregates, dedupe, enrich, qa, ranking, scoring
+from ..operators import aggregates, dedupe, enrich, qa, ranking, rings, scoring
 from ..operators.components import components
 from ..operators.normalize import district
 from ..schema import conform
@@ -595,6 +595,45 @@ def _(spark, d):
     return enrich.nearest(enrich._placed(listings(spark, d)), shapes).select("row_id", "layer", F.round("distance", 3).alias("distance"))
 
 
+def _segment_sql(ax: str, ay: str, bx: str, by: str) -> str:
+    t = f"least(1, greatest(0, ((x - ({ax})) * (({bx}) - ({ax})) + (y - ({ay})) * (({by}) - ({ay}))) / (pow(({bx}) - ({ax}), 2) + pow(({by}) - ({ay}), 2))))"
+    return f"sqrt(pow(x - ({ax}) - {t} * (({bx}) - ({ax})), 2) + pow(y - ({ay}) - {t} * (({by}) - ({ay})), 2))"
+
+
+#: Long slanting roads and triangles, kilometres across, from suppliers.
+_SLANTED = "SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'road' ELSE 'field' END AS layer, CAST(s_suppkey AS BIGINT) AS seq, CAST((s_suppkey * 7919) % 9000 - 4500 AS DOUBLE) AS x0, CAST((s_suppkey * 104729) % 7000 - 3500 AS DOUBLE) AS y0, CAST((s_suppkey * 31) % 3000 - 1500 AS DOUBLE) AS dx, CAST((s_suppkey * 17) % 2500 + 200 AS DOUBLE) AS dy FROM supplier"
+_SIDES = (_segment_sql("x0", "y0", "x0 + dx", "y0 + dy"), _segment_sql("x0 + dx", "y0 + dy", "x0 - dy", "y0 + 900"), _segment_sql("x0 - dy", "y0 + 900", "x0", "y0"))
+_TURNS = ("dx * (y - y0) - dy * (x - x0)", "(-dy - dx) * (y - y0 - dy) - (900 - dy) * (x - x0 - dx)", "dy * (y - y0 - 900) + 900 * (x - x0 + dy)")
+
+
+@query("geo_slanted", f"""{L}, b AS ({_SLANTED}), p AS (SELECT row_id, {_X.format('longitude')} AS x, {_Y.format('latitude')} AS y FROM l WHERE latitude IS NOT NULL),
+d AS (SELECT row_id, layer, CASE WHEN layer = 'road' THEN {_SIDES[0]} WHEN ({_TURNS[0]} > 0 AND {_TURNS[1]} > 0 AND {_TURNS[2]} > 0) OR ({_TURNS[0]} < 0 AND {_TURNS[1]} < 0 AND {_TURNS[2]} < 0) THEN 0 ELSE least({', '.join(_SIDES)}) END AS m FROM p, b)
+SELECT row_id, layer, round(min(m), 3) AS distance, CAST(count(*) FILTER (WHERE m <= 150) AS INT) AS near FROM d GROUP BY 1, 2""")
+def _(spark, d):
+    at = lambda x, y: F.struct((c("x0") + x).alias("x"), (c("y0") + y).alias("y"))
+    zero = F.lit(0.0)
+    road, field = F.array(at(zero, zero), at(c("dx"), c("dy"))), F.array(at(zero, zero), at(c("dx"), c("dy")), at(-c("dy"), F.lit(900.0)), at(zero, zero))
+    shapes = made(spark, d, _SLANTED, "supplier").select("layer", F.lit("").alias("name"), "seq", F.when(c("layer") == "road", "line").otherwise("polygon").alias("kind"), F.when(c("layer") == "road", road).otherwise(field).alias("points"))
+    points = enrich._placed(listings(spark, d))
+    near = enrich.within(points, shapes, 150.0).select("row_id", "layer", "n")
+    out = enrich.nearest(points, shapes).join(near, ["row_id", "layer"], "left")
+    return out.select("row_id", "layer", F.round("distance", 3).alias("distance"), F.coalesce("n", F.lit(0)).cast("int").alias("near"))
+
+
+#: Four sides of a rectangle for each customer, numbered and turned by its key, and a way that leads away.
+_WAYS = """WITH b AS (SELECT CAST(c_custkey AS BIGINT) AS boundary, CAST(c_custkey % 97 AS DOUBLE) AS x0, CAST(c_custkey % 89 AS DOUBLE) AS y0, CAST(1 + c_custkey % 7 AS DOUBLE) AS w, CAST(1 + c_custkey % 5 AS DOUBLE) AS h FROM customer),
+  k AS (SELECT *, explode(sequence(0, 3)) AS side FROM b),
+  e AS (SELECT boundary, CAST((side * 3 + boundary) % 4 AS INT) AS way, CASE side WHEN 0 THEN array(struct(x0 AS x, y0 AS y), struct(x0 + w / 2 AS x, y0 AS y), struct(x0 + w AS x, y0 AS y)) WHEN 1 THEN array(struct(x0 + w AS x, y0 AS y), struct(x0 + w AS x, y0 + h AS y))
+    WHEN 2 THEN array(struct(x0 + w AS x, y0 + h AS y), struct(x0 AS x, y0 + h AS y)) ELSE array(struct(x0 AS x, y0 + h AS y), struct(x0 AS x, y0 AS y)) END AS points FROM k)
+  SELECT boundary, way, CASE WHEN (boundary + way) % 2 = 0 THEN reverse(points) ELSE points END AS points FROM e WHERE NOT (boundary % 10 = 9 AND way = 2) UNION ALL SELECT boundary, 9, array(struct(-5D AS x, -5D AS y), struct(-6D AS x, -7D AS y)) FROM b"""
+
+
+@query("boundary_rings", "SELECT CAST(c_custkey AS BIGINT) AS boundary, CAST((1 + c_custkey % 7) * (1 + c_custkey % 5) AS DOUBLE) AS area, CAST(6 AS INT) AS points FROM customer WHERE c_custkey % 10 <> 9")
+def _(spark, d):
+    out = rings.outlines(made(spark, d, _WAYS, "customer"))
+    return out.select("boundary", F.round("area", 6).alias("area"), F.size("points").alias("points"))
+
+
 # ---------------------------------------------------------------- portals
 _CARD = """concat('<div data-qa="posting PROPERTY" data-id="', o_orderkey, '" data-to-posting="/aviso-', o_orderkey, '.html"><div data-qa="POSTING_CARD_PRICE">', CASE WHEN o_orderkey % 2 = 0 THEN 'USD ' ELSE 'S/ ' END, 500 + o_orderkey % 900, '</div><h3 data-qa="POSTING_CARD_FEATURES"><span>', 30 + o_orderkey % 99, ' m² tot.</span><span>', 1 + o_orderkey % 3, ' dorm.</span></h3></div>')"""
 #: Search pages from orders: a customer is a search; some pages fail, some show no card.

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..operators import rings
 
 # Road classes, and which tags put a place in which layer, in order.
 MAJOR = ("motorway", "motorway_link", "trunk", "trunk_link", "primary", "primary_link")
@@ -63,10 +64,16 @@ def layers(elements: DataFrame) -> DataFrame:
     return plain.select("seq", name.alias("name"), F.explode(F.array_compact(F.array(fronts, ways, parks, dots))).alias("e")).select("e.layer", "name", "seq", "e.kind", "e.points")
 
 
-def outline(elements: DataFrame) -> list[tuple[float, float]]:
-    """The district's largest ring, from the outer members of its relation: a few hundred points on the driver."""
+def boundary_ways(elements: DataFrame) -> DataFrame:
+    """(boundary, way, points) of the outer members of administrative relations."""
     relation = elements.where((c("element.type") == "relation") & (_tag("boundary") == "administrative"))
-    members = relation.select("seq", F.explode("element.members").alias("m")).where((c("m.type") == "way") & c("m.role").isin("outer", ""))
-    rows = members.select("seq", _points(c("m.geometry")).alias("points")).collect()
-    last = max((r["seq"] for r in rows), default=None)
-    return geo.stitch([[(p["x"], p["y"]) for p in r["points"]] for r in rows if r["seq"] == last])
+    members = relation.select("seq", F.posexplode("element.members").alias("way", "m")).where((c("m.type") == "way") & c("m.role").isin("outer", ""))
+    return members.select(c("seq").alias("boundary"), "way", _points(c("m.geometry")).alias("points"))
+
+
+def outline(elements: DataFrame) -> list[tuple[float, float]]:
+    """The largest ring of the last boundary, which alone comes to the driver: a few hundred points."""
+    ways = boundary_ways(elements)
+    last = ways.agg(F.max("boundary")).first()[0]
+    ring = rings.outlines(ways.where(c("boundary") == last)).first() if last is not None else None
+    return [(p["x"], p["y"]) for p in ring["points"]] if ring else []

@@ -1,10 +1,11 @@
 """Operators whose groups may hold most of the rows: against plain Python, and by how rows are dealt to tasks."""
 
+import math
 import random
 
 from pyspark.sql import functions as F
 
-from millrace.operators import selection
+from millrace.operators import enrich, extent, selection
 from millrace.operators.components import components
 from millrace.operators.spread import spread
 
@@ -70,3 +71,51 @@ def test_medians_and_modes_of_a_hot_group(spark):
     assert modes["ties"] == 5.0 and modes[None] == 0.0
     assert selection.medians(df, [], ["v"], 8, 20).first()["v"] == statistics.median(x[1] for x in rows if x[1] is not None)
     assert selection.medians(df.limit(0), ["g"], ["v"]).count() == 0
+
+
+def test_spread_of_ten_thousand_points(spark):
+    import math
+
+    r = random.Random(7)
+    clouds = {"disk": [(-12.1 + r.gauss(0, 0.01), -77.0 + r.gauss(0, 0.02)) for _ in range(10_000)], "few": [(-12.1, -77.0), (-12.2, -77.1), (-12.1, -77.0)], "one": [(0.0, 0.0)], "globe": [(80.0, 10.0), (-80.0, 20.0), (0.0, 170.0), (5.0, -90.0), (1.0, 1.0)]}
+    clouds["ring"] = [(-12 + 0.1 * math.sin(k / 300), -77 + 0.1 * math.cos(k / 300)) for k in range(1900)]
+    rows = [(k, *p) for k, ps in clouds.items() for p in ps] + [("none", None, 1.0)]
+    out = {x["key"]: x["spread"] for x in extent.spreads(spark.createDataFrame(rows, "key string, lat double, lon double"), "key", "lat", "lon", 500).collect()}
+    import numpy as np
+
+    assert out.keys() == clouds.keys()
+    for k, ps in clouds.items():
+        assert abs(out[k] - extent.greatest(*np.array(ps).T)) < 1e-6
+
+
+def test_cover_of_a_line_grows_with_its_length(spark):
+    shapes = [("road", "", n, "line", [(3.0, 5.0), (3.0 + 100.0 * n, 5.0 + 83.0 * n)]) for n in (1, 10, 100)]
+    table = spark.createDataFrame(shapes, "layer string, name string, seq int, kind string, points array<struct<x:double,y:double>>")
+    n = {r["seq"]: r["count"] for r in enrich.cover(table, 10.0).groupBy("seq").count().collect()}
+    assert n[10] < 12 * n[1] and n[100] < 12 * n[10]
+
+
+def test_rings_of_many_boundaries(spark):
+    from millrace.operators import rings
+
+    r = random.Random(8)
+    rows, wanted = [], {}
+    for b in range(30):
+        n = r.randint(3, 40)
+        corner = [(float(b * 100 + round(50 * math.cos(2 * math.pi * k / n), 3)), round(50 * math.sin(2 * math.pi * k / n), 3)) for k in range(n)]
+        cuts = sorted(r.sample(range(n), r.randint(1, n)))
+        ways = [[corner[k % n] for k in range(a, z + 1)] for a, z in zip(cuts, [*cuts[1:], cuts[0] + n], strict=True)]
+        ways = [w[::-1] if r.random() < 0.5 else w for w in ways]
+        ways += [[(0.0, 1e6), (1.0, 1e6 + b)], [(0.0, 2e6)], [(5.0, 3e6), (6.0, 3e6), (6.0, 3e6 + 1), (5.0, 3e6)]]
+        ways += [[(float(k), 4e6 + k * k), (k + 1.0, 4e6 + (k + 1) ** 2)] for k in range(6)]
+        r.shuffle(ways)
+        rows += [(b, 1000 * b + k, w) for k, w in enumerate(ways)]
+        wanted[b] = abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(corner, corner[1:] + corner[:1], strict=True))) / 2, set(corner)
+    table = spark.createDataFrame(rows, "boundary int, way int, points array<struct<x:double,y:double>>")
+    out = {x["boundary"]: x for x in rings.outlines(table).collect()}
+    assert out.keys() == wanted.keys() and rings.rings(table).count() == 60
+    for b, (area, corner) in wanted.items():
+        ring = [(p["x"], p["y"]) for p in out[b]["points"]]
+        own = sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, ring[1:], strict=False)) / 2
+        assert abs(out[b]["area"] - area) < 1e-3 and abs(own - area) < 1e-3 and set(ring) == corner and ring[0] == ring[-1] and len(ring) == len(corner) + 1
+    assert rings.outlines(table.limit(0)).count() == 0
