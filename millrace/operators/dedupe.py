@@ -1,13 +1,19 @@
 """Entity resolution: which records describe the same flat. Nothing is deleted; each group gets a canonical record.
 
-Pairs come from blocking keys, not from all rows. A merge needs a hard anchor, and every anchored pair shares a key
-(URL, source id, sister-source id, photo, street number, or a cell of the coordinate grid and its neighbours), so the
-merges are those of comparing all pairs. For pairs that are only *possible* duplicates, phone and exact title keys are
-added; possible pairs that share none of the keys are not looked for.
+Pairs come from blocks, not from all rows. Apart from a URL, a source id or a sister source's id, no single piece of evidence
+is worth the 0.45 that a possible duplicate needs, so every such pair shares two pieces at least. Blocks are therefore keyed by
+two pieces (or three where two are common ones): a photo and a price, a street number and a cell of the map, an area and a
+word of the description. A common title, photo, phone or house number alone is no block.
+
+Numbers that are close, and places that are near, share a band or a cell, as each record enters all that its half tolerance
+touches. Texts that are similar share words: a record probes with its rarest words, up to half of its letters, what others
+index with all of theirs. So a pair whose texts agree in half of the letters of either text's words is met; similarity that
+comes from parts of words alone is met only where other evidence does. Everything else is equal to comparing all pairs.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,16 +26,31 @@ from ..functions.fuzzy import token_set_ratio
 from . import extent
 from .components import components, cut
 from .ranking import numbered
+from .spread import spread
 
 # Fields that make a record complete, and fields that copies may fill.
-COMPLETE = "latitude total_area_m2 maintenance_fee description publication_date phone floor furnished bathrooms address image_count".split()
+COMPLETE = (
+    "latitude", "total_area_m2", "maintenance_fee", "description", "publication_date", "phone", "floor", "furnished",
+    "bathrooms", "address", "image_count",
+)
 BACKFILLED = (
-    "latitude longitude coord_source coord_precision total_area_m2 built_area_m2 maintenance_fee maintenance_currency maintenance_pen maintenance_usd"
-    " maintenance_pen_basis maintenance_usd_basis floor phone whatsapp publication_date furnished deposit_months minimum_contract_months"
-).split()
+    "latitude", "longitude", "coord_source", "coord_precision", "total_area_m2", "built_area_m2", "maintenance_fee",
+    "maintenance_currency", "maintenance_pen", "maintenance_usd", "maintenance_pen_basis", "maintenance_usd_basis",
+    "floor", "phone", "whatsapp", "publication_date", "furnished", "deposit_months", "minimum_contract_months",
+)
 _USED = "row_id source source_listing_id source_url bedrooms latitude longitude built_area_m2 total_area_m2 rent_usd phone title description address image_keys floor".split()
 
 
+#: Every set of evidence worth 0.45 holds one of these. ``near`` lies within coord_match_m, ``cell`` within 100 m.
+BLOCKS = (
+    ("area", "photo"), ("price", "photo"), ("cell", "photo"), ("phone", "photo"), ("number", "photo"), ("floor", "photo"), ("title", "photo"), ("text", "photo"),
+    ("area", "phone"), ("price", "phone"), ("cell", "phone"), ("number", "phone"), ("text", "phone"), ("area", "number"), ("price", "number"), ("cell", "number"), ("text", "number"),
+    ("area", "cell"), ("price", "cell"), ("text", "cell"), ("floor", "near", "title"), ("area", "price", "title"), ("area", "text"), ("price", "text"), ("floor", "text", "title"),
+)
+#: Share of a text's letters, in whole words, that similar texts have in common at least.
+SHARED = 0.5
+
+
 def close(a: Column, b: Column, tolerance: float) -> Column:
     """Is the relative difference within the tolerance? Null if either is unknown or both are 0."""
     top = F.greatest(a, b)
@@ -52,38 +73,92 @@ def prepared(df: DataFrame) -> DataFrame:
     return ready.withColumn("numbers", T.street_numbers(c("street"))).drop("title", "description", "address", "source_url")
 
 
+def bands(value: Column, tolerance: float) -> Column:
+    """Numbers of the logarithmic bands that a positive number's half tolerance touches: two that are close share one."""
+    width = -math.log(1 - tolerance) + 1e-9
+    place = F.ln(F.when(value > 0, value)) / width
+    return F.array_distinct(F.array_compact(F.transform(F.array(place - 0.5, place + 0.5), lambda p: F.floor(p).cast("long"))))
+
+
+def cells(x: Column, y: Column, reach: float) -> Column:
+    """Cells twice as wide as ``reach`` that a circle of half of it touches: two places within reach share one."""
+    size, half = 2 * (reach + 1), (reach + 1) / 2
+    ends = lambda v: F.array_distinct(F.transform(F.array(v - half, v + half), lambda e: F.floor(e / size).cast("long")))
+    found = F.flatten(F.transform(ends(x), lambda i: F.transform(ends(y), lambda j: F.xxhash64(i, j))))
+    return F.coalesce(F.when(x.isNotNull() & y.isNotNull(), found), F.array().cast("array<long>"))
+
+
+def words(ready: DataFrame, shared: float = SHARED) -> DataFrame:
+    """(row_id, kind, words): array<struct<word, probe>> of each record's title and text; rarest words probe."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.array_distinct(F.filter(F.split(column, r"\s+"), lambda w: w != "")).alias("words")) for k, column in (("title", F.col("folded_title")), ("text", F.when(F.col("text_size") > 80, F.col("folded_text"))))])
+    flat = cut(ready.select("row_id", F.explode(kinds).alias("e")).select("row_id", "e.kind", F.explode("e.words").alias("word")))
+    counts = cut(flat.groupBy("kind", "word").agg(F.count("*").alias("n")))
+    known = spread(flat, counts, ["kind", "word"], ["row_id"])
+    ranked = known.groupBy("row_id", "kind").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("w"))
+    before = lambda x, i: F.aggregate(F.slice("w", F.lit(1), i), F.lit(0), lambda sum_, y: sum_ + F.length(y["word"]))
+    total = F.aggregate("w", F.lit(0), lambda sum_, y: sum_ + F.length(y["word"]))
+    # Not shared is at most (1 - shared) of the letters, so words that hold more than that hold a shared one.
+    return ranked.withColumn("letters", total).select("row_id", "kind", F.transform("w", lambda x, i: F.struct(x["word"].alias("word"), (before(x, i) <= (1 - shared) * F.col("letters")).alias("probe"))).alias("words"))
+
+
 def keys(ready: DataFrame, cfg: Config) -> DataFrame:
-    """(row_id, key) of every block a record is in."""
+    """(row_id, key, probe) of every block a record is in; ``key`` is a hash of what the block shares."""
     c = F.col
-    key = lambda kind, *parts: F.concat_ws("\x1f", F.lit(kind), *[p.cast("string") for p in parts])
-    some = lambda condition, value: F.when(condition, F.array(value))
-    sister = c("source").isin(*cfg.sister_sources)
-    cell = lambda s: key("cell", s["i"], s["j"])
-    size = cfg.coord_match_m + 1
-    # One side of a pair in a cell, the other in the cells around it: each record enters its own cell and the four ahead.
-    around = F.array(*[F.struct((F.floor(c("x") / size) + i).alias("i"), (F.floor(c("y") / size) + j).alias("j")) for i, j in ((0, 0), (1, 0), (0, 1), (1, 1), (-1, 1), (0, -1), (-1, 0), (-1, -1), (1, -1))])
-    parts = [
-        some(T.known(c("url")), key("url", c("url"))),
-        some(T.known(c("source_listing_id")), key("id", c("source"), c("source_listing_id"))),
-        some(sister & T.known(c("source_listing_id")), key("sister", c("source_listing_id"))),
-        some(T.known(c("phone")), key("phone", c("phone"))),
-        some(T.known(c("folded_title")), key("title", c("folded_title"))),
-        F.transform(c("image_keys"), lambda k: key("photo", k)),
-        F.transform(c("numbers"), lambda k: key("number", k)),
-        F.when(c("x").isNotNull() & c("y").isNotNull(), F.transform(around, cell)),
-    ]
     none = F.array().cast("array<string>")
-    return ready.select("row_id", F.explode(F.array_distinct(F.concat(*[F.coalesce(p, none) for p in parts]))).alias("key"))
+    texts = words(ready).groupBy("row_id").agg(*[F.first(F.when(c("kind") == k, c("words")), ignorenulls=True).alias(k) for k in ("title", "text")])
+    no_words = F.array().cast("array<struct<word:string,probe:boolean>>")
+    full = ready.join(texts, "row_id", "left").withColumns({k: F.coalesce(k, no_words) for k in ("title", "text")})
+    sister = c("source").isin(*cfg.sister_sources)
+    some = lambda condition, value: F.when(F.coalesce(condition, F.lit(False)), F.array(value.cast("string"))).otherwise(none)
+    plain = lambda values: F.transform(values, lambda v: v.cast("string"))
+    # Pieces of evidence. Areas of either kind are compared with each other where one is missing, so they share bands.
+    full = full.withColumns({
+        "e_area": plain(F.array_union(bands(c("built_area_m2"), cfg.area_tolerance), bands(c("total_area_m2"), cfg.area_tolerance))), "e_price": plain(bands(c("rent_usd"), cfg.price_tolerance)),
+        "e_cell": plain(cells(c("x"), c("y"), 100.0)), "e_near": plain(cells(c("x"), c("y"), cfg.coord_match_m)), "e_phone": some(T.known(c("phone")), c("phone")), "e_floor": some(c("floor").isNotNull(), c("floor")),
+        "e_photo": F.coalesce("image_keys", none), "e_number": F.coalesce("numbers", none),
+    })
+    sure = lambda x: F.struct(x.alias("at"), F.lit(True).alias("probe"))
+    of = lambda k: F.transform(f"e_{k}", sure) if k not in ("title", "text") else F.transform(k, lambda w: F.struct(w["word"].alias("at"), w["probe"].alias("probe")))
+
+    def block(*kinds: str) -> Column:
+        """Every combination of one piece of each kind; it probes if its words do."""
+        label = "+".join(kinds)
+        made = F.transform(of(kinds[0]), lambda a: F.struct(F.xxhash64(F.lit(label), a["at"]).alias("key"), a["probe"].alias("probe")))
+        joined = lambda others: lambda a: F.transform(others, lambda b: F.struct(F.xxhash64(a["key"], b["at"]).alias("key"), (a["probe"] & b["probe"]).alias("probe")))
+        for k in kinds[1:]:
+            made = F.flatten(F.transform(made, joined(of(k))))
+        return made
+
+    alone = lambda label, values: F.transform(values, lambda v: F.struct(F.xxhash64(F.lit(label), v).alias("key"), F.lit(True).alias("probe")))
+    own = [alone("url", some(T.known(c("url")), c("url"))), alone("id", some(T.known(c("source_listing_id")), F.concat_ws("\x1f", "source", "source_listing_id"))), alone("sister", some(sister & T.known(c("source_listing_id")), c("source_listing_id")))]
+    # One explode after another, so that no row holds the keys of all kinds at once.
+    which = [*own, *[block(*kinds) for kinds in BLOCKS]]
+    return full.select("row_id", F.explode(F.array(*which)).alias("made")).select("row_id", F.explode("made").alias("m")).select("row_id", "m.key", "m.probe")
 
 
 def candidates(ready: DataFrame, cfg: Config) -> DataFrame:
-    """(a, b), a < b: pairs that share a block."""
-    k = keys(ready, cfg)
-    return k.alias("l").join(k.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.row_id") < F.col("r.row_id"))).select(F.col("l.row_id").alias("a"), F.col("r.row_id").alias("b")).distinct()
+    """(a, b), a < b: pairs that share a block, where one of the two probes with it."""
+    k = cut(keys(ready, cfg).groupBy("row_id", "key").agg(F.max("probe").alias("probe")))
+    # Blocks of one row meet nobody; most keys go here.
+    shared = k.groupBy("key").agg(F.count("*").alias("n"), F.max("probe").alias("any")).where((F.col("n") > 1) & F.col("any")).select("key")
+    k = cut(k.join(shared, "key", "left_semi"))
+    l, r = k.alias("l"), k.alias("r")
+    meet = (F.col("l.key") == F.col("r.key")) & F.col("l.probe") & (F.col("l.row_id") != F.col("r.row_id")) & (~F.col("r.probe") | (F.col("l.row_id") < F.col("r.row_id")))
+    return l.join(r, meet).select(F.least("l.row_id", "r.row_id").alias("a"), F.greatest("l.row_id", "r.row_id").alias("b")).distinct()
+
+
+def open_pairs(pairs: DataFrame, ready: DataFrame, cfg: Config) -> DataFrame:
+    """Both records of each pair, and in ``open`` whether the texts can still decide: only then are they compared."""
+    return _compared(pairs, ready, cfg)[0]
 
 
 def scored(pairs: DataFrame, ready: DataFrame, cfg: Config) -> DataFrame:
-    """(a, b, score, anchored, why). Terms are added in a fixed order, as sums of doubles depend on it."""
+    """(a, b, score, anchored, why). Terms are added in a fixed order, as sums of doubles depend on it. Pairs that no text could
+    bring to a possible duplicate are scored without their texts."""
+    return _compared(pairs, ready, cfg)[1]()
+
+
+def _compared(pairs: DataFrame, ready: DataFrame, cfg: Config):
     row = F.struct(*ready.columns)
     left, right = ready.select(F.col("row_id").alias("a"), row.alias("l")), ready.select(F.col("row_id").alias("b"), row.alias("r"))
     both = pairs.join(left, "a").join(right, "b")
@@ -93,9 +168,6 @@ def scored(pairs: DataFrame, ready: DataFrame, cfg: Config) -> DataFrame:
     far_price = F.coalesce(F.abs(rent_a - rent_b) / F.greatest(rent_a, rent_b) > 0.35, F.lit(False))
     both = both.where(~far_price | l("url").eqNullSafe(r("url")))
     both = both.withColumns({
-        "t": token_set_ratio(l("folded_title"), r("folded_title")),
-        "d": F.when((l("text_size") > 80) & (r("text_size") > 80), token_set_ratio(l("folded_text"), r("folded_text"))),
-        "s": token_set_ratio(l("street"), r("street")),
         "m": geo.haversine(l("latitude"), l("longitude"), r("latitude"), r("longitude")),
         "areas": F.struct(*[x.alias(k) for k, x in zip("ab", areas("l", "r"), strict=True)]),
     })
@@ -107,7 +179,6 @@ def scored(pairs: DataFrame, ready: DataFrame, cfg: Config) -> DataFrame:
     near = yes(c("m") <= cfg.coord_match_m)
     numbered = (F.size(l("numbers")) > 0) & (F.size(r("numbers")) > 0)
     share_number = F.arrays_overlap(l("numbers"), r("numbers"))
-    same_street = yes(numbered & share_number & (c("s") >= 90))
     photo = yes(F.arrays_overlap(l("image_keys"), r("image_keys")))
 
     def graded(a: Column, b: Column, tolerance: float, gain: float) -> Column:
@@ -115,25 +186,43 @@ def scored(pairs: DataFrame, ready: DataFrame, cfg: Config) -> DataFrame:
         return F.when(tight, gain).when(~tight & ~yes(loose), -0.30).otherwise(0.0)
 
     area, price = graded(c("areas.a"), c("areas.b"), cfg.area_tolerance, 0.20), graded(l("rent_usd"), r("rent_usd"), cfg.price_tolerance, 0.15)
-    title, text, phone = yes((c("t") >= cfg.title_ratio) & T.known(l("folded_title"))), yes(c("d") >= cfg.description_ratio), yes(same("phone"))
-    terms = [
-        F.when(sister, 0.9).otherwise(0.0), F.when(near, 0.30).when(c("m") <= 100, 0.10).when(c("m") > 600, -0.50).otherwise(0.0), area, price,
-        F.when(phone, 0.25).otherwise(0.0), F.when(title, 0.10).otherwise(0.0), F.when(text, 0.30).otherwise(0.0),
-        F.when(same_street, 0.20).when(numbered & ~share_number, -0.20).otherwise(0.0), F.when(photo, 0.40).otherwise(0.0),
-        F.when(l("floor") == r("floor"), 0.05).when(l("floor") != r("floor"), -0.15).otherwise(0.0),
-    ]
-    total = reduce(lambda x, y: x + y, terms)
-    why = T.listed(
-        F.when(sister, F.lit("same sister-source id")), F.when(near, F.concat(F.lit("coords "), T.plain(c("m")), F.lit(" m apart"))), F.when(area > 0, F.lit("same area")), F.when(price > 0, F.lit("same price")),
-        F.when(phone, F.lit("same phone")), F.when(title, F.lit("similar title")), F.when(text, F.concat(F.lit("description "), T.plain(c("d")), F.lit("% similar"))), F.when(same_street, F.lit("same numbered address")), F.when(photo, F.lit("shared photo id")),
-    )
-    one = lambda label: F.array(F.lit(label))
-    return both.select(
-        "a", "b",
-        F.when(same_url | same_id, 1.0).when(beds_differ, 0.0).otherwise(total).alias("score"),
-        (same_url | same_id | (~beds_differ & (sister | near | same_street | photo))).alias("anchored"),
-        F.when(same_url, one("same URL")).when(same_id, one("same source id")).when(beds_differ, one("bedrooms differ")).otherwise(why).alias("why"),
-    )
+    phone = yes(same("phone"))
+    long_texts = (l("text_size") > 80) & (r("text_size") > 80)
+    titled = T.known(l("folded_title")) & T.known(r("folded_title"))
+
+    def terms_with(title: Column, text: Column, same_street: Column) -> list[Column]:
+        return [
+            F.when(sister, 0.9).otherwise(0.0), F.when(near, 0.30).when(c("m") <= 100, 0.10).when(c("m") > 600, -0.50).otherwise(0.0), area, price,
+            F.when(phone, 0.25).otherwise(0.0), F.when(title, 0.10).otherwise(0.0), F.when(text, 0.30).otherwise(0.0),
+            F.when(same_street, 0.20).when(numbered & ~share_number, -0.20).otherwise(0.0), F.when(photo, 0.40).otherwise(0.0),
+            F.when(l("floor") == r("floor"), 0.05).when(l("floor") != r("floor"), -0.15).otherwise(0.0),
+        ]
+
+    add = lambda parts: reduce(lambda x, y: x + y, parts)
+    # What texts could add at most decides whether they are compared at all.
+    best = add(terms_with(titled, long_texts, numbered & share_number))
+    both = both.withColumn("open", ~same_url & ~same_id & ~beds_differ & (best >= cfg.match_threshold - 0.15 - 1e-9))
+
+    def score() -> DataFrame:
+        ratio = lambda condition, k: token_set_ratio(F.when(c("open") & condition, l(k)), F.when(c("open") & condition, r(k)))
+        texts = both.withColumns({"t": ratio(titled, "folded_title"), "d": F.when(long_texts, ratio(long_texts, "folded_text")), "s": ratio(numbered & share_number, "street")})
+        same_street = yes(numbered & share_number & (c("s") >= 90))
+        title, text = yes((c("t") >= cfg.title_ratio) & T.known(l("folded_title"))), yes(c("d") >= cfg.description_ratio)
+        terms = terms_with(title, text, same_street)
+        total = reduce(lambda x, y: x + y, terms)
+        why = T.listed(
+            F.when(sister, F.lit("same sister-source id")), F.when(near, F.concat(F.lit("coords "), T.plain(c("m")), F.lit(" m apart"))), F.when(area > 0, F.lit("same area")), F.when(price > 0, F.lit("same price")),
+            F.when(phone, F.lit("same phone")), F.when(title, F.lit("similar title")), F.when(text, F.concat(F.lit("description "), T.plain(c("d")), F.lit("% similar"))), F.when(same_street, F.lit("same numbered address")), F.when(photo, F.lit("shared photo id")),
+        )
+        one = lambda label: F.array(F.lit(label))
+        return texts.select(
+            "a", "b",
+            F.when(same_url | same_id, 1.0).when(beds_differ, 0.0).otherwise(total).alias("score"),
+            (same_url | same_id | (~beds_differ & (sister | near | same_street | photo))).alias("anchored"),
+            F.when(same_url, one("same URL")).when(same_id, one("same source id")).when(beds_differ, one("bedrooms differ")).otherwise(why).alias("why"),
+        )
+
+    return both, score
 
 
 def completeness() -> Column:
