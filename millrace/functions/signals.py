@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import wordings
+from .literals import hinted
 from .text import ORDINALS, amount, fold, found, joined, known, let, listed, mapped, number_word, strip_html, true
 
 # Feature -> (patterns that state it, patterns that deny it), in evaluation order.
@@ -96,8 +97,9 @@ def reading_text(*texts: Column) -> Column:
 def feature(text: Column, name: str) -> Column:
     """False if denied, else true if stated, else null."""
     stated, denied = FEATURES[name]
-    value = F.when(text.rlike(any_of(denied)), False) if denied else F.when(F.lit(False), False)
-    return value.when(text.rlike(any_of(stated)), True)
+    says = lambda patterns: hinted(text, patterns) & text.rlike(any_of(patterns))
+    value = F.when(says(denied), False) if denied else F.when(F.lit(False), False)
+    return value.when(says(stated), True)
 
 
 def features(text: Column) -> dict[str, Column]:
@@ -117,9 +119,9 @@ def evidence(text: Column) -> Column:
     """For each feature found, the phrase around the first pattern of its list that matches."""
     def of(name: str) -> Column:
         stated, denied = FEATURES[name]
-        no = [F.concat(F.lit(f"{name}=False: "), _cited(text, p)) for p in denied]
-        yes = [F.concat(F.lit(f"{name}: "), _cited(text, p)) for p in stated]
-        return F.coalesce(*no, *yes)
+        no = [F.when(hinted(text, [p]), F.concat(F.lit(f"{name}=False: "), _cited(text, p))) for p in denied]
+        yes = [F.when(hinted(text, [p]), F.concat(F.lit(f"{name}: "), _cited(text, p))) for p in stated]
+        return F.when(hinted(text, stated + denied), F.coalesce(*no, *yes))
 
     return listed(*[of(name) for name in FEATURES])
 
