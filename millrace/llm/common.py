@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -55,6 +57,21 @@ def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "
     return docs.withColumns(marks).join(found, (F.col("__i") == F.col("__id")) & (F.col("__d") == F.col("__dg")), "left_anti").drop("__i", "__d")
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, giving freed memory back to the system when a task ends: workers live on between tasks, and what each of
+    a pipeline's stages had at its peak would add up."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], carry: tuple[str, ...] = ()) -> DataFrame:
     """Columns in, columns out, by Arrow batch. ``make()`` runs once in each task and returns the batch function.
 
@@ -71,7 +88,7 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str,
             columns = [pa.array(out[f.name], f.type) for f in arrow] + [batch.column(i) for i in more]
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([*arrow, *(batch.schema.field(i) for i in more)]))
 
-    return df.mapInArrow(run, kind)
+    return df.mapInArrow(trimmed(run), kind)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

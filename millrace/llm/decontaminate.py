@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .byte_bpe import Memo
-from .common import arrow_schema, cut, keyed, spread, text_batches, text_bytes
+from .common import arrow_schema, cut, keyed, spread, text_batches, trimmed, text_bytes
 
 WINDOW, MIN_SHARE, SLOP = 13, 20, 1
 #: Bits of a map of terms or rows: a megabyte in all.
@@ -86,7 +86,7 @@ def windows(benchmark: DataFrame, item: str, text: str, size: int) -> DataFrame:
                 rows += made
             yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(rows, arrow[1].type)], schema=arrow)
 
-    return benchmark.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return benchmark.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text")).mapInArrow(trimmed(run), schema)
 
 
 def counted(rows: DataFrame, wanted) -> DataFrame:
@@ -101,7 +101,7 @@ def counted(rows: DataFrame, wanted) -> DataFrame:
             term, n = np.unique(whole[marked(bits, whole)], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n.astype(np.int64))], schema=arrow)
 
-    return rows.select("text").mapInArrow(run, schema)
+    return rows.select("text").mapInArrow(trimmed(run), schema)
 
 
 def postings(rows: DataFrame, wanted, only=None) -> DataFrame:
@@ -123,7 +123,7 @@ def postings(rows: DataFrame, wanted, only=None) -> DataFrame:
             made = [pa.array([len(f) for f in found], pa.int64()), pa.array([f[p] for f, p in zip(found, places, strict=True)], arrow[4].type), pa.array([p.astype(np.int32) for p in places], arrow[5].type)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("id", "dg", "doc_id")), *made], schema=arrow)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def _single(index: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from .byte_bpe import Memo
-from .common import arrow_schema, cut, keyed, mix, spread, table, text_batches, text_bytes, without
+from .common import arrow_schema, cut, keyed, mix, spread, table, text_batches, trimmed, text_bytes, without
 
 SHINGLE, PERCENT = 5, 75
 PERMUTATIONS, ROWS = 64, 4
@@ -121,7 +121,7 @@ def sketch(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
             columns = [batch.column(k) for k in ("id", "dg", "doc_id")] + [pa.array(c, f.type) for c, f in zip(made, list(arrow)[3:], strict=True)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return keyed(docs, key, text, carry=True).mapInArrow(run, schema)
+    return keyed(docs, key, text, carry=True).mapInArrow(trimmed(run), schema)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
@@ -135,7 +135,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle:
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(values, pa.binary())], schema=arrow)
 
     # A row that is there twice has one set.
-    return keyed(docs, key, text).join(wanted, ["id", "dg"]).select("node", "text").mapInArrow(run, schema).dropDuplicates(["node"])
+    return keyed(docs, key, text).join(wanted, ["id", "dg"]).select("node", "text").mapInArrow(trimmed(run), schema).dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,7 +154,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # A node with very many pairs is ``a`` in all of them, as those of a bucket start from one node.
     often = cut(pairs.groupBy("a").agg(F.count("*").alias("n")))
     x, y = sets.select(F.col("node").alias("a"), F.col("values").alias("x")), sets.select(F.col("node").alias("b"), F.col("values").alias("y"))
-    return spread(pairs, often.join(x, "a"), ["a"], ["b"]).join(y, "b").select("a", "b", "x", "y").mapInArrow(run, schema)
+    return spread(pairs, often.join(x, "a"), ["a"], ["b"]).join(y, "b").select("a", "b", "x", "y").mapInArrow(trimmed(run), schema)
 
 
 def _resemble(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -222,7 +222,7 @@ def _small_buckets(cells: DataFrame, percent: int) -> DataFrame:
                     right += np.maximum(ids[y], ids[x]).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=arrow)
 
-    return lists.mapInArrow(run, schema).distinct()
+    return lists.mapInArrow(trimmed(run), schema).distinct()
 
 
 def _large_buckets(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
