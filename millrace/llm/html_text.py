@@ -3,13 +3,16 @@
 A page is read into text leaves, each with its root-to-leaf path of tags (and classes; inline tags are transparent).
 Per path, text length and punctuation are summed and divided by the number of leaves; the two ratios are fused by
 their product. Along the page, each leaf's value is smoothed with its neighbours', weighted by how much of the path
-they share. Leaves above a part of the spread are content, and all of them are kept. They also choose containers: the
-article and main elements that hold them, where these have most of their text, or else the element common to all. All
-blocks there are the article, and so are those from a heading of the first level on where none lies inside; only link
-lists whose surroundings have no content are left out. Elements that say what they are
-(menus, page headers and footers, sidebars, adverts, notices, forms, comments, scripts, styles) never take part. A name
-or form doesn't count where the element holds the article or main element with the most text or, on pages without any,
-more than half of the page's text outside links.
+they share. Paths whose smoothed values reach the mean less a part of the spread are content. How far a leaf's smoothed
+and own values lie above or below that threshold speaks for or against the elements around it: the article is the element
+with the greatest sum, or the article and main elements with chosen leaves, where a page has such. There everything between
+chosen leaves is kept, and what stands before or behind them unless its container has a poor sum; so are blocks from a
+heading of the first level on where none lies inside. Link lists whose surroundings have no content are left out.
+
+Names are a weight beside that: elements that say what they are (menus, page headers and footers, sidebars, adverts, notices,
+forms, comments, scripts, styles) take no part. A name or form doesn't count where the element holds the article or main
+element with the most text or, on pages without any, more than half of the page's text outside links and a heading of the
+first level, if the page has one.
 
 Inside an article or main element text blocks (paragraphs, headings, items, cells) are dropped only for names that are
 adverts, comments or the like as a whole, and containers only where the name as a whole, its end, or its start before a
@@ -40,7 +43,8 @@ LINKS = 0.6
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 STOP = re.compile(r"[>\"']")
-ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b", re.I)
+#: A name and its value; a match takes a whole name, so no character is tried twice.
+ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
 # HTML element names by role.
@@ -76,11 +80,12 @@ class Element:
     """named: unwanted by class, id or as a form; size: characters outside links; owner: the nearest block; article: the
     outermost article or main element around; base: the nearest element that makes no list; n: chosen leaves inside."""
 
-    __slots__ = ("tag", "parent", "path", "depth", "dropped", "named", "link", "block", "size", "owner", "article", "listed", "base", "n", "prose", "boxed")
+    __slots__ = ("tag", "parent", "path", "depth", "dropped", "named", "link", "block", "size", "owner", "article", "listed", "base", "n", "prose", "boxed", "titles", "score", "poor")
 
     def __init__(self, tag: str, parent: "Element | None", path: int, dropped: bool, named: bool, link: bool, block: bool):
         self.tag, self.parent, self.path, self.dropped, self.link, self.block = tag, parent, path, dropped, link, block
         self.named, self.size, self.n, self.prose, self.boxed = named, 0, 0, False, False
+        self.titles, self.score, self.poor = int(tag == "h1"), 0.0, False
         self.depth = parent.depth + 1 if parent else 0
         self.owner = self if block else parent.owner
         self.article = (parent.article if parent else None) or (self if tag in ("article", "main") else None)
@@ -125,8 +130,8 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, str]
     """(is the element none of the article's, does it only call itself so, its class)."""
     names, drop, named = "", tag in NEVER or tag == "header" and not inside, tag == "form"
     if attributes:
-        for name, a, b, c, hidden in ATTRIBUTE.findall(attributes):
-            name, value = (name or hidden).lower(), (a or b or c).lower()
+        for name, a, b, c in ATTRIBUTE.findall(attributes):
+            name, value = name.lower(), (a or b or c).lower()
             if name in ("class", "id"):
                 names += " " + value
             elif name == "role":
@@ -145,12 +150,14 @@ def _settle(elements: list[Element]) -> None:
     for e in reversed(elements):
         if e.parent:
             e.parent.size += e.size
+            e.parent.titles += e.titles
+    titled = elements[0].titles
     articles = [e for e in elements if e.tag in ("article", "main") and not e.dropped and not e.named and e.size]
     kept = {id(e) for e in _up(max(articles, key=lambda e: e.size, default=None))}
     for e in elements:
         if e.parent and not e.dropped:
             own = e.named and e.tag not in ("html", "body", "article", "main") and id(e) not in kept
-            e.dropped = e.parent.dropped or own and (bool(articles) or 2 * e.size <= elements[0].size)
+            e.dropped = e.parent.dropped or own and (bool(articles) or 2 * e.size <= elements[0].size or titled and not e.titles)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -309,16 +316,23 @@ def _shared(a: Element, b: Element) -> float:
     return (a.depth + 1) / (deep + 1)
 
 
-def content(found: list[Leaf]) -> list[Leaf]:
-    """The leaves whose smoothed path ratio stands out."""
+def _fused(text: float, marks: float, n: int) -> float:
+    """Text and punctuation for each leaf, fused by the product; the logarithm keeps one long path from setting the scale."""
+    return math.log1p(text / n * (1 + marks / n))
+
+
+def content(found: list[Leaf]) -> tuple[list[bool], list[float]]:
+    """Of each leaf: does its path stand out, and by how much the leaf itself does; what is below 0 speaks against what holds it."""
     sums: dict[int, list[int]] = {}
+    own = []
     for leaf in found:
         s = sums.setdefault(leaf.path, [0, 0, 0])
-        s[0] += len(leaf.text) - min(leaf.linked, len(leaf.text))
-        s[1] += len(PUNCTUATION.findall(leaf.text))
+        free, marks = len(leaf.text) - min(leaf.linked, len(leaf.text)), len(PUNCTUATION.findall(leaf.text))
+        own.append(_fused(free, marks if free else 0, 1))
+        s[0] += free
+        s[1] += marks
         s[2] += 1
-    # Fused by the product; the logarithm keeps one long path from setting the scale.
-    ratio = {p: math.log1p(s[0] / s[2] * (1 + s[1] / s[2])) for p, s in sums.items()}
+    ratio = {p: _fused(*s) for p, s in sums.items()}
     plain = [ratio[leaf.path] for leaf in found]
     smooth = []
     for k, leaf in enumerate(found):
@@ -330,7 +344,11 @@ def content(found: list[Leaf]) -> list[Leaf]:
     mean = sum(smooth) / len(smooth)
     spread = math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth))
     limit = mean - SPREAD * spread - 1e-9
-    return [leaf for leaf, x in zip(found, smooth, strict=True) if x >= limit]
+    paths: dict[int, float] = {}
+    for leaf, x in zip(found, smooth, strict=True):
+        paths[leaf.path] = paths.get(leaf.path, 0.0) + x
+    chosen = [paths[leaf.path] >= limit * sums[leaf.path][2] for leaf in found]
+    return chosen, [(x + y) / 2 - limit for x, y in zip(smooth, own, strict=True)]
 
 
 def _linked(leaf: Leaf) -> bool:
@@ -345,33 +363,42 @@ def _listed(leaf: Leaf) -> bool:
     return not (e.parent or e).base.prose
 
 
+def _box(elements: list[Element], found: list[Leaf], chosen: list[bool]) -> list[Element]:
+    """The containers of the article: the article and main elements with chosen leaves, or else the element whose leaves speak for it most."""
+    stated = {id(leaf.element.article): leaf.element.article for leaf, c in zip(found, chosen, strict=True) if c and leaf.element.article and not _linked(leaf)}
+    if stated:
+        return list(stated.values())
+    # Of equals the innermost, which comes last in page order; a part of an article isn't the whole of it.
+    best = max(enumerate(elements), key=lambda x: (round(x[1].score, 9), x[0]))[1]
+    while best.tag in PARTS and best.parent is not None:
+        best = best.parent
+    return [best]
+
+
 def extract(page: str | None) -> str:
     found, elements = leaves(page) if page else ([], [])
     if not found:
         return ""
-    chosen = content(found)
-    for leaf in chosen:
-        leaf.element.n += 1
-        leaf.element.prose |= not _linked(leaf)
+    chosen, scores = content(found)
+    for leaf, c, x in zip(found, chosen, scores, strict=True):
+        leaf.element.prose |= c and not _linked(leaf)
+        leaf.element.score += x
     for e in reversed(elements):
         if e.parent:
-            e.parent.n += e.n
             e.parent.prose |= e.prose
-    inside = [leaf for leaf in chosen if leaf.element.article]
-    if sum(len(leaf.text) for leaf in inside) >= MOST * sum(len(leaf.text) for leaf in chosen):
-        for leaf in inside:
-            leaf.element.article.boxed = True
-    else:
-        # The innermost element that holds all chosen leaves; they form a chain, so it comes last.
-        box = next(e for e in reversed(elements) if e.n == len(chosen))
-        # A paragraph, list or section alone isn't the article: its heading lies beside it.
-        while box.tag in PARTS and box.parent is not None:
-            box = box.parent
-        box.boxed = True
+            e.parent.score += e.score
+    for e in _box(elements, found, chosen):
+        e.boxed = True
     for e in elements:
+        # A container inside that has a poor score is none of the article's, but for what stands between its chosen leaves.
+        e.poor = not e.boxed and bool(e.parent) and (e.parent.poor or e.block and e.tag not in PARTS and e.score < 0)
         e.boxed |= bool(e.parent and e.parent.boxed)
-    wanted = {id(leaf) for leaf in chosen}
-    keep = [id(leaf) in wanted or leaf.element.boxed for leaf in found]
+    picked = [k for k, leaf in enumerate(found) if chosen[k] and leaf.element.boxed]
+    if not picked:
+        return ""
+    first, last = picked[0], picked[-1]
+    # Between chosen leaves everything in the box is the article's; before and behind them what no poor container holds.
+    keep = [leaf.element.boxed and (first <= k <= last or leaf.element.article is not None or not leaf.element.poor) for k, leaf in enumerate(found)]
     if not any(k and leaf.element.tag == "h1" for k, leaf in zip(keep, found, strict=True)):
         first = keep.index(True)
         title = max((k for k in range(first) if found[k].element.tag == "h1"), default=first)
