@@ -12,7 +12,7 @@ from ..functions import geo, money, signals
 from ..functions import text as T
 from ..operators import aggregates, dedupe, enrich, qa, ranking, rings, scoring
 from ..operators.components import components
-from ..operators.normalize import district
+from ..operators.normalize import district, normalize
 from ..schema import conform
 from ..sources import files, places, portals, records
 from .surrogate import LISTINGS, PLACES
@@ -231,6 +231,33 @@ def _(spark, d):
 _terms_sql = "concat('Contrato minimo ', 1 + o_orderkey % 3, ' años. ', 1 + o_orderkey % 4, ' meses de garantia y ', 1 + o_orderkey % 2, ' mes de adelanto. Piso ', 1 + o_orderkey % 20, '. Mantenimiento S/ ', 100 + o_orderkey % 400)"
 
 
+#: Listings of six kinds for orders: silent columns that text fills, stated ones that it must not, quoted maintenance, phones.
+_RAW = """SELECT CAST(o_orderkey AS BIGINT) AS row_id, 'urbania' AS source, CASE o_orderkey % 6 WHEN 0 THEN concat('Depa ', 1 + o_orderkey % 4, ' dorm. Miraflores') WHEN 1 THEN 'Flat con vista a Miraflores' ELSE 'Departamento' END AS title,
+  CASE o_orderkey % 6 WHEN 0 THEN 'Departamento amoblado con balcón y ascensor. Mantenimiento incluido.' WHEN 1 THEN 'Amoblado, mantenimiento incluido, con balcon' WHEN 2 THEN concat('Mantenimiento: S/ ', 100 + o_orderkey % 400, '. Terraza comun')
+    WHEN 3 THEN concat('Mantenimiento ', 50 + o_orderkey % 90, ' dolares, con terraza') WHEN 4 THEN concat('mantenimiento ', 100 + o_orderkey % 300, '. Estacionamiento adicional, sin ascensor') ELSE concat('Sin balcon, no amoblado. Contrato minimo 1 año, 2 meses de garantia, piso ', 1 + o_orderkey % 20) END AS description,
+  CASE o_orderkey % 6 WHEN 1 THEN 'Lince' WHEN 2 THEN 'Mi barrio' END AS district, CASE o_orderkey % 6 WHEN 3 THEN 'Calle Berlin 100, Miraflores' END AS address, CASE o_orderkey % 6 WHEN 1 THEN false END AS furnished, CASE o_orderkey % 6 WHEN 1 THEN 250.0D END AS maintenance_fee,
+  CASE o_orderkey % 6 WHEN 1 THEN 'PEN' END AS maintenance_currency, CASE o_orderkey % 6 WHEN 1 THEN 2 WHEN 2 THEN 0 END AS parking_spaces, CASE o_orderkey % 6 WHEN 1 THEN 3 END AS bedrooms,
+  CASE o_orderkey % 6 WHEN 4 THEN '987 654 321' WHEN 5 THEN '445-1234' WHEN 0 THEN 'sin' END AS phone, 700D + o_orderkey % 500 AS rent_original, 'USD' AS rent_currency FROM orders"""
+
+
+def _by_kind(*values: str) -> str:
+    return "CASE o_orderkey % 6 " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(values)) + " END"
+
+
+@query("normalised_listings", f"""SELECT CAST(o_orderkey AS BIGINT) AS row_id, CAST({_by_kind("1 + o_orderkey % 4", "3", "NULL", "NULL", "NULL", "NULL")} AS INT) AS bedrooms, {_by_kind("'Miraflores'", "'Lince'", "'Mi barrio'", "'Miraflores'", "NULL", "NULL")} AS district,
+  {_by_kind("true", "false", "NULL", "NULL", "NULL", "false")} AS furnished, {_by_kind("true", "true", "NULL", "NULL", "NULL", "false")} AS balcony, {_by_kind("true", "NULL", "NULL", "NULL", "false", "NULL")} AS elevator, {_by_kind("NULL", "NULL", "NULL", "true", "NULL", "NULL")} AS terrace,
+  {_by_kind("NULL", "true", "false", "NULL", "false", "NULL")} AS parking_included, {_by_kind("true", "NULL", "NULL", "NULL", "NULL", "NULL")} AS maintenance_included_in_rent, CAST({_by_kind("NULL", "250", "100 + o_orderkey % 400", "50 + o_orderkey % 90", "100 + o_orderkey % 300", "NULL")} AS DOUBLE) AS maintenance_fee,
+  {_by_kind("NULL", "'PEN'", "'PEN'", "'USD'", "'PEN'", "NULL")} AS maintenance_currency, o_orderkey % 6 IN (2, 3, 4) AS quoted, o_orderkey % 6 = 4 AS assumed, o_orderkey % 6 = 1 AS clash, CAST({_by_kind("NULL", "NULL", "NULL", "NULL", "NULL", "12")} AS INT) AS minimum_contract_months,
+  CAST({_by_kind("NULL", "NULL", "NULL", "NULL", "NULL", "2")} AS DOUBLE) AS deposit_months, CAST({_by_kind("NULL", "NULL", "NULL", "NULL", "NULL", "1 + o_orderkey % 20")} AS INT) AS floor, {_by_kind("NULL", "NULL", "NULL", "NULL", "'+51987654321'", "'+5114451234'")} AS phone,
+  CAST(700 + o_orderkey % 500 AS DOUBLE) AS rent_usd, CAST(round((700 + o_orderkey % 500) * 3.4, 2) AS DOUBLE) AS rent_pen, 'CALCULATED' AS rent_pen_basis FROM orders""")
+def _(spark, d):
+    out = normalize(made(spark, d, _RAW, "orders"), CFG, 3.4)
+    told = lambda words: F.exists("text_signals", lambda x: x.contains(words))
+    notes = {"quoted": told("maintenance amount read from description"), "assumed": told("(currency not stated — assumed PEN)"), "clash": told("title mentions Miraflores but district field says 'Lince'")}
+    kept = ("row_id", "bedrooms", "district", "furnished", "balcony", "elevator", "terrace", "parking_included", "maintenance_included_in_rent", "maintenance_fee", "maintenance_currency", "minimum_contract_months", "deposit_months", "floor", "phone", "rent_usd", F.round("rent_pen", 2).alias("rent_pen"), "rent_pen_basis")
+    return out.select(*kept, *[v.alias(k) for k, v in notes.items()])
+
+
 @query("lease_terms", "SELECT o_orderkey, CAST(12 * (1 + o_orderkey % 3) AS INT) AS months, CAST(1 + o_orderkey % 4 AS DOUBLE) AS deposit, CAST(1 + o_orderkey % 2 AS DOUBLE) AS advance, CAST(1 + o_orderkey % 20 AS INT) AS floor, CAST(100 + o_orderkey % 400 AS DOUBLE) AS fee, 'PEN' AS fee_currency FROM orders")
 def _(spark, d):
     s = signals.signals(c("t"))
@@ -745,6 +772,38 @@ def _(spark, d):
     return out.select("row_id", "duplicate_group_id", "is_canonical", "number_of_records", "duplicate_sources", "dup_inconsistencies", "dedupe_evidence")
 
 
+#: Three copies of a flat for each three customers, without texts: near each other, some a little off and near to the next flat.
+_COPIES = """SELECT row_id, CASE WHEN row_id % 2 = 0 THEN 'urbania' ELSE 'adondevivir' END AS source, concat('c', row_id) AS source_listing_id, concat('https://p.test/', row_id) AS source_url, 1 AS bedrooms,
+  -12.14 + (flat % 1000) / 1000.0 + CASE WHEN flat % 4 = 1 AND r = 1 THEN 0.0003 ELSE 0.0 END AS latitude, -77.05 + CAST(floor(flat / 1000.0) AS DOUBLE) / 1000.0 AS longitude, CASE WHEN r = 2 THEN 63.0 ELSE 60.0 END AS total_area_m2,
+  CAST(700 + flat % 500 AS DOUBLE) AS rent_usd, CASE WHEN r = 1 THEN concat('9', row_id) END AS phone, CASE WHEN r = 2 THEN 3 END AS floor, CASE WHEN r = 0 AND flat % 2 = 0 THEN '2024-05-01' END AS publication_date, CASE WHEN r = 0 AND flat % 2 = 0 THEN 1.0 END AS bathrooms,
+  CASE WHEN r = 0 AND flat % 3 = 0 THEN 'INACTIVE' ELSE 'LIKELY_ACTIVE' END AS active_status FROM (SELECT CAST(c_custkey AS BIGINT) AS row_id, CAST(floor(c_custkey / 3.0) AS BIGINT) AS flat, c_custkey % 3 AS r FROM customer)"""
+_KINDS = {"latitude": "double", "longitude": "double", "total_area_m2": "double", "rent_usd": "double", "bathrooms": "double", "floor": "int", "bedrooms": "int"}
+_GROUP = "concat('G', CASE WHEN g < 10000 THEN lpad(CAST(g AS VARCHAR), 4, '0') ELSE CAST(g AS VARCHAR) END)"
+
+
+@query("entity_groups", f"""WITH p AS (SELECT * REPLACE (CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, CAST(total_area_m2 AS DOUBLE) AS total_area_m2) FROM ({_COPIES})),
+d AS (SELECT a.row_id AS a, b.row_id AS b, abs(a.rent_usd - b.rent_usd) / greatest(a.rent_usd, b.rent_usd) AS price, abs(a.total_area_m2 - b.total_area_m2) / greatest(a.total_area_m2, b.total_area_m2) AS area, a.floor = b.floor AS same_floor,
+  2 * 6371000.0 * asin(sqrt(pow(sin((radians(b.latitude) - radians(a.latitude)) / 2), 2) + cos(radians(a.latitude)) * cos(radians(b.latitude)) * pow(sin(radians(b.longitude - a.longitude) / 2), 2))) AS m FROM p a JOIN p b ON a.row_id < b.row_id),
+s AS (SELECT a, b, m <= 40 AS near, 0::DOUBLE + CASE WHEN m <= 40 THEN 0.30::DOUBLE WHEN m <= 100 THEN 0.10::DOUBLE WHEN m > 600 THEN -0.50::DOUBLE ELSE 0::DOUBLE END + CASE WHEN area <= 0.06 THEN 0.20::DOUBLE WHEN area > 0.15 THEN -0.30::DOUBLE ELSE 0::DOUBLE END
+  + CASE WHEN price <= 0.05 THEN 0.15::DOUBLE WHEN price > 0.15 THEN -0.30::DOUBLE ELSE 0::DOUBLE END + CASE WHEN same_floor THEN 0.05::DOUBLE ELSE 0::DOUBLE END AS score FROM d WHERE price <= 0.35),
+n AS (SELECT p.row_id, least(p.row_id, coalesce(min(s.a), p.row_id)) AS root FROM p LEFT JOIN s ON s.b = p.row_id AND near AND score >= 0.6 GROUP BY p.row_id),
+g AS (SELECT row_id, root, dense_rank() OVER (ORDER BY root) AS g FROM n),
+o AS (SELECT p.*, root, {_GROUP} AS grp, count(*) OVER (PARTITION BY root) AS n, row_number() OVER (PARTITION BY root ORDER BY (phone IS NOT NULL)::INT + (floor IS NOT NULL)::INT + (publication_date IS NOT NULL)::INT + (bathrooms IS NOT NULL)::INT DESC, CASE source WHEN 'urbania' THEN 0 ELSE 1 END, row_id) AS place FROM p JOIN g USING (row_id)),
+x AS (SELECT DISTINCT a.grp AS own, b.grp AS other FROM s JOIN o a ON a.row_id = s.a JOIN o b ON b.row_id = s.b WHERE score >= 0.6 - 0.15 AND NOT (near AND score >= 0.6) AND a.grp <> b.grp), y AS (SELECT own, other FROM x UNION SELECT other, own FROM x),
+m AS (SELECT own, string_agg(other, '; ' ORDER BY other) AS possible FROM y GROUP BY 1),
+f AS (SELECT root, string_agg(DISTINCT source, '; ' ORDER BY source) AS sources, count(DISTINCT source) AS k, bool_or(active_status = 'INACTIVE') AND NOT bool_and(active_status = 'INACTIVE') AS clash,
+  arg_min(CASE WHEN floor IS NOT NULL THEN source END, place) FILTER (WHERE floor IS NOT NULL) AS f1, arg_min(source, place) FILTER (WHERE phone IS NOT NULL) AS f2, arg_min(source, place) FILTER (WHERE publication_date IS NOT NULL) AS f3,
+  arg_min(floor, place) FILTER (WHERE floor IS NOT NULL) AS floor1, arg_min(phone, place) FILTER (WHERE phone IS NOT NULL) AS phone1 FROM o GROUP BY 1)
+SELECT row_id, grp AS duplicate_group_id, place = 1 AS is_canonical, CAST(CASE WHEN place = 1 THEN n ELSE 1 END AS INT) AS number_of_records, CAST(CASE WHEN place = 1 THEN k ELSE 1 END AS INT) AS number_of_sources, CASE WHEN place = 1 THEN sources ELSE '' END AS duplicate_sources,
+  CASE WHEN place = 1 AND n > 1 AND clash THEN 'STATUS_MISMATCH (one copy marked inactive)' ELSE '' END AS dup_inconsistencies, CASE WHEN place = 1 THEN coalesce(possible, '') ELSE '' END AS possible_duplicate_of,
+  CASE WHEN place = 1 AND n > 1 THEN concat_ws('; ', CASE WHEN o.floor IS NULL THEN concat('floor←', f1) END, CASE WHEN o.phone IS NULL THEN concat('phone←', f2) END, CASE WHEN publication_date IS NULL AND f3 IS NOT NULL THEN concat('publication_date←', f3) END) ELSE '' END AS fields_filled_from_duplicates,
+  CASE WHEN place = 1 THEN coalesce(o.floor, floor1) ELSE o.floor END AS floor, CASE WHEN place = 1 THEN coalesce(o.phone, phone1) ELSE o.phone END AS phone FROM o JOIN f USING (root) LEFT JOIN m ON m.own = o.grp""")
+def _(spark, d):
+    rows = made(spark, d, _COPIES, "customer").withColumns({k: c(k).cast(kind) for k, kind in _KINDS.items()})
+    out = dedupe.deduplicate(conform(rows), CFG)
+    return out.select("row_id", "duplicate_group_id", "is_canonical", "number_of_records", "number_of_sources", "duplicate_sources", "dup_inconsistencies", "possible_duplicate_of", "fields_filled_from_duplicates", "floor", "phone")
+
+
 @query("listing_pipeline")
 def _(spark, d):
     from .pipeline import process
