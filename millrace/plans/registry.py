@@ -14,7 +14,7 @@ from ..operators import aggregates, dedupe, enrich, qa, ranking, rings, scoring
 from ..operators.components import components
 from ..operators.normalize import district, normalize
 from ..schema import conform
-from ..sources import files, places, portals, records
+from ..sources import files, places, portals, records, requests
 from .surrogate import LISTINGS, PLACES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -681,6 +681,12 @@ def _(spark, d):
     return run.statement.select("source", c("records").cast("bigint").alias("records"), "errors", "status")
 
 
+@query("page_requests", "WITH t AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) SELECT CAST(o_custkey AS VARCHAR) AS source, CAST(k * 4 AS BIGINT) AS first_item, CAST(least(4, n - k * 4) AS BIGINT) AS items FROM t, range(0, 1000) r(k) WHERE k * 4 < n")
+def _(spark, d):
+    totals = read(spark, d, "orders").groupBy(c("o_custkey").cast("string").alias("source")).agg(F.count("*").alias("total"))
+    return requests.page_requests(totals, 4).select("source", c("offset").alias("first_item"), c("limit").alias("items"))
+
+
 # ---------------------------------------------------------------- records
 _RECORD = """concat('{"postingId": "', o_orderkey, '", "URL": "/aviso-', o_orderkey, '", "title": "Depa ', o_orderkey, '", "price": {"amount": ', 500 + o_orderkey % 900, ', "currency": "', CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'S/' END,
  '"}, "expenses": {"amount": ', 100 + o_orderkey % 300, ', "currency": "PEN"}, "mainFeatures": {"A": {"label": "Dormitorios", "value": "', 1 + o_orderkey % 3, '"}, "B": {"label": "Area total", "value": "', 40 + o_orderkey % 60, ' m2"}}, "geo": {"lat": -12.1', lpad(cast(o_orderkey % 1000 as string), 3, '0'), ', "lng": -77.0', lpad(cast((o_orderkey div 1000) % 60 as string), 2, '0'), '}, "showExactLocation": true, "amenities": ["Piscina", "2 ascensores"], "images": [{"url": "https://i.test/', 1234567 + o_orderkey, '.jpg"}]}')"""

@@ -56,11 +56,19 @@ def _first(found: DataFrame, most: int) -> DataFrame:
     return found.orderBy(*ORDER).limit(most)
 
 
+def _left_out(rows: DataFrame, most: int, what: str) -> tuple[DataFrame, Column]:
+    """A note of how many rows a limit leaves out, if any, and whether there are none."""
+    n = rows.count()
+    notes = [(False, f"{n - most} {what} left out by the limit of {most}")] if n > most else []
+    return rows.sparkSession.createDataFrame(notes, "error boolean, text string"), F.lit(not notes)
+
+
 def portal(source: str, pages: DataFrame, scraped_at: str, base_url: str = "", max_items: int = MAX_ITEMS) -> Run:
     """Search pages alone: never more than a part, as their cards lack what detail pages say."""
     found, notes = cards(pages, "portal")
     listings = records.map_record(_first(found, max_items), "json", F.lit(source), F.lit(scraped_at), base_url)
-    return Run(listings, statement(source, "search pages", listings, notes, False))
+    cut_off, _ = _left_out(found, max_items, "cards")
+    return Run(listings, statement(source, "search pages", listings, notes.union(cut_off), False))
 
 
 def collected(source: str, items: DataFrame, scraped_at: str, base_url: str = "", succeeded: bool = True) -> Run:
@@ -74,17 +82,23 @@ def market(source: str, pages: DataFrame, details: DataFrame | None, scraped_at:
     """Search pages, with detail pages for what could pass the budget: a price of up to ``ceiling`` dollars, or none.
 
     Other detail pages are never parsed. The first ``max_details`` in order that were answered count; pages that are gone
-    make their listing inactive and count for nothing.
+    make their listing inactive and count for nothing. Of several landed pages with one address, an answered one counts, and of
+    those the least text. A run that leaves cards out is a part, and its notes say how many cards and detail pages a limit cut.
     """
     found, notes = cards(pages, "market", FULL_PAGE)
+    cut_off, all_cards = _left_out(found, max_items, "cards")
+    notes = notes.union(cut_off)
     mapped = records.map_record(_first(found, max_items), "json", F.lit(source), F.lit(scraped_at)).drop("json")
     if details is None:
-        return Run(mapped, statement(source, "search pages", mapped, notes, True))
+        return Run(mapped, statement(source, "search pages", mapped, notes, all_cards))
     price = F.when(c("rent_currency") == "USD", c("rent_original")).otherwise(c("rent_original") / rate)
     wanted = mapped.where(price.isNull() | (price <= ceiling)).groupBy("source_url").agg(F.min(F.struct(*ORDER)).alias("place"))
-    once = details.dropDuplicates(["url"]).withColumnRenamed("url", "source_url").join(wanted, "source_url")
-    answered = once.where("status = 200").orderBy("place").limit(max_details)
+    best = details.groupBy("url").agg(F.min(F.struct((c("status") != 200).alias("failed"), "status", "html")).alias("d"))
+    once = best.select(c("url").alias("source_url"), "d.status", "d.html").join(wanted, "source_url")
+    there = cut(once.where("status = 200"))
+    answered = there.orderBy("place").limit(max_details)
+    notes = notes.union(_left_out(there, max_details, "detail pages")[0])
     said = html_cards.records(answered.select(c("source_url").alias("url"), "html"), "html", "detail", "url").select("url", "json")
     gone = once.where(c("status").isin(*GONE)).select("source_url", F.lit('{"inactive": true}'))
     listings = html_cards.with_details(conform(mapped), said.union(gone))
-    return Run(listings, statement(source, "search and detail pages", listings, notes, True))
+    return Run(listings, statement(source, "search and detail pages", listings, notes, all_cards))

@@ -172,6 +172,11 @@ def test_collector_input():
     assert requests.pages(600) == [(0, 250), (250, 250), (500, 100)]
 
 
+def test_page_requests(spark):
+    totals = spark.createDataFrame([("a", 600), ("b", 250), ("c", 0), ("d", None)], "source string, total int")
+    assert sorted(map(tuple, requests.page_requests(totals).collect())) == [("a", 0, 250), ("a", 250, 250), ("a", 500, 100), ("b", 0, 250)]
+
+
 def test_portal_runs(spark):
     card = lambda k, price: f'<li class="ui-search-layout__item"><h2><a href="https://m.pe/MPE-{k}-x">Flat</a></h2><span class="andes-money-amount"><b class="andes-money-amount__currency-symbol">{price[0]}</b><b class="andes-money-amount__fraction">{price[1]}</b></span></li>'
     pages = spark.createDataFrame([("s", 1, 200, "".join(card(10000000 + k, ("US$", "900" if k else "5,000")) for k in range(48))), ("s", 2, 200, card(20000000, ("S/", "3,000"))), ("s", 3, 200, card(30000000, ("S/", "1")))], "url string, page int, status int, html string")
@@ -182,6 +187,9 @@ def test_portal_runs(spark):
     assert len(rows) == 49 and "MPE30000000" not in rows  # a page that isn't full is the last one
     assert [rows[f"MPE{k}"]["bedrooms"] for k in (10000000, 10000001, 10000003, 20000000)] == [None, 2, None, None] and rows["MPE10000002"]["active_status"] == "INACTIVE"
     assert run.statement.select("records", "errors", "status").first() == (49, 0, "SUCCESS")
+    assert run.statement.first()["notes"] == ["1 detail pages left out by the limit of 1"]
+    few = portals.market("mercadolibre", pages, None, "2024-06-01", 1150, 3.4, max_items=40).statement.first()
+    assert (few["records"], few["status"], few["notes"]) == (40, "PARTIAL", ["9 cards left out by the limit of 40"])
     failed = portals.portal("urbania", pages.withColumn("status", F.lit(403)), "2024-06-01").statement.first()
     assert (failed["records"], failed["errors"], failed["status"], failed["notes"]) == (0, 1, "FAILED", ["s page 1: status 403"])
     none = portals.portal("urbania", pages.limit(0), "2024-06-01").statement.first()
