@@ -1,4 +1,12 @@
-"""From raw documents to token ids: five stages, each written as Parquet and read again as the next one's input."""
+"""From raw documents to token ids: five stages, each written as Parquet and read again as the next one's input.
+
+Null and empty texts, and texts without letters, have no language and go in the first stage, so later ones see text only; a text
+of which every line is boilerplate stays as an empty one. Null languages and sources are allowed, and a null source is a
+host of its own. Ids may be null or repeated: rows are told apart by id and text, and rows repeated as a whole are kept or
+dropped together, except that near-duplicates keep the rows of the smallest id. Ties go to the smaller id. Whole texts pass
+through every stage, however long. An empty table gives no rows. Columns other than those of ``documents`` end in the first
+stage, whatever their names.
+"""
 
 from __future__ import annotations
 
