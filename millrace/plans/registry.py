@@ -15,6 +15,7 @@ from ..operators.components import components
 from ..operators.normalize import district, normalize
 from ..schema import conform
 from ..sources import files, places, portals, records, requests
+from . import views
 from .surrogate import LISTINGS, PLACES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -479,8 +480,12 @@ def _(spark, d):
 
 @query("topk_quiet_space", f"{_SCORES} SELECT row_id, round(0.6 * quietness + 2 * CAST(pts AS DOUBLE), 4) AS quiet_space FROM (SELECT *, {_points[2]} AS pts FROM ranked WHERE category = 'PRIMARY') ORDER BY quiet_space DESC, row_id LIMIT 5")
 def _(spark, d):
-    rows = _scored(spark, d).where("category = 'PRIMARY'")
-    return rows.select("row_id", F.round(F.lit(0.6) * c("quietness_score_0_100") + F.lit(2.0) * c("pts_space"), 4).alias("quiet_space")).orderBy(F.desc("quiet_space"), "row_id").limit(5)
+    return views.quiet_space(_scored(spark, d)).select("row_id", "quiet_space")
+
+
+@query("best_value_picks", f"{_SCORES} SELECT row_id, value_band, risk AS noise_risk, per_m2 AS rent_usd_per_m2 FROM ranked WHERE category = 'PRIMARY' AND value_band IN ('EXCELLENT_VALUE', 'GOOD_VALUE') AND coalesce(risk, '') <> 'HIGH' ORDER BY per_m2, row_id LIMIT 5")
+def _(spark, d):
+    return views.best_value(ranking.rank(_scored(spark, d), CFG)).select("row_id", "value_band", "noise_risk", "rent_usd_per_m2")
 
 
 @query("qa_worklist", f"""{_SCORES}, w AS (SELECT * FROM ranked WHERE category = 'PRIMARY' AND rank_in_category <= {CFG.qa_programmatic} OR category IN ('STRETCH', 'NEAR_MISS')),

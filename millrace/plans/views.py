@@ -20,6 +20,18 @@ SHORTLIST = (
 ).split()
 
 
+def quiet_space(ranked: DataFrame, k: int = 5) -> DataFrame:
+    """The first ``k`` of the primary category by quietness and space together."""
+    value = F.round(F.lit(0.6) * c("quietness_score_0_100") + F.lit(2.0) * c("pts_space"), 4)
+    return ranked.where("category = 'PRIMARY'").withColumn("quiet_space", value).orderBy(F.desc("quiet_space"), "row_id").limit(k)
+
+
+def best_value(ranked: DataFrame, k: int = 5) -> DataFrame:
+    """The first ``k`` of the primary category in the two better value bands, without high noise, by rent for each square metre."""
+    good = (c("category") == "PRIMARY") & c("value_band").isin("EXCELLENT_VALUE", "GOOD_VALUE") & (F.coalesce(c("noise_risk"), F.lit("")) != "HIGH")
+    return ranked.where(good).orderBy("rent_usd_per_m2", "row_id").limit(k)
+
+
 def yes_no(k: str) -> Column:
     return F.when(c(k), "Yes").when(~c(k), "No").otherwise(UNKNOWN)
 
