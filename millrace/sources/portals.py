@@ -26,7 +26,7 @@ ORDER = ("url", "page", "seq")
 
 @dataclass(frozen=True)
 class Run:
-    """``statement``: (source, method, records, errors, status, notes)."""
+    """``statement``: (source, method, records, errors, status, notes). Listings are written once, as the statement reads them too."""
 
     listings: DataFrame
     statement: DataFrame
@@ -66,14 +66,14 @@ def _left_out(rows: DataFrame, most: int, what: str) -> tuple[DataFrame, Column]
 def portal(source: str, pages: DataFrame, scraped_at: str, base_url: str = "", max_items: int = MAX_ITEMS) -> Run:
     """Search pages alone: never more than a part, as their cards lack what detail pages say."""
     found, notes = cards(pages, "portal")
-    listings = records.map_record(_first(found, max_items), "json", F.lit(source), F.lit(scraped_at), base_url)
+    listings = cut(records.map_record(_first(found, max_items), "json", F.lit(source), F.lit(scraped_at), base_url))
     cut_off, _ = _left_out(found, max_items, "cards")
     return Run(listings, statement(source, "search pages", listings, notes.union(cut_off), False))
 
 
 def collected(source: str, items: DataFrame, scraped_at: str, base_url: str = "", succeeded: bool = True) -> Run:
     """Items (json) of a remote collector's run; whole if it ended well."""
-    listings = records.map_record(items, "json", F.lit(source), F.lit(scraped_at), base_url)
+    listings = cut(records.map_record(items, "json", F.lit(source), F.lit(scraped_at), base_url))
     notes = items.sparkSession.createDataFrame([] if succeeded else [(True, "the collector's run didn't succeed")], "error boolean, text string")
     return Run(listings, statement(source, "collector", listings, notes, True))
 
@@ -88,7 +88,7 @@ def market(source: str, pages: DataFrame, details: DataFrame | None, scraped_at:
     found, notes = cards(pages, "market", FULL_PAGE)
     cut_off, all_cards = _left_out(found, max_items, "cards")
     notes = notes.union(cut_off)
-    mapped = records.map_record(_first(found, max_items), "json", F.lit(source), F.lit(scraped_at)).drop("json")
+    mapped = cut(records.map_record(_first(found, max_items), "json", F.lit(source), F.lit(scraped_at)).drop("json"))
     if details is None:
         return Run(mapped, statement(source, "search pages", mapped, notes, all_cards))
     price = F.when(c("rent_currency") == "USD", c("rent_original")).otherwise(c("rent_original") / rate)
