@@ -255,7 +255,7 @@ def test_suffix_dedup_null_and_repeated_ids(spark):
 
 
 def test_spread_keeps_all_rows_of_hot_keys(spark, monkeypatch):
-    monkeypatch.setattr(common, "LEAST_HOT", 10)
+    monkeypatch.setattr("millrace.operators.spread.LEAST_HOT", 10)
     rows = spark.range(1000).withColumn("k", F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 50))
     classes = rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("k") % 2 == 0)
     joined = common.spread(rows, classes, ["k"], ["id"])
