@@ -632,10 +632,10 @@ def _segment_sql(ax: str, ay: str, bx: str, by: str) -> str:
     return f"sqrt(pow(x - ({ax}) - {t} * (({bx}) - ({ax})), 2) + pow(y - ({ay}) - {t} * (({by}) - ({ay})), 2))"
 
 
-#: Long slanting roads and triangles, kilometres across, from suppliers.
-_SLANTED = "SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'road' ELSE 'field' END AS layer, CAST(s_suppkey AS BIGINT) AS seq, CAST((s_suppkey * 7919) % 9000 - 4500 AS DOUBLE) AS x0, CAST((s_suppkey * 104729) % 7000 - 3500 AS DOUBLE) AS y0, CAST((s_suppkey * 31) % 3000 - 1500 AS DOUBLE) AS dx, CAST((s_suppkey * 17) % 2500 + 200 AS DOUBLE) AS dy FROM supplier"
-_SIDES = (_segment_sql("x0", "y0", "x0 + dx", "y0 + dy"), _segment_sql("x0 + dx", "y0 + dy", "x0 - dy", "y0 + 900"), _segment_sql("x0 - dy", "y0 + 900", "x0", "y0"))
-_TURNS = ("dx * (y - y0) - dy * (x - x0)", "(-dy - dx) * (y - y0 - dy) - (900 - dy) * (x - x0 - dx)", "dy * (y - y0 - 900) + 900 * (x - x0 + dy)")
+#: Long slanting roads and triangles, hundreds of metres across, from suppliers.
+_SLANTED = "SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'road' ELSE 'field' END AS layer, CAST(s_suppkey AS BIGINT) AS seq, CAST((s_suppkey * 7919) % 9000 - 4500 AS DOUBLE) AS x0, CAST((s_suppkey * 104729) % 7000 - 3500 AS DOUBLE) AS y0, CAST((s_suppkey * 31) % 600 - 300 AS DOUBLE) AS dx, CAST((s_suppkey * 17) % 500 + 40 AS DOUBLE) AS dy FROM supplier"
+_SIDES = (_segment_sql("x0", "y0", "x0 + dx", "y0 + dy"), _segment_sql("x0 + dx", "y0 + dy", "x0 - dy", "y0 + 180"), _segment_sql("x0 - dy", "y0 + 180", "x0", "y0"))
+_TURNS = ("dx * (y - y0) - dy * (x - x0)", "(-dy - dx) * (y - y0 - dy) - (180 - dy) * (x - x0 - dx)", "dy * (y - y0 - 180) + 180 * (x - x0 + dy)")
 
 
 @query("geo_slanted", f"""{L}, b AS ({_SLANTED}), p AS (SELECT row_id, {_X.format('longitude')} AS x, {_Y.format('latitude')} AS y FROM l WHERE latitude IS NOT NULL),
@@ -644,7 +644,7 @@ SELECT row_id, layer, round(min(m), 3) AS distance, CAST(count(*) FILTER (WHERE
 def _(spark, d):
     at = lambda x, y: F.struct((c("x0") + x).alias("x"), (c("y0") + y).alias("y"))
     zero = F.lit(0.0)
-    road, field = F.array(at(zero, zero), at(c("dx"), c("dy"))), F.array(at(zero, zero), at(c("dx"), c("dy")), at(-c("dy"), F.lit(900.0)), at(zero, zero))
+    road, field = F.array(at(zero, zero), at(c("dx"), c("dy"))), F.array(at(zero, zero), at(c("dx"), c("dy")), at(-c("dy"), F.lit(180.0)), at(zero, zero))
     shapes = made(spark, d, _SLANTED, "supplier").select("layer", F.lit("").alias("name"), "seq", F.when(c("layer") == "road", "line").otherwise("polygon").alias("kind"), F.when(c("layer") == "road", road).otherwise(field).alias("points"))
     points = enrich._placed(listings(spark, d))
     near = enrich.within(points, shapes, 150.0).select("row_id", "layer", "n")
