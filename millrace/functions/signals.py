@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -166,15 +168,28 @@ def signals(t: Column) -> dict[str, Column]:
     }
 
 
+def foreign_text(title: Column, description: Column) -> Column:
+    """The text that ``foreign_tenant_in`` reads."""
+    return fold(strip_html(joined(" ", title, description)))
+
+
+def foreign_tenant_in(text: Column, furnished: Column, contract: Column) -> tuple[Column, Column]:
+    """(class, evidence): friction first, then strong wording, then soft wording or practical signs.
+
+    Make the text a column first: it is read some fifty times.
+    """
+    says = {p: hinted(text, [p]) & text.rlike(p) for table in (STRONG, SOFT, FRICTION, NOTED) for p in table.values()}
+    any_in = lambda table: reduce(lambda x, y: x | y, [says[p] for p in table.values()])
+    labels = lambda table: [F.when(says[p], F.lit(label)) for label, p in table.items()]
+    english = F.regexp_count(text, F.lit(ENGLISH)) >= ENGLISH_WORDS
+    practical = true(furnished) & says[NOTED["utilities included"]]
+    kind = F.when(any_in(FRICTION), "POTENTIAL_FRICTION").when(any_in(STRONG), "HIGH").when(any_in(SOFT) | english | practical, "MEDIUM").otherwise("UNKNOWN")
+    noted = [*labels(NOTED), F.when(true(furnished), F.lit("furnished")), F.when(contract.cast("double") != 0, F.concat(F.lit("minimum stay "), contract.cast("int").cast("string"), F.lit(" months")))]
+    said = listed(*labels(STRONG), *labels(SOFT), F.when(english, F.lit("listing written in English")), *labels(FRICTION), *noted)
+    return F.when(known(text), kind).otherwise("UNKNOWN"), F.when(known(text), F.array_join(F.array_distinct(said), "; ")).otherwise("")
+
+
 def foreign_tenant(title: Column, description: Column, furnished: Column, contract: Column) -> tuple[Column, Column]:
-    """(class, evidence): friction first, then strong wording, then soft wording or practical signs."""
-    text = fold(strip_html(joined(" ", title, description)))
-    labels = lambda table: listed(*[F.when(text.rlike(p), F.lit(label)) for label, p in table.items()])
-    english = listed(F.when(F.regexp_count(text, F.lit(ENGLISH)) >= ENGLISH_WORDS, F.lit("listing written in English")))
-    noted = F.concat(labels(NOTED), listed(F.when(true(furnished), F.lit("furnished")), F.when(contract.cast("double") != 0, F.concat(F.lit("minimum stay "), contract.cast("int").cast("string"), F.lit(" months")))))
-    strong, soft, friction = labels(STRONG), F.concat(labels(SOFT), english), labels(FRICTION)
-    some = lambda c: F.size(c) > 0
-    practical = F.array_contains(noted, "furnished") & F.array_contains(noted, "utilities included")
-    kind = F.when(some(friction), "POTENTIAL_FRICTION").when(some(strong), "HIGH").when(some(soft) | practical, "MEDIUM").otherwise("UNKNOWN")
-    said = F.array_join(F.array_distinct(F.concat(strong, soft, friction, noted)), "; ")
-    return F.when(known(text), kind).otherwise("UNKNOWN"), F.when(known(text), said).otherwise("")
+    """``foreign_tenant_in`` for single texts; over tables, make ``foreign_text`` a column of its own."""
+    both = let(foreign_text(title, description), lambda text: F.struct(*[x.alias(k) for k, x in zip(("kind", "said"), foreign_tenant_in(text, furnished, contract), strict=True)]))
+    return both.getField("kind"), both.getField("said")

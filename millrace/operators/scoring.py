@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Config, wordings
 from ..functions import text as T
 from ..functions.money import budget_class, total_text
-from ..functions.signals import foreign_tenant
+from ..functions.signals import foreign_tenant_in, foreign_text
 from .ranking import value_bands
 
 # Words of property types, markers of demo data.
@@ -242,10 +242,10 @@ def score(df: DataFrame, cfg: Config, as_of: str) -> DataFrame:
     """Deduplicated, enriched listings -> scored listings. Every row is kept, copies and excluded ones too."""
     out = df.withColumns(gates(cfg) | noise(cfg))
     size, basis = area()
-    out = out.withColumns(components(cfg, as_of) | {"area_m2": size, "area_basis": basis, "space_band": space_band(cfg, c("bedrooms").cast("int"), size), "location_notes": location_notes(cfg)})
+    out = out.withColumns(components(cfg, as_of) | {"area_m2": size, "area_basis": basis, "space_band": space_band(cfg, c("bedrooms").cast("int"), size), "location_notes": location_notes(cfg), "__foreign": foreign_text(c("title"), c("description"))})
     parts = ("pts_quietness", "pts_budget", "pts_space", "pts_location", "pts_furnishing", "pts_building", "pts_listing_quality")
     kind, note = budget_class(cfg)
-    friendly, said = foreign_tenant(c("title"), c("description"), c("furnished"), c("minimum_contract_months"))
+    friendly, said = foreign_tenant_in(c("__foreign"), c("furnished"), c("minimum_contract_months"))
     out = out.withColumns({
         "fit_score": F.round(add(*map(c, parts)), 1), "budget_class": kind, "budget_note": note, "foreign_tenant_friendliness": friendly, "foreign_tenant_evidence": said,
         "red_flags": F.array_join(red_flags(cfg), "; "), "rent_usd_per_m2": F.when((c("rent_usd").isNotNull()) & (c("area_m2") > 0), F.round(c("rent_usd") / c("area_m2"), 2)),
@@ -256,4 +256,4 @@ def score(df: DataFrame, cfg: Config, as_of: str) -> DataFrame:
     out = out.withColumn("category", F.when(weak, "EXCLUDED").when(c("category") == "NEAR_MISS_CANDIDATE", "NEAR_MISS").otherwise(c("category")))
     out = value_bands(out, "bedrooms", "rent_usd_per_m2", c("category").isin("PRIMARY", "STRETCH"), cfg.min_value_group)
     out = out.withColumns({"main_advantage": advantages(), "main_drawback": main_drawback(), "estimated_total_text": total_text()})
-    return out.drop("__reasons", "__gate_flags", "__noise_flags")
+    return out.drop("__reasons", "__gate_flags", "__noise_flags", "__foreign")

@@ -75,3 +75,12 @@ def test_foreign_tenant(spark):
     assert value(spark, kind, t="Depa", d="sin aval") == "MEDIUM"
     assert value(spark, kind, t=None, d=None) == "UNKNOWN"
     assert value(spark, said, t="Depa", d="acepta extranjeros; ejecutivos") == "accepts foreigners; aimed at executives"
+
+
+def test_foreign_tenant_reads_its_text_once(spark):
+    rows = spark.createDataFrame([("Depa", "Acepta extranjeros; ejecutivos", True, 6), ("Depa", "servicios incluidos", True, 0), ("Depa", "se requiere aval", None, None), (None, None, True, 3)], "t string, d string, f boolean, m int")
+    kind, said = signals.foreign_tenant_in(F.col("text"), F.col("f"), F.col("m"))
+    out = rows.withColumn("text", signals.foreign_text(F.col("t"), F.col("d"))).select(kind.alias("kind"), said.alias("said"))
+    assert [tuple(r) for r in out.collect()] == [("HIGH", "accepts foreigners; aimed at executives; furnished; minimum stay 6 months"), ("MEDIUM", "utilities included; furnished"), ("POTENTIAL_FRICTION", "guarantor (aval/fiador) requested"), ("UNKNOWN", "")]
+    # Each mention of the text would be a copy of all that makes it, so its patterns stand in the plan once.
+    assert out._jdf.queryExecution().executedPlan().toString().count("</li>") == 1
