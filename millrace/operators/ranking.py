@@ -11,6 +11,8 @@ from .components import cut
 # Categories in order, and bands of relative value with the share at which each ends.
 CATEGORIES = ("PRIMARY", "STRETCH", "NEAR_MISS", "EXCLUDED")
 BANDS = ((0.25, "EXCELLENT_VALUE"), (0.5, "GOOD_VALUE"), (0.75, "FAIR_VALUE"), (2.0, "EXPENSIVE_RELATIVE_TO_SAMPLE"))
+# Columns that ``rank_order`` reads.
+ORDERED_BY = ("row_id", "category", "noise_risk", "noise_confidence", "fit_score", "budget_class", "estimated_total_monthly_usd", "rent_usd")
 
 
 def numbered(df: DataFrame, group: list[Column], order: list[Column], name: str) -> DataFrame:
@@ -39,10 +41,12 @@ def rank_order(cfg: Config) -> list[Column]:
     return [loud.asc(), (c("fit_score") + strict * cfg.strict_margin).desc(), strict.desc(), cost.asc_nulls_last(), c("row_id").asc()]
 
 
-def rank(scored: DataFrame, cfg: Config) -> DataFrame:
-    """Canonical records with rank_in_category."""
-    # Scoring is dear and the range sort reads its input twice, so the scores are written once.
-    return numbered(cut(scored.where("is_canonical")), [F.col("category")], rank_order(cfg), "rank_in_category")
+def rank(scored: DataFrame, cfg: Config, kept: list[str] | None = None) -> DataFrame:
+    """Canonical records with rank_in_category; with what the order reads and the columns ``kept``, if given, else with all."""
+    # Scoring is dear and the range sort reads its input twice, so the scores are written once. Columns that nobody reads aren't made.
+    rows = scored.where("is_canonical")
+    narrow = rows if kept is None else rows.select(*dict.fromkeys([*ORDERED_BY, *kept]))
+    return numbered(cut(narrow), [F.col("category")], rank_order(cfg), "rank_in_category")
 
 
 def value_bands(df: DataFrame, group: str, value: str, in_scope: Column, min_group: int) -> DataFrame:

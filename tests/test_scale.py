@@ -119,3 +119,14 @@ def test_rings_of_many_boundaries(spark):
         own = sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, ring[1:], strict=False)) / 2
         assert abs(out[b]["area"] - area) < 1e-3 and abs(own - area) < 1e-3 and set(ring) == corner and ring[0] == ring[-1] and len(ring) == len(corner) + 1
     assert rings.outlines(table.limit(0)).count() == 0
+
+
+def test_ranks_over_the_columns_that_are_read(spark):
+    from millrace.operators import ranking, scoring
+    from millrace.plans import registry
+
+    scored = scoring.score(registry.complete(spark, "/root/testdata/sf0.001"), registry.CFG, registry.AS_OF)
+    narrow = ranking.rank(scored, registry.CFG, ["title"])
+    assert narrow.columns == [*ranking.ORDERED_BY, "title", "rank_in_category"]
+    whole = ranking.rank(scored, registry.CFG).select(*narrow.columns)
+    assert whole.exceptAll(narrow).count() == narrow.exceptAll(whole).count() == 0
