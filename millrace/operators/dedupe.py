@@ -262,7 +262,8 @@ def conflicts(grouped: DataFrame) -> DataFrame:
 def deduplicate(df: DataFrame, cfg: Config) -> DataFrame:
     """``df`` (listing columns and a unique row_id) with group, canonical flag, rollup, conflicts and backfill."""
     c = F.col
-    ready = prepared(df)
+    # Read for words, for keys and for either side of a pair, so its texts are folded once, by all cores.
+    ready = cut(prepared(df.repartition(df.sparkSession.sparkContext.defaultParallelism)))
     pairs = cut(scored(candidates(ready, cfg), ready, cfg))
     merged = pairs.where((c("score") >= cfg.match_threshold) & c("anchored"))
     maybe = pairs.where(~((c("score") >= cfg.match_threshold) & c("anchored")) & (c("score") >= cfg.match_threshold - 0.15))
