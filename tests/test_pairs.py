@@ -92,3 +92,26 @@ def test_ratios_run_only_where_they_can_decide(spark):
 
 def test_token_set_by_hand():
     assert fuzzy.token_set("a b", "a b c d") == 100.0 and fuzzy.token_set("", "a") == 0.0
+
+
+def test_records_are_dealt_to_all_cores_and_prepared_once(spark, monkeypatch):
+    from millrace.plans import pipeline, registry
+
+    class Seen(Exception):
+        pass
+
+    def seen(df, *_):
+        raise Seen(df)
+
+    def caught(name):
+        try:
+            registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+        except Seen as s:
+            return s.args[0]
+
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "process", seen)
+        assert f"Repartition {spark.sparkContext.defaultParallelism}, true" in caught("listing_pipeline")._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(dedupe, "candidates", seen)
+    for name in ("pair_dedupe_fuzzy", "entity_groups"):
+        assert caught(name)._jdf.queryExecution().analyzed().toString().startswith("LogicalRDD")
