@@ -54,8 +54,11 @@ def joined(separator: str, *parts: Column) -> Column:
 
 
 def listed(*parts: Column) -> Column:
-    """An array of the parts that aren't null, in order."""
-    return F.array_compact(F.array(*parts))
+    """An array of the texts that aren't null, in order; none of them is the bare character U+0000.
+
+    ``array_compact`` runs outside generated code, and all parts with it.
+    """
+    return F.array_remove(F.array(*[F.coalesce(p, F.lit("\0")) for p in parts]), F.lit("\0"))
 
 
 def unescape(c: Column) -> Column:

@@ -204,7 +204,7 @@ def red_flags(cfg: Config) -> Column:
         "NO_COORDINATES": c("latitude").isNull(), "AREA_INCONSISTENT": (c("built_area_m2") != 0) & (c("total_area_m2") != 0) & (c("built_area_m2") > c("total_area_m2") * 1.05), "BEDROOM_TITLE_MISMATCH": titled != beds,
         "SHORT_TERM_WORDING": T.true(c("short_term_text")), "PRICE_CONVERTED_FROM_PEN": c("rent_usd_basis") == "CALCULATED",
     }
-    return F.array_sort(F.array_distinct(F.concat(c("__gate_flags"), c("__noise_flags"), T.listed(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))))
+    return F.sort_array(F.array_distinct(F.concat(c("__gate_flags"), c("__noise_flags"), T.listed(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))))
 
 
 def advantages() -> Column:
@@ -240,7 +240,8 @@ def main_drawback() -> Column:
 
 def score(df: DataFrame, cfg: Config, as_of: str) -> DataFrame:
     """Deduplicated, enriched listings -> scored listings. Every row is kept, copies and excluded ones too."""
-    out = df.withColumns(gates(cfg) | noise(cfg))
+    # Whose values are compared follows from the gates alone, so the counts that value bands need don't score the rows a second time.
+    out = df.withColumns(gates(cfg) | noise(cfg)).withColumn("__compared", c("category").isin("PRIMARY", "STRETCH"))
     size, basis = area()
     out = out.withColumns(components(cfg, as_of) | {"area_m2": size, "area_basis": basis, "space_band": space_band(cfg, c("bedrooms").cast("int"), size), "location_notes": location_notes(cfg), "__foreign": foreign_text(c("title"), c("description"))})
     parts = ("pts_quietness", "pts_budget", "pts_space", "pts_location", "pts_furnishing", "pts_building", "pts_listing_quality")
@@ -254,6 +255,6 @@ def score(df: DataFrame, cfg: Config, as_of: str) -> DataFrame:
     reasons = F.array_join("__reasons", "; ")
     out = out.withColumn("exclusion_reason", F.when(weak, F.concat(reasons, F.lit("; fit below near-miss bar"))).otherwise(reasons))
     out = out.withColumn("category", F.when(weak, "EXCLUDED").when(c("category") == "NEAR_MISS_CANDIDATE", "NEAR_MISS").otherwise(c("category")))
-    out = value_bands(out, "bedrooms", "rent_usd_per_m2", c("category").isin("PRIMARY", "STRETCH"), cfg.min_value_group)
+    out = value_bands(out, "bedrooms", "rent_usd_per_m2", c("__compared"), cfg.min_value_group)
     out = out.withColumns({"main_advantage": advantages(), "main_drawback": main_drawback(), "estimated_total_text": total_text()})
-    return out.drop("__reasons", "__gate_flags", "__noise_flags", "__foreign")
+    return out.drop("__reasons", "__gate_flags", "__noise_flags", "__foreign", "__compared")

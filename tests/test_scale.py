@@ -172,3 +172,19 @@ def test_shared_places_are_met_once_and_shapes_that_fill_a_cell_are_counted_ther
     assert sorted(got.collect()) == sorted(met.collect()) and got.where("n >= 15").count() > 0
     first = away.groupBy("row_id", "layer").agg(F.min(F.struct("m", "seq", "name")).alias("s")).select("row_id", "layer", "s.m", "s.name")
     assert sorted(enrich.nearest(points, table).select("row_id", "layer", F.round("distance", 6), "name").collect()) == sorted(first.collect())
+
+
+def test_scored_listings_are_dealt_before_any_of_them_is_made(spark):
+    from millrace.plans import registry
+
+    plan = registry.QUERIES["listing_texts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # A filter would be pushed below a shuffle in the plan, to the few row groups of a file.
+    assert "parquet" not in plan and "Repartition" not in plan
+
+
+def test_listed_texts_stay_in_generated_code(spark):
+    from millrace.functions import text as T
+
+    rows = spark.createDataFrame([("a", None), (None, None), (None, ""), ("b", "b")], "x string, y string").select(T.listed(F.col("x"), F.col("y")).alias("z"))
+    assert [r["z"] for r in rows.collect()] == [["a"], [], [""], ["b", "b"]]
+    assert "lambda" not in rows._jdf.queryExecution().optimizedPlan().toString()
