@@ -31,8 +31,11 @@ def number(c: Column) -> Column:
 
 
 def let(value: Column, body) -> Column:
-    """``body(value)`` with the value made once, however often the body names it; else each mention would be a copy."""
-    return F.get(F.transform(F.array(value), body), 0)
+    """``body(value)`` with the value made once, however often the body names it; else each mention would be a copy.
+
+    ``element_at`` knows its type; ``get`` inside a lambda would ask the whole body for it at each row.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def found(c: Column, pattern: str, group: int = 1) -> Column:

@@ -148,10 +148,12 @@ _ITEM = "struct<label:string,value:string,rest:string>"
 
 
 def lower_keys(text: Column) -> Column:
-    """JSON text with its keys in lower case: what stands between two quotes with a colon behind the second, unless it ends in a backslash."""
-    parts = F.split(text, '"')
-    pairs = F.arrays_zip(parts.alias("x"), F.slice(F.array_append(parts, F.lit("")), 2, F.greatest(F.size(parts), F.lit(1))).alias("next"))
-    return F.array_join(F.transform(pairs, lambda p: F.when(p["next"].rlike(r"^\s*:") & ~p["x"].endswith("\\"), F.lower(p["x"])).otherwise(p["x"])), '"')
+    """JSON text with its keys in lower case: what stands between two quotes with a colon behind the second, unless it ends in a backslash.
+
+    The text is parted at the first quote of each key. What is before the first one is an opening bracket, or no object is read from it.
+    """
+    key = lambda p: F.substring_index(p, '"', 1)
+    return F.array_join(F.transform(F.split(text, r'"(?=[^"]*+(?<!\\)"\s*:)'), lambda p: F.concat(F.lower(key(p)), F.substr(p, F.length(key(p)) + 1))), '"')
 
 
 def under(record: Column, path: str) -> Column:
@@ -167,14 +169,20 @@ def at(value: Column, path: str, kind: str = "variant") -> Column:
 
 
 def is_a(value: Column, *kinds: str) -> Column:
-    return reduce(lambda x, y: x | y, [F.schema_of_variant(value).startswith(k) for k in kinds])
+    return named_as(F.schema_of_variant(value), *kinds)
+
+
+def named_as(kind: Column, *kinds: str) -> Column:
+    return reduce(lambda x, y: x | y, [kind.startswith(k) for k in kinds])
 
 
 def number_text(value: Column) -> Column:
     """The text of a variant. Three digits behind a point would read as thousands in text; a number's point is always decimal."""
-    said = value.cast("string")
-    digits = F.when(is_a(value, "DOUBLE"), said.try_cast("decimal(38,12)").cast("string")).otherwise(said)
-    return F.when(is_a(value, "DECIMAL", "DOUBLE") & digits.rlike(r"\.\d{3}$"), F.concat(digits, F.lit("0"))).otherwise(digits)
+    def read(kind: Column) -> Column:
+        digits = F.when(named_as(kind, "DOUBLE"), value.cast("string").try_cast("decimal(38,12)").cast("string")).otherwise(value.cast("string"))
+        return F.when(named_as(kind, "DECIMAL", "DOUBLE"), T.let(digits, lambda d: F.when(d.rlike(r"\.\d{3}$"), F.concat(d, F.lit("0"))).otherwise(d))).otherwise(value.cast("string"))
+
+    return T.let(F.schema_of_variant(value), read)
 
 
 def first_filled(value: Column, paths: tuple[str, ...]) -> Column:
@@ -183,11 +191,12 @@ def first_filled(value: Column, paths: tuple[str, ...]) -> Column:
 
 
 def _first(found: list[Column]) -> Column:
-    return F.get(F.filter(F.array(*found), lambda x: ~x.cast("string").isin("", "[]", "{}")), 0)
+    # No lambda: those run outside generated code, a hundred paths of them for each record.
+    return F.coalesce(*[F.when(~x.cast("string").isin("", "[]", "{}"), x) for x in found])
 
 
 def _first_text(found: list[Column]) -> Column:
-    return F.get(F.filter(F.array(*[x.cast("string") for x in found]), lambda x: ~x.isin("", "[]", "{}")), 0)
+    return F.coalesce(*[filled(x.cast("string")) for x in found])
 
 
 def first_text(value: Column, paths: tuple[str, ...]) -> Column:
@@ -217,13 +226,13 @@ def opened(text: Column) -> Column:
         named = at(value, "label").isNotNull() | at(value, "name").isNotNull()
         label = F.coalesce(text_or("label", "name")(value), F.lit("None"))
         as_it_stands = F.from_json(text, _MAP)[key]
-        return F.when(is_a(value, "OBJECT"), F.when(named, _labelled(value, label, "value", "measure")).otherwise(_item(none, none, as_it_stands))).when(is_a(value, "ARRAY"), _item(none, none, as_it_stands)).when(value.cast("string").isNotNull(), _item(key, number_text(value), none))
+        return T.let(F.schema_of_variant(value), lambda kind: F.when(named_as(kind, "OBJECT"), F.when(named, _labelled(value, label, "value", "measure")).otherwise(_item(none, none, as_it_stands))).when(named_as(kind, "ARRAY"), _item(none, none, as_it_stands)).when(value.cast("string").isNotNull(), _item(key, number_text(value), none)))
 
     def member(value: Column, place: Column) -> Column:
-        label = text_or("label", "name", "key", "title")(value)
-        own = _labelled(value, label, "value", "value_name", "measure")
-        said = value.cast("string")
-        return F.when(is_a(value, "STRING"), _item(said, said, none)).when(is_a(value, "OBJECT"), F.when(label.isNull(), _item(none, none, F.get(F.from_json(text, _LIST), place))).otherwise(own))
+        own = lambda label: _labelled(value, label, "value", "value_name", "measure")
+        as_it_stands = F.get(F.from_json(text, _LIST), place)
+        thing = T.let(text_or("label", "name", "key", "title")(value), lambda label: F.when(label.isNull(), _item(none, none, as_it_stands)).otherwise(own(label)))
+        return T.let(F.schema_of_variant(value), lambda kind: F.when(kind == "STRING", _item(value.cast("string"), value.cast("string"), none)).when(named_as(kind, "OBJECT"), thing))
 
     fields, members = F.map_entries(F.from_json(text, "map<string,variant>")), F.from_json(text, "array<variant>")
     return F.array_compact(F.when(text.startswith("{"), F.transform(fields, field)).when(text.startswith("["), F.transform(members, member)))
@@ -271,12 +280,13 @@ def resolved(df: DataFrame, column: str) -> DataFrame:
     codes = {"__currency": F.coalesce(c("__currency"), inner("price")), "__expenses_currency": F.coalesce(c("__expenses_currency"), inner("expenses"))}
     codes |= {f"__said_{k}": F.when(kind(k) == "STRING", held(k).cast("string")) for k in ("price", "expenses")} | {f"__has_{k}": held(k).isNotNull() for k in ("floor", "parking")}
     money = lambda p: F.struct(at(p, "currency", "string").alias("currency"), number_text(F.coalesce(first_filled(p, ("amount",)), first_filled(p, ("value",)))).alias("amount"))
-    no_list = F.array().cast("array<variant>")
-    listed = lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), no_list)
-    nested = F.flatten(F.transform(listed(v["priceoperationtypes"]), lambda o: listed(at(o, "prices"))))
-    prices = F.transform(F.filter(F.concat(nested, listed(v["prices"])), lambda p: is_a(p, "OBJECT")), money)
-    image = lambda p: F.when(is_a(p, "STRING"), p.cast("string")).when(is_a(p, "OBJECT"), first_text(p, tuple(k.lower() for k in IMAGE)))
-    pictures = F.array_compact(F.transform(listed(held("images")), image))
+    listed = lambda x: F.try_variant_get(x, "$", "array<variant>")
+    none = F.array().cast("array<struct<currency:string,amount:string>>")
+    priced = lambda x: F.coalesce(F.transform(F.filter(x, lambda p: is_a(p, "OBJECT")), money), none)
+    nested = F.flatten(F.array_compact(F.transform(listed(v["priceoperationtypes"]), lambda o: listed(at(o, "prices")))))
+    prices = F.concat(priced(nested), priced(listed(v["prices"])))
+    image = lambda p: T.let(F.schema_of_variant(p), lambda kind: F.when(kind == "STRING", p.cast("string")).when(named_as(kind, "OBJECT"), first_text(p, tuple(k.lower() for k in IMAGE))))
+    pictures = F.coalesce(F.array_compact(F.transform(listed(held("images")), image)), F.array().cast("array<string>"))
     raw = raw.withColumns({f"__n_{k}": held_number(k) for k in NUMBERS} | codes | {"__prices": prices, "__pictures": pictures})
     holders = list(dict.fromkeys(FEATURES + AMENITIES))
     raw = labelled(raw, "__labels", [container(c("__keys"), c("__values"), k) for k in holders])

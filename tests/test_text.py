@@ -84,3 +84,17 @@ def test_foreign_tenant_reads_its_text_once(spark):
     assert [tuple(r) for r in out.collect()] == [("HIGH", "accepts foreigners; aimed at executives; furnished; minimum stay 6 months"), ("MEDIUM", "utilities included; furnished"), ("POTENTIAL_FRICTION", "guarantor (aval/fiador) requested"), ("UNKNOWN", "")]
     # Each mention of the text would be a copy of all that makes it, so its patterns stand in the plan once.
     assert out._jdf.queryExecution().executedPlan().toString().count("</li>") == 1
+
+
+def test_keys_are_lowered_and_nothing_else(spark):
+    from millrace.sources import records
+
+    cases = {
+        '{"A": "B", "Cd" : {"E-F": ["G", {"H": "I: \\"J\\": K"}]}}': '{"a": "B", "cd" : {"e-f": ["G", {"h": "I: \\"J\\": K"}]}}',
+        '{"X": "Y\\" : Z", "": "Q"}': '{"x": "Y\\" : Z", "": "Q"}', '["A", "B"]': '["A", "B"]', "": "", '{"Ñ": 1.50}': '{"ñ": 1.50}',
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", records.lower_keys(F.col("t")).alias("low"))
+    assert {r["t"]: r["low"] for r in rows.collect()} == cases
+    # Paths are looked up in generated code, without lambdas.
+    found = records.first_text(F.parse_json("t"), ("a", "x"))
+    assert "lambda" not in rows.where("t like '{%'").select(found)._jdf.queryExecution().optimizedPlan().toString()
