@@ -238,6 +238,18 @@ def test_suffix_dedup(spark, group):
     assert out == suffix_dedup.brute(texts)
 
 
+def test_suffix_dedup_passages_by_the_byte(spark, tmp_path):
+    """A shared passage of over 50 words goes, from every copy and to the byte, if it has 400 bytes; n_bytes is the input's size whatever goes."""
+    short, twice = prose(101, 55), prose(102, 120)
+    a, b, c, d, e = (prose(k, 45) for k in range(103, 108))
+    assert len(short.split()) > 50 and len(short) < 400 <= len(twice)
+    texts = [f"{a}|{PASSAGE}|{b}", f"{c}#{PASSAGE}#{d}", f"{b}|{short}|{c}", f"{d}#{short}#{a}", f"{e}<{twice}>{a}({twice})", prose(108, 300)]
+    kept = [f"{a}||{b}", f"{c}##{d}", *texts[2:4], f"{e}<>{a}()", texts[5]]
+    table(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    out = [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.query(spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert out == [(len(t), len(t) - len(k), n, hashlib.sha256(k.encode()).hexdigest()) for t, k, n in zip(texts, kept, (1, 1, 0, 0, 2, 0), strict=True)]
+
+
 def test_suffix_sort_orders_segments():
     r = np.random.RandomState(1)
     data = r.randint(97, 99, 4000).astype(np.uint8)
