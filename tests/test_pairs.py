@@ -115,3 +115,24 @@ def test_records_are_dealt_to_all_cores_and_prepared_once(spark, monkeypatch):
     monkeypatch.setattr(dedupe, "candidates", seen)
     for name in ("pair_dedupe_fuzzy", "entity_groups"):
         assert caught(name)._jdf.queryExecution().analyzed().toString().startswith("LogicalRDD")
+
+
+def test_like_records_are_decided_at_once(spark, monkeypatch):
+    flat = {**flats(1, 3)[0], **dict.fromkeys(("title", "description", "phone", "address", "floor", "built_area_m2")), "image_keys": [], "bedrooms": 1, "longitude": -77.03, "total_area_m2": 60.0}
+    rows = [{**flat, "row_id": 30 * k + n, "latitude": -12.12 + k / 100, "rent_usd": 700.0 + 100 * k, "title": f"t{n}", "source_listing_id": str(1000 * k + n), "source_url": f"https://a.pe/{k}/{n}"} for k in range(3) for n in range(30)]
+    met, whole = [], dedupe.scored
+    monkeypatch.setattr(dedupe, "scored", lambda pairs, *rest: (met.append(pairs.count()), whole(pairs, *rest))[1])
+    for evidence in (False, True):
+        out = dedupe.deduplicate(table(spark, rows), CFG, evidence)
+        assert {(r["row_id"] // 30, r["duplicate_group_id"]) for r in out.collect()} == {(k, f"G{k + 1:04}") for k in range(3)}
+        assert ("dedupe_evidence" in out.columns) == evidence
+    # A place, an area and a price merge copies whatever their titles say; pairs are told apart only to be named.
+    assert met == [0, 3 * 30 * 29 // 2]
+
+
+def test_what_one_record_holds_alone_is_no_evidence_and_null_text_is_none(spark):
+    none = dict.fromkeys(("title", "phone", "address", "latitude", "floor", "description")) | {"image_keys": ["x", "y"]}
+    rows = [{**flats(1, 3)[0], **none, "row_id": k, "source_listing_id": str(k // 2), "source": "urbania", "source_url": f"https://a.pe/{k}", "phone": f"9{k}"} for k in range(3)]
+    ready = dedupe.without_lone(dedupe.prepared(table(spark, rows)), CFG)
+    assert {(r["row_id"], r["source_listing_id"], r["url"], r["phone"], tuple(r["image_keys"])) for r in ready.collect()} == {(0, "0", None, None, ("x", "y")), (1, "0", None, None, ("x", "y")), (2, None, None, None, ("x", "y"))}
+    assert not ready.where("long OR titled OR no_url").count()
