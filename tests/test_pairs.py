@@ -136,3 +136,19 @@ def test_what_one_record_holds_alone_is_no_evidence_and_null_text_is_none(spark)
     ready = dedupe.without_lone(dedupe.prepared(table(spark, rows)), CFG)
     assert {(r["row_id"], r["source_listing_id"], r["url"], r["phone"], tuple(r["image_keys"])) for r in ready.collect()} == {(0, "0", None, None, ("x", "y")), (1, "0", None, None, ("x", "y")), (2, None, None, None, ("x", "y"))}
     assert not ready.where("long OR titled OR no_url").count()
+
+
+def test_listing_pipeline_makes_no_column_of_pairs_that_it_does_not_read(spark, monkeypatch):
+    from millrace.plans import pipeline, registry
+
+    class Seen(Exception):
+        pass
+
+    def seen(*given):
+        raise Seen(given)
+
+    monkeypatch.setattr(pipeline, "cut", lambda df: df)
+    monkeypatch.setattr(pipeline, "deduplicate", seen)
+    with pytest.raises(Seen) as told:
+        registry.QUERIES["listing_pipeline"](spark, "/root/testdata/sf0.001")
+    assert told.value.args[0][2:] == (False,)
